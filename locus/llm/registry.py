@@ -1,7 +1,7 @@
 """The corpus queries and their SQL."""
 
-from . import mixing, pieces, quality, simhash, token_counts, urls
+from . import mixing, pieces, quality, simhash, suffixes, token_counts, urls
 
-MODULES = (simhash, urls, pieces, quality, token_counts, mixing)
+MODULES = (simhash, urls, pieces, quality, token_counts, mixing, suffixes)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
