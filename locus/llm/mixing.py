@@ -73,7 +73,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source") -> DataFr
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(row, *[v.alias(k) for k, v in key.items()])
     same = F.col("_id").eqNullSafe(F.col("_id2")) & F.col("_src").eqNullSafe(F.col("_src2")) & (F.col("_h") == F.col("_h2"))
-    rows = rows.join(per_key.where("_c > 0"), same)
+    rows = rows.join(per_key.where("_c > 0").hint("shuffle_hash"), same)
     single = rows.where("_m = 1").withColumn("_take", F.col("_c"))
     turn = F.row_number().over(Window.partitionBy("_id", "_src", "_h").orderBy(F.lit(0)))
     several = rows.where("_m > 1").withColumn("_turn", turn).withColumn("_take", F.expr("_c div _m") + F.when(F.col("_turn") <= F.col("_c") % F.col("_m"), 1).otherwise(0)).drop("_turn")

@@ -1,7 +1,7 @@
 """The corpus queries and their SQL."""
 
-from . import licenses, mixing, pieces, quality, simhash, suffixes, token_counts, urls, warc
+from . import licenses, media, mixing, pieces, quality, simhash, suffixes, token_counts, urls, warc
 
-MODULES = (simhash, urls, pieces, warc, licenses, quality, token_counts, mixing, suffixes)
+MODULES = (simhash, urls, pieces, warc, licenses, media, quality, token_counts, mixing, suffixes)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

@@ -221,7 +221,11 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     keep = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(row, F.col(f"`{key}`").cast("long").alias("_id"))
-    kept = rows.join(keep, F.col("_id") == F.col("_keep")).groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*")
+    # The ids are one long each and unique, so they are hashed rather than sorting whole rows.
+    kept = rows.join(keep.hint("shuffle_hash"), F.col("_id") == F.col("_keep"))
+    if not marked.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.groupBy("_id").agg(F.first("_row").alias("_row"))
+    kept = kept.select("_row.*")
     lone = marked.where("doc_id is null and component_id is null")
     if lone.isEmpty():
         return kept
