@@ -7,13 +7,13 @@ have equal anchors. The strings that share an anchor in a row of places are a un
 1. Units go to ranges of leading bytes, cut by sampled splitters; each bucket sorts its suffixes by multikey quicksort.
    Of equal units all but the first are repeats as a whole. First units whose gram other units have too, and those at
    the edge of a bucket whose neighbours in order lie in another, are open: some of their strings may be repeats.
-2. The strings of open units are sorted in the same way, all 100 bytes of them, and each that is not the first of its
-   equals is a repeat. This also compares across the boundaries of step 1.
+2. The strings of open units are sorted in the same way, and each that is not the first of its equals is a repeat. This also compares across the boundaries of step 1.
 3. Repeats return to their documents, whose covered bytes are removed.
 
 Texts meet their marks in groups of bounded bytes, by a hash of the row; nothing is gathered by content alone. Equal
 units or strings that meet in one task are reduced to the first before they are shuffled, so a passage that a third of
-the corpus shares reaches its bucket a few times. Units are equal if 8 leading bytes and 96 bits of hashes agree.
+the corpus shares reaches its bucket a few times. Units and
+strings are equal if 8 leading bytes and 96 bits of hashes agree; the strings themselves took too much disk.
 """
 
 from __future__ import annotations
@@ -42,19 +42,32 @@ Docs = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value; their bytes are laid out by significance, which packs numbers better."""
     head = np.array([len(a) for a in arrays], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays))
 
 
 def unpack(payload: bytes, kinds: Sequence[type]) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(payload)
     at, out = 8 * len(kinds), []
-    for n, kind in zip(np.frombuffer(raw, np.int64, len(kinds)), kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += int(n) * np.dtype(kind).itemsize
+    for n, kind in zip(np.frombuffer(raw, np.int64, len(kinds)).tolist(), kinds, strict=True):
+        size = np.dtype(kind).itemsize
+        out.append(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T.copy().view(kind).ravel())
+        at += n * size
     return out
 
 
+def pack_rows(did: np.ndarray, rk: np.ndarray, *cols: np.ndarray) -> bytes:
+    """pack() of rows of documents that come one after another: ids and row hashes once for each document."""
+    new = np.flatnonzero(np.r_[True, (did[1:] != did[:-1]) | (rk[1:] != rk[:-1])])
+    return pack(did[new], rk[new], np.diff(np.r_[new, len(did)]).astype(np.uint32), *cols)
+
+
+def unpack_rows(payload: bytes, kinds: Sequence[type]) -> list[np.ndarray]:
+    did, rk, n, *cols = unpack(payload, (np.int64, np.int64, np.uint32, *kinds))
+    return [np.repeat(did, n), np.repeat(rk, n), *cols]
+
+
 def bodies(column: pa.ChunkedArray | pa.Array) -> Docs:
     """All bytes of a binary column, and where each value starts and ends."""
     a = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -207,7 +220,10 @@ def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 #: Marks: document id, row hash, first and past-the-last byte, 1 for an open unit and 0 for a repeat.
 MARKS = (np.int64, np.int64, np.uint32, np.uint32, np.uint8)
-UNITS = (np.int64, np.int64, np.uint32, np.uint32, np.uint8, np.uint64, np.uint32, np.uint64)
+#: Units: first string, bytes, 1 for a repeat that only passes through, lead, gram hash, digest.
+UNITS = (np.uint32, np.uint8, np.uint8, np.uint64, np.uint32, np.uint64)
+#: Strings: place, lead, digest.
+STRINGS = (np.uint32, np.uint64, np.uint64, np.uint32)
 
 
 def joined(did: np.ndarray, rk: np.ndarray, lo: np.ndarray, hi: np.ndarray, kind: np.ndarray) -> list[np.ndarray]:
@@ -260,12 +276,13 @@ def _unit_chunks(held: list[list[np.ndarray]], ranges: Ranges) -> Iterator[tuple
     same = np.zeros(len(order), bool)
     same[1:] = (w[1:] == w[:-1]) & (g[1:] == g[:-1]) & (d[1:] == d[:-1])
     first = order[first_of_runs(same)]
-    repeat = (did[order] != did[first]) | (lo[order] != lo[first])
-    bucket = ranges.of_units(lead, did)[order]
-    bucket[repeat] = np.mod(rk[order][repeat], len(ranges.cuts) + 1) * ranges.parts  # anywhere: they only pass through
-    for b, rows in _split(bucket):
-        at = order[rows]
-        yield b, pack(did[at], rk[at], lo[at].astype(np.uint32), hi[at].astype(np.uint32), repeat[rows].astype(np.uint8), w[rows], g[rows], d[rows])
+    repeat = np.zeros(len(order), bool)
+    repeat[order] = (did[order] != did[first]) | (lo[order] != lo[first])
+    bucket = ranges.of_units(lead, did)
+    bucket[repeat] = np.mod(rk[repeat], len(ranges.cuts) + 1) * ranges.parts  # anywhere: they only pass through
+    first8[repeat], gram[repeat], dig[repeat] = 0, 0, 0
+    for b, at in _split(bucket):
+        yield b, pack_rows(did[at], rk[at], lo[at].astype(np.uint32), (hi[at] - lo[at]).astype(np.uint8), repeat[at].astype(np.uint8), first8[at], gram[at], dig[at])
 
 
 def unit_rows(docs: DataFrame, ranges) -> DataFrame:  # noqa: ANN001
@@ -291,9 +308,10 @@ def unit_marks(chunks: DataFrame, groups: int) -> DataFrame:
     """(pid, payload) of marks: repeated units, and open ones."""
 
     def run(t: pa.Table) -> pa.Table:
-        cols = [np.concatenate(x) for x in zip(*(unpack(p.as_py(), UNITS) for p in t["payload"]), strict=True)]
-        passed = cols[4] == 1
-        did, rk, lo, hi, _, w, g, d = (c[~passed] for c in cols)
+        did, rk, lo, n, passes, w, g, d = (np.concatenate(x) for x in zip(*(unpack_rows(p.as_py(), UNITS) for p in t["payload"]), strict=True))
+        passed = passes == 1
+        through = [did[passed], rk[passed], lo[passed], lo[passed] + n[passed]]
+        did, rk, lo, hi, w, g, d = (c[~passed] for c in (did, rk, lo, lo + n, w, g, d))
         order, _ = multikey([w, g, d, by_id(did), lo]) if len(did) else (np.zeros(0, np.int64), None)
         did, rk, lo, hi, w, g, d = (c[order] for c in (did, rk, lo, hi, w, g, d))
         grams, same = np.zeros(len(order), bool), np.zeros(len(order), bool)
@@ -306,7 +324,7 @@ def unit_marks(chunks: DataFrame, groups: int) -> DataFrame:
         if len(several):
             edge = (w == w[0]) | (w == w[-1])  # their equals may lie in the buckets beside this one
         mark = repeat | several[run_of] | edge if len(order) else repeat
-        out = [np.concatenate([a[passed], b[mark]]) for a, b in zip(cols[:4], (did, rk, lo, hi), strict=True)]
+        out = [np.concatenate([a, b[mark]]) for a, b in zip(through, (did, rk, lo, hi), strict=True)]
         kind = np.concatenate([np.zeros(passed.sum(), np.uint8), (~repeat[mark]).astype(np.uint8)])
         return _table(_marks(groups, [*out, kind]), "pid")
 
@@ -334,19 +352,17 @@ def _of_docs(marks: pa.Table, docs: pa.Table, kind: int) -> tuple[np.ndarray, ..
     return row, np.repeat(lo, n).astype(np.int64), np.repeat(hi, n).astype(np.int64)
 
 
-STRINGS = (np.int64, np.int64, np.uint32, np.uint8)
-
-
-def _sorted_strings(text: np.ndarray, did: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of 100-byte strings, then of ids and places, and for each place in order whether it is a repeat."""
-    wide = np.zeros((len(text), 104), np.uint8)
-    wide[:, :LENGTH] = text
-    words = [word(wide, k) for k in range(13)]
-    order, _ = multikey([*words, by_id(did), lo])
+def _repeats(lead: np.ndarray, dig: np.ndarray, more: np.ndarray, did: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Whether each string is a repeat: not the first of its equals in order of ids and places."""
+    order, _ = multikey([lead, dig, more, by_id(did), lo])
     same = np.zeros(len(order), bool)
-    same[1:] = (wide[order[1:]] == wide[order[:-1]]).all(1)
+    for k in (lead, dig, more):
+        v = k[order]
+        same[1:] = (v[1:] == v[:-1]) & (same[1:] if k is not lead else True)
     first = order[first_of_runs(same)]
-    return order, (did[order] != did[first]) | (lo[order] != lo[first])
+    out = np.zeros(len(order), bool)
+    out[order] = (did[order] != did[first]) | (lo[order] != lo[first])
+    return out
 
 
 def string_rows(docs: DataFrame, marks: DataFrame, ranges) -> DataFrame:  # noqa: ANN001
@@ -364,15 +380,19 @@ def string_rows(docs: DataFrame, marks: DataFrame, ranges) -> DataFrame:  # noqa
                 m = n[a:b]
                 owner = np.repeat(row[a:b], m)
                 at = np.repeat(lo[a:b], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-                text = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[starts[owner] + at]
+                spot = starts[owner] + at
+                lead = np.lib.stride_tricks.sliding_window_view(data, 16)[spot]
+                view, digest = memoryview(data), xxhash.xxh3_128_digest
+                both = np.frombuffer(b"".join([digest(view[x : x + LENGTH]) for x in spot.tolist()]), np.uint64).reshape(-1, 2)
+                first8, dig, more = word(lead), both[:, 0], (both[:, 1] >> np.uint64(32)).astype(np.uint32)
                 did, rk = all_did[owner], all_rk[owner]
-                order, repeat = _sorted_strings(text, did, at)
-                r = order[repeat]
+                repeat = _repeats(first8, dig, more, did, at)
+                r, k = np.flatnonzero(repeat), np.flatnonzero(~repeat)
                 if len(r):
                     rows.append((pid, pid, pack(*joined(did[r], rk[r], at[r], at[r] + LENGTH, np.zeros(len(r))))))
-                k = order[~repeat]
-                for bucket, x in _split(ranges.value.of_strings(text[k][:, :16])):
-                    rows.append((bucket, -1, pack(did[k[x]], rk[k[x]], at[k[x]].astype(np.uint32), text[k[x]].ravel())))
+                for bucket, x in _split(ranges.value.of_strings(lead[k])):
+                    x = k[x]
+                    rows.append((bucket, -1, pack_rows(did[x], rk[x], at[x].astype(np.uint32), first8[x], dig[x], more[x])))
         return pa.table({"bucket": pa.array([x for x, _, _ in rows], pa.int32()), "pid": pa.array([x for _, x, _ in rows], pa.int32()), "payload": pa.array([x for _, _, x in rows], pa.binary())})
 
     return docs.groupBy("pid").cogroup(marks.groupBy("pid")).applyInArrow(run, "bucket int, pid int, payload binary")
@@ -383,11 +403,10 @@ def string_marks(rows: DataFrame, groups: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         out = [(pid, p) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid >= 0]
-        parts = [unpack(p, STRINGS) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid < 0]
+        parts = [unpack_rows(p, STRINGS) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid < 0]
         if parts:
-            did, rk, lo, text = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order, repeat = _sorted_strings(text.reshape(-1, LENGTH), did, lo.astype(np.int64))
-            r = order[repeat]
+            did, rk, lo, lead, dig, more = (np.concatenate(x) for x in zip(*parts, strict=True))
+            r = np.flatnonzero(_repeats(lead, dig, more, did, lo))
             out += _marks(groups, [did[r], rk[r], lo[r], lo[r] + LENGTH, np.zeros(len(r))])
         return _table(iter(out), "pid")
 
