@@ -1,4 +1,7 @@
 """The genome-table queries and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import copy_queries, mutation_queries, sv_queries, track_queries
+
+MODULES = (track_queries, mutation_queries, sv_queries, copy_queries)
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
