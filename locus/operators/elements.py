@@ -165,18 +165,21 @@ def nearest_source_l1(sites: DataFrame, elements: DataFrame, keys: Sequence[str]
     """The element that a transduction came from: for + the lowest minus-strand start in [start - near, start + far), for
     - the highest plus-strand start in [start - far, end + near)."""
     plus = F.col("source_dir") == "+"
-    s = sites.select(*keys, "contig", "source_dir", F.when(plus, F.col("start") - near).otherwise(F.col("start") - far).alias("start"), F.when(plus, F.col("start") + far).otherwise(F.col("end") + near).alias("end")).where("start >= 0")
+    own = [F.col(k).alias(f"_k_{k}") for k in keys]
+    s = sites.select(*own, "contig", "source_dir", F.when(plus, F.col("start") - near).otherwise(F.col("start") - far).alias("start"), F.when(plus, F.col("start") + far).otherwise(F.col("end") + near).alias("end")).where("start >= 0")
     pairs = interval_join(s, elements.select("contig", "start", "end", "strand", "name", "ord"), width=far)
     ok = pairs.where((plus & (F.col("strand") == "-")) | (~plus & (F.col("strand") == "+")))
-    g = ok.groupBy(*keys, "source_dir").agg(F.max_by("name", F.struct(-F.col("r_start"), "ord")).alias("_lo"), F.max_by("name", F.struct("r_start", "ord")).alias("_hi"))
-    return sites.join(g.select(*keys, F.when(plus, F.col("_lo")).otherwise(F.col("_hi")).alias("source")), list(keys), "left")
+    g = ok.groupBy(*[f"_k_{k}" for k in keys]).agg(F.max("source_dir").alias("_d"), F.max_by("name", F.struct(-F.col("r_start"), "ord")).alias("_lo"), F.max_by("name", F.struct("r_start", "ord")).alias("_hi"))
+    g = g.select(*[F.col(f"_k_{k}").alias(k) for k in keys], F.when(F.col("_d") == "+", F.col("_lo")).otherwise(F.col("_hi")).alias("source"))
+    return sites.join(g, list(keys), "left")
 
 
 def near_insertion_site(alignments: DataFrame, sites: DataFrame, keys: Sequence[str], margin: int = 5000) -> DataFrame:
     """The last insertion site within the margin of each primary alignment."""
     s = sites.select("contig", F.greatest(F.col("start") - margin, F.lit(0)).alias("start"), (F.col("end") + margin).alias("end"), "site", "ord")
-    hit = interval_join(alignments.select(*keys, "contig", "start", "end"), s, width=margin).groupBy(*keys).agg(F.max_by("site", "ord").alias("site"))
-    return alignments.join(hit, list(keys), "left")
+    own = alignments.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "contig", "start", "end")
+    hit = interval_join(own, s, width=margin).groupBy(*[f"_k_{k}" for k in keys]).agg(F.max_by("site", "ord").alias("site"))
+    return alignments.join(hit.select(*[F.col(f"_k_{k}").alias(k) for k in keys], "site"), list(keys), "left")
 
 
 def supplementary_near_primary(primary: DataFrame, supplementary: DataFrame, margin: int = 5000, same_contig: bool = False) -> DataFrame:
