@@ -118,7 +118,7 @@ def padded(df: DataFrame, lengths: DataFrame, pad: int) -> DataFrame:
 
 
 def flank_window(start: Column, end: Column, length: Column, flank: int = 100, first: int = 1) -> tuple[Column, Column]:
-    """max(start - flank, first) and min(end + flank, length); first = 1 keeps the reference's 1 on a 0-based axis."""
+    """max(start - flank, first) and min(end + flank, length); first = 1 keeps the customary lower bound of 1 although the axis counts from 0."""
     return F.greatest(start - flank, F.lit(first)), F.least(end + flank, length)
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from locus.functions import fields, seq
 from locus.operators import intervals as iv
-from locus.operators import kmers, lift, manifest
+from locus.operators import kmers, lift, manifest, tracks
+from locus.sources import readers, sinks
 
 from .standins import sql, standin
 
@@ -274,3 +275,114 @@ def liftover_alleles(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {sql('reftable')}, l AS (SELECT contig, c_end - c_start AS length FROM reftable) SELECT CASE WHEN length >= 400000 THEN contig::VARCHAR ELSE 'rest' END AS chunk, count(*) AS n, sum(length)::BIGINT AS bp, string_agg(contig::VARCHAR, ',' ORDER BY contig::VARCHAR) AS contigs FROM l GROUP BY chunk""")
 def chunk_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.chunk_manifest(standin(spark, sf, "reftable").select("contig", (F.col("c_end") - F.col("c_start")).alias("length")), 400_000)
+
+
+@query(f"""WITH {sql('reftable')} SELECT contig, c_end - c_start AS length, rank() OVER (ORDER BY c_end - c_start DESC, contig) AS place FROM reftable""")
+def contigs_by_size(spark: SparkSession, sf: str) -> DataFrame:
+    from locus.operators.variants import numbered_in_order
+
+    r = standin(spark, sf, "reftable").select("contig", (F.col("c_end") - F.col("c_start")).alias("length"))
+    n = numbered_in_order(r.withColumn("_back", -F.col("length")), ["_back", "contig"])
+    return n.select("contig", "length", (F.col("_n") + 1).alias("place"))
+
+
+@query(f"""WITH {sql('sites', 'regions')}, c AS (SELECT contig, min(ord) AS o FROM regions GROUP BY contig), s AS (SELECT DISTINCT site, contig, "start" AS pos FROM sites) SELECT s.*, o FROM s JOIN c USING (contig)""")
+def sort_by_contig_order(spark: SparkSession, sf: str) -> DataFrame:
+    c = standin(spark, sf, "regions").groupBy("contig").agg(F.min("ord").alias("ord"))
+    s = standin(spark, sf, "sites").select("site", "contig", F.col("start").alias("pos")).distinct()
+    return manifest.sort_by_contig_order(s, c).join(c.withColumnRenamed("ord", "o"), "contig").select("site", "contig", "pos", "o")
+
+
+@query(f"""WITH {sql('regions')}, k AS (SELECT contig, "start", "end", kind, ord FROM regions WHERE regexp_matches(lower(kind), 'o|mon|hsat')) SELECT * FROM k WHERE ord > (SELECT min(ord) FROM k)""")
+def mask_tracks(spark: SparkSession, sf: str) -> DataFrame:
+    r = standin(spark, sf, "regions").withColumn("name", F.when(F.lower("kind").rlike("o|mon|hsat"), "hor").otherwise("x"))
+    return tracks.mask_tracks(r).select("contig", "start", "end", "kind", "ord")
+
+
+@query("SELECT 'chr' || CASE WHEN n_nationkey % 3 = 0 THEN 'Y' || n_nationkey ELSE n_name END AS contig FROM nation WHERE n_nationkey % 3 <> 0")
+def drop_chr_y(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    n = spark.read.parquet(f"{sf}/nation.parquet").select(F.concat(F.lit("chr"), F.when(k % 3 == 0, F.concat(F.lit("Y"), k.cast("string"))).otherwise(F.col("n_name"))).alias("contig"))
+    return tracks.drop_chr_y(n, "female")
+
+
+def _gff(spark: SparkSession, sf: str) -> DataFrame:
+    r = standin(spark, sf, "regions")
+    feature = F.when(F.col("ord") % 3 == 0, "gene").otherwise("exon")
+    biotype = F.when(F.col("ord") % 5 == 0, "processed_pseudogene").otherwise("protein_coding")
+    text = F.concat(F.lit('gene_id "I'), F.col("ord").cast("string"), F.lit('"; gene_name "'), "brand", F.lit('"; gene_biotype "'), biotype, F.lit('"; transcript_id "T'), F.col("ord").cast("string"), F.lit('"; transcript_version "2"; exon_number "'), F.col("size").cast("string"), F.lit('";'))
+    line = F.concat_ws("\t", F.concat(F.lit("c"), F.col("contig").cast("string")), F.lit("s"), feature, F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), F.lit("+"), F.lit("."), text)
+    return readers.parse_gff(r.select("ord", line.alias("line")))
+
+
+@query(f"""WITH {sql('regions')} SELECT 'c' || contig AS contig, "start" - 1 AS "start", "end", brand AS gene_name, '+' AS strand, 'I' || ord AS gene_id, 'protein_coding' AS biotype FROM regions WHERE ord % 3 = 0 AND ord % 5 <> 0""")
+def gene_bed_from_gff(spark: SparkSession, sf: str) -> DataFrame:
+    return tracks.gene_bed_from_gff(_gff(spark, sf)).drop("ord")
+
+
+@query(f"""WITH {sql('regions')} SELECT 'c' || contig AS contig, "start" - 1 AS "start", "end", 'T' || ord || '.2' AS transcript, size::VARCHAR AS exon_number, '+' AS strand FROM regions WHERE ord % 3 <> 0""")
+def exon_bed_from_gtf(spark: SparkSession, sf: str) -> DataFrame:
+    return tracks.exon_bed_from_gtf(_gff(spark, sf)).drop("ord")
+
+
+@query(f"""WITH {sql('regions')} SELECT contig, "start", "end", size AS copies FROM regions WHERE size >= 4""")
+def min_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return tracks.min_copies(standin(spark, sf, "regions").select("contig", "start", "end", F.col("size").alias("copies")))
+
+
+@query(f"""WITH {sql('regions')} SELECT DISTINCT brand AS gene FROM regions WHERE size % 4 = 0 AND contig NOT IN (0, 1)""")
+def medically_relevant_genes(spark: SparkSession, sf: str) -> DataFrame:
+    chrom = F.when(F.col("contig") == 0, "X").when(F.col("contig") == 1, "MT").otherwise(F.col("contig").cast("string"))
+    return tracks.medically_relevant_genes(standin(spark, sf, "regions").select(F.col("brand").alias("gene"), F.when(F.col("size") % 4 == 0, "TRUE").otherwise("FALSE").alias("flag"), chrom.alias("chrom")))
+
+
+@query(f"""WITH {sql('regions')} SELECT contig, "start", "end", ord FROM regions""")
+def union_haplotypes(spark: SparkSession, sf: str) -> DataFrame:
+    r = standin(spark, sf, "regions").select("contig", "start", "end", "ord")
+    return tracks.united(r.where("ord % 2 = 0"), r.where("ord % 2 = 1"))
+
+
+@query(f"""WITH {sql('reftable', 'regions')}, s AS (SELECT ord % 25 AS contig, ord * 4500 AS a, ord * 4500 + size * 900 AS z FROM regions)
+SELECT r.contig AS ord, coalesce(sum(least(r_end, z) - greatest(r_start, a)), 0)::BIGINT AS overlap FROM reftable r LEFT JOIN s ON r.chrom = s.contig AND s.a < r_end AND s.z > r_start GROUP BY r.contig""")
+def satellite_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    r = standin(spark, sf, "reftable").select(F.col("contig").alias("ord"), F.col("chrom").cast("long").alias("contig"), F.col("r_start").alias("start"), F.col("r_end").alias("end"))
+    s = standin(spark, sf, "regions").select((F.col("ord") % 25).alias("contig"), (F.col("ord") * 4500).alias("start"), (F.col("ord") * 4500 + F.col("size") * 900).alias("end"))
+    return tracks.satellite_overlap(r, s, ["ord"]).select("ord", "overlap")
+
+
+@query("SELECT CASE WHEN c_custkey % 2 = 0 THEN '##x' || (c_custkey % 50) ELSE c_mktsegment END AS line, min(c_custkey) AS ord FROM customer GROUP BY 1")
+def distinct_header(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey")
+    lines = spark.read.parquet(f"{sf}/customer.parquet").select(F.when(k % 2 == 0, F.concat(F.lit("##x"), (k % 50).cast("string"))).otherwise(F.col("c_mktsegment")).alias("line"), k.alias("ord"))
+    return sinks.distinct_header(lines)
+
+
+@query(f"""WITH {sql('seqs')} SELECT DISTINCT contig AS id, substr(seq, 2, 30) AS seq FROM seqs""")
+def flank_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    s = standin(spark, sf, "seqs")
+    v = s.select(F.col("contig").alias("id"), "contig", F.lit(10).cast("long").alias("start"), F.lit(11).cast("long").alias("end"))
+    lengths = s.select("contig", F.lit(31).cast("long").alias("length"))
+    return sinks.flank_sequences(v, s.select("contig", F.lit(0).cast("long").alias("chunk_start"), "seq"), lengths, 32, 20)
+
+
+@query("SELECT p_partkey AS ord, 'c' || p_partkey % 7 AS contig, p_partkey * 2 AS \"start\", p_partkey * 2 + p_size AS \"end\", p_brand AS name FROM part WHERE p_partkey % 3 <> 0")
+def read_bed(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("p_partkey")
+    line = F.concat_ws("\t", F.concat(F.lit("c"), (k % 7).cast("string")), F.when(k % 3 == 0, "x").otherwise((k * 2).cast("string")), (k * 2 + F.col("p_size")).cast("string"), "p_brand")
+    return readers.parse_bed(spark.read.parquet(f"{sf}/part.parquet").select(k.alias("ord"), line.alias("line")), ["name"])
+
+
+@query("SELECT p_partkey AS ord, 'c' || p_partkey % 7 AS contig, p_partkey + 1 AS pos, p_size AS depth, CASE WHEN p_partkey % 2 = 0 THEN 'PASS' ELSE 'q' END AS filter FROM part WHERE p_partkey % 10 > 0")
+def read_vcf(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("p_partkey")
+    line = F.concat_ws("\t", F.concat(F.lit("c"), (k % 7).cast("string")), (k + 1).cast("string"), F.lit("."), F.lit("A"), F.lit("C"), F.lit("9"), F.when(k % 2 == 0, "PASS").otherwise("q"), F.concat(F.lit("DP="), F.col("p_size").cast("string"), F.lit(";X=1")))
+    v = readers.parse_vcf(spark.read.parquet(f"{sf}/part.parquet").select(k.alias("ord"), F.when(k % 10 == 0, F.concat(F.lit("#"), line)).otherwise(line).alias("line")))
+    return v.select("ord", "contig", "pos", F.col("info")["DP"].cast("int").alias("depth"), "filter")
+
+
+@query("SELECT s_suppkey AS ord, 't' || s_suppkey AS contig, s_suppkey * 3 AS c_start, s_suppkey * 3 + 9 AS c_end, 'q' || s_nationkey AS chrom, s_suppkey AS r_start, s_suppkey + 9 AS r_end, 8::BIGINT AS matched, s_nationkey::INT AS mapq FROM supplier")
+def read_paf(spark: SparkSession, sf: str) -> DataFrame:
+    k, t = F.col("s_suppkey"), lambda c: c.cast("string")
+    line = F.concat_ws("\t", F.concat(F.lit("q"), t(F.col("s_nationkey"))), F.lit("99"), t(k), t(k + 9), F.lit("+"), F.concat(F.lit("t"), t(k)), F.lit("88"), t(k * 3), t(k * 3 + 9), F.lit("8"), F.lit("9"), t(F.col("s_nationkey")))
+    p = readers.parse_paf(spark.read.parquet(f"{sf}/supplier.parquet").select(k.alias("ord"), line.alias("line")))
+    return p.select("ord", "contig", "c_start", "c_end", "chrom", "r_start", "r_end", "matched", "mapq")
