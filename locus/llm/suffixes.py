@@ -12,8 +12,9 @@ have equal anchors. The strings that share an anchor in a row of places are a un
 
 Texts meet their marks in groups of bounded bytes, by a hash of the row; nothing is gathered by content alone. Equal
 units or strings that meet in one task are reduced to the first before they are shuffled, so a passage that a third of
-the corpus shares reaches its bucket a few times. Units and
-strings are equal if 8 leading bytes and 96 bits of hashes agree; the strings themselves took too much disk.
+the corpus shares reaches its bucket a few times. Units
+are equal if 8 leading bytes, 32 bits of the gram's hash and a 64-bit digest agree, strings if 8 leading bytes and a
+64-bit digest do; carrying the strings themselves took too much disk.
 """
 
 from __future__ import annotations
@@ -223,7 +224,7 @@ MARKS = (np.int64, np.int64, np.uint32, np.uint32, np.uint8)
 #: Units: first string, bytes, 1 for a repeat that only passes through, lead, gram hash, digest.
 UNITS = (np.uint32, np.uint8, np.uint8, np.uint64, np.uint32, np.uint64)
 #: Strings: place, lead, digest.
-STRINGS = (np.uint32, np.uint64, np.uint64, np.uint32)
+STRINGS = (np.uint32, np.uint64, np.uint64)
 
 
 def joined(did: np.ndarray, rk: np.ndarray, lo: np.ndarray, hi: np.ndarray, kind: np.ndarray) -> list[np.ndarray]:
@@ -352,13 +353,12 @@ def _of_docs(marks: pa.Table, docs: pa.Table, kind: int) -> tuple[np.ndarray, ..
     return row, np.repeat(lo, n).astype(np.int64), np.repeat(hi, n).astype(np.int64)
 
 
-def _repeats(lead: np.ndarray, dig: np.ndarray, more: np.ndarray, did: np.ndarray, lo: np.ndarray) -> np.ndarray:
+def _repeats(lead: np.ndarray, dig: np.ndarray, did: np.ndarray, lo: np.ndarray) -> np.ndarray:
     """Whether each string is a repeat: not the first of its equals in order of ids and places."""
-    order, _ = multikey([lead, dig, more, by_id(did), lo])
+    order, _ = multikey([lead, dig, by_id(did), lo])
+    w, d = lead[order], dig[order]
     same = np.zeros(len(order), bool)
-    for k in (lead, dig, more):
-        v = k[order]
-        same[1:] = (v[1:] == v[:-1]) & (same[1:] if k is not lead else True)
+    same[1:] = (w[1:] == w[:-1]) & (d[1:] == d[:-1])
     first = order[first_of_runs(same)]
     out = np.zeros(len(order), bool)
     out[order] = (did[order] != did[first]) | (lo[order] != lo[first])
@@ -382,17 +382,16 @@ def string_rows(docs: DataFrame, marks: DataFrame, ranges) -> DataFrame:  # noqa
                 at = np.repeat(lo[a:b], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
                 spot = starts[owner] + at
                 lead = np.lib.stride_tricks.sliding_window_view(data, 16)[spot]
-                view, digest = memoryview(data), xxhash.xxh3_128_digest
-                both = np.frombuffer(b"".join([digest(view[x : x + LENGTH]) for x in spot.tolist()]), np.uint64).reshape(-1, 2)
-                first8, dig, more = word(lead), both[:, 0], (both[:, 1] >> np.uint64(32)).astype(np.uint32)
+                view, digest = memoryview(data), xxhash.xxh3_64_intdigest
+                first8, dig = word(lead), np.fromiter([digest(view[x : x + LENGTH]) for x in spot.tolist()], np.uint64, len(spot))
                 did, rk = all_did[owner], all_rk[owner]
-                repeat = _repeats(first8, dig, more, did, at)
+                repeat = _repeats(first8, dig, did, at)
                 r, k = np.flatnonzero(repeat), np.flatnonzero(~repeat)
                 if len(r):
                     rows.append((pid, pid, pack(*joined(did[r], rk[r], at[r], at[r] + LENGTH, np.zeros(len(r))))))
                 for bucket, x in _split(ranges.value.of_strings(lead[k])):
                     x = k[x]
-                    rows.append((bucket, -1, pack_rows(did[x], rk[x], at[x].astype(np.uint32), first8[x], dig[x], more[x])))
+                    rows.append((bucket, -1, pack_rows(did[x], rk[x], at[x].astype(np.uint32), first8[x], dig[x])))
         return pa.table({"bucket": pa.array([x for x, _, _ in rows], pa.int32()), "pid": pa.array([x for _, x, _ in rows], pa.int32()), "payload": pa.array([x for _, _, x in rows], pa.binary())})
 
     return docs.groupBy("pid").cogroup(marks.groupBy("pid")).applyInArrow(run, "bucket int, pid int, payload binary")
@@ -405,8 +404,8 @@ def string_marks(rows: DataFrame, groups: int) -> DataFrame:
         out = [(pid, p) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid >= 0]
         parts = [unpack_rows(p, STRINGS) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid < 0]
         if parts:
-            did, rk, lo, lead, dig, more = (np.concatenate(x) for x in zip(*parts, strict=True))
-            r = np.flatnonzero(_repeats(lead, dig, more, did, lo))
+            did, rk, lo, lead, dig = (np.concatenate(x) for x in zip(*parts, strict=True))
+            r = np.flatnonzero(_repeats(lead, dig, did, lo))
             out += _marks(groups, [did[r], rk[r], lo[r], lo[r] + LENGTH, np.zeros(len(r))])
         return _table(iter(out), "pid")
 
