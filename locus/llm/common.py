@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: The white space that separates words in the corpus contracts.
@@ -98,3 +99,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def nullable(kind: T.DataType) -> T.DataType:
+    """The type with all parts nullable, as Arrow results of grouped functions are checked against."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType), True)
+    return kind

@@ -28,8 +28,9 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table
+from .common import nullable, table
 
 LENGTH, GRAM = 100, 48
 SLAB = 1 << 21
@@ -213,8 +214,10 @@ def word(lead: np.ndarray, k: int = 0) -> np.ndarray:
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
-    cut = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else []
+    cut = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
     for a, b in zip(cut, [*cut[1:], len(order)], strict=True):
         yield int(bucket[order[a]]), order[a:b]
 
@@ -412,7 +415,7 @@ def string_marks(rows: DataFrame, groups: int) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(run, "pid int, payload binary")
 
 
-def cleaned(docs: DataFrame, marks: DataFrame, kind: str, text: bool) -> DataFrame:
+def cleaned(docs: DataFrame, marks: DataFrame, text: bool) -> DataFrame:
     """row, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the remaining text of every document."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -440,7 +443,8 @@ def cleaned(docs: DataFrame, marks: DataFrame, kind: str, text: bool) -> DataFra
         cols = {"row": left["row"], "n_bytes": pa.array(ends - starts, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(sha, pa.string())}
         return pa.table(cols | ({"kept": pa.array(kept_text, pa.string())} if text else {}))
 
-    schema = f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * text
+    numbers = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
+    schema = T.StructType([T.StructField("row", docs.schema["row"].dataType), *numbers, T.StructField("kept_sha256", T.StringType()), *([T.StructField("kept", T.StringType())] if text else [])])
     return docs.groupBy("pid").cogroup(marks.groupBy("pid")).applyInArrow(run, schema)
 
 
@@ -475,6 +479,7 @@ def deduped(docs: DataFrame, row: Column, text: str = "text", key: str = "doc_id
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     did = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit((1 << 63) - 1))
     rows = docs.select(did.alias("did"), F.xxhash64(did, body).alias("rk"), body.cast("binary").alias("t"), row.alias("row"))
+    rows = rows.withColumn("row", F.col("row").cast(nullable(rows.schema["row"].dataType)))
     size = rows.agg(F.sum(F.octet_length("t")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     total = size.b or 0
     buckets, groups = max(64, total // BUCKET_BYTES), max(128, total // GROUP_BYTES)
@@ -482,7 +487,7 @@ def deduped(docs: DataFrame, row: Column, text: str = "text", key: str = "doc_id
     grouped = rows.select(F.pmod("rk", F.lit(groups)).cast("int").alias("pid"), "did", "rk", "t", "row")
     marks = unit_marks(unit_rows(rows, ranges), groups)
     more = string_marks(string_rows(grouped, marks, ranges), groups)
-    return cleaned(grouped, marks.unionByName(more), rows.schema["row"].dataType.simpleString(), with_text)
+    return cleaned(grouped, marks.unionByName(more), with_text)
 
 
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", n_chars: str | None = "n_chars") -> DataFrame:
