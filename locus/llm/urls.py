@@ -31,30 +31,54 @@ RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("
 
 #: The small labelled table that the model is trained from: (url, 1 to block, 0 to allow).
 SEEDS = (
-    ("https://www.cheap-pills.example.com/buy", 1), ("https://www.encyclopedia.example.org/wiki/Spark", 0),
-    ("http://blog.casino-bonus.example.com/win", 1), ("http://blog.library.example.org/en/guide", 0),
-    ("https://m.spam-farm.example.org/links", 1), ("https://m.daily.example.com/en/2024/article", 0),
-    ("http://free-money.example.org/now", 1), ("http://university.example.org/research", 0),
-    ("https://www.adult-cams.example.com/live", 1), ("https://www.garden.example.com/en/12", 0),
-    ("http://blog.hot-singles.example.org/chat", 1), ("http://blog.weather.example.org/es/today", 0),
-    ("https://m.crack-keygen.example.com/download", 1), ("https://m.museum.example.com/fr/visit", 0),
-    ("http://win-prizes.example.org/click", 1), ("http://recipes.example.org/de/brot", 0),
-    ("https://www.cheap-viagra.example.org/en/7", 1), ("https://www.history.example.com/en/rome", 0),
-    ("http://blog.bet-poker.example.com/de/31", 1), ("http://blog.school.example.org/en/maths", 0),
-    ("https://m.seo-links.example.org/es/44", 1), ("https://m.maps.example.com/es/madrid", 0),
-    ("http://replica-watches.example.com/sale", 1), ("http://music.example.org/fr/chanson", 0),
-    ("https://www.payday-loans.example.com/en/918", 1), ("https://www.thinger.example.com/en/918", 0),
-    ("http://blog.best-casino.example.org/fr/5", 1), ("http://blog.onher.example.org/fr/404", 0),
-    ("https://m.spam-offers.example.com/en/404", 1), ("https://m.anreed.example.com/en/31", 0),
-    ("http://pills-shop.example.com/es/12", 1), ("http://thation.example.com/es/77", 0),
-    ("https://www.click-here.example.org/en/3", 1), ("https://www.inerst.example.org/en/3", 0),
-    ("http://blog.buy-followers.example.com/en/77", 1), ("http://blog.edorth.example.com/en/250", 0),
-    ("https://m.fake-diploma.example.org/fr/61", 1), ("https://m.heares.example.com/fr/5", 0),
-    ("http://torrent-crack.example.com/en/250", 1), ("http://ndouly.example.org/de/44", 0),
-    ("https://www.miracle-diet.example.org/de/8", 1), ("https://www.ererent.example.com/en/7", 0),
-    ("http://blog.lottery-winner.example.com/es/530", 1), ("http://blog.theand.example.com/es/530", 0),
-    ("https://m.cheap-meds.example.org/en/99", 1), ("https://m.stence.example.org/en/99", 0),
-    ("http://link-farm.example.com/fr/860", 1), ("http://atering.example.com/fr/860", 0),
+    ("https://www.cheap-pills.example.com/en/0", 1), ("https://www.city-library.example.com/en/0", 0),
+    ("http://blog.pills-shop.example.org/de/137.html", 1), ("http://blog.library.example.org/de/137.html", 0),
+    ("https://m.cheap-meds.example.com/de/274/", 1), ("https://m.north-library.example.com/de/274/", 0),
+    ("http://meds-online.example.org/es/411", 1), ("http://garden.example.org/es/411", 0),
+    ("https://www.online-pills.example.com/fr/548.html", 1), ("https://www.city-garden.example.com/fr/548.html", 0),
+    ("http://blog.casino-bonus.example.org/fr/685/", 1), ("http://blog.school.example.org/fr/685/", 0),
+    ("https://m.online-casino.example.com/de/822", 1), ("https://m.north-school.example.com/de/822", 0),
+    ("http://casino-slots.example.org/en/959.html", 1), ("http://school-news.example.org/en/959.html", 0),
+    ("https://www.free-slots.example.com/en/99/", 1), ("https://www.museum.example.com/en/99/", 0),
+    ("http://blog.slots-win.example.org/fr/236", 1), ("http://blog.city-museum.example.org/fr/236", 0),
+    ("https://m.free-bets.example.com/es/373.html", 1), ("https://m.news.example.com/es/373.html", 0),
+    ("http://bets-online.example.org/es/510/", 1), ("http://daily-news.example.org/es/510/", 0),
+    ("https://www.win-bets.example.com/en/647", 1), ("https://www.weather.example.com/en/647", 0),
+    ("http://blog.casino-win.example.org/de/784.html", 1), ("http://blog.weather-maps.example.org/de/784.html", 0),
+    ("https://m.free-money.example.com/de/921/", 1), ("https://m.history.example.com/de/921/", 0),
+    ("http://money-win.example.org/es/61", 1), ("http://local-history.example.org/es/61", 0),
+    ("https://www.fast-money.example.com/fr/198.html", 1), ("https://www.recipes.example.com/fr/198.html", 0),
+    ("http://blog.cash-loans.example.org/fr/335/", 1), ("http://blog.home-recipes.example.org/fr/335/", 0),
+    ("https://m.fast-loans.example.com/de/472", 1), ("https://m.music.example.com/de/472", 0),
+    ("http://loans-online.example.org/en/609.html", 1), ("http://folk-music.example.org/en/609.html", 0),
+    ("https://www.adult-cams.example.com/en/746/", 1), ("https://www.maps.example.com/en/746/", 0),
+    ("http://blog.adult-video.example.org/fr/883", 1), ("http://blog.city-maps.example.org/fr/883", 0),
+    ("https://m.adult-chat.example.com/es/23.html", 1), ("https://m.college.example.com/es/23.html", 0),
+    ("http://cams-live.example.org/es/160/", 1), ("http://science.example.org/es/160/", 0),
+    ("https://www.live-adult.example.com/en/297", 1), ("https://www.college-science.example.com/en/297", 0),
+    ("http://blog.ads-click.example.org/de/434.html", 1), ("http://blog.travel.example.org/de/434.html", 0),
+    ("https://m.click-track.example.com/de/571/", 1), ("https://m.river-travel.example.com/de/571/", 0),
+    ("http://track-ads.example.org/es/708", 1), ("http://river.example.org/es/708", 0),
+    ("https://www.ads-banner.example.com/fr/845.html", 1), ("https://www.north-river.example.com/fr/845.html", 0),
+    ("http://blog.free-click.example.org/fr/982/", 1), ("http://blog.thinger.example.org/fr/982/", 0),
+    ("https://m.spam-links.example.com/de/122", 1), ("https://m.onher.example.com/de/122", 0),
+    ("http://links-farm.example.org/en/259.html", 1), ("http://anreed.example.org/en/259.html", 0),
+    ("https://www.spam-offers.example.com/en/396/", 1), ("https://www.thation.example.com/en/396/", 0),
+    ("http://blog.farm-spam.example.org/fr/533", 1), ("http://blog.inerst.example.org/fr/533", 0),
+    ("https://m.offers-click.example.com/es/670.html", 1), ("https://m.edorth.example.com/es/670.html", 0),
+    ("http://win-prizes.example.org/es/807/", 1), ("http://heares.example.org/es/807/", 0),
+    ("https://www.free-prizes.example.com/en/944", 1), ("https://www.ndouly.example.com/en/944", 0),
+    ("http://blog.prizes-click.example.org/de/84.html", 1), ("http://blog.ererent.example.org/de/84.html", 0),
+    ("https://m.poker-bets.example.com/de/221/", 1), ("https://m.theand.example.com/de/221/", 0),
+    ("http://poker-win.example.org/es/358", 1), ("http://stence.example.org/es/358", 0),
+    ("https://www.crack-keygen.example.com/fr/495.html", 1), ("https://www.atering.example.com/fr/495.html", 0),
+    ("http://blog.keygen-free.example.org/fr/632/", 1), ("http://blog.bleouth.example.org/fr/632/", 0),
+    ("https://m.crack-download.example.com/de/769", 1), ("https://m.shouter.example.com/de/769", 0),
+    ("http://free-download.example.org/en/906.html", 1), ("http://andting.example.org/en/906.html", 0),
+    ("https://www.cheap-replica.example.com/en/46/", 1), ("https://www.whedor.example.com/en/46/", 0),
+    ("http://blog.replica-shop.example.org/fr/183", 1), ("http://blog.erstion.example.org/fr/183", 0),
+    ("https://m.cheap-watches.example.com/es/320.html", 1), ("https://m.inghea.example.com/es/320.html", 0),
+    ("http://shop-cheap.example.org/es/457/", 1), ("http://oranth.example.org/es/457/", 0),
 )
 
 

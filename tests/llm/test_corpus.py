@@ -129,7 +129,7 @@ def test_rules_and_hosts(spark):
 
 def test_url_model_on_held_out_rows():
     rows = urls.labelled()
-    train, held = [x for i, x in enumerate(rows) if i % 6], [x for i, x in enumerate(rows) if i % 6 == 0]
+    train, held = [x for i, x in enumerate(rows) if i // 2 % 5], [x for i, x in enumerate(rows) if i // 2 % 5 == 0]
     model = urls.trained(train)
     assert np.mean([(model.score(h, p) >= 0.5) == y for h, p, y in held]) >= 0.75
     assert urls.trained([]).score("a", "/") < 0.5
@@ -313,7 +313,12 @@ def test_quality_sql(spark):
 
 
 def test_clean_text_stays_and_junk_goes(spark):
-    clean = "\n".join(f"The garden of house {i} was full of flowers and it is known for the old trees that stand by its gate." for i in range(9))
+    clean = (
+        "The garden behind the old house was full of flowers, and the children of the village came there to play.\n"
+        "It is known that a tree by the gate stood in that place for two hundred years, long before anyone built the wall.\n"
+        "When winter came, the gardener closed the shutters and went to live with his sister near the sea.\n"
+        "He wrote to us about the storms, the fishing boats and the quiet evenings that he spent with a book.\n"
+    )
     junk = [clean.replace("e", "#"), "x9 " * 200, " ".join(f"{i}" for i in range(300)), "short text"]
     docs = documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate([clean, *junk])])
     assert [r.doc_id for r in quality.filtered(docs).collect()] == [0]
