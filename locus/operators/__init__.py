@@ -1 +1 @@
-""""""
+"""Operators over genome tables."""

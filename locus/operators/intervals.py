@@ -82,7 +82,8 @@ def merge_intervals(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0
     w = Window.partitionBy(*by).orderBy("start", "end")
     before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = df.select(*by, "start", "end", F.when(before.isNull() | (F.col("start") > before + gap), 1).otherwise(0).alias("_new"))
-    island = marked.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # The default frame takes equal intervals together, so their order does not matter.
+    island = marked.withColumn("_island", F.sum("_new").over(w))
     return island.groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 

@@ -33,10 +33,10 @@ def depths(spark: SparkSession, sf: str) -> DataFrame:
     return standin(spark, sf, "depths")
 
 
-@query(f"""WITH {sql('regions', 'blocks')}, w AS (SELECT DISTINCT contig, ord * 50 AS "start", ord * 50 + 500 AS "end" FROM regions WHERE ord % 10 = 0), b AS (SELECT contig, "start", "end" FROM blocks WHERE mapq >= 40)
+@query(f"""WITH {sql('regions', 'blocks')}, w AS (SELECT DISTINCT contig, ord * 50 AS "start", ord * 50 + 500 AS "end" FROM regions), b AS (SELECT contig, "start", "end" FROM blocks WHERE mapq >= 40)
 SELECT w.contig, w."start", w."end", coalesce(sum(least(w."end", b."end") - greatest(w."start", b."start")), 0)::BIGINT AS depth FROM w LEFT JOIN b ON w.contig = b.contig AND b."start" < w."end" AND b."end" > w."start" GROUP BY ALL""")
 def window_depth_sum(spark: SparkSession, sf: str) -> DataFrame:
-    w = standin(spark, sf, "regions").where("ord % 10 = 0").select("contig", (F.col("ord") * 50).alias("start"), (F.col("ord") * 50 + 500).alias("end")).distinct()
+    w = standin(spark, sf, "regions").select("contig", (F.col("ord") * 50).alias("start"), (F.col("ord") * 50 + 500).alias("end")).distinct()
     return c.window_depth_sum(w, standin(spark, sf, "blocks"))
 
 
@@ -260,9 +260,9 @@ def consolidate_sex_chroms(spark: SparkSession, sf: str) -> DataFrame:
 # elements and inserts
 
 
-@query(f"""WITH {sql('blocks')}, h AS (SELECT DISTINCT contig, "start", "end" FROM blocks WHERE q > 40), m AS (SELECT *, max("end") OVER (PARTITION BY contig ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM h) SELECT contig, sum(greatest("end" - greatest("start", coalesce(b, "start")), 0))::BIGINT AS length FROM m GROUP BY contig""")
+@query(f"""WITH {sql('blocks')}, h AS (SELECT DISTINCT contig, "start", "end" FROM blocks), m AS (SELECT *, max("end") OVER (PARTITION BY contig ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM h) SELECT contig, sum(greatest("end" - greatest("start", coalesce(b, "start")), 0))::BIGINT AS length FROM m GROUP BY contig""")
 def union_length(spark: SparkSession, sf: str) -> DataFrame:
-    return e.union_length(standin(spark, sf, "blocks").where("q > 40").select("contig", "start", "end"), ["contig"])
+    return e.union_length(standin(spark, sf, "blocks").select("contig", "start", "end"), ["contig"])
 
 
 @query(f"""WITH {sql('regions')} SELECT ord % 50 AS locus, brand AS family, max(size * 10) AS bits, arg_max(kind, size * 100000 + ord) AS model FROM regions GROUP BY ALL""")
@@ -286,12 +286,12 @@ def min_insert_len(spark: SparkSession, sf: str) -> DataFrame:
     return e.min_insert_len(standin(spark, sf, "svs").withColumn("inserted", F.repeat(F.lit("A"), F.col("ins_len").cast("int")))).select("sv_id", "insert_key")
 
 
-@query(f"""WITH {sql('sites', 'regions')}, s AS (SELECT DISTINCT site, contig, "start", "end", CASE WHEN sk % 2 = 0 THEN '+' ELSE '-' END AS d FROM sites WHERE pk % 9 = 0), l AS (SELECT contig, "start", "end", CASE WHEN size % 2 = 0 THEN '+' ELSE '-' END AS strand, brand || ord AS name, ord FROM regions),
+@query(f"""WITH {sql('sites', 'regions')}, s AS (SELECT DISTINCT site, contig, "start", "end", CASE WHEN sk % 2 = 0 THEN '+' ELSE '-' END AS d FROM sites), l AS (SELECT contig, "start", "end", CASE WHEN size % 2 = 0 THEN '+' ELSE '-' END AS strand, brand || ord AS name, ord FROM regions),
 w AS (SELECT *, CASE WHEN d = '+' THEN "start" - 50 ELSE "start" - 5000 END AS a, CASE WHEN d = '+' THEN "start" + 5000 ELSE "end" + 50 END AS z FROM s),
 h AS (SELECT w.site, w.contig, w."start", w."end", w.d, arg_min(l.name, l."start" * 10000000 - l.ord) FILTER (l.strand = '-') AS lo, arg_max(l.name, l."start" * 10000000 + l.ord) FILTER (l.strand = '+') AS hi FROM w LEFT JOIN l ON w.contig = l.contig AND l."start" < w.z AND l."end" > w.a AND w.a >= 0 GROUP BY ALL)
 SELECT site, contig, "start", "end", CASE WHEN d = '+' THEN lo ELSE hi END AS source FROM h""")
 def nearest_source_l1(spark: SparkSession, sf: str) -> DataFrame:
-    s = standin(spark, sf, "sites").where("pk % 9 = 0").select("site", "contig", "start", "end", F.when(F.col("sk") % 2 == 0, "+").otherwise("-").alias("source_dir")).distinct()
+    s = standin(spark, sf, "sites").select("site", "contig", "start", "end", F.when(F.col("sk") % 2 == 0, "+").otherwise("-").alias("source_dir")).distinct()
     l1 = standin(spark, sf, "regions").select("contig", "start", "end", F.when(F.col("size") % 2 == 0, "+").otherwise("-").alias("strand"), F.concat("brand", F.col("ord").cast("string")).alias("name"), "ord")
     return e.nearest_source_l1(s, l1, ["site", "contig", "start", "end", "source_dir"]).select("site", "contig", "start", "end", "source")
 

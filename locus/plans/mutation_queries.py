@@ -42,9 +42,9 @@ def annotate_repeat(spark: SparkSession, sf: str) -> DataFrame:
     return v.annotate_repeat(sites(spark, sf), track, KEYS)
 
 
-@query(_first("r.name AS centromere", "r.size % 2 = 0"))
+@query(_first("r.name AS centromere", "r.size >= 25"))
 def annotate_centromere(spark: SparkSession, sf: str) -> DataFrame:
-    track = standin(spark, sf, "regions").where("size % 2 = 0").select("contig", "start", "end", "ord", F.col("name").alias("centromere"))
+    track = standin(spark, sf, "regions").where("size >= 25").select("contig", "start", "end", "ord", F.col("name").alias("centromere"))
     return v.annotate_centromere(sites(spark, sf), track, KEYS)
 
 
@@ -86,22 +86,22 @@ def flag_gene_sets(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*KEYS, "cancer")
 
 
-@query(f"""WITH {sql('sites')}, m AS (SELECT DISTINCT site, contig, "start", ref, alt FROM sites), o AS (SELECT DISTINCT contig, "start", ref, alt FROM sites WHERE sk % 3 = 0) SELECT m.*, o.ref IS NOT NULL AS other_caller FROM m LEFT JOIN o USING (contig, "start", ref, alt)""")
+@query(f"""WITH {sql('sites')}, m AS (SELECT DISTINCT site, contig, "start", ref, alt FROM sites), o AS (SELECT DISTINCT contig, "start", ref, alt FROM sites WHERE ln >= 4) SELECT m.*, o.ref IS NOT NULL AS other_caller FROM m LEFT JOIN o USING (contig, "start", ref, alt)""")
 def match_other_caller(spark: SparkSession, sf: str) -> DataFrame:
     s = standin(spark, sf, "sites")
-    return v.match_other_caller(s.select("site", "contig", "start", "ref", "alt").distinct(), s.where("sk % 3 = 0"))
+    return v.match_other_caller(s.select("site", "contig", "start", "ref", "alt").distinct(), s.where("ln >= 4"))
 
 
 _CANON = "least(struct_pack(r := ref, a := alt), struct_pack(r := reverse(translate(ref, 'ACGT', 'TGCA')), a := reverse(translate(alt, 'ACGT', 'TGCA'))))"
 
 
 @query(f"""WITH {sql('sites')}, m AS (SELECT DISTINCT site, contig, "start", ref, alt FROM sites), k AS (SELECT *, {_CANON} AS c FROM m),
-p AS (SELECT contig, "start", {_CANON} AS c, arg_min(contig || ',' || "start" || ',x,' || ref || ',' || alt, site * 100 + length(ref)) AS population FROM (SELECT DISTINCT site, contig, "start", ref, alt FROM sites WHERE pk % 2 = 0) GROUP BY ALL)
+p AS (SELECT contig, "start", {_CANON} AS c, arg_min(contig || ',' || "start" || ',x,' || ref || ',' || alt, site * 100 + length(ref)) AS population FROM (SELECT DISTINCT site, contig, "start", ref, alt FROM sites WHERE ln < 5) GROUP BY ALL)
 SELECT k.site, k.contig, k."start", k.ref, k.alt, population FROM k LEFT JOIN p ON k.contig = p.contig AND k."start" = p."start" AND k.c = p.c""")
 def annotate_population(spark: SparkSession, sf: str) -> DataFrame:
-    s = standin(spark, sf, "sites").select("site", "contig", "start", "ref", "alt", "pk").distinct()
-    left = s.select("site", "contig", "start", "ref", "alt", F.col("contig").alias("ref_contig"), F.col("start").alias("ref_pos"))
-    pop = s.where("pk % 2 = 0").select("contig", F.col("start").alias("pos"), "ref", "alt", F.lit("x").alias("id"), (F.col("site") * 100 + F.length("ref")).alias("ord"))
+    s = standin(spark, sf, "sites").select("site", "contig", "start", "ref", "alt", "ln").distinct()
+    left = s.drop("ln").distinct().select("site", "contig", "start", "ref", "alt", F.col("contig").alias("ref_contig"), F.col("start").alias("ref_pos"))
+    pop = s.where("ln < 5").select("contig", F.col("start").alias("pos"), "ref", "alt", F.lit("x").alias("id"), (F.col("site") * 100 + F.length("ref")).alias("ord"))
     return v.annotate_population(left, pop, ["site", "contig", "start", "ref", "alt"]).drop("ref_contig", "ref_pos")
 
 

@@ -127,19 +127,18 @@ def annotate_population_sv(spark: SparkSession, sf: str) -> DataFrame:
     return s.annotate_population_sv(left, pop).select("sv_id", "population")
 
 
-@query(f"""WITH {sql('svs')}, l AS (SELECT 's' || (sv % 50) AS k, sv_id, sv FROM svs WHERE sv < 500) SELECT k AS sv_id, string_agg(svs.is_filter, ',' ORDER BY l.sv) AS ref_filter, TRUE AS ref FROM l JOIN svs ON l.sv_id = svs.sv_id GROUP BY k UNION ALL SELECT 'none', NULL, FALSE""")
+@query(f"""WITH {sql('svs')}, l AS (SELECT 's' || (sv % 50) AS k, sv_id, sv FROM svs) SELECT k AS sv_id, string_agg(svs.is_filter, ',' ORDER BY l.sv) AS ref_filter, TRUE AS ref FROM l JOIN svs ON l.sv_id = svs.sv_id GROUP BY k UNION ALL SELECT 'none', NULL, FALSE""")
 def link_ref_callset(spark: SparkSession, sf: str) -> DataFrame:
     v = svs(spark, sf)
-    links = v.where("sv < 500").select(F.concat(F.lit("s"), (F.col("sv") % 50).cast("string")).alias("sv_id"), F.col("sv_id").alias("ref_id"), F.col("sv").alias("ord"))
-    rows = links.select("sv_id").distinct().unionByName(v.limit(1).select(F.lit("none").alias("sv_id")))
+    links = v.select(F.concat(F.lit("s"), (F.col("sv") % 50).cast("string")).alias("sv_id"), F.col("sv_id").alias("ref_id"), F.col("sv").alias("ord"))
+    rows = links.select("sv_id").distinct().unionByName(spark.createDataFrame([("none",)], "sv_id string"))
     return s.link_ref_callset(rows, links, v).select("sv_id", "ref_filter", "ref")
 
 
-@query(f"WITH {sql('svs')} SELECT 's' || (sv % 100) || '_' || sv AS sv_id, ck AS read FROM svs WHERE sv % 100 < 30")
+@query(f"WITH {sql('svs')} SELECT 's' || ck || '_' || sv AS sv_id, sv AS read FROM svs WHERE ck IN (SELECT ck FROM svs WHERE is_filter = 'PASS' AND dir1 = dir2)")
 def filter_support_reads(spark: SparkSession, sf: str) -> DataFrame:
-    n = lambda m: F.concat(F.lit("s"), (F.col("sv") % m).cast("string"), F.lit("_"), F.col("sv").cast("string"))
-    reads = svs(spark, sf).select(n(100).alias("sv_id"), F.col("ck").alias("read"))
-    return s.filter_support_reads(reads, svs(spark, sf).where("sv < 30").select(n(100).alias("sv_id")))
+    named = svs(spark, sf).withColumn("sv_id", F.concat(F.lit("s"), F.col("ck").cast("string"), F.lit("_"), F.col("sv").cast("string")))
+    return s.filter_support_reads(named.select("sv_id", F.col("sv").alias("read")), named.where("is_filter = 'PASS' and dir1 = dir2").select("sv_id"))
 
 
 _REPEAT = """q AS (SELECT svs.*, chr1 = chr2 AND dir1 = '+' AND dir2 = '-' AND EXISTS (SELECT 1 FROM regions r WHERE r.contig = chr1 AND r."start" < pos1 + 30 AND r."end" > greatest(pos1 - 29, 0) AND r."end" >= pos2 - 30) AS in_repeat FROM svs)"""
@@ -150,13 +149,13 @@ def in_simple_repeat(spark: SparkSession, sf: str) -> DataFrame:
     return s.in_simple_repeat(svs(spark, sf), standin(spark, sf, "regions")).select("sv_id", "in_repeat")
 
 
-_DECIDE = f"""{_REPEAT}, c AS (SELECT sv_id, ck % 100 AS il, (ck % 11) / 10 AS fc, (ck % 7) / 10 AS fs, (ck % 13) / 13 AS sr FROM svs WHERE sv % 4 <> 1),
+_DECIDE = f"""{_REPEAT}, c AS (SELECT sv_id, ck % 100 AS il, (ck % 11) / 10 AS fc, (ck % 7) / 10 AS fs, (ck % 13) / 13 AS sr FROM svs WHERE is_filter = 'PASS'),
 d AS (SELECT q.sv_id, q.is_filter, CASE WHEN NOT in_repeat THEN 'outside' WHEN c.sv_id IS NULL THEN 'unscored' WHEN q.sv_id LIKE 'd\\_%' ESCAPE '\\' THEN 'deletion' WHEN sr >= 0.70 THEN 'self_repeat' WHEN fc >= 0.60 AND fs >= 0.48 THEN 'flank' WHEN il < 50 THEN 'short' ELSE 'kept' END AS reason FROM q LEFT JOIN c ON q.sv_id = c.sv_id)"""
 
 
 def _decided(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("ck")
-    scores = svs(spark, sf).where("sv % 4 <> 1").select("sv_id", (c % 100).alias("ins_len"), ((c % 11) / 10).alias("flank_coverage"), ((c % 7) / 10).alias("flank_self_repeat"), ((c % 13) / 13).alias("self_repeat"))
+    scores = svs(spark, sf).where("is_filter = 'PASS'").select("sv_id", (c % 100).alias("ins_len"), ((c % 11) / 10).alias("flank_coverage"), ((c % 7) / 10).alias("flank_self_repeat"), ((c % 13) / 13).alias("self_repeat"))
     return s.decide_array_change(s.in_simple_repeat(svs(spark, sf).drop("ins_len"), standin(spark, sf, "regions")), scores)
 
 
@@ -191,8 +190,8 @@ def _walks(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("read", "read_pos", "ord", F.concat(F.lit("v"), (c("ord") % 97).cast("string")).alias("sv_id"), (c("chr1") % 2).alias("chr1"), "pos1", (c("chr1") % 2).alias("chr2"), (c("pos1") + 3).alias("pos2"))
 
 
-@query(f"""WITH RECURSIVE {sql('svs')}, e AS (SELECT 'n' || ck AS a, 'n' || (ck + 1) AS b FROM svs WHERE ck % 9 < 7 AND sv % 3 = 0), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(a, b) AS (SELECT a, a FROM u UNION SELECT w.a, u.b FROM w JOIN u ON w.b = u.a) SELECT a AS sv_id, min(b) AS path FROM w GROUP BY a""")
+@query(f"""WITH RECURSIVE {sql('svs')}, e AS (SELECT 'n' || ck AS a, 'n' || (ck + 1) AS b FROM svs WHERE is_filter = 'PASS' AND chr1 <> chr2 AND dir1 = '+' AND dir2 = '+'), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(a, b) AS (SELECT a, a FROM u UNION SELECT w.a, u.b FROM w JOIN u ON w.b = u.a) SELECT a AS sv_id, min(b) AS path FROM w GROUP BY a""")
 def link_rearrangements(spark: SparkSession, sf: str) -> DataFrame:
     v, c = svs(spark, sf), F.col("ck")
     n = lambda x: F.concat(F.lit("n"), x.cast("string"))
-    return s.link_rearrangements(v.where("ck % 9 < 7 and sv % 3 = 0").select(n(c).alias("from_sv"), n(c + 1).alias("to_sv")).distinct())
+    return s.link_rearrangements(v.where("is_filter = 'PASS' and chr1 <> chr2 and dir1 = '+' and dir2 = '+'").select(n(c).alias("from_sv"), n(c + 1).alias("to_sv")).distinct())

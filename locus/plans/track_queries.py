@@ -46,21 +46,22 @@ def intersect_wo(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {sql('regions')}, m AS (SELECT *, max("end") OVER (PARTITION BY contig ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM regions),
-i AS (SELECT *, sum(CASE WHEN b IS NULL OR "start" > b THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS k FROM m)
+i AS (SELECT *, sum(CASE WHEN b IS NULL OR "start" > b THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY "start", "end") AS k FROM m)
 SELECT contig, min("start") AS "start", max("end") AS "end" FROM i GROUP BY contig, k""")
 def merge_intervals(spark: SparkSession, sf: str) -> DataFrame:
     return iv.merge_intervals(standin(spark, sf, "regions"))
 
 
-@query(f"""WITH {sql('blocks')}, b AS (SELECT DISTINCT contig, "start", "end" FROM blocks WHERE q > 45), g AS (SELECT contig, "start", least("end", "start" + 30) AS "end" FROM b),
+@query(f"""WITH {sql('blocks')}, b AS (SELECT DISTINCT contig, "start", "end" FROM blocks), g AS (SELECT contig, "start", least("end", "start" + 30) AS "end" FROM b),
 m AS (SELECT *, max("end") OVER (PARTITION BY contig ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM g),
-k AS (SELECT *, sum(CASE WHEN p IS NULL OR "start" > p THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS k FROM m),
+k AS (SELECT *, sum(CASE WHEN p IS NULL OR "start" > p THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY "start", "end") AS k FROM m),
 u AS (SELECT contig, min("start") AS gs, max("end") AS ge FROM k GROUP BY contig, k),
-e AS (SELECT b.contig, b."start" AS s, b."end" AS e, u.gs, u.ge FROM b JOIN u ON b.contig = u.contig AND u.gs < b."end" AND u.ge > b."start"),
-x AS (SELECT contig, s, e, coalesce(lag(ge) OVER (PARTITION BY contig, s, e ORDER BY gs), s) AS a, gs AS z FROM e UNION ALL SELECT contig, s, e, max(ge), e FROM e GROUP BY ALL)
-SELECT contig, s AS seg_start, e AS seg_end, a AS "start", z AS "end" FROM x WHERE a < z""")
+pr AS (SELECT b.contig, b."start" AS ss, b."end" AS se, u.gs, u.ge FROM b JOIN u ON b.contig = u.contig AND u.gs < b."end" AND u.ge > b."start"),
+tail AS (SELECT contig, ss, se, max(ge) AS a, se AS z FROM pr GROUP BY contig, ss, se),
+x AS (SELECT contig, ss, se, coalesce(lag(ge) OVER (PARTITION BY contig, ss, se ORDER BY gs), ss) AS a, gs AS z FROM pr UNION ALL SELECT contig, ss, se, a, z FROM tail)
+SELECT contig, ss AS seg_start, se AS seg_end, a AS "start", z AS "end" FROM x WHERE a < z""")
 def subtract_intervals(spark: SparkSession, sf: str) -> DataFrame:
-    b = standin(spark, sf, "blocks").where("q > 45").select("contig", "start", "end").distinct()
+    b = standin(spark, sf, "blocks").select("contig", "start", "end").distinct()
     gaps = b.select("contig", "start", F.least(F.col("end"), F.col("start") + 30).alias("end"))
     keyed = b.withColumns({"seg_start": F.col("start"), "seg_end": F.col("end")})
     return iv.subtract_intervals(keyed, gaps, ["contig", "seg_start", "seg_end"]).select("contig", "seg_start", "seg_end", "start", "end")

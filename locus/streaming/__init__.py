@@ -1 +1 @@
-""""""
+"""No streaming operators: the workflows served here are batch."""
