@@ -81,7 +81,7 @@ def measured(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id
     """
     body = F.coalesce(F.col(text), F.lit(""))
     arrays = docs.select(*[F.col(c) for c in keep], body.alias("_t"), words(F.col(text)).alias("_w"), F.filter(F.split(body, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_l"))
-    stop = F.array(*[F.lit(x) for x in dict.fromkeys(stop_words)])
+    stop = list(dict.fromkeys(stop_words))  # a literal list becomes a hash set
     n_words, n_lines = F.size("_w").cast("long"), F.size("_l").cast("long")
     counts = arrays.select(
         *keep,
@@ -91,7 +91,7 @@ def measured(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_w")).alias("n_repeat_words"),
         n_lines.alias("n_lines"),
-        F.size(F.filter("_w", lambda w: F.array_contains(stop, F.lower(w)))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("_w", lambda w: F.lower(w).isin(stop))).cast("long").alias("n_stop_words"),
         F.size(F.filter("_w", lambda w: w.rlike(r"\p{L}"))).cast("long").alias("n_alphabetic"),
         F.size(F.filter("_l", lambda x: x.rlike(r"^\s*[-*•‣–]\s"))).cast("long").alias("n_bullets"),
         F.size(F.filter("_l", lambda x: x.rlike(r"(\.\.\.|…)\s*$"))).cast("long").alias("n_ellipses"),
