@@ -34,7 +34,7 @@ def depths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {sql('regions', 'blocks')}, w AS (SELECT DISTINCT contig, ord * 50 AS "start", ord * 50 + 500 AS "end" FROM regions), b AS (SELECT contig, "start", "end" FROM blocks WHERE mapq >= 40)
-SELECT w.contig, w."start", w."end", coalesce(sum(least(w."end", b."end") - greatest(w."start", b."start")), 0)::BIGINT AS depth FROM w LEFT JOIN b ON w.contig = b.contig AND b."start" < w."end" AND b."end" > w."start" GROUP BY ALL""")
+SELECT w.contig, w."start", w."end", coalesce(sum(least(w."end", b."end") - greatest(w."start", b."start")) FILTER (b.contig IS NOT NULL), 0)::BIGINT AS depth FROM w LEFT JOIN b ON w.contig = b.contig AND b."start" < w."end" AND b."end" > w."start" GROUP BY ALL""")
 def window_depth_sum(spark: SparkSession, sf: str) -> DataFrame:
     w = standin(spark, sf, "regions").select("contig", (F.col("ord") * 50).alias("start"), (F.col("ord") * 50 + 500).alias("end")).distinct()
     return c.window_depth_sum(w, standin(spark, sf, "blocks"))

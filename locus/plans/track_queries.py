@@ -344,7 +344,7 @@ def union_haplotypes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {sql('reftable', 'regions')}, s AS (SELECT ord % 25 AS contig, ord * 4500 AS a, ord * 4500 + size * 900 AS z FROM regions)
-SELECT r.contig AS ord, coalesce(sum(least(r_end, z) - greatest(r_start, a)), 0)::BIGINT AS overlap FROM reftable r LEFT JOIN s ON r.chrom = s.contig AND s.a < r_end AND s.z > r_start GROUP BY r.contig""")
+SELECT r.contig AS ord, coalesce(sum(least(r_end, z) - greatest(r_start, a)) FILTER (s.contig IS NOT NULL), 0)::BIGINT AS overlap FROM reftable r LEFT JOIN s ON r.chrom = s.contig AND s.a < r_end AND s.z > r_start GROUP BY r.contig""")
 def satellite_overlap(spark: SparkSession, sf: str) -> DataFrame:
     r = standin(spark, sf, "reftable").select(F.col("contig").alias("ord"), F.col("chrom").cast("long").alias("contig"), F.col("r_start").alias("start"), F.col("r_end").alias("end"))
     s = standin(spark, sf, "regions").select((F.col("ord") % 25).alias("contig"), (F.col("ord") * 4500).alias("start"), (F.col("ord") * 4500 + F.col("size") * 900).alias("end"))
