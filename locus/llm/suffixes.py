@@ -507,4 +507,18 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_suffixes": op10_suffixes}
-SQL: dict[str, str] = {}
+#: Every 100-byte string by its place, on hexadecimal text.
+SQL = {
+    "op10_suffixes": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+p AS (SELECT doc_id, h, unnest(range(n - 99)) AS i FROM d WHERE n >= 100),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k FROM p),
+f AS (SELECT k, min(doc_id * 1000000000 + i) AS first FROM w GROUP BY k),
+r AS (SELECT w.doc_id, w.i, lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS before FROM w JOIN f ON w.k = f.k WHERE f.first <> w.doc_id * 1000000000 + w.i),
+g AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY doc_id, run),
+c AS (SELECT s.doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY s.doc_id ORDER BY a), 0) AS b FROM s),
+k AS (SELECT c.doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * b + 1, 2 * (a - b)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS kept FROM c JOIN d ON c.doc_id = d.doc_id GROUP BY c.doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+}

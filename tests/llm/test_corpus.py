@@ -409,6 +409,10 @@ def test_suffixes_by_brute_force(spark):
     assert {k: sorted(v) for k, v in got.items()} == brute(data)
 
 
+def test_suffixes_sql(spark):
+    same(spark, suffixes.op10_suffixes, suffixes.SQL["op10_suffixes"], SF)
+
+
 def test_slabs_lose_no_string(monkeypatch):
     monkeypatch.setattr(suffixes, "SLAB", 150)
     texts_ = [t.encode() for _, t in random_texts() if t]
