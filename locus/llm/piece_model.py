@@ -216,14 +216,36 @@ class PieceModel:
         return done
 
     def stretch_ids(self, stretch: str) -> list[int]:
-        out: list[int] = []
-        for s in self.merged(stretch) if len(stretch) > 1 else [stretch]:
+        return self.stretch_pieces(self.merged(stretch) if len(stretch) > 1 else [stretch])[0]
+
+    def stretch_pieces(self, symbols: list[str]) -> tuple[list[int], list[int]]:
+        """ids of merged symbols, and the bytes of each: of the source for a plain model, else of the normalised text.
+
+        A space mark of a plain model stands for one space. Of the byte pieces of a character the last has its bytes.
+        """
+        ids: list[int] = []
+        sizes: list[int] = []
+        plain = self.plain
+        for s in symbols:
+            size = len(s) if s.isascii() else len(s.encode()) - (2 * s.count(SPACE) if plain else 0)
             if (i := self.id_of.get(s)) is not None:
-                out.append(i)
+                ids.append(i)
+                sizes.append(size)
             elif self.byte_id:
-                out += [self.byte_id[b] for b in s.encode()]
+                raw = s.encode()
+                ids += [self.byte_id[b] for b in raw]
+                sizes += [0] * (len(raw) - 1) + [size] if plain else [1] * len(raw)
             else:
-                out.append(self.unknown)
+                ids.append(self.unknown)
+                sizes.append(size)
+        return ids, sizes
+
+    def sizes(self, stretch: str) -> list[int]:
+        """The bytes of the normalised text that each id of the stretch stands for, a byte piece its own."""
+        out: list[int] = []
+        for s in self.merged(stretch) if len(stretch) > 1 else [stretch]:
+            n = len(s.encode())
+            out += [1] * n if s not in self.id_of and self.byte_id else [n]
         return out
 
     def initial(self, stretch: str) -> int:
@@ -288,11 +310,15 @@ class Remembered:
                 known[k] = self.value(prefix + k)
             return list(map(known.__getitem__, keys))
 
+    def cut(self, norm: str) -> list[Any]:
+        """Values of the stretches of a normalised text."""
+        return self._look(self.whole, self.model.stretch.findall(norm), "")
+
     def values(self, text: str) -> list[Any]:
         if not text:
             return []
         if not self.words or "  " in text or SPACE in text or text[0] == " ":
-            return self._look(self.whole, self.model.stretch.findall(self.model.normalised(text)), "")
+            return self.cut(self.model.normalised(text))
         out: list[Any] = []
         first, *lines = text.split("\n")
         out += self._look(self.inner, first.split(" "), SPACE)

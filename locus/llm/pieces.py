@@ -3,54 +3,79 @@
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .piece_model import PieceModel, Remembered, loaded
+from .piece_model import SPACE, PieceModel, Remembered, loaded
 
 #: Stretches that a worker remembers; forgotten all at once when full, so memory stays bounded.
 REMEMBERED = 400_000
 
 
 class Encoder:
-    """Encodes whole texts through remembered stretches: ids, and for each id its bytes of the normalised text."""
+    """Encodes whole texts through remembered stretches: ids, and for each id its bytes of the source."""
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
-        self.known = Remembered(model, model.stretch_ids, [], REMEMBERED)
+        self.packed = {p: n << 32 | i for p in model.id_of for (i,), (n,) in [model.stretch_pieces([p])]}
+        self.known = Remembered(model, self._stretch, b"", REMEMBERED)
+
+    def _stretch(self, stretch: str) -> bytes:
+        """A 64-bit number for each piece, its id below and its size above; bytes are no load for the garbage collector."""
+        symbols = self.model.merged(stretch) if len(stretch) > 1 else [stretch]
+        try:
+            return array("q", map(self.packed.__getitem__, symbols)).tobytes()
+        except KeyError:
+            return array("q", [n << 32 | i for i, n in zip(*self.model.stretch_pieces(symbols), strict=True)]).tobytes()
 
     def encode(self, text: str, end: bool = True) -> list[int]:
-        out = list(chain.from_iterable(self.known.values(text)))
-        if end:
-            out.append(self.model.end)
-        return out
+        return self.spans(text, end)[0]
 
     def spans(self, text: str, end: bool = True) -> tuple[list[int], list[int], list[int]]:
         """ids, and the first and past-the-last byte of the source that each stands for.
 
-        Pieces tile the normalised text; the alignment takes their borders to the source. A byte piece keeps its own
-        byte. The end id has the empty span at the end.
+        Pieces tile the normalised text; the alignment takes their borders to the source. Of the byte pieces of a
+        character the last has its bytes, the others are empty. The end id has the empty span at the end.
         """
-        model = self.model
-        norm, to = model.aligned(text)
-        ids = self.encode(text, end=False)
-        starts, ends, at = [], [], 0
-        for i in ids:
-            n = 1 if model.kinds[i] == 6 else len(model.pieces[i].encode())
-            starts.append(to[at])
-            at += n
-            ends.append(to[at])
+        found, borders = self.bordered(text)
+        ids, at = found.tolist(), borders.tolist()
+        starts, ends = at[:-1], at[1:]
         if end:
-            ids.append(model.end)
-            starts.append(to[-1])
-            ends.append(to[-1])
+            ids.append(self.model.end)
+            starts.append(at[-1])
+            ends.append(at[-1])
         return ids, starts, ends
 
+    def bordered(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """ids without the end, and the places in the source where they begin and the last one ends."""
+        model = self.model
+        simple = model.plain and SPACE not in text
+        if simple:
+            found = self.known.values(text)
+        else:
+            norm, to = model.aligned(text)
+            found = self.known.cut(norm)
+        packed = np.frombuffer(b"".join(found), np.int64)
+        ids, sizes = packed & 0xFFFFFFFF, packed >> 32
+        borders = np.zeros(len(ids) + 1, np.int64)
+        if simple:
+            np.cumsum(sizes, out=borders[1:])
+            # The prefix mark, which opens the text, stands for no byte of it.
+            borders -= 1
+            return ids, np.maximum(borders, 0, out=borders)
+        if model.plain:  # marks of the source itself are counted as one byte: count the normalised ones
+            sizes = np.fromiter(chain.from_iterable(map(model.sizes, model.stretch.findall(norm))), np.int64, len(ids))
+        np.cumsum(sizes, out=borders[1:])
+        return ids, np.asarray(to, np.int64)[borders]
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -67,6 +92,23 @@ def _model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+PIECES = pa.list_(pa.struct([("id", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _pieces(e: Encoder, texts: pa.Array) -> pa.ListArray:
+    """The pieces (id, start, end) of each whole text, the end id last."""
+    ids, starts, ends, sizes, last = [], [], [], [0], np.array([e.model.end])
+    for t in texts:
+        own, borders = e.bordered(t.as_py() or "")
+        ids += (own, last)
+        starts.append(borders)
+        ends += (borders[1:], borders[-1:])
+        sizes.append(len(borders))
+    whole = lambda parts: pa.array(np.concatenate(parts).astype(np.int32) if parts else [], pa.int32())
+    rows = pa.StructArray.from_arrays([whole(ids), whole(starts), whole(ends)], fields=list(PIECES.value_type))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), rows, type=PIECES)
+
+
 def encoded(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
     """docs with `pieces`: an array of (id, start, end), the bytes of the source that each piece covers.
 
@@ -74,10 +116,9 @@ def encoded(docs: DataFrame, model: str | None = None, text: str = "text") -> Da
     """
     path = model or _model_path()
 
-    @F.pandas_udf("array<struct<id:int,start:int,end:int>>")
+    @F.arrow_udf("array<struct<id:int,start:int,end:int>>")
     def pieces(texts):  # noqa: ANN001, ANN202
-        e = encoder(path)
-        return texts.map(lambda t: [{"id": i, "start": a, "end": b} for i, a, b in zip(*e.spans(t or ""), strict=True)])
+        return _pieces(encoder(path), texts)
 
     return docs.withColumn("pieces", pieces(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
 
@@ -85,8 +126,9 @@ def encoded(docs: DataFrame, model: str | None = None, text: str = "text") -> Da
 def digests(docs: DataFrame, model: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_tokens, ids_sha256, decoded_sha256 of every whole text; null and empty texts have the end id alone.
 
-    One pass without a shuffle: each text is encoded, its ids are decoded again and both are digested. Rows are
-    independent, so repeated rows and ties need no care; a very long text is held by one task once.
+    One pass without a shuffle: each text is encoded to the pieces of encoded(), whose ids are counted, digested and
+    decoded again. Spans that do not tile a text fail the query. Rows are independent, so repeated rows and ties need no
+    care; a very long text is held by one task once.
     """
     path = model or _model_path()
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
@@ -95,18 +137,31 @@ def digests(docs: DataFrame, model: str | None = None, text: str = "text", key:
         e = encoder(path)
         decimal = [str(i) for i in range(len(e.model.pieces))]
         for b in batches:
-            counts, ids_sha, text_sha = [], [], []
-            for t in b["t"]:
-                ids = e.encode(t.as_py())
-                counts.append(len(ids))
+            pieces = _pieces(e, b["t"])
+            offsets = pieces.offsets.to_numpy()
+            all_ids, starts, ends = (pieces.values.field(n).to_numpy() for n in ("id", "start", "end"))
+            if e.model.plain:
+                tiled(offsets, starts, ends, pc.binary_length(b["t"]).to_numpy(zero_copy_only=False))
+            ids_sha, text_sha = [], []
+            for a, z in pairwise(offsets.tolist()):
+                ids = all_ids[a:z].tolist()
                 ids_sha.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(e.model.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b["k"], pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([b["k"], pa.array(np.diff(offsets), pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = rows.schema["k"].dataType.simpleString()
     return rows.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def tiled(offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> None:
+    """Fails unless the spans of each text begin at 0, follow each other and end at its size."""
+    first, last = offsets[:-1], offsets[1:] - 1
+    follows = starts[1:] == ends[:-1]
+    follows[first[1:] - 1] = True
+    if starts[first].any() or not follows.all() or (ends[last] != sizes).any() or (ends < starts).any():
+        raise ValueError("pieces do not tile their text")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 

@@ -204,6 +204,34 @@ def test_digests(spark, library):
         assert (counts[d.doc_id].n_tokens, counts[d.doc_id].n_bytes) == (len(ids) - 1, len(d.text.encode()))
 
 
+def test_spans_are_the_alignments(library):
+    """Of every text: the library's spans, and those of a model that must take its alignment from aligned()."""
+    e, other = pieces.encoder(MODEL), piece_model.PieceModel(MODEL)
+    other.plain = False
+    slow = pieces.Encoder(other)
+    for t in texts():
+        assert e.spans(t) == slow.spans(t)
+        at = [len(t[:i].encode()) for i in range(len(t) + 1)]
+        want = [(p.id, p.begin, p.end) for p in library.encode(t, return_type="proto").pieces]
+        assert list(zip(*e.spans(t, end=False), strict=True)) == want
+
+
+def test_digests_rest_on_spans(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b漢\u0001 cd"), (2, None)], "doc_id long, text string")
+    found = {r.doc_id: r for r in pieces.encoded(docs).join(pieces.digests(docs), "doc_id").collect()}
+    assert {k: (len(r.pieces), hashlib.sha256(" ".join(str(p.id) for p in r.pieces).encode()).hexdigest()) for k, r in found.items()} == {k: (r.n_tokens, r.ids_sha256) for k, r in found.items()}
+    real = pieces._pieces
+
+    def shifted(e, texts):
+        found = real(e, texts).to_pylist()
+        found[0][0]["end"] += 1
+        return pieces.pa.array(found, pieces.PIECES)
+
+    monkeypatch.setattr(pieces, "_pieces", shifted)
+    with pytest.raises(Exception, match="tile"):
+        pieces.digests(docs).collect()
+
+
 # 4: archives
 
 
