@@ -154,3 +154,24 @@ def test_manifest(spark):
     m = spark.createDataFrame([("t", "tumor", ["o"], ["h"], "a", "b"), ("n", "normal", [], ["h"], "a", "b"), ("n", "odd", [], [], "", "b")], "sample string, type string, ont array<string>, hifi array<string>, assembly_hap1 string, assembly_hap2 string")
     assert {p for _, p in rows(manifest.validate_manifest(m), "sample", "problem")} >= {"unknown type", "no reads", "no assembly pair", "repeated name"}
     assert rows(manifest.pair_samples(m.where("assembly_hap1 <> ''")), "sample", "normal", "primary") == [("t", "n", "hifi")]
+
+
+@pytest.mark.parametrize("strand", ["+", "-"])
+def test_ref_jumps_keep_further_placements(spark, strand):
+    """Kept: the largest block and those mostly off it; dropped: one placed already and one without a seed."""
+    data = [("a", 0, 1_000_000, 0, 900_000, 60), ("b", 1_000_000, 1_400_000, 8_000_000, 390_000, 60), ("placed", 1_100_000, 1_150_000, 20_000_000, 40_000, 60), ("quarter", 1_390_000, 1_430_000, 40_000_000, 30_000, 60), ("no seed", 1_430_000, 1_480_000, 60_000_000, 40_000, 40)]
+    flip = lambda r, n: 100_000_000 - r - n if strand == "-" else r
+    got = [(c, s, e, strand, k, r := flip(t, e - s), r + e - s, m, q) for c, k in (("cut", "chr1"), ("other", "chr2")) for _, s, e, t, m, q in data]
+    whole = ("whole", 0, 50_000, strand, "chr1", 0, 50_000, 40_000, 60)
+    members = spark.createDataFrame([*got, whole], reftable.ROW + ", mapq int")
+    chains = reftable.chain_stats(reftable.split_ref_jumps(members))
+    want = [(c, k, s, e, m) for c, k in (("cut", "chr1"), ("other", "chr2")) for n, s, e, _, m, _ in data if n in ("a", "b", "quarter")]
+    assert rows(chains, "contig", "chrom", "c_start", "c_end", "matched") == sorted([*want, ("whole", "chr1", 0, 50_000, 40_000)])
+
+
+def test_satellites_are_taken_off_each_block(spark):
+    """Two blocks of one chain on an acrocentric chromosome: each loses its own satellite once."""
+    chains = spark.createDataFrame([("c", 0, 900_000, "+", "chr13", 0, 900_000, 800_000), ("c", 900_000, 1_800_000, "+", "chr13", 9_000_000, 9_900_000, 800_000), ("c", 1_900_000, 2_900_000, "+", "chr1", 0, 1_000_000, 900_000)], reftable.ROW)
+    satellites = spans(spark, [("chr13", 0, 600_000), ("chr13", 9_000_000, 9_100_000)])
+    # 300 kb and 800 kb are left of chr13
+    assert {r.chrom for r in reftable.resolve_contigs(chains, satellites=satellites).collect()} == {"chr1", "chr13"}
