@@ -80,7 +80,7 @@ LICENSES: dict[str, tuple[str, str, str, str, tuple[str, ...]]] = {
 }
 
 #: A text that holds none of these, lower-cased, has no place of any rule or base phrase.
-GATES = ("licen", "permission", "redistribution", "copyright", "gpl", "gnu", "bsd", "apache", "mozilla", "mpl", "epl", "eclipse", "eupl", "commons", "cc0", "cc", "domain", "zlib", "boost", "wtfpl", "openssl", "distributed", "copied", "rights", "copying", "advertising", "consortium", "contributors")
+GATES = ("licen", "attribution", "permission", "redistribution", "copyright", "gpl", "gnu", "bsd", "apache", "mozilla", "mpl", "epl", "eclipse", "eupl", "commons", "cc0", "cc", "domain", "zlib", "boost", "wtfpl", "openssl", "distributed", "copied", "rights", "copying", "advertising", "consortium", "contributors")
 
 
 def rules() -> tuple[Rule, ...]:
