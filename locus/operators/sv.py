@@ -188,9 +188,12 @@ def attach_ref_contig(df: DataFrame, reftable: DataFrame) -> DataFrame:
 def read_adjacent_pairs(reads: DataFrame, margin: float = 1.3) -> DataFrame:
     """Pairs of variants that follow each other along a read and whose distances agree within a factor of `margin`.
 
-    reads: read, read_pos, ord, sv_id, chr2, pos2, dir2 (leaving end) and chr1, pos1 (entering end). Returns an edge per
-    pair with the first read distance and all of them. Every read counts, the last too.
+    reads: read, read_pos, ord, sv_id, chr2, pos2 (leaving end) and chr1, pos1 (entering end). Returns an edge per pair
+    with the first read distance and all of them. Every read counts, the last too. With read_dir, dir1, dir2 and ins_len
+    see oriented_pairs(); without them every variant is taken as read forwards, and directions do not count.
     """
+    if "read_dir" in reads.columns:
+        return oriented_pairs(reads, margin)
     w = Window.partitionBy("read").orderBy("read_pos", "ord")
     nxt = F.lead(F.struct("sv_id", "chr1", "pos1", "read_pos")).over(w)
     pairs = reads.withColumn("n", nxt).where(F.col("n").isNotNull())
@@ -200,6 +203,34 @@ def read_adjacent_pairs(reads: DataFrame, margin: float = 1.3) -> DataFrame:
     return edges.groupBy("from_sv", "to_sv").agg(F.min_by("d", F.struct("read", "ord")).alias("first_size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("read", "ord", "d"))), lambda x: x["d"].cast("string")), ",").alias("sizes"))
 
 
+def oriented_pairs(reads: DataFrame, margin: float = 1.3) -> DataFrame:
+    """Pairs along reads with directions: read_dir tells how the read runs through a variant, ins_len what it inserts.
+
+    Read places move past inserted bases, and a variant read backwards is entered by its second end. The segment between
+    must leave by - and enter by +, or the reverse: then the pair is turned around, so both strands give one edge.
+    from_turn and to_turn are - where a variant's ends are exchanged; first_size is the segment's size on the reference.
+    """
+    forward = F.col("read_dir") == "+"
+    end = lambda k: F.struct(F.col(f"chr{k}").alias("chr"), F.col(f"pos{k}").alias("pos"), F.col(f"dir{k}").alias("dir"))
+    ins = F.coalesce(F.col("ins_len"), F.lit(0))
+    r = reads.select(
+        "read", "read_pos", "ord", "sv_id", "read_dir", F.when(forward, end(1)).otherwise(end(2)).alias("enter"), F.when(forward, end(2)).otherwise(end(1)).alias("leave"),
+        (F.col("read_pos") + F.when(forward, ins).otherwise(0)).alias("last"), (F.col("read_pos") - F.when(forward, 0).otherwise(ins)).alias("first"),
+    )
+    w = Window.partitionBy("read").orderBy("read_pos", "ord")
+    pairs = r.withColumn("n", F.lead(F.struct("sv_id", "read_dir", "enter", "first")).over(w)).where(F.col("n").isNotNull() & (F.col("leave.chr") == F.col("n.enter.chr")))
+    out, into = F.col("leave.dir"), F.col("n.enter.dir")
+    gap, d = F.col("n.enter.pos") - F.col("leave.pos"), F.col("n.first") - F.col("last")
+    size = F.when((out == "-") & (into == "+"), gap).when((out == "+") & (into == "-"), -gap)
+    turn = lambda c: F.when(F.col(c) == "+", "-").otherwise("+")
+    way = lambda back, on: F.when(out == "+", back).otherwise(on)
+    edges = pairs.where((size <= d * margin) & (size * margin >= d)).select(
+        way(F.col("n.sv_id"), F.col("sv_id")).alias("from_sv"), way(F.col("sv_id"), F.col("n.sv_id")).alias("to_sv"),
+        way(turn("n.read_dir"), F.col("read_dir")).alias("from_turn"), way(turn("read_dir"), F.col("n.read_dir")).alias("to_turn"), size.alias("size"), d.alias("d"), "read", "ord",
+    )
+    return edges.groupBy("from_sv", "to_sv", "from_turn", "to_turn").agg(F.min_by("size", F.struct("read", "ord")).alias("first_size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("read", "ord", "d"))), lambda x: x["d"].cast("string")), ",").alias("sizes"))
+
+
 def link_rearrangements(edges: DataFrame, rounds: int = 30) -> DataFrame:
     """(sv_id, path): variants that edges (from_sv, to_sv) connect, named by the smallest id, by label propagation."""
     nodes = edges.select(F.col("from_sv").alias("sv_id")).unionByName(edges.select(F.col("to_sv").alias("sv_id"))).distinct().withColumn("path", F.col("sv_id"))

@@ -175,3 +175,14 @@ def test_satellites_are_taken_off_each_block(spark):
     satellites = spans(spark, [("chr13", 0, 600_000), ("chr13", 9_000_000, 9_100_000)])
     # 300 kb and 800 kb are left of chr13
     assert {r.chrom for r in reftable.resolve_contigs(chains, satellites=satellites).collect()} == {"chr1", "chr13"}
+
+
+def test_adjacent_pairs_follow_directions(spark):
+    """One segment of 1000 bases read on both strands, an insert between, and pairs whose directions do not fit."""
+    kind = "read string, read_pos long, ord long, sv_id string, chr1 string, pos1 long, dir1 string, chr2 string, pos2 long, dir2 string, ins_len long, read_dir string"
+    a, b, wrong = ("a", "x", 5, "+", "y", 1000, "-", 0), ("b", "y", 2000, "+", "z", 9, "-", 0), ("wrong", "y", 2000, "-", "z", 9, "-", 0)
+    inserted = ("inserted", "x", 7, "+", "y", 1000, "-", 500)
+    reads = [("r1", 100, a, "+"), ("r1", 1150, b, "+"), ("r2", 300, b, "-"), ("r2", 1280, a, "-"), ("r3", 100, a, "+"), ("r3", 1100, wrong, "+"), ("r4", 100, inserted, "+"), ("r4", 1600, b, "+"), ("r5", 100, b, "+"), ("r5", 1100, a, "+")]
+    data = [(read, at, i, *v, turn) for i, (read, at, v, turn) in enumerate(reads)]
+    got = rows(sv.read_adjacent_pairs(spark.createDataFrame(data, kind)), "from_sv", "to_sv", "from_turn", "to_turn", "first_size", "sizes")
+    assert got == [("a", "b", "+", "+", 1000, "1050,980"), ("inserted", "b", "+", "+", 1000, "1000")]
