@@ -526,3 +526,15 @@ def test_pipeline_against_single_stages(spark):
     want = {r.doc_id: r.copies for r in mixing.draws(stage.select("doc_id", "source", common.n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_h")), ("size", "doc_id", "_h")).collect() if r.copies}
     assert taken == want and mixed.columns == columns
     assert corpus_pipeline.run(spark, SF).count() == sum(want.values())
+
+
+# 6 again: files at rest
+
+
+def test_media_are_read_back_from_storage(spark):
+    """The query reads the files that it wrote, not its documents."""
+    found = media.op6_media(spark, SF)
+    files = found.inputFiles()
+    assert files and all("/media-" in f for f in files)
+    kept = {r.doc_id: hashlib.sha256(r.media).hexdigest() for r in spark.read.parquet(*files).select("doc_id", "media").collect()}
+    assert {r.doc_id: r.media_sha256 for r in found.collect()} == kept and len(kept) == spark.read.parquet(f"{SF}/documents.parquet").count()
