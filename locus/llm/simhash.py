@@ -1,15 +1,18 @@
 """SimHash near-duplicates by anchor-point covering.
 
-Fingerprints that differ in at most 4 of 64 bits differ in at most 1 bit of one of three blocks (22, 21 and 21 bits).
-Within a block the anchors are the codewords of the [15, 11] Hamming code on the low 15 bits joined with all words on
-the other bits: every block value has an anchor within the covering radius 1. A fingerprint is replicated to every
-anchor within radius + threshold (1 + 1), so the nearest anchor of either of two partners also holds the other, and
-fingerprints are compared per anchor: those at home there (nearest) against all that visit.
+Fingerprints of 64 bits that differ in at most 4 differ in at most 1 bit of some table of bits: of one of three blocks
+(22, 21 and 21 bits), or of one pair out of five blocks (26 or 25 bits). Of a table's bits the anchors are the codewords
+of the [15, 11] Hamming code on the low 15 joined with all words on the others: every value has an anchor within the
+covering radius 1. A fingerprint is replicated to every anchor within radius + threshold (1 + 1), so the nearest anchor
+of either of two partners also holds the other, and fingerprints are compared per anchor: those at home there (nearest)
+against all that visit. Wider tables have more anchors, so the cut follows the number of fingerprints.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +22,42 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, components, table
 
-BLOCKS = ((0, 22), (22, 21), (43, 21))  # (first bit, width)
-#: Differing bits that link, and the pigeonhole share of each block: 4 over three blocks leaves 1 in some block.
-NEAR, PER_BLOCK = 4, 1
-#: Members of an anchor that one cell compares at most, at home or visiting.
-CELL = 1024
-_NO_ID = 1 << 62
+#: Differing bits that link.
+NEAR = 4
+
+
+@dataclass(frozen=True)
+class Cut:
+    """The 64 bits in blocks, and how many of them a table joins. NEAR differing bits leave one at most in some table."""
+
+    blocks: int
+    join: int
+
+    def __post_init__(self) -> None:
+        spread = sorted(NEAR // self.blocks + (i < NEAR % self.blocks) for i in range(self.blocks))
+        if sum(spread[: self.join]) > 1 or 64 // self.blocks * self.join < 15:
+            raise ValueError("a pair could differ in more than one bit of every table")
+
+    @property
+    def tables(self) -> list[list[tuple[int, int]]]:
+        """For each table its blocks (first bit, width)."""
+        edges = [64 * i // self.blocks for i in range(self.blocks + 1)]
+        return [list(t) for t in combinations([(a, b - a) for a, b in pairwise(edges)], self.join)]
+
+    def values(self, fp: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """The bits of each table side by side, and their number."""
+        for table_ in self.tables:
+            value, width = np.zeros(len(fp), np.int64), 0
+            for first, n in table_:
+                value |= ((fp.view(np.uint64) >> np.uint64(first)) & np.uint64((1 << n) - 1)).astype(np.int64) << width
+                width += n
+            yield value, width
+
+
+#: Some 40 replicas of a fingerprint over 2**19 anchors, and some 220 over 10 * 2**22 for tables beyond MANY.
+FEW_ANCHORS, MANY_ANCHORS, MANY = Cut(3, 1), Cut(5, 2), 200_000_000
+#: Members of an anchor that one cell compares at most, at home and visiting.
+CELL = 4096
 
 
 def fingerprint(text: str | None, size: int = 4) -> int:
@@ -47,15 +80,15 @@ def fingerprint(text: str | None, size: int = 4) -> int:
 
 
 def fingerprinted(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("t"))
+    """(doc_id, h, fp) of every row: fp is the fingerprint as a signed long, h the hash of the text as it is."""
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py()) for t in b["t"]], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["h"], pa.array(fps)], names=["doc_id", "h", "fp"])
 
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def _errors() -> tuple[np.ndarray, list[np.ndarray]]:
@@ -88,20 +121,19 @@ def anchors(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.
     return np.concatenate([a for a, _, _ in out]), np.concatenate([x for _, x, _ in out]), home
 
 
-def replicated(prints: DataFrame) -> DataFrame:
-    """(anchor, fp, node, home) for every distinct fingerprint (fp, node) and anchor that it visits."""
+def replicated(prints: DataFrame, cut: Cut = FEW_ANCHORS) -> DataFrame:
+    """(anchor, fp, home) for every distinct fingerprint and anchor that it visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp, node = b["fp"].to_numpy(zero_copy_only=False), b["node"].to_numpy(zero_copy_only=False)
-            for block, (first, width) in enumerate(BLOCKS):
-                values = ((fp.view(np.uint64) >> np.uint64(first)) & np.uint64((1 << width) - 1)).astype(np.int64)
+            fp = b["fp"].to_numpy(zero_copy_only=False)
+            for n, (values, width) in enumerate(cut.values(fp)):
                 at, anchor, home = anchors(values, width)
                 for k in range(0, len(at), 50_000):
                     part = slice(k, k + 50_000)
-                    yield pa.RecordBatch.from_arrays([pa.array((anchor[part] | block << 22).astype(np.int32)), pa.array(fp[at[part]]), pa.array(node[at[part]]), pa.array(home[part])], names=["anchor", "fp", "node", "home"])
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor[part] | n << 26), pa.array(fp[at[part]]), pa.array(home[part])], names=["anchor", "fp", "home"])
 
-    return prints.select("fp", "node").mapInArrow(run, "anchor int, fp long, node long, home boolean")
+    return prints.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +154,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def _links(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, home: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _links(cell: np.ndarray, fp: np.ndarray, home: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Spanning links of near fingerprints within runs of equal cells, at most `most` comparisons at a time."""
     starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     lengths = np.diff(np.r_[starts, len(cell)])
@@ -136,29 +168,31 @@ def _links(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, home: np.ndarray,
         n = lengths[run[mine]]
         left = np.repeat(mine, n)
         right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[run[mine]], n)
-        near = (np.bitwise_count(fp[left] ^ fp[right]) <= NEAR) & (node[left] != node[right])
+        apart = np.bitwise_count(fp[left] ^ fp[right])
+        near = (apart <= NEAR) & (apart > 0)
         if near.any():
-            yield forest(node[left[near]], node[right[near]])
+            yield forest(fp[left[near]], fp[right[near]])
         lo = hi
 
 
 def compared(cells: DataFrame) -> DataFrame:
-    """Spanning links (a, b) of rows (anchor, cell, fp, node, home) that arrive sorted by anchor and cell."""
+    """Spanning links (a, b) of rows (anchor, part, fp, home) that arrive sorted by anchor and part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[list[np.ndarray]] = []
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
-            rows = [np.concatenate(x) for x in zip(*held, strict=True)]
+            anchor, part, fp, home = (np.concatenate(x) for x in zip(*held, strict=True))
+            cell = np.cumsum(np.r_[True, (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])])
             # The last run may go on in the next batch.
-            cut = len(rows[0]) if last else int(np.searchsorted(rows[0], rows[0][-1], "left"))
-            for a, b in _links(rows[0][:cut], rows[1][:cut].view(np.uint64), rows[2][:cut], rows[3][:cut]):
+            cut = len(cell) if last else int(np.searchsorted(cell, cell[-1], "left"))
+            for a, b in _links(cell[:cut], fp[:cut], home[:cut]):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            held[:] = [[x[cut:] for x in rows]]
+            held[:] = [[anchor[cut:], part[cut:], fp[cut:], home[cut:]]]
 
         for b in batches:
             if b.num_rows:
-                held.append([b["cell"].to_numpy(zero_copy_only=False), b["fp"].to_numpy(zero_copy_only=False), b["node"].to_numpy(zero_copy_only=False), b["home"].to_numpy(zero_copy_only=False)])
+                held.append([b[c].to_numpy(zero_copy_only=False) for c in ("anchor", "part", "fp", "home")])
                 if sum(len(x[0]) for x in held) > 200_000:
                     yield from flush(False)
         if held:
@@ -167,79 +201,72 @@ def compared(cells: DataFrame) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long")
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Spanning links (a, b) between the nodes of near fingerprints.
+def links(prints: DataFrame, cut: Cut | None = None) -> DataFrame:
+    """Spanning links (a, b) between near ones of the distinct fingerprints (fp).
 
-    An anchor with more than CELL members is cut into a grid: members at home are dealt to rows, visitors to columns,
-    each replicated along its row or column, so that every cell stays bounded and every pair still meets once.
+    An anchor with more than CELL members is cut into a grid: members at home are dealt to rows, all members as
+    visitors to columns. Those at home are replicated along their row and visitors along their column, so every pair
+    still meets once and every cell stays bounded; while those at home fit one row, visitors are not replicated.
     """
-    spark = prints.sparkSession
-    rows = replicated(prints)
-    crowded = checkpointed(rows.groupBy("anchor").count().where(F.col("count") > CELL).select(F.col("anchor").alias("_a"), F.ceil(F.col("count") / CELL).cast("int").alias("_g")))
+    if cut is None:
+        cut = FEW_ANCHORS if prints.count() <= MANY else MANY_ANCHORS
+    rows = replicated(prints, cut)
+    size = F.col("n") / CELL
+    crowded = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("home"), 1)).alias("h")).where(size > 1)
+    crowded = checkpointed(crowded.select(F.col("anchor").alias("_a"), F.ceil(size).cast("long").alias("_columns"), F.greatest(F.lit(1), F.ceil(F.col("h") / CELL)).cast("long").alias("_rows")))
+    zero = F.lit(0).cast("long")
     if n := crowded.count():
         # The grid's few rows are sent to all executors only when there are few of them.
         rows = rows.join(F.broadcast(crowded) if n <= 20_000 else crowded, F.col("anchor") == F.col("_a"), "left")
-        own, g = F.pmod(F.xxhash64("fp"), F.col("_g")), F.col("_g")
-        spread = F.sequence(F.lit(0).cast("long"), (g - 1).cast("long"))
-        visits = F.when(g.isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(spread, lambda i: i * g + own))
-        houses = F.when(g.isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(spread, lambda j: own * g + j))
-        visiting = rows.select("anchor", "fp", "node", F.lit(False).alias("home"), F.explode(visits).alias("_c"))
-        living = rows.where("home").select("anchor", "fp", "node", F.lit(True).alias("home"), F.explode(houses).alias("_c"))
-        rows = visiting.unionByName(living)
-        cell = F.shiftleft(F.col("anchor").cast("long"), 38) + F.col("_c")
+        hashed, (across, down) = F.xxhash64("fp"), (F.col("_columns"), F.col("_rows"))
+        column, row = F.pmod(hashed, across), F.pmod(hashed, down)
+        visits = F.when(across.isNull(), F.array(zero)).otherwise(F.transform(F.sequence(zero, down - 1), lambda i: i * across + column))
+        houses = F.when(across.isNull(), F.array(zero)).otherwise(F.transform(F.sequence(zero, across - 1), lambda j: row * across + j))
+        visiting = rows.select("anchor", "fp", F.lit(False).alias("home"), F.explode(visits).alias("part"))
+        living = rows.where("home").select("anchor", "fp", F.lit(True).alias("home"), F.explode(houses).alias("part"))
+        cells = visiting.unionByName(living)
     else:
-        cell = F.shiftleft(F.col("anchor").cast("long"), 38)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = rows.select(cell.alias("cell"), "fp", "node", "home").repartition(n, "cell").sortWithinPartitions("cell")
+        cells = rows.withColumn("part", zero)
+    cells = cells.select("anchor", "part", "fp", "home").repartition("anchor", "part").sortWithinPartitions("anchor", "part")
     return compared(cells)
 
 
 def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, component_id) of every row.
-
-    Exact copies of a fingerprint are one node, named by its smallest id; nodes are linked by links() and joined to
-    components, whose smallest node is the component id. Null and blank texts have fingerprint zero and are linked
-    like any other. A row without an id takes the component's smallest id, null if no member has one. Ids are below
-    2**62. Repeated rows get equal results.
+    """(doc_id, h, fp, root, component_id) of every row.
+
+    Distinct fingerprints are nodes; links() joins them to components, and root is a component's smallest fingerprint.
+    component_id is the smallest id of its rows, any long; null if no row has one. Null and blank texts have fingerprint
+    zero and are linked like any other. Rows are told apart by their texts: two rows with one id and different texts
+    are two nodes and join only if their fingerprints do, while repeated rows get equal results. Texts are hashed whole,
+    a very long one in slices. An empty table gives an empty result. Other columns are not read, so their names
+    cannot clash.
     """
     prints = checkpointed(fingerprinted(docs, text, key))
-    nameless = F.lit(_NO_ID) + F.xxhash64("fp").bitwiseAND((1 << 61) - 1)
-    nodes = checkpointed(prints.groupBy("fp").agg(F.coalesce(F.min("doc_id"), nameless).alias("node")))
-    roots = components(links(nodes)).select("node", "root")
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    named = named.withColumn("component_id", F.when(F.col("component_id") < _NO_ID, F.col("component_id")))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(links(nodes)).select(F.col("node").alias("fp"), "root")
+    linked = checkpointed(nodes.join(roots, "fp"))
+    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    alone = nodes.join(roots, "fp", "left_anti").select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id"))
+    return prints.join(named.unionByName(alone), "fp").select("doc_id", "h", "fp", "root", "component_id")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each component of docs: that of the smallest id, with its own columns.
+    """One row of each component of docs, with its own columns: that of the smallest id, nulls last, then text hash.
 
-    Of repeated rows with that id one stays. Of a component in which no row has an id, one row of each fingerprint
-    stays.
+    Of rows that agree in id and text one stays: the least as JSON, so reruns agree. A component without ids keeps one
+    row too. Empty tables, null texts and very long texts are as in grouped().
     """
-    marked = checkpointed(grouped(docs, text, key))
-    keep = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    marked = grouped(docs, text, key)
+    each = marked.groupBy("root", "doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h", "n")
+    keep = checkpointed(each.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_id2"), F.col("k.h").alias("_h2"), F.col("k.n").alias("_n")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = docs.select(row, F.col(f"`{key}`").cast("long").alias("_id"))
-    # The ids are one long each and unique, so they are hashed rather than sorting whole rows.
-    kept = rows.join(keep.hint("shuffle_hash"), F.col("_id") == F.col("_keep"))
-    if not marked.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.groupBy("_id").agg(F.first("_row").alias("_row"))
-    kept = kept.select("_row.*")
-    lone = marked.where("doc_id is null and component_id is null")
-    if lone.isEmpty():
-        return kept
-    nameless = docs.where(F.col(f"`{key}`").isNull()).select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("_t"), row)
-    with_fp = nameless.withColumn("_fp", _fingerprint_udf()("_t"))
-    return kept.unionByName(with_fp.join(lone.select(F.col("fp").alias("_fp")).distinct(), "_fp").groupBy("_fp").agg(F.first("_row").alias("_row")).select("_row.*"))
-
-
-def _fingerprint_udf():  # noqa: ANN202
-    @F.pandas_udf("long")
-    def of(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda t: int(np.array([fingerprint(t)], np.uint64).view(np.int64)[0]))
-
-    return of
+    rows = docs.select(row, F.col(f"`{key}`").cast("long").alias("_id"), F.xxhash64(F.col(f"`{text}`")).alias("_h"))
+    kept = rows.join(keep, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_h") == F.col("_h2")))
+    if keep.where("_n > 1").isEmpty():
+        return kept.select("_row.*")
+    several = kept.where("_n > 1").groupBy("_id", "_h").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return kept.where("_n = 1").select("_row").unionByName(several.select("_row")).select("_row.*")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,15 +72,70 @@ def test_empty_tables(spark):
 # 1: near duplicates
 
 
-def test_anchors_meet_every_near_pair():
+@pytest.mark.parametrize("cut", [simhash.FEW_ANCHORS, simhash.MANY_ANCHORS])
+def test_anchors_meet_every_near_pair(cut):
+    """Of pairs that differ in up to 4 bits some table holds the visitor at its partner's home, whichever is at home."""
     rng = np.random.default_rng(3)
-    for first, width in simhash.BLOCKS:
-        x = rng.integers(0, 1 << width, 400)
-        y = x ^ np.where(rng.random(400) < 0.7, 1 << rng.integers(0, width, 400), 0)
-        ix, ax, hx = simhash.anchors(x, width)
-        iy, ay, _ = simhash.anchors(y, width)
-        homes = {(i, a) for i, a, h in zip(ix.tolist(), ax.tolist(), hx.tolist(), strict=True) if h}
-        assert len(homes) == 400 and homes <= set(zip(iy.tolist(), ay.tolist(), strict=True))
+    x = rng.integers(0, 1 << 63, 400)
+    y = x.copy()
+    for i in range(400):
+        for bit in rng.choice(64, rng.integers(0, 5), replace=False):
+            y[i] = int(np.uint64(y[i]).view(np.int64)) ^ (1 << int(bit) if bit < 63 else -(1 << 63))
+    met = [set(), set()]
+    for (vx, width), (vy, _) in zip(cut.values(x), cut.values(y), strict=True):
+        ix, ax, hx = simhash.anchors(vx, width)
+        iy, ay, hy = simhash.anchors(vy, width)
+        assert sorted(ix[hx]) == list(range(400))
+        all_x, all_y = set(zip(ix.tolist(), ax.tolist(), strict=True)), set(zip(iy.tolist(), ay.tolist(), strict=True))
+        met[0] |= {i for i, a in set(zip(ix[hx].tolist(), ax[hx].tolist(), strict=True)) & all_y}
+        met[1] |= {i for i, a in set(zip(iy[hy].tolist(), ay[hy].tolist(), strict=True)) & all_x}
+    assert met == [set(range(400))] * 2
+
+
+def test_cuts_that_could_lose_pairs_are_refused():
+    for blocks, join in ((2, 1), (4, 2), (3, 2), (6, 1)):
+        with pytest.raises(ValueError, match="pair"):
+            simhash.Cut(blocks, join)
+
+
+def test_replicas_of_a_fingerprint_are_constant():
+    """Rows for each fingerprint do not depend on how many there are."""
+    rng = np.random.default_rng(4)
+    for cut, most in ((simhash.FEW_ANCHORS, 45), (simhash.MANY_ANCHORS, 240)):
+        for n in (1_000, 20_000):
+            assert sum(len(simhash.anchors(v, w)[0]) for v, w in cut.values(rng.integers(0, 1 << 62, n))) / n < most
+
+
+@pytest.mark.parametrize("cut", [simhash.FEW_ANCHORS, simhash.MANY_ANCHORS])
+def test_links_of_both_cuts(spark, cut):
+    rng = np.random.default_rng(5)
+    fps = {int(v) for v in rng.integers(-(1 << 62), 1 << 62, 60)}
+    for f in list(fps):
+        for _ in range(rng.integers(0, 4)):
+            for bit in rng.choice(62, rng.integers(1, 6), replace=False):
+                f ^= 1 << int(bit)
+            fps.add(f)
+    fps = sorted(fps)
+    found = {r.node: r.root for r in common.components(simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), cut)).collect()}
+    assert [found.get(f, f) for f in fps] == closure(fps, [f & (1 << 64) - 1 for f in fps])
+
+
+def test_fingerprint_by_its_definition(spark):
+    """Votes over every shingle, in plain loops."""
+    import xxhash
+
+    def plain(text):
+        ws = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        shingles = [" ".join(ws[i : i + 4]) for i in range(len(ws) - 3)] or ([" ".join(ws)] if ws else [])
+        votes = [0] * 64
+        for h in (xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles):
+            for k in range(64):
+                votes[k] += h >> k & 1
+        return sum(1 << k for k in range(64) if 2 * votes[k] > len(shingles))
+
+    texts_ = [d.text for d in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(60).collect()]
+    for t in [*texts_, None, "", " \n", "A b", "É A", "a\x0bb\x1fc d e", "x " * 70_000]:
+        assert simhash.fingerprint(t) == plain(t)
 
 
 def closure(ids, fps):
@@ -117,6 +172,20 @@ def test_one_document_stays(spark):
     assert sorted(str(r.doc_id) for r in simhash.deduplicated(docs).collect()) == ["1", "9", "None"]
 
 
+def test_ids_of_any_size_and_none(spark):
+    """Large and negative ids, one id with two texts, and near texts without ids."""
+    words_ = "one two three four five six seven eight nine ten eleven twelve".split() * 30
+    near = [" ".join(words_), " ".join([*words_, "thirteen"])]
+    assert 0 < (simhash.fingerprint(near[0]) ^ simhash.fingerprint(near[1])).bit_count() <= 4
+    other, third = "a text that stands alone among others here", "yet another one with words of its own today"
+    docs = documents(spark, [((1 << 63) - 1, near[0], "", "", 1), (1 << 62, near[1], "", "", 1), (-5, other, "", "", 2), (-5, third, "", "", 3)])
+    got = sorted((r.doc_id, r.component_id) for r in simhash.grouped(docs).collect())
+    assert got == [(-5, -5), (-5, -5), (1 << 62, 1 << 62), ((1 << 63) - 1, 1 << 62)]
+    assert sorted(r.n_chars for r in simhash.deduplicated(docs).collect()) == [1, 2, 3]
+    nameless = documents(spark, [(None, near[0], "", "", 1), (None, near[1], "", "", 2), (None, None, "", "", 3)])
+    assert len(simhash.deduplicated(nameless).collect()) == 2
+
+
 # 2: urls
 
 
