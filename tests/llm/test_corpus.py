@@ -408,6 +408,8 @@ def test_jpeg_round_trip():
     r = random.Random(5)
     payloads = [media.padded(x) for x in (b"", b"hello", bytes(r.randrange(256) for _ in range(5000)), bytes([128]) * 3000, bytes(r.choice([126, 127, 128, 129, 130]) for _ in range(9000)), ("text é ü " * 300).encode())]
     payloads += [media.padded(bytes(r.choice([128] * 30 + [127, 129, 5]) for _ in range(2000))) for _ in range(9)]
+    payloads += [media.padded(bytes(r.choice([108] * n + [107, 109, 5, 255]) for _ in range(3000))) for n in (1, 5, 20, 90)]
+    payloads += [media.padded(bytes([108] * 20 + [109] + [108] * 40 + [107, 0, 255]) * 30), media.padded(bytes([109]) * 5000), media.padded(bytes([107] * 16 + [108] * 16) * 99)]
     files = media.encoded(payloads)
     back = list(media.decoded(files))
     assert [p for p, _ in back] == payloads
@@ -416,6 +418,32 @@ def test_jpeg_round_trip():
         assert f[:2] == b"\xff\xd8" and f[-2:] == b"\xff\xd9" and f.count(b"\xff\xda") == 11
 
 
+def test_foreign_files_are_refused():
+    f = media.encoded([media.padded(b"abc")])[0]
+    at = f.index(b"\xff\xdb")
+    for bad in (f[: at + 6] + b"\2" + f[at + 7 :], f.replace(b"\xff\xc2", b"\xff\xc0", 1), f.replace(jpeg.COMPONENTS, bytes([3, 1, 0x11, 0, 2, 0x11, 0, 3, 0x11, 0]), 1)):
+        with pytest.raises(ValueError, match="only"):
+            jpeg.read([bad])
+
+
+def test_colours_in_plain_loops():
+    """Chroma by replication and the usual conversion, pixel by pixel."""
+    rng = np.random.default_rng(9)
+    across, down = 3, 2
+    planes = rng.integers(-40, 300, (6 * across * down, 64)).astype(np.int32)
+    got = jpeg.rgb(planes, across, down)
+
+    def at(first, wide, y, x):
+        return int(planes[first + y // 8 * wide + x // 8, y % 8 * 8 + x % 8])
+
+    n = across * down
+    for y in range(16 * down):
+        for x in range(16 * across):
+            luma, cb, cr = at(0, 2 * across, y, x), at(4 * n, across, y // 2, x // 2) - 128, at(5 * n, across, y // 2, x // 2) - 128
+            want = [luma + 1.402 * cr, luma - 0.344136 * cb - 0.714136 * cr, luma + 1.772 * cb]
+            assert all(abs(int(g) - min(255, max(0, w))) <= 1 for g, w in zip(got[y, x], want, strict=True))
+
+
 def test_inverse_transform_is_the_cosine_sum():
     rng = np.random.default_rng(1)
     block = rng.integers(-60, 60, (1, 64)).astype(np.int16)
