@@ -5,16 +5,18 @@ in every 100-byte string the suffix that starts with the least hashed 48-byte gr
 have equal anchors. The strings that share an anchor in a row of places are a unit: a few dozen strings, one suffix.
 
 1. Units go to ranges of leading bytes, cut by sampled splitters; each bucket sorts its suffixes by multikey quicksort.
-   Of equal units all but the first are repeats as a whole. First units whose gram other units have too, and those at
-   the edge of a bucket whose neighbours in order lie in another, are open: some of their strings may be repeats.
-2. The strings of open units are sorted in the same way, and each that is not the first of its equals is a repeat. This also compares across the boundaries of step 1.
+   Of equal units all but the first are repeats as a whole. First units whose gram other units have too are open: some
+   of their strings may be repeats. So are those whose leading bytes a boundary between buckets cuts.
+2. The strings of open units are sorted in the same way, and each that is not the first of its equals is a repeat. This
+   also compares across the boundaries of step 1. Leading bytes that many strings share are cut by digest.
 3. Repeats return to their documents, whose covered bytes are removed.
 
 Texts meet their marks in groups of bounded bytes, by a hash of the row; nothing is gathered by content alone. Equal
 units or strings that meet in one task are reduced to the first before they are shuffled, so a passage that a third of
-the corpus shares reaches its bucket a few times. Units
-are equal if 8 leading bytes, 32 bits of the gram's hash and a 64-bit digest agree, strings if 8 leading bytes and a
-64-bit digest do; carrying the strings themselves took too much disk.
+the corpus shares reaches its bucket a few times. Units are equal if 8 leading bytes, 32 bits of the gram's hash and a
+digest agree, strings if 8 leading bytes and a digest do; carrying the strings themselves took too much disk. The digest
+has 64 bits, and 128 for inputs beyond WIDE_BYTES: of n strings with the same leading bytes, n * n / 2**65 pairs are
+expected to be taken for equal by 64 bits and n * n / 2**129 by 128.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ LENGTH, GRAM = 100, 48
 SLAB = 1 << 21
 #: Units that a task holds before it passes them on, bytes of text in a bucket's share, and in a group of documents.
 HELD, BUCKET_BYTES, GROUP_BYTES, MOST_SPLITTERS = 700_000, 12_000_000, 8_000_000, 4096
+#: Bytes of text beyond which digests have 128 bits.
+WIDE_BYTES = 1 << 36
 _M = np.uint64(0x9E3779B97F4A7C15)
 Docs = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -109,8 +113,18 @@ def least(h: np.ndarray, width: int) -> np.ndarray:
         k += step
 
 
-def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(document index, first string, past the last string's bytes, lead, gram hash, digest) of units, in slabs.
+def digests(b: np.ndarray, lo: np.ndarray, hi: np.ndarray, wide: bool) -> np.ndarray:
+    """A row of one or two words for each stretch of bytes."""
+    view = memoryview(b)
+    if not wide:
+        digest = xxhash.xxh3_64_intdigest
+        return np.fromiter([digest(view[x:y]) for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], np.uint64, len(lo)).reshape(-1, 1)
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(view[x:y]) for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]), np.uint64).reshape(-1, 2)
+
+
+def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, wide: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document index, first string, past the last string's bytes, lead, gram hash, digests) of units, in slabs.
 
     A slab ends after SLAB bytes; it cuts units but loses no string.
     """
@@ -133,8 +147,7 @@ def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tu
         at = least(h, LENGTH - GRAM + 1)[:n][s]
         new = np.flatnonzero(np.r_[True, (s[1:] != s[:-1] + 1) | (at[1:] != at[:-1])])
         lo, hi, anchor = s[new], s[np.r_[new[1:], len(s)] - 1] + LENGTH, at[new]
-        view, digest = memoryview(b), xxhash.xxh3_64_intdigest
-        dig = np.fromiter([digest(view[x:y]) for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], np.uint64, len(lo))
+        dig = digests(b, lo, hi, wide)
         lead = np.lib.stride_tricks.sliding_window_view(b, 16)[anchor]
         doc = np.searchsorted(starts, lo + begin, "right") - 1
         yield doc, lo + begin - starts[doc], hi + begin - starts[doc], lead, (h[anchor] >> np.uint64(32)).astype(np.uint32), dig
@@ -178,30 +191,34 @@ def by_id(did: np.ndarray) -> np.ndarray:
 
 
 class Ranges:
-    """Buckets of leading bytes: sampled splitters, and beyond MOST_SPLITTERS a hash of the lead within a range.
+    """Buckets of leading bytes: sampled splitters, and beyond MOST_SPLITTERS a hash within a range.
 
-    A splitter is a lead and a document id, so that one lead holding many units is cut between documents; strings
-    of step 2 are cut by leads alone.
+    For units a splitter is a lead and a document id, so that a lead of many units is cut between documents; such leads
+    are `split`. For strings a lead that is several splitters is spread by digest over the ranges between them, so that
+    equal strings still meet.
     """
 
-    def __init__(self, keys: np.ndarray, buckets: int) -> None:
+    def __init__(self, keys: np.ndarray, strings: np.ndarray, buckets: int, wide: bool = False) -> None:
         n = min(buckets, MOST_SPLITTERS)
-        keys = np.sort(keys)
-        self.cuts = np.unique(keys[(np.arange(1, n) * len(keys)) // n]) if len(keys) else keys
-        self.leads = np.unique(self.cuts.astype("S16"))
-        self.parts = -(-buckets // n)
+        quantiles = lambda a: np.sort(a)[(np.arange(1, n) * len(a)) // n] if len(a) else a
+        self.cuts, self.leads = np.unique(quantiles(keys)), quantiles(strings)
+        self.split = np.unique(self.cuts.astype("S16"))
+        self.parts, self.wide = -(-buckets // n), wide
 
-    def _part(self, lead: np.ndarray, found: np.ndarray) -> np.ndarray:
-        if self.parts == 1:
-            return found
-        w = np.ascontiguousarray(lead).view(np.uint64).reshape(-1, 2)
-        return found * self.parts + ((w[:, 0] * _M ^ w[:, 1]) * _M >> np.uint64(33)).astype(np.int64) % self.parts
+    def of_units(self, lead: np.ndarray, did: np.ndarray, gram: np.ndarray) -> np.ndarray:
+        """The bucket of units; those with one gram share it unless their lead is split."""
+        return np.searchsorted(self.cuts, keyed(lead, did), "right") * self.parts + gram.astype(np.int64) % self.parts
 
-    def of_units(self, lead: np.ndarray, did: np.ndarray) -> np.ndarray:
-        return self._part(lead, np.searchsorted(self.cuts, keyed(lead, did), "right"))
+    def is_split(self, lead: np.ndarray) -> np.ndarray:
+        lead = np.ascontiguousarray(lead).view("S16").ravel()
+        return np.searchsorted(self.split, lead, "right") > np.searchsorted(self.split, lead, "left")
 
-    def of_strings(self, lead: np.ndarray) -> np.ndarray:
-        return self._part(lead, np.searchsorted(self.leads, np.ascontiguousarray(lead).view("S16").ravel(), "right"))
+    def of_strings(self, lead: np.ndarray, digest: np.ndarray) -> np.ndarray:
+        """The bucket of strings; equal strings share it."""
+        lead = np.ascontiguousarray(lead).view("S16").ravel()
+        first, last = np.searchsorted(self.leads, lead, "left"), np.searchsorted(self.leads, lead, "right")
+        low, high = (digest & np.uint64(0xFFFFFFFF)).astype(np.int64), (digest >> np.uint64(32)).astype(np.int64)
+        return (first + low % (last - first + 1)) * self.parts + high % self.parts
 
 
 def keyed(lead: np.ndarray, did: np.ndarray) -> np.ndarray:
@@ -224,10 +241,14 @@ def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 #: Marks: document id, row hash, first and past-the-last byte, 1 for an open unit and 0 for a repeat.
 MARKS = (np.int64, np.int64, np.uint32, np.uint32, np.uint8)
-#: Units: first string, bytes, 1 for a repeat that only passes through, lead, gram hash, digest.
-UNITS = (np.uint32, np.uint8, np.uint8, np.uint64, np.uint32, np.uint64)
-#: Strings: place, lead, digest.
-STRINGS = (np.uint32, np.uint64, np.uint64)
+#: Units: first string, bytes, 1 for a repeat that only passes through and 2 for a split lead, lead, gram hash; digests follow.
+UNITS = (np.uint32, np.uint8, np.uint8, np.uint64, np.uint32)
+#: Strings: place, lead; digests follow.
+STRINGS = (np.uint32, np.uint64)
+
+
+def _digest_kinds(wide: bool) -> tuple[type, ...]:
+    return (np.uint64,) * (1 + wide)
 
 
 def joined(did: np.ndarray, rk: np.ndarray, lo: np.ndarray, hi: np.ndarray, kind: np.ndarray) -> list[np.ndarray]:
@@ -275,18 +296,13 @@ def _unit_chunks(held: list[list[np.ndarray]], ranges: Ranges) -> Iterator[tuple
     """Chunks (bucket, payload) of the units that a task holds; repeats within the task are passed on as such."""
     did, rk, lo, hi, lead, gram, dig = (np.concatenate(x) for x in zip(*held, strict=True))
     first8 = word(lead)
-    order, _ = multikey([first8, gram, dig, by_id(did), lo])
-    w, g, d = first8[order], gram[order], dig[order]
-    same = np.zeros(len(order), bool)
-    same[1:] = (w[1:] == w[:-1]) & (g[1:] == g[:-1]) & (d[1:] == d[:-1])
-    first = order[first_of_runs(same)]
-    repeat = np.zeros(len(order), bool)
-    repeat[order] = (did[order] != did[first]) | (lo[order] != lo[first])
-    bucket = ranges.of_units(lead, did)
+    repeat = _repeats([first8, gram, *dig.T], did, lo)
+    bucket = ranges.of_units(lead, did, gram)
     bucket[repeat] = np.mod(rk[repeat], len(ranges.cuts) + 1) * ranges.parts  # anywhere: they only pass through
+    kind = np.where(repeat, 1, np.where(ranges.is_split(lead), 2, 0)).astype(np.uint8)
     first8[repeat], gram[repeat], dig[repeat] = 0, 0, 0
     for b, at in _split(bucket):
-        yield b, pack_rows(did[at], rk[at], lo[at].astype(np.uint32), (hi[at] - lo[at]).astype(np.uint8), repeat[at].astype(np.uint8), first8[at], gram[at], dig[at])
+        yield b, pack_rows(did[at], rk[at], lo[at].astype(np.uint32), (hi[at] - lo[at]).astype(np.uint8), kind[at], first8[at], gram[at], *dig[at].T)
 
 
 def unit_rows(docs: DataFrame, ranges) -> DataFrame:  # noqa: ANN001
@@ -296,7 +312,7 @@ def unit_rows(docs: DataFrame, ranges) -> DataFrame:  # noqa: ANN001
         held, n = [], 0
         for b in batches:
             did, rk = b["did"].to_numpy(zero_copy_only=False), b["rk"].to_numpy(zero_copy_only=False)
-            for doc, lo, hi, lead, gram, dig in units(*bodies(b["t"])):
+            for doc, lo, hi, lead, gram, dig in units(*bodies(b["t"]), ranges.value.wide):
                 held.append([did[doc], rk[doc], lo, hi, lead, gram, dig])
                 n += len(doc)
                 if n > HELD:
@@ -308,29 +324,29 @@ def unit_rows(docs: DataFrame, ranges) -> DataFrame:  # noqa: ANN001
     return docs.select("did", "rk", "t").mapInArrow(run, "bucket int, payload binary")
 
 
-def unit_marks(chunks: DataFrame, groups: int) -> DataFrame:
+def unit_marks(chunks: DataFrame, groups: int, wide: bool = False) -> DataFrame:
     """(pid, payload) of marks: repeated units, and open ones."""
 
     def run(t: pa.Table) -> pa.Table:
-        did, rk, lo, n, passes, w, g, d = (np.concatenate(x) for x in zip(*(unpack_rows(p.as_py(), UNITS) for p in t["payload"]), strict=True))
-        passed = passes == 1
+        did, rk, lo, n, kind, w, g, *d = (np.concatenate(x) for x in zip(*(unpack_rows(p.as_py(), UNITS + _digest_kinds(wide)) for p in t["payload"]), strict=True))
+        passed = kind == 1
         through = [did[passed], rk[passed], lo[passed], lo[passed] + n[passed]]
-        did, rk, lo, hi, w, g, d = (c[~passed] for c in (did, rk, lo, lo + n, w, g, d))
-        order, _ = multikey([w, g, d, by_id(did), lo]) if len(did) else (np.zeros(0, np.int64), None)
-        did, rk, lo, hi, w, g, d = (c[order] for c in (did, rk, lo, hi, w, g, d))
-        grams, same = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        did, rk, lo, hi, kind, w, g, *d = (c[~passed] for c in (did, rk, lo, lo + n, kind, w, g, *d))
+        order, _ = multikey([w, g, *d, by_id(did), lo])
+        did, rk, lo, hi, kind, w, g, *d = (c[order] for c in (did, rk, lo, hi, kind, w, g, *d))
+        grams = np.zeros(len(order), bool)
         grams[1:] = (w[1:] == w[:-1]) & (g[1:] == g[:-1])
-        same[1:] = grams[1:] & (d[1:] == d[:-1])
+        same = grams.copy()
+        for c in d:
+            same[1:] &= c[1:] == c[:-1]
         first = first_of_runs(same)
         repeat = (did != did[first]) | (lo != lo[first])
         run_of = np.cumsum(~grams) - 1
         several = np.bincount(run_of, ~same) > 1 if len(order) else np.zeros(0, bool)
-        if len(several):
-            edge = (w == w[0]) | (w == w[-1])  # their equals may lie in the buckets beside this one
-        mark = repeat | several[run_of] | edge if len(order) else repeat
+        mark = repeat | several[run_of] | (kind == 2) if len(order) else repeat
         out = [np.concatenate([a, b[mark]]) for a, b in zip(through, (did, rk, lo, hi), strict=True)]
-        kind = np.concatenate([np.zeros(passed.sum(), np.uint8), (~repeat[mark]).astype(np.uint8)])
-        return _table(_marks(groups, [*out, kind]), "pid")
+        opened = np.concatenate([np.zeros(passed.sum(), np.uint8), (~repeat[mark]).astype(np.uint8)])
+        return _table(_marks(groups, [*out, opened]), "pid")
 
     return chunks.groupBy("bucket").applyInArrow(run, "pid int, payload binary")
 
@@ -356,12 +372,14 @@ def _of_docs(marks: pa.Table, docs: pa.Table, kind: int) -> tuple[np.ndarray, ..
     return row, np.repeat(lo, n).astype(np.int64), np.repeat(hi, n).astype(np.int64)
 
 
-def _repeats(lead: np.ndarray, dig: np.ndarray, did: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    """Whether each string is a repeat: not the first of its equals in order of ids and places."""
-    order, _ = multikey([lead, dig, by_id(did), lo])
-    w, d = lead[order], dig[order]
-    same = np.zeros(len(order), bool)
-    same[1:] = (w[1:] == w[:-1]) & (d[1:] == d[:-1])
+def _repeats(content: Sequence[np.ndarray], did: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Whether each row is a repeat: not the first of those with equal content in order of ids and places."""
+    order, _ = multikey([*content, by_id(did), lo])
+    same = np.ones(len(order), bool)
+    same[:1] = False
+    for c in content:
+        c = c[order]
+        same[1:] &= c[1:] == c[:-1]
     first = order[first_of_runs(same)]
     out = np.zeros(len(order), bool)
     out[order] = (did[order] != did[first]) | (lo[order] != lo[first])
@@ -385,30 +403,29 @@ def string_rows(docs: DataFrame, marks: DataFrame, ranges) -> DataFrame:  # noqa
                 at = np.repeat(lo[a:b], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
                 spot = starts[owner] + at
                 lead = np.lib.stride_tricks.sliding_window_view(data, 16)[spot]
-                view, digest = memoryview(data), xxhash.xxh3_64_intdigest
-                first8, dig = word(lead), np.fromiter([digest(view[x : x + LENGTH]) for x in spot.tolist()], np.uint64, len(spot))
+                first8, dig = word(lead), digests(data, spot, spot + LENGTH, ranges.value.wide)
                 did, rk = all_did[owner], all_rk[owner]
-                repeat = _repeats(first8, dig, did, at)
+                repeat = _repeats([first8, *dig.T], did, at)
                 r, k = np.flatnonzero(repeat), np.flatnonzero(~repeat)
                 if len(r):
                     rows.append((pid, pid, pack(*joined(did[r], rk[r], at[r], at[r] + LENGTH, np.zeros(len(r))))))
-                for bucket, x in _split(ranges.value.of_strings(lead[k])):
+                for bucket, x in _split(ranges.value.of_strings(lead[k], dig[k, 0])):
                     x = k[x]
-                    rows.append((bucket, -1, pack_rows(did[x], rk[x], at[x].astype(np.uint32), first8[x], dig[x])))
+                    rows.append((bucket, -1, pack_rows(did[x], rk[x], at[x].astype(np.uint32), first8[x], *dig[x].T)))
         return pa.table({"bucket": pa.array([x for x, _, _ in rows], pa.int32()), "pid": pa.array([x for _, x, _ in rows], pa.int32()), "payload": pa.array([x for _, _, x in rows], pa.binary())})
 
     return docs.groupBy("pid").cogroup(marks.groupBy("pid")).applyInArrow(run, "bucket int, pid int, payload binary")
 
 
-def string_marks(rows: DataFrame, groups: int) -> DataFrame:
+def string_marks(rows: DataFrame, groups: int, wide: bool = False) -> DataFrame:
     """(pid, payload) of the repeats among strings that meet in a bucket, and those that pass through."""
 
     def run(t: pa.Table) -> pa.Table:
         out = [(pid, p) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid >= 0]
-        parts = [unpack_rows(p, STRINGS) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid < 0]
+        parts = [unpack_rows(p, STRINGS + _digest_kinds(wide)) for pid, p in zip(t["pid"].to_pylist(), t["payload"].to_pylist(), strict=True) if pid < 0]
         if parts:
-            did, rk, lo, lead, dig = (np.concatenate(x) for x in zip(*parts, strict=True))
-            r = np.flatnonzero(_repeats(lead, dig, did, lo))
+            did, rk, lo, *content = (np.concatenate(x) for x in zip(*parts, strict=True))
+            r = np.flatnonzero(_repeats(content, did, lo))
             out += _marks(groups, [did[r], rk[r], lo[r], lo[r] + LENGTH, np.zeros(len(r))])
         return _table(iter(out), "pid")
 
@@ -448,8 +465,8 @@ def cleaned(docs: DataFrame, marks: DataFrame, text: bool) -> DataFrame:
     return docs.groupBy("pid").cogroup(marks.groupBy("pid")).applyInArrow(run, schema)
 
 
-def sampled_ranges(docs: DataFrame, count: int, buckets: int) -> Ranges:
-    """Splitters from the leads of about 1000 documents (64 of each at most), drawn by a hash of the row."""
+def sampled_ranges(docs: DataFrame, count: int, buckets: int, wide: bool = False) -> Ranges:
+    """Splitters from the leads of about 1000 documents (64 units and 64 strings of each), drawn by a hash of the row."""
     share = min(1.0, max(1000, min(buckets, MOST_SPLITTERS) // 2) / max(1, count))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,20 +477,24 @@ def sampled_ranges(docs: DataFrame, count: int, buckets: int) -> Ranges:
                 found = [keyed(lead, did[doc + i]) for doc, _, _, lead, _, _ in units(data, starts[i : i + 1], ends[i : i + 1])]
                 if found:
                     keys = np.concatenate(found)
-                    yield pa.RecordBatch.from_arrays([pa.array([keys[:: -(-len(keys) // 64)].tobytes()], pa.binary())], names=["keys"])
+                    places = np.arange(starts[i], ends[i] - LENGTH + 1)
+                    strings = np.lib.stride_tricks.sliding_window_view(data, 16)[places[:: -(-len(places) // 64)]]
+                    yield pa.RecordBatch.from_arrays([pa.array([keys[:: -(-len(keys) // 64)].tobytes()], pa.binary()), pa.array([strings.tobytes()], pa.binary())], names=["keys", "strings"])
 
     sample = docs.where(F.col("rk").bitwiseAND((1 << 30) - 1) < int(share * (1 << 30)) + 1)
-    got = b"".join(bytes(r.keys) for r in sample.select("did", "t").mapInArrow(run, "keys binary").collect())
-    return Ranges(np.frombuffer(got, "S24"), buckets)
+    got = sample.select("did", "t").mapInArrow(run, "keys binary, strings binary").collect()
+    return Ranges(np.frombuffer(b"".join(bytes(r.keys) for r in got), "S24"), np.frombuffer(b"".join(bytes(r.strings) for r in got), "S16"), buckets, wide)
 
 
-def deduped(docs: DataFrame, row: Column, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
+def deduped(docs: DataFrame, row: Column, text: str = "text", key: str = "doc_id", with_text: bool = False, wide: bool | None = None) -> DataFrame:
     """`row` of every document with n_bytes, n_removed, n_spans, kept_sha256 (and kept, the remaining text).
 
     Null texts are empty and lose nothing; texts under 100 bytes hold no string. A null id comes after all others.
     Rows with equal ids are one document to the order of ids: a string at the same place of the same id is not
     earlier. Repeated rows get equal results. A removal may cut a multi-byte character: kept_sha256 is of the bytes,
-    while the text leaves broken characters out.
+    while the text leaves broken characters out. Very long texts are cut in slabs that lose no string; an empty table
+    gives an empty result. Only text, key and `row` are read, so other names cannot clash. `wide` digests have 128
+    bits; the default goes by the bytes of text.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -483,10 +504,11 @@ def deduped(docs: DataFrame, row: Column, text: str = "text", key: str = "doc_id
     size = rows.agg(F.sum(F.octet_length("t")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     total = size.b or 0
     buckets, groups = max(64, total // BUCKET_BYTES), max(128, total // GROUP_BYTES)
-    ranges = spark.sparkContext.broadcast(sampled_ranges(rows, size.n, buckets))
+    wide = total > WIDE_BYTES if wide is None else wide
+    ranges = spark.sparkContext.broadcast(sampled_ranges(rows, size.n, buckets, wide))
     grouped = rows.select(F.pmod("rk", F.lit(groups)).cast("int").alias("pid"), "did", "rk", "t", "row")
-    marks = unit_marks(unit_rows(rows, ranges), groups)
-    more = string_marks(string_rows(grouped, marks, ranges), groups)
+    marks = unit_marks(unit_rows(rows, ranges), groups, wide)
+    more = string_marks(string_rows(grouped, marks, ranges), groups, wide)
     return cleaned(grouped, marks.unionByName(more), with_text)
 
 

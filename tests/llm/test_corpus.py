@@ -564,14 +564,30 @@ def random_texts():
     return [*rows, (7, rows[7][1]), (7, "other " + base[:150]), (None, base), (200, None), (201, ""), (202, "\x00" * 150)]
 
 
-def test_suffixes_by_brute_force(spark):
+@pytest.mark.parametrize(("wide", "bytes_"), [(False, 12_000_000), (True, 100)])
+def test_suffixes_by_brute_force(spark, wide, bytes_, monkeypatch):
+    """With both digests, and with so small buckets that ranges are cut further by hashes."""
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", bytes_)
+    monkeypatch.setattr(suffixes, "MOST_SPLITTERS", 40)
     data = random_texts()
     got = {}
-    for r in suffixes.deduped(spark.createDataFrame(data, "doc_id long, text string"), F.col("doc_id")).collect():
+    for r in suffixes.deduped(spark.createDataFrame(data, "doc_id long, text string"), F.col("doc_id"), wide=wide).collect():
         got.setdefault(r.row if r.row is not None else 1 << 63, []).append(tuple(r)[1:])
     assert {k: sorted(v) for k, v in got.items()} == brute(data)
 
 
+def test_hot_leads_are_cut():
+    """A lead of a third of all strings is spread over about a third of the buckets; equal strings stay together."""
+    rng = np.random.default_rng(7)
+    leads = rng.integers(97, 123, (30_000, 16)).astype(np.uint8)
+    leads[:10_000] = 32
+    r = suffixes.Ranges(np.zeros(0, "S24"), leads.view("S16").ravel()[::7], 64)
+    digest = rng.integers(0, 1 << 62, 30_000).astype(np.uint64)
+    bucket = r.of_strings(leads, digest)
+    assert np.bincount(bucket).max() < 3 * 30_000 / 64 and len(np.unique(bucket[:10_000])) > 15
+    assert (r.of_strings(leads[::-1].copy(), digest[::-1].copy())[::-1] == bucket).all()
+
+
 def test_suffixes_sql(spark):
     same(spark, suffixes.op10_suffixes, suffixes.SQL["op10_suffixes"], SF)
 
