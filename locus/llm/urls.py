@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,57 +28,34 @@ class Rule:
 
 RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"))
 
-#: The small labelled table that the model is trained from: (url, 1 to block, 0 to allow).
-SEEDS = (
-    ("https://www.cheap-pills.example.com/en/0", 1), ("https://www.city-library.example.com/en/0", 0),
-    ("http://blog.pills-shop.example.org/de/137.html", 1), ("http://blog.library.example.org/de/137.html", 0),
-    ("https://m.cheap-meds.example.com/de/274/", 1), ("https://m.north-library.example.com/de/274/", 0),
-    ("http://meds-online.example.org/es/411", 1), ("http://garden.example.org/es/411", 0),
-    ("https://www.online-pills.example.com/fr/548.html", 1), ("https://www.city-garden.example.com/fr/548.html", 0),
-    ("http://blog.casino-bonus.example.org/fr/685/", 1), ("http://blog.school.example.org/fr/685/", 0),
-    ("https://m.online-casino.example.com/de/822", 1), ("https://m.north-school.example.com/de/822", 0),
-    ("http://casino-slots.example.org/en/959.html", 1), ("http://school-news.example.org/en/959.html", 0),
-    ("https://www.free-slots.example.com/en/99/", 1), ("https://www.museum.example.com/en/99/", 0),
-    ("http://blog.slots-win.example.org/fr/236", 1), ("http://blog.city-museum.example.org/fr/236", 0),
-    ("https://m.free-bets.example.com/es/373.html", 1), ("https://m.news.example.com/es/373.html", 0),
-    ("http://bets-online.example.org/es/510/", 1), ("http://daily-news.example.org/es/510/", 0),
-    ("https://www.win-bets.example.com/en/647", 1), ("https://www.weather.example.com/en/647", 0),
-    ("http://blog.casino-win.example.org/de/784.html", 1), ("http://blog.weather-maps.example.org/de/784.html", 0),
-    ("https://m.free-money.example.com/de/921/", 1), ("https://m.history.example.com/de/921/", 0),
-    ("http://money-win.example.org/es/61", 1), ("http://local-history.example.org/es/61", 0),
-    ("https://www.fast-money.example.com/fr/198.html", 1), ("https://www.recipes.example.com/fr/198.html", 0),
-    ("http://blog.cash-loans.example.org/fr/335/", 1), ("http://blog.home-recipes.example.org/fr/335/", 0),
-    ("https://m.fast-loans.example.com/de/472", 1), ("https://m.music.example.com/de/472", 0),
-    ("http://loans-online.example.org/en/609.html", 1), ("http://folk-music.example.org/en/609.html", 0),
-    ("https://www.adult-cams.example.com/en/746/", 1), ("https://www.maps.example.com/en/746/", 0),
-    ("http://blog.adult-video.example.org/fr/883", 1), ("http://blog.city-maps.example.org/fr/883", 0),
-    ("https://m.adult-chat.example.com/es/23.html", 1), ("https://m.college.example.com/es/23.html", 0),
-    ("http://cams-live.example.org/es/160/", 1), ("http://science.example.org/es/160/", 0),
-    ("https://www.live-adult.example.com/en/297", 1), ("https://www.college-science.example.com/en/297", 0),
-    ("http://blog.ads-click.example.org/de/434.html", 1), ("http://blog.travel.example.org/de/434.html", 0),
-    ("https://m.click-track.example.com/de/571/", 1), ("https://m.river-travel.example.com/de/571/", 0),
-    ("http://track-ads.example.org/es/708", 1), ("http://river.example.org/es/708", 0),
-    ("https://www.ads-banner.example.com/fr/845.html", 1), ("https://www.north-river.example.com/fr/845.html", 0),
-    ("http://blog.free-click.example.org/fr/982/", 1), ("http://blog.thinger.example.org/fr/982/", 0),
-    ("https://m.spam-links.example.com/de/122", 1), ("https://m.onher.example.com/de/122", 0),
-    ("http://links-farm.example.org/en/259.html", 1), ("http://anreed.example.org/en/259.html", 0),
-    ("https://www.spam-offers.example.com/en/396/", 1), ("https://www.thation.example.com/en/396/", 0),
-    ("http://blog.farm-spam.example.org/fr/533", 1), ("http://blog.inerst.example.org/fr/533", 0),
-    ("https://m.offers-click.example.com/es/670.html", 1), ("https://m.edorth.example.com/es/670.html", 0),
-    ("http://win-prizes.example.org/es/807/", 1), ("http://heares.example.org/es/807/", 0),
-    ("https://www.free-prizes.example.com/en/944", 1), ("https://www.ndouly.example.com/en/944", 0),
-    ("http://blog.prizes-click.example.org/de/84.html", 1), ("http://blog.ererent.example.org/de/84.html", 0),
-    ("https://m.poker-bets.example.com/de/221/", 1), ("https://m.theand.example.com/de/221/", 0),
-    ("http://poker-win.example.org/es/358", 1), ("http://stence.example.org/es/358", 0),
-    ("https://www.crack-keygen.example.com/fr/495.html", 1), ("https://www.atering.example.com/fr/495.html", 0),
-    ("http://blog.keygen-free.example.org/fr/632/", 1), ("http://blog.bleouth.example.org/fr/632/", 0),
-    ("https://m.crack-download.example.com/de/769", 1), ("https://m.shouter.example.com/de/769", 0),
-    ("http://free-download.example.org/en/906.html", 1), ("http://andting.example.org/en/906.html", 0),
-    ("https://www.cheap-replica.example.com/en/46/", 1), ("https://www.whedor.example.com/en/46/", 0),
-    ("http://blog.replica-shop.example.org/fr/183", 1), ("http://blog.erstion.example.org/fr/183", 0),
-    ("https://m.cheap-watches.example.com/es/320.html", 1), ("https://m.inghea.example.com/es/320.html", 0),
-    ("http://shop-cheap.example.org/es/457/", 1), ("http://oranth.example.org/es/457/", 0),
-)
+#: What URL filters commonly name when they block, and ordinary subjects of sites, from general knowledge: fixed values.
+BLOCK_WORDS = (
+    "casino poker roulette blackjack jackpot betting slots bingo lottery sportsbook viagra cialis pharmacy pills tramadol xanax steroids "
+    "slimming porn xxx nude escort cams hentai erotic fetish swingers warez torrent crack keygen serials nulled cheats malware phishing "
+    "spyware ransomware payday loans forex doubler giveaway prizes sweepstakes replica counterfeit knockoff freegift clickbait adserver "
+    "popunder doorway linkfarm backlinks spam traffic-bot bulkmail getrich miracle"
+).split()
+ALLOW_WORDS = (
+    "library university museum school kindergarten newspaper weather recipes garden travel history science music theatre hospital clinic "
+    "council parliament research journal books poetry football cycling railway bridges astronomy biology chemistry physics mathematics "
+    "geology forest rivers mountains bakery kitchen crafts knitting pottery architecture films photography languages dictionary "
+    "encyclopedia documentation developers opensource volunteers charity choir orchestra farming beekeeping sailing hiking birds"
+).split()
+#: Hosts and paths around a labelled word and a second of its class. Both classes use all of them alike.
+HOSTS = ("www.{a}.com", "{a}-{b}.org", "the{a}.net", "{a}.{b}world.com", "shop.{a}{b}.info", "my-{a}.co.uk")
+PATHS = ("/", "/index.html", "/{b}/{a}", "/blog/2021/{b}.html", "/view.php", "/en/about-{a}")
+
+
+def seed_table(words: Sequence[Sequence[str]] = (ALLOW_WORDS, BLOCK_WORDS)) -> list[tuple[str, int]]:
+    """The labelled table that the model is trained from: (url, 1 to block, 0 to allow), two rows for each word."""
+    rows = []
+    for label, names in enumerate(words):
+        for i, name in enumerate(names):
+            for k in (0, 1):
+                other = names[(i + 7 * k + 3) % len(names)]
+                host, path = HOSTS[(i + 3 * k) % len(HOSTS)], PATHS[(2 * i + k) % len(PATHS)]
+                rows.append(("https://" + (host + path).format(a=name, b=other), label))
+    return rows
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -104,11 +80,28 @@ def parsed(pages: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES, ke
     return split.withColumn("_m", matched(F.col("host"), F.col("path"), rules)).select(*keep, "host", "path", F.col("_m.rule").alias("rule"), F.col("_m.verdict").alias("_verdict"))
 
 
-def features(host: str, path: str, bits: int, lengths: Sequence[int]) -> np.ndarray:
-    """Distinct hashed slots of the character n-grams of host and path, host and path apart."""
-    grams = {f"{tag}{part[i:i + n]}" for tag, part in (("h", f"^{host}$"), ("p", f"^{path}$")) for n in lengths for i in range(len(part) - n + 1)}
-    mask = (1 << bits) - 1
-    return np.fromiter({xxhash.xxh32_intdigest(g.encode("utf-8", "replace"), 7) & mask for g in grams}, np.int64)
+def _windows(texts: Sequence[str], salt: int, lengths: Sequence[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, hash) of all character n-grams of ^text$, all texts at once."""
+    codes = np.frombuffer("".join(f"^{t}$" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts))
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(owner))  # characters from here to the text's end
+    for n in lengths:
+        if len(codes) < n:
+            continue
+        h = np.full(len(codes) - n + 1, salt * 31 + n, np.uint64)
+        for k in range(n):
+            h = (h ^ codes[k : len(codes) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        inside = left[: len(h)] >= n
+        yield owner[: len(h)][inside], h[inside]
+
+
+def features(hosts: Sequence[str], paths: Sequence[str], bits: int, lengths: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, slot): distinct hashed slots of the character n-grams of each row's host and path, host and path apart."""
+    found = [(o << bits) | (h >> np.uint64(64 - bits)).astype(np.int64) for salt, texts in enumerate((hosts, paths)) for o, h in _windows(texts, salt + 1, lengths)]
+    both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return both >> bits, both & (1 << bits) - 1
 
 
 @dataclass(frozen=True)
@@ -118,22 +111,36 @@ class UrlModel:
     bits: int
     lengths: tuple[int, ...]
 
-    def score(self, host: str, path: str) -> float:
-        """The probability of block."""
-        f = features(host, path, self.bits, self.lengths)
-        return float(1 / (1 + np.exp(-(self.bias + self.weights[f].sum() / max(1.0, np.sqrt(len(f)))))))
+    def scores(self, hosts: Sequence[str], paths: Sequence[str], most: int = 1 << 18) -> np.ndarray:
+        """The probabilities of block, in slices of about `most` characters."""
+        out, start, size = [], 0, 0
+        for i, (h, p) in enumerate(zip(hosts, paths, strict=True)):
+            if i > start and size + len(h) + len(p) > most:
+                out.append(self._slice(hosts[start:i], paths[start:i]))
+                start, size = i, 0
+            size += len(h) + len(p)
+        out.append(self._slice(hosts[start:], paths[start:]))
+        return np.concatenate(out)
 
+    def _slice(self, hosts: Sequence[str], paths: Sequence[str]) -> np.ndarray:
+        row, slot = features(hosts, paths, self.bits, self.lengths)
+        total, count = np.bincount(row, self.weights[slot], len(hosts)), np.bincount(row, minlength=len(hosts))
+        return 1 / (1 + np.exp(-(self.bias + total / np.sqrt(np.maximum(1, count)))))
 
-def trained(rows: Sequence[tuple[str, str, int]], bits: int = 16, lengths: tuple[int, ...] = (3, 4, 5), rounds: int = 200, rate: float = 1.0, ridge: float = 1e-4) -> UrlModel:
-    """Logistic regression by full-batch gradient descent over (host, path, label) rows, classes weighted alike."""
-    weights, bias = np.zeros(1 << bits), 0.0
+
+def trained(rows: Sequence[tuple[str, str, int]], bits: int = 16, lengths: tuple[int, ...] = (3, 4, 5), rounds: int = 200, rate: float = 1.0, ridge: float = 1e-4, prior: float = 0.3) -> UrlModel:
+    """Logistic regression by full-batch gradient descent over (host, path, label) rows.
+
+    The classes are weighted so that block has the share `prior`: of a url that shares nothing with the table, allow is
+    the likelier.
+    """
+    weights, bias = np.zeros(1 << bits), float(np.log(prior / (1 - prior)))
     if not rows:
-        return UrlModel(weights, -1.0, bits, lengths)
-    each = [features(h, p, bits, lengths) for h, p, _ in rows]
-    owner, slot = np.repeat(np.arange(len(each)), [len(f) for f in each]), np.concatenate(each)
+        return UrlModel(weights, bias, bits, lengths)
+    owner, slot = features([h for h, *_ in rows], [p for _, p, _ in rows], bits, lengths)
     norm = np.sqrt(np.maximum(1, np.bincount(owner, minlength=len(rows))))
     y = np.array([label for *_, label in rows], float)
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    share = np.where(y == 1, prior / max(1, y.sum()), (1 - prior) / max(1, (1 - y).sum()))
     for _ in range(rounds):
         z = bias + np.bincount(owner, weights[slot], len(rows)) / norm
         miss = (1 / (1 + np.exp(-z)) - y) * share
@@ -142,7 +149,7 @@ def trained(rows: Sequence[tuple[str, str, int]], bits: int = 16, lengths: tuple
     return UrlModel(weights, bias, bits, lengths)
 
 
-def labelled(seeds: Sequence[tuple[str, int]] = SEEDS) -> list[tuple[str, str, int]]:
+def labelled(seeds: Sequence[tuple[str, int]]) -> list[tuple[str, str, int]]:
     """(host, path, label) of a labelled URL table, split as host_path() does."""
     rows = []
     for address, label in seeds:
@@ -152,32 +159,27 @@ def labelled(seeds: Sequence[tuple[str, int]] = SEEDS) -> list[tuple[str, str, i
     return rows
 
 
-def judged(pages: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES, seeds: Sequence[tuple[str, int]] = SEEDS, threshold: float = 0.5, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+def judged(pages: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES, seeds: Sequence[tuple[str, int]] | None = None, threshold: float = 0.5, keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """Rules decide where one fits, else the model: keep columns, host, path, rule, verdict, score.
 
-    The model is trained on the driver from the labelled table alone, which is small by contract and independent of
-    the number of pages. score is the probability of block, null where a rule decides. Null urls and urls without
-    :// have empty host and path and go to the model like any other; with an empty labelled table it allows. Rows
-    are judged one by one, so repeated rows and hot hosts cost no shuffle.
+    The model is trained on the driver from the labelled table alone (seed_table() by default), which is small by
+    contract and independent of the pages. score is the probability of block, null where a rule decides. Null urls and
+    urls without :// have empty host and path and go to the model like any other; with an empty labelled table it
+    allows. Rows are judged one by one: repeated rows, ties and hot hosts cost no shuffle, an empty table gives an empty
+    result, a very long url is scored whole by one task, and only url and `keep` are read, so other names cannot clash.
     """
     spark = pages.sparkSession
     base = parsed(pages, url, rules, keep)
-    model = spark.sparkContext.broadcast(trained(labelled(seeds)))
+    model = spark.sparkContext.broadcast(trained(labelled(seed_table() if seeds is None else seeds)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[str, str], float] = {}
         for b in batches:
-            out = []
-            for host, path, fixed in zip(b["host"].to_pylist(), b["path"].to_pylist(), b["_verdict"].to_pylist(), strict=True):
-                if fixed is not None:
-                    out.append(None)
-                    continue
-                if (key := (host, path)) not in seen:
-                    if len(seen) > 100_000:
-                        seen.clear()
-                    seen[key] = model.value.score(host, path)
-                out.append(seen[key])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, "score"])
+            free = np.flatnonzero(b["_verdict"].is_null().to_numpy(zero_copy_only=False))
+            score = np.full(b.num_rows, np.nan)
+            if len(free):
+                rest = b.take(pa.array(free))
+                score[free] = model.value.scores(rest["host"].to_pylist(), rest["path"].to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score, pa.float64(), from_pandas=True)], names=[*b.schema.names, "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     verdict = F.coalesce(F.col("_verdict"), F.when(F.col("score") >= threshold, "block").otherwise("allow"))
