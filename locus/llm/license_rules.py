@@ -79,18 +79,117 @@ LICENSES: dict[str, tuple[str, str, str, str, tuple[str, ...]]] = {
     "commercial": ("rights", r"licenseref (?:commercial|proprietary)", r"all rights reserved", r"commercial licen[cs]e agreement", (r"unauthorized copying of this file via any medium is strictly prohibited",)),
 }
 
+#: Labels whose name is no licence that something is under.
+NO_NOTICE = ("public-domain", "commercial")
+
+#: Further phrases of licence texts and notices, by label.
+PHRASES: dict[str, tuple[str, ...]] = {
+    "mit": (
+        r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies",
+        r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability",
+        r"in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract",
+    ),
+    "isc": (r"the software is provided as is and the author disclaims all warranties with regard to this software",),
+    "bsd": (
+        r"redistribution and use in source and binary forms with or without modification are permitted",
+        r"redistributions of source code must retain the above copyright notice",
+        r"this software is provided by the (?:copyright holders|authors?|regents)(?: and contributors)? as is and any express or implied warranties",
+    ),
+    "bsd-3-clause": (r"the names? of (?:its|the) contributors may not be used to endorse or promote products derived from this software",),
+    "bsd-4-clause": (r"this product includes software developed by the university of california berkeley and its contributors",),
+    "apache-1.1": (r"the names apache (?:server )?and apache (?:group|software foundation) must not be used to endorse or promote products",),
+    "apache-2.0": (
+        r"you may obtain a copy of the license at (?:https? )?(?:www )?apache org licenses license 2 0",
+        r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis",
+        r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|patent) license",
+    ),
+    "gpl-2.0": (
+        r"general public license as published by the free software foundation either version 2 of the license",
+        r"gnu general public license version 2(?: only)? as published by the free software foundation",
+    ),
+    "gpl-3.0": (
+        r"general public license as published by the free software foundation either version 3 of the license",
+        r"gnu general public license version 3(?: only)? as published by the free software foundation",
+    ),
+    "gpl": (
+        r"the licenses for most software (?:and other practical works )?are designed to take away your freedom to share and change",
+        r"this program comes with absolutely no warranty",
+        r"this program is distributed in the hope that it will be useful but without any warranty",
+    ),
+    "lgpl-2.1": (r"as published by the free software foundation either version 2 1 of the license",),
+    "lgpl": (r"this license the lesser general public license applies to some specially designated software packages",),
+    "agpl": (r"your modified version must prominently offer all users interacting with it remotely through a computer network",),
+    "gfdl": (r"with no invariant sections no front cover texts and no back cover texts",),
+    "mpl-1.1": (r"the contents of this file are subject to the mozilla public license version 1 1",),
+    "mpl-2.0": (r"if a copy of the mpl was not distributed with this file you can obtain one at",),
+    "epl-1.0": (r"the accompanying program is provided under the terms of this eclipse public license agreement",),
+    "epl-2.0": (r"eclipse public license v ?2 0 which (?:is available|accompanies)",),
+    "cddl": (r"the contents of this file are subject to the terms of the common development and distribution license",),
+    "cpl": (r"the accompanying program is provided under the terms of this common public license agreement",),
+    "eupl": (r"licensed under the eupl(?: version)? 1 [12]",),
+    "artistic": (
+        r"you may (?:copy|make) and (?:distribute|give away) verbatim copies of the source form of the standard version of this package",
+        r"the copyright holder maintains some semblance of artistic control over the development of the package",
+    ),
+    "zlib": (
+        r"the origin of this software must not be misrepresented you must not claim that you wrote the original software",
+        r"altered source versions must be plainly marked as such",
+        r"in no event will the authors be held liable for any damages arising from the use of this software",
+    ),
+    "libpng": (r"the png reference library is supplied as is",),
+    "boost": (r"any person or organization obtaining a copy of the software and accompanying documentation covered by this license",),
+    "unlicense": (
+        r"anyone is free to copy modify publish use compile sell or distribute this software",
+        r"for more information please refer to (?:https? )?unlicense org",
+    ),
+    "cc0": (
+        r"the person who associated a work with this deed has dedicated the work to the public domain",
+        r"affirmer hereby overtly fully permanently irrevocably and unconditionally waives",
+    ),
+    "cc-by": (r"licensed under (?:a |the )?creative commons attribution [1-4] \d",),
+    "cc-by-sa": (r"licensed under (?:a |the )?creative commons attribution share ?alike(?: [1-4] \d)?",),
+    "cc-by-nd": (r"licensed under (?:a |the )?creative commons attribution no ?deriv(?:ative|ative ?work)?s(?: [1-4] \d)?",),
+    "cc-by-nc": (r"licensed under (?:a |the )?creative commons attribution non ?commercial [1-4] \d",),
+    "cc-by-nc-sa": (r"licensed under (?:a |the )?creative commons attribution non ?commercial share ?alike(?: [1-4] \d)?",),
+    "creative-commons": (r"some rights reserved", r"you are free to share copy and redistribute the material in any medium or format"),
+    "wtfpl": (
+        r"do what the fuck you want to public license",
+        r"everyone is permitted to copy and distribute verbatim or modified copies of this license document",
+    ),
+    "openssl": (r"redistributions of any form whatsoever must retain the following acknowledgment",),
+    "python": (r"psf is making python available to licensee on an as is basis",),
+    "php": (r"this product includes php software freely available from",),
+    "ruby": (r"you may make and give away verbatim copies of the source form of the software without restriction",),
+    "ofl": (
+        r"this font software is licensed under the sil open font license",
+        r"the fonts and derivatives however cannot be released under any other type of license",
+    ),
+    "odbl": (r"any rights in individual contents of the database are licensed under the database contents license",),
+    "vim": (r"vim is charityware",),
+    "ms-pl": (r"this license governs use of the accompanying software if you use the software you accept this license",),
+    "commercial": (
+        r"this software is the confidential and proprietary information of",
+        r"no part of this (?:publication|book|document|work|site) may be (?:reproduced|copied)",
+        r"reproduction in whole or in part without (?:prior |written |express )*permission is prohibited",
+        r"may not be (?:copied|reproduced) (?:or|and) (?:re)?distributed without (?:prior |written |express )*permission",
+        r"you may not reverse engineer decompile or disassemble the software",
+        r"this license agreement is a legal agreement between you and",
+    ),
+}
+
 #: A text that holds none of these, lower-cased, has no place of any rule or base phrase.
-GATES = ("licen", "attribution", "permission", "redistribution", "copyright", "gpl", "gnu", "bsd", "apache", "mozilla", "mpl", "epl", "eclipse", "eupl", "commons", "cc0", "cc", "domain", "zlib", "boost", "wtfpl", "openssl", "distributed", "copied", "rights", "copying", "advertising", "consortium", "contributors")
+GATES = ("licen", "attribution", "permission", "distribut", "copyright", "gpl", "gnu", "bsd", "apache", "mozilla", "mpl", "epl", "eclipse", "eupl", "commons", "cc0", "cc", "domain", "zlib", "boost", "wtfpl", "openssl", "copied", "rights", "copying", "advertising", "consortium", "contributors", "warrant", "invariant", "modified version", "artistic control", "misrepresented", "altered source", "png reference", "held liable", "unconditionally", "charityware", "php software", "verbatim", "proprietary", "reproduced", "decompile", "endorse")
 
 
 def rules() -> tuple[Rule, ...]:
     """All rules by priority: kinds from strong to weak, licences in the order above."""
     found: list[Rule] = []
     for label, (keyword, spdx, name, address, texts) in LICENSES.items():
-        found += [Rule(label, "text", "", t) for t in texts]
+        found += [Rule(label, "text", "", t) for t in (*texts, *PHRASES.get(label, ()))]
         found.append(Rule(label, "spdx", "spdx", rf"spdx license identifier {spdx}"))
         found.append(Rule(label, "address", "", address))
-        found.append(Rule(label, "notice", keyword, rf"(?:released|licensed|distributed|available|published|provided|covered) (?:under|by) (?:the )?(?:terms of )?(?:the )?{name}"))
+        if label not in NO_NOTICE:
+            found.append(Rule(label, "notice", keyword, rf"(?:released|licensed|distributed|available|published|provided|covered) (?:under|by) (?:the )?(?:terms of )?(?:the )?{name}"))
         found.append(Rule(label, "name", keyword, name))
     rank = {k: i for i, k in enumerate(WEIGHTS)}
     return tuple(sorted(found, key=lambda r: rank[r.kind]))

@@ -12,6 +12,7 @@ from .license_rules import GATES, WEIGHTS, Rule, rules
 
 #: Base phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -71,7 +72,8 @@ def resolved(found: Column) -> Column:
     """Detections left after suppression, in order of place.
 
     One that lies inside another goes (of equal intervals the one of lower priority), which a running maximum over
-    the sorted detections finds; of those left, one that overlaps a neighbour of higher priority goes.
+    the sorted detections finds. Those left are swept from left to right: one that overlaps the last kept takes its
+    place if its priority is higher, else it goes, so one that has gone suppresses nothing after it.
     """
     empty = F.array().cast("array<struct<start:int,stop:int,rank:int,label:string,weight:double>>")
     ordered = F.transform(F.array_sort(F.transform(found, lambda d: F.struct(d["start"].alias("start"), (-d["stop"]).alias("back"), d["rank"].alias("rank"), d.alias("d")))), lambda x: x["d"])
@@ -81,11 +83,14 @@ def resolved(found: Column) -> Column:
         return F.aggregate(o, begin, lambda acc, d: F.when(d["stop"] <= acc["top"], acc).otherwise(F.struct(d["stop"].alias("top"), F.array_append(acc["kept"], d).alias("kept"))), lambda acc: acc["kept"])
 
     def apart(k: Column) -> Column:
-        def beaten(d: Column, i: Column) -> Column:
-            before, after = F.get(k, i - 1), F.get(k, i + 1)
-            return F.coalesce((before["stop"] > d["start"]) & (before["rank"] <= d["rank"]), F.lit(False)) | F.coalesce((after["start"] < d["stop"]) & (after["rank"] < d["rank"]), F.lit(False))
+        begin = F.struct(empty.alias("kept"), F.lit(None).cast("struct<start:int,stop:int,rank:int,label:string,weight:double>").alias("last"))
 
-        return F.filter(k, lambda d, i: ~beaten(d, i))
+        def step(acc: Column, d: Column) -> Column:
+            last, kept = acc["last"], acc["kept"]
+            beside = F.struct(F.when(last.isNull(), kept).otherwise(F.array_append(kept, last)).alias("kept"), d.alias("last"))
+            return F.when(last.isNull() | (last["stop"] <= d["start"]), beside).when(d["rank"] < last["rank"], F.struct(kept.alias("kept"), d.alias("last"))).otherwise(acc)
+
+        return F.aggregate(k, begin, step, lambda acc: F.when(acc["last"].isNull(), acc["kept"]).otherwise(F.array_append(acc["kept"], acc["last"])))
 
     return let(let(ordered, outer), apart)
 
@@ -108,12 +113,15 @@ def scanned(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id"
     """keep columns, n_words, n_base, first_word, last_word, base_labels, labels, score and the detections.
 
     Whole texts, one projection, no shuffle and no Python on the executors. A null text is empty; empty texts have no
-    words, empty labels and score 0. Only texts that hold a gate word are matched against base phrases and rules.
+    words, empty labels and score 0. Only texts that hold a gate word are matched against base phrases and rules. Rows
+    are judged one by one, so repeated rows get equal results, and detections of equal place and rank go to the rule that
+    stands first; an empty table gives an empty result. Other columns than text and `keep` are not read and cannot clash.
+    A very long text is one task's; its time grows with the square of the places found in it.
     score is the weight of the strongest detection left (0.6 for a bare name up to 1.0 for licence text; base
     phrases alone count 0.6).
     """
     signatures = rules() if signatures is None else signatures
-    lowered = docs.select(*keep, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
+    lowered = docs.select(*keep, F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER).alias("_t"))
     spaced = lowered.select(*keep, F.btrim(F.regexp_replace("_t", BREAKS, " ")).alias("_n"), _any([F.contains("_t", F.lit(g)) for g in GATES]).alias("_gate"))
     padded = F.concat(F.lit(" "), F.col("_n"), F.lit(" "))
     no_place, none = F.array().cast("array<int>"), F.array().cast("array<struct<start:int,stop:int,rank:int,label:string,weight:double>>")

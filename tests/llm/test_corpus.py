@@ -433,17 +433,22 @@ def rows_of(scanned):
 
 
 def test_licenses_by_brute_force(spark):
-    extra = documents(spark, [(-1, "SPDX-License-Identifier: Apache-2.0\nLicensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance", "", "", 0), (-2, "MIT License mit license GENERAL public-license", "", "", 0), (-3, "GNU Lesser General Public License v3 or the MIT license, all rights reserved", "", "", 0)])
+    extra = documents(spark, [(-1, "SPDX-License-Identifier: Apache-2.0\nLicensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance", "", "", 0), (-2, "MIT License mit license GENERAL public-license", "", "", 0), (-4, "MIT No Attribution License MPL 2.0 CC BY SA 4.0 license. Distributed under the Boost Software License Version 1.0, \u00c9 GPL V2 GNU GPL v3 or later MIT LICENSE", "", "", 0), (-3, "GNU Lesser General Public License v3 or the MIT license, all rights reserved", "", "", 0)])
     docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(extra).select("doc_id", "text")
     signatures, patterns = rules(), [re.compile(f" (?:{r.pattern})(?= )", re.A) for r in rules()]
-    found = 0
+    found, lower = 0, str.maketrans(licenses.UPPER, licenses.LOWER)
     for r in docs.join(licenses.scanned(docs), "doc_id").collect():
-        norm = " " + re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", (r.text or "").lower()).strip(" ") + " "
+        norm = " " + re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", (r.text or "").translate(lower)).strip(" ") + " "
         ws = norm.split()
         base = [(i, label) for p, label in licenses.PHRASES for i in range(len(ws)) if ws[i : i + len(p.split())] == p.split()]
         hits = [(m.start() + 1, m.end(), k) for k, p in enumerate(patterns) if licenses._keyword(signatures[k]) in norm for m in p.finditer(norm)]
         outer = sorted(x for x in hits if not any(y != x and y[0] <= x[0] and y[1] >= x[1] and (y[:2] != x[:2] or y[2] < x[2]) for y in hits))
-        left = [x for i, x in enumerate(outer) if not ((i and outer[i - 1][1] > x[0] and outer[i - 1][2] <= x[2]) or (i + 1 < len(outer) and outer[i + 1][0] < x[1] and outer[i + 1][2] < x[2]))]
+        left = []
+        for x in outer:
+            if left and left[-1][1] > x[0]:
+                left[-1] = min(left[-1], x, key=lambda y: y[2])
+            else:
+                left.append(x)
         names = {label for _, label in base}
         assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(ws), len(base), min((i for i, _ in base), default=None), max((i for i, _ in base), default=None))
         assert r.base_labels == ",".join(sorted(names)) and r.labels == ",".join(sorted(names | {signatures[k].label for *_, k in left}))
