@@ -13,6 +13,7 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 import zstandard
@@ -20,11 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import checkpointed, table, written
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 #: Raw bytes after which a frame, and compressed bytes after which a bundle is closed; a record is never split.
 FRAME_BYTES, BUNDLE_BYTES = 1 << 17, 1 << 23
+#: Repeated digests (20 bytes and two numbers each) that are broadcast at most.
+BROADCAST_ROWS = 200_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "array<struct<page_id:bigint,frame:int,offset:bigint,length:bigint>>"
 
@@ -82,6 +85,10 @@ class Seekable:
 
     data: bytes
 
+    @cached_property
+    def table(self) -> list[tuple[int, int, int]]:
+        return self.frames()
+
     def frames(self) -> list[tuple[int, int, int]]:
         """(start, compressed size, raw size) of every frame."""
         n, flags, magic = struct.unpack_from("<IBI", self.data, len(self.data) - 9)
@@ -98,7 +105,7 @@ class Seekable:
         return out
 
     def frame(self, k: int) -> bytes:
-        at, packed, raw = self.frames()[k]
+        at, packed, raw = self.table[k]
         return zstandard.ZstdDecompressor().decompress(self.data[at : at + packed], max_output_size=raw)
 
     def record(self, frame: int, offset: int, length: int) -> bytes:
@@ -125,13 +132,18 @@ def archived(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
     Of payloads that are equal (SHA-1 and length) and have `least` bytes or more, the rows with the smallest id are
     responses and the others revisit it; a null id comes last and a null html is an empty payload. Digests alone are
-    grouped; pages meet the few digests that occur more than once in one join, whose hot keys Spark splits.
+    grouped. Pages meet the digests that occur more than once in one join: these are broadcast if there are at most
+    BROADCAST_ROWS of them, and else Spark joins both sides by digest and splits hot ones. Repeated rows are records
+    each. An empty table gives no bundle. Only key, url and html are read, so other names cannot clash; a very long
+    payload is a frame of its own.
     """
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     rows = pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), body.cast("binary").alias("payload"))
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "sha": F.unhex(F.sha1("payload"))})
     several = rows.where(F.col("size") >= least).groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
-    several = several.select(F.col("sha").alias("_sha"), F.col("size").alias("_size"), "first")
+    several = checkpointed(several.select(F.col("sha").alias("_sha"), F.col("size").alias("_size"), "first"))
+    if several.count() <= BROADCAST_ROWS:
+        several = F.broadcast(several)
     joined = rows.join(several, (F.col("sha") == F.col("_sha")) & (F.col("size") == F.col("_size")), "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     joined = joined.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "size", "sha", "first", revisit.alias("revisit"))
