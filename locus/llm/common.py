@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -11,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from locus.operators.checkpoints import checkpointed as checkpointed
+from locus.operators.checkpoints import shared_folder
+
 #: The white space that separates words in the corpus contracts.
 WS = r"[\x20\x09-\x0D]+"
 _WS_CHARS = " \t\n\x0b\f\r"
@@ -21,17 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names.
-
-    Only where the session names none (tests, a laptop) a temporary folder is set.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Binds a value once, so that lambdas in the body don't evaluate it again for each element."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -92,11 +83,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table under the checkpoint folder, which all executors share, and reads it back."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    path = f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    """Writes a table under the checkpoint folder, which all executors share, and reads it back.
+
+    The result is lazy, so its files stay until the folder is cleared, like those of checkpoints.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -19,7 +19,8 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     Sources in code point order, null last, take the weights in turn and split `share` times all sizes by them. A
     target stops at `cap` times its source's size and the excess is shared again by weight: in order of size over
     weight, sources reach their caps one after another, and the rest share what is left, so running sums give the
-    final level without a loop. The windows run over one row per source, already aggregated.
+    final level without a loop. The windows run over one row per source, already aggregated, in one task: enough for
+    millions of sources. An empty table has no source and gives no row.
     """
     everything = Window.orderBy(F.col("source").asc_nulls_last())
     by_room = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
@@ -48,7 +49,9 @@ def draws(sized: DataFrame, order: Sequence[str] = ("size", "doc_id")) -> DataFr
     Each document of a source expects target / source size copies. Going through the source in order of size, the
     running sum of expected copies is expected x rank; a document is emitted once for each integer that this sum,
     moved by the source's offset, crosses at it. Neighbours in size take turns, so the words taken come near the
-    target. Empty texts have size 0 and take no words. A source holding most rows is ranked over many tasks.
+    target. Empty texts have size 0 and take no words. A source holding most rows is ranked over many tasks. Repeated
+    rows are drawn each on its own; ties in `order` are ranked once and kept. Columns named rank, source_size, target or
+    copies must not be among the rows, which should hold keys alone.
     """
     at = ranked(sized, "source", order)
     per = checkpointed(targets(at))
@@ -63,21 +66,26 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source") -> DataFr
     """The rows of docs, each as many times as the mix takes it.
 
     Only keys and sizes are ranked. Rows that agree in id, source and text are counted together and the copies
-    that fall to them are shared out in turn.
+    that fall to them are shared out in turn, over many tasks if they are many. Nulls in any column are values of their
+    own; an empty table gives an empty result, and other columns come along whatever their names. A very long text is
+    counted like any other and never gathered with its source.
     """
     key = {"_id": F.col("doc_id"), "_src": F.col(f"`{source}`"), "_h": F.xxhash64(F.col(f"`{text}`"))}
     keyed = docs.select(*[v.alias(k) for k, v in key.items()], n_words(F.col(f"`{text}`")).alias("size"))
     drawn = draws(keyed.select(F.col("_src").alias("source"), "size", F.col("_id").alias("doc_id"), "_h"), ("size", "doc_id", "_h"))
     per_key = drawn.groupBy("doc_id", "source", "_h").agg(F.sum("copies").alias("_c"), F.count(F.lit(1)).alias("_m"))
-    per_key = per_key.select(F.col("doc_id").alias("_id2"), F.col("source").alias("_src2"), F.col("_h").alias("_h2"), "_c", "_m")
+    per_key = checkpointed(per_key.select(F.col("doc_id").alias("_id2"), F.col("source").alias("_src2"), F.col("_h").alias("_h2"), "_c", "_m").where("_c > 0"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(row, *[v.alias(k) for k, v in key.items()])
     same = F.col("_id").eqNullSafe(F.col("_id2")) & F.col("_src").eqNullSafe(F.col("_src2")) & (F.col("_h") == F.col("_h2"))
-    rows = rows.join(per_key.where("_c > 0").hint("shuffle_hash"), same)
-    single = rows.where("_m = 1").withColumn("_take", F.col("_c"))
-    turn = F.row_number().over(Window.partitionBy("_id", "_src", "_h").orderBy(F.lit(0)))
-    several = rows.where("_m > 1").withColumn("_turn", turn).withColumn("_take", F.expr("_c div _m") + F.when(F.col("_turn") <= F.col("_c") % F.col("_m"), 1).otherwise(0)).drop("_turn")
-    taken = single.unionByName(several).where("_take > 0")
+    rows = rows.join(per_key, same)
+    taken = rows.select("_row", F.col("_c").alias("_take"))
+    if not per_key.where("_m > 1").isEmpty():
+        # Equal keys take turns: their rows are numbered by content, and those equal in all columns in any order.
+        turns = rows.where("_m > 1").select("_row", "_c", "_m", F.to_json(F.struct("_id", "_src", "_h")).alias("_k"), F.xxhash64(F.to_json("_row")).alias("_o"), F.monotonically_increasing_id().alias("_u"))
+        turns = ranked(turns, "_k", ("_o", "_u"), "_turn")
+        take = F.expr("_c div _m") + F.when(F.col("_turn") <= F.col("_c") % F.col("_m"), 1).otherwise(0)
+        taken = rows.where("_m = 1").select("_row", F.col("_c").alias("_take")).unionByName(turns.select("_row", take.alias("_take"))).where("_take > 0")
     return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take")))).select("_row.*")
 
 

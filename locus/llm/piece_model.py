@@ -288,11 +288,15 @@ class Remembered:
 
     Where the model merges nothing across a space or a line feed, words between single spaces are looked up as they
     are: `inner` has them behind a space mark, `edge` at the start of a line. Other texts are cut by the model's
-    pattern. All is forgotten when `most` stretches are known, so memory stays bounded.
+    pattern. All is forgotten when `most` stretches are known or they hold MOST_CHARS characters, so memory stays
+    bounded for long words too.
     """
 
+    MOST_CHARS = 8_000_000
+
     def __init__(self, model: PieceModel, value: Callable[[str], Any], nothing: Any, most: int) -> None:  # noqa: ANN401
         self.model, self.value, self.most, self.nothing = model, value, most, nothing
+        self.chars = 0
         self.whole: dict[str, Any] = {}
         self.inner: dict[str, Any] = {}
         self.edge: dict[str, Any] = {"": nothing}
@@ -303,10 +307,16 @@ class Remembered:
         try:
             return list(map(known.__getitem__, keys))
         except KeyError:
-            if len(known) >= self.most:
-                known.clear()
-                self.edge[""] = self.nothing
-            for k in [k for k in {*keys} if k not in known]:
+            fresh = [k for k in {*keys} if k not in known]
+            more = sum(map(len, fresh))
+            if len(known) + len(fresh) > self.most or self.chars + more > self.MOST_CHARS:
+                for d in (self.whole, self.inner, self.edge):
+                    d.clear()
+                self.edge[""], self.chars = self.nothing, 0
+                fresh = [*{*keys}]
+                more = sum(map(len, fresh))
+            self.chars += more
+            for k in fresh:
                 known[k] = self.value(prefix + k)
             return list(map(known.__getitem__, keys))
 

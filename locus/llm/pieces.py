@@ -112,7 +112,8 @@ def _pieces(e: Encoder, texts: pa.Array) -> pa.ListArray:
 def encoded(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
     """docs with `pieces`: an array of (id, start, end), the bytes of the source that each piece covers.
 
-    A null text is an empty one: only the end id. Other columns pass through unread by Python.
+    A null text is an empty one: only the end id. Other columns pass through unread by Python; one named `pieces` is
+    replaced. Empty tables, repeated rows and very long texts are as in digests().
     """
     path = model or _model_path()
 
@@ -128,7 +129,8 @@ def digests(docs: DataFrame, model: str | None = None, text: str = "text", key:
 
     One pass without a shuffle: each text is encoded to the pieces of encoded(), whose ids are counted, digested and
     decoded again. Spans that do not tile a text fail the query. Rows are independent, so repeated rows and ties need no
-    care; a very long text is held by one task once.
+    care; a very long text is held by one task once. An empty table gives an empty result; only text and key are read,
+    so other names cannot clash.
     """
     path = model or _model_path()
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))

@@ -39,7 +39,9 @@ def counter(path: str) -> Counter:
 def counted(docs: DataFrame, model: str | None = None, text: str = "text", key: str = "doc_id", limit: int = LIMIT) -> DataFrame:
     """key, n_bytes, n_tokens, over_limit of every whole text; a null text is an empty one with no tokens.
 
-    One pass without a shuffle; rows are independent, and other columns are not read.
+    One pass without a shuffle; rows are independent, so repeated rows get equal counts, and other columns are not read,
+    so names cannot clash. A very long text is counted stretch by stretch by one task; an empty table gives an empty
+    result.
     """
     if model is None:
         import public_tokenizers

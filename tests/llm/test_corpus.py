@@ -707,3 +707,46 @@ def test_media_are_read_back_from_storage(spark):
     assert files and all("/media-" in f for f in files)
     kept = {r.doc_id: hashlib.sha256(r.media).hexdigest() for r in spark.read.parquet(*files).select("doc_id", "media").collect()}
     assert {r.doc_id: r.media_sha256 for r in found.collect()} == kept and len(kept) == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+# values of awkward rows
+
+
+def test_values_of_awkward_rows(spark, library):
+    """Null, empty and blank texts, repeated rows and clashing columns, by value."""
+    docs = awkward(spark)
+
+    def by_id(df, *cols):
+        return {(r.doc_id, *[r[c] for c in cols]) for r in df.collect() if r.doc_id in (1, 2, 3, 5, 6)}
+
+    assert by_id(token_counts.counted(docs), "n_bytes", "n_tokens") == {(1, 0, 0), (2, 0, 0), (3, 4, len(library.encode(" \n\t "))), (5, 17, len(library.encode("tie one two three"))), (6, 17, len(library.encode("tie one two three")))}
+    assert by_id(licenses.scanned(docs), "n_words", "first_word", "labels", "score") == {(i, n, None, "", 0.0) for i, n in ((1, 0), (2, 0), (3, 0), (5, 4), (6, 4))}
+    assert by_id(quality.measured(docs), "n_words", "base_failed", "kept") == {(i, n, True, False) for i, n in ((1, 0), (2, 0), (3, 0), (5, 4), (6, 4))}
+    prints = {r.doc_id: r for r in simhash.grouped(docs).collect()}
+    assert [prints[i].fp for i in (1, 2, 3)] == [0, 0, 0] and prints[3].component_id == 1 and prints[6].component_id == 5
+    media_ = {r.doc_id: r for r in media.features(media.stored(docs)).collect()}
+    assert media_[1].media_sha256 == media_[2].media_sha256 and media_[5].feature == media_[6].feature and media_[1].payload_bytes == 576
+    cut = {r.doc_id: r.text for r in suffixes.without_repeats(docs).where("doc_id < 7").collect()}
+    assert cut[1] is None and cut[2] == "" and cut[3] == " \n\t " and cut[5] == cut[6] == "tie one two three"
+
+
+def test_repeated_rows_share_their_copies(spark):
+    """Rows that agree in id, source and text take turns, whatever their other columns hold."""
+    rows_ = [(None, None, "en", "s", i % 3) for i in range(20)] + [(1, "a b c", "en", "s", 1)] * 4 + [(2, "d e", "en", None, None)] * 3
+    docs = documents(spark, rows_)
+    got = mixing.mixed(docs)
+    per = {(r.doc_id, r.source): r.n for r in got.groupBy("doc_id", "source").agg(F.count("*").alias("n")).collect()}
+    keyed = docs.select("source", common.n_words(F.col("text")).alias("size"), "doc_id", F.xxhash64("text").alias("_h"))
+    want = {(r.doc_id, r.source): r.n for r in mixing.draws(keyed, ("size", "doc_id", "_h")).groupBy("doc_id", "source").agg(F.sum("copies").alias("n")).collect()}
+    assert per == {k: n for k, n in want.items() if n} and got.columns == docs.columns
+    each = {tuple(r)[:-1]: r.n for r in got.where("doc_id is null").groupBy(*docs.columns).agg(F.count("*").alias("n")).collect()}
+    assert max(each.values()) - min(each.values()) <= 8
+
+
+def test_remembered_characters_are_bounded():
+    model = piece_model.loaded(MODEL)
+    known = piece_model.Remembered(model, len, 0, 1000)
+    known.MOST_CHARS = 5_000
+    for i in range(50):
+        assert known.values(f"w{i:0900d} x") == [902, 2]
+        assert sum(map(len, (*known.whole, *known.inner, *known.edge))) <= 5_000
