@@ -9,22 +9,22 @@ from locus.llm.common import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and the threshold table."""
+    """Documents that pass the base rule and the threshold table. Null and short texts go; repeated rows stay or go alike."""
     return quality.filtered(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, that of the smallest id."""
+    """One document of each SimHash component, that of the smallest id; of repeated rows one, and one of those without ids."""
     return simhash.deduplicated(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of 100-byte strings that start earlier; n_chars follows."""
+    """Texts without the bytes of 100-byte strings that start earlier; n_chars follows. Null texts stay null."""
     return suffixes.without_repeats(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources takes them."""
+    """Documents as often as the mix of their sources takes them; a null source is one of its own, empty texts take no words."""
     return mixing.mixed(docs)
 
 
@@ -46,7 +46,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each written as Parquet in the shared folder and read again."""
+    """All stages over the documents table, each written as Parquet in the shared folder and read again.
+
+    Rows with nulls in any column, repeated rows, very long texts and further columns pass as each stage states; an empty
+    table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
