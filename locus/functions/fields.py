@@ -13,9 +13,9 @@ def add_flag(flags: Column, flag: Column | str, when: Column) -> Column:
 
 
 def attributes(text: Column) -> Column:
-    """GTF attributes `key "value"; ...` as a map; a repeated key keeps its last value."""
+    """Attributes `key "value"; ...` or `key=value; ...` as a map; a repeated key keeps its last value."""
     parts = F.filter(F.transform(F.split(text, ";"), lambda p: F.btrim(p)), lambda p: p != "")
-    pairs = F.transform(parts, lambda p: F.struct(F.split_part(p, F.lit(" "), F.lit(1)).alias("key"), F.regexp_replace(F.regexp_replace(p, r"^\S+\s*", ""), '"', "").alias("value")))
+    pairs = F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"^[^\s=]+", 0).alias("key"), F.regexp_replace(F.regexp_replace(p, r"^[^\s=]+\s*=?\s*", ""), '"', "").alias("value")))
     last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["key"] == x["key"]))
     return F.map_from_entries(last)
 

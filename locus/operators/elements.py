@@ -105,20 +105,29 @@ def min_insert_len(df: DataFrame, least: int = 100) -> DataFrame:
 def aligned_blocks(alignments: DataFrame) -> DataFrame:
     """Blocks of alignments cut at N: read, contig, strand, start, end, q_start, q_end (0-based, on the read as sequenced).
 
-    Each CIGAR operation moves running sums; an N opens the next island.
+    One pass over the CIGAR operations of a row: they move the places on both axes, and an N closes a block.
     """
-    ops = F.transform(F.expr("regexp_extract_all(cigar, '(\\\\d+)[MIDNSHP=X]', 1)"), lambda x: x.cast("int"))
+    numbers = F.transform(F.expr("regexp_extract_all(cigar, '(\\\\d+)[MIDNSHP=X]', 1)"), lambda x: x.cast("bigint"))
     kinds = F.expr("regexp_extract_all(cigar, '\\\\d+([MIDNSHP=X])', 1)")
-    rows = alignments.withColumn("_aid", F.monotonically_increasing_id()).select("*", F.posexplode(F.arrays_zip(ops.alias("n"), kinds.alias("k"))).alias("_i", "_o"))
-    n, k = F.col("_o.n"), F.col("_o.k")
-    w = Window.partitionBy("_aid").orderBy("_i")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    ref, read = F.when(k.isin("M", "D", "N", "=", "X"), n).otherwise(0), F.when(k.isin("M", "I", "S", "H", "=", "X"), n).otherwise(0)
-    rows = rows.withColumns({"_r": F.coalesce(F.sum(ref).over(before), F.lit(0)), "_q": F.coalesce(F.sum(read).over(before), F.lit(0)), "_len": F.sum(read).over(Window.partitionBy("_aid")), "_isle": F.sum(F.when(k == "N", 1).otherwise(0)).over(w)})
-    m = rows.where(k.isin("M", "=", "X"))
-    g = m.groupBy("_aid", "read", "contig", "strand", "start", "_isle", "_len").agg(F.min("_r").alias("a"), F.max(F.col("_r") + F.col("_o.n")).alias("b"), F.min("_q").alias("qa"), F.max(F.col("_q") + F.col("_o.n")).alias("qb"))
+    ops = F.concat(F.arrays_zip(numbers.alias("n"), kinds.alias("k")), F.array(F.struct(F.lit(0).cast("bigint").alias("n"), F.lit("N").alias("k"))))
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+    found = "array<struct<a:bigint,b:bigint,qa:bigint,qb:bigint>>"
+    begin = F.struct(zero.alias("r"), zero.alias("q"), none.alias("a"), none.alias("b"), none.alias("qa"), none.alias("qb"), F.array().cast(found).alias("found"))
+
+    def step(acc: Column, o: Column) -> Column:
+        n, k, here = o["n"], o["k"], o["k"].isin("M", "=", "X")
+        r, q = acc["r"] + F.when(k.isin("M", "D", "N", "=", "X"), n).otherwise(0), acc["q"] + F.when(k.isin("M", "I", "S", "H", "=", "X"), n).otherwise(0)
+        closed = (k == "N") & acc["a"].isNotNull()
+        kept = lambda new, old: F.when(k == "N", none).when(here, new).otherwise(old)
+        return F.struct(
+            r.alias("r"), q.alias("q"), kept(F.coalesce(acc["a"], acc["r"]), acc["a"]).alias("a"), kept(r, acc["b"]).alias("b"), kept(F.coalesce(acc["qa"], acc["q"]), acc["qa"]).alias("qa"), kept(q, acc["qb"]).alias("qb"),
+            F.when(closed, F.array_append(acc["found"], F.struct(acc["a"].alias("a"), acc["b"].alias("b"), acc["qa"].alias("qa"), acc["qb"].alias("qb")))).otherwise(acc["found"]).alias("found"),
+        )
+
+    walked = alignments.withColumn("_w", F.aggregate(ops, begin, step))
+    rows = walked.select("read", "contig", "strand", F.col("start").alias("_s"), F.col("_w.q").alias("_len"), F.inline("_w.found"))
     minus = F.col("strand") == "-"
-    return g.select("read", "contig", "strand", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("end"), F.when(minus, F.col("_len") - F.col("qb")).otherwise(F.col("qa")).alias("q_start"), F.when(minus, F.col("_len") - F.col("qa")).otherwise(F.col("qb")).alias("q_end"))
+    return rows.select("read", "contig", "strand", (F.col("_s") + F.col("a")).alias("start"), (F.col("_s") + F.col("b")).alias("end"), F.when(minus, F.col("_len") - F.col("qb")).otherwise(F.col("qa")).alias("q_start"), F.when(minus, F.col("_len") - F.col("qa")).otherwise(F.col("qb")).alias("q_end"))
 
 
 def exon_support(blocks: DataFrame, exons: DataFrame, insert_len: Column, least: float = 0.5, exons_least: int = 2) -> DataFrame:

@@ -2,6 +2,8 @@
 
 A range predicate alone would be planned as a nested loop. Intervals are cut into bins of a fixed width and joined on
 (contig, bin), which is a hash or sort-merge join that Spark can split on skewed bins; the pair is kept in one bin only.
+Right intervals over many bins go to bins of their own, 256 times as wide, so an interval is cut into few pieces whatever
+its length. Orders along a contig are taken inside tiles, with what is carried over from the tiles before.
 """
 
 from __future__ import annotations
@@ -19,21 +21,40 @@ def bins(start: Column, end: Column, width: int) -> Column:
     return F.sequence(first, F.greatest(first, F.floor((end - 1) / width)))
 
 
-def interval_join(left: DataFrame, right: DataFrame, width: int = 500, on: str = "contig", left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end")) -> DataFrame:
+#: Fine bins that a right interval touches at most; longer ones use bins COARSE times as wide.
+MOST_BINS, COARSE = 16, 256
+#: Bins of long intervals that are broadcast at most.
+BROADCAST_BINS = 50_000
+
+
+def interval_join(left: DataFrame, right: DataFrame, width: int = 500, on: str = "contig", left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end"), long: bool = True) -> DataFrame:
     """Pairs of rows whose intervals overlap on the same contig, each once.
 
     Right columns that the left side has too come out with the prefix r_. Rows with a null contig or span, or with no
-    partner, are left out; first_match() and the flags below join back to the left side.
+    partner, are left out; first_match() and the flags below join back to the left side. Give the side with the long
+    intervals as the right one. It is looked at once for intervals of over MOST_BINS bins, unless `long` says that it
+    has none; those are broadcast if they are few.
     """
     (ls, le), (rs, re) = left_span, right_span
     # Names are moved out of the way, so both sides may share them.
     r = right.select(F.col(on).alias("_rc"), *[F.col(f"`{c}`").alias(f"_r_{c}") for c in right.columns if c != on])
-    r = r.withColumn("_bin", F.explode(bins(F.col(f"_r_{rs}"), F.col(f"_r_{re}"), width)))
-    cut = left.withColumn("_lbin", F.explode(bins(F.col(ls), F.col(le), width)))
-    home = F.greatest(F.floor(F.col(ls) / width), F.floor(F.col(f"_r_{rs}") / width))
-    meets = (F.col(on) == F.col("_rc")) & (F.col("_lbin") == F.col("_bin")) & (F.col(f"_r_{rs}") < F.col(le)) & (F.col(f"_r_{re}") > F.col(ls)) & (F.col("_bin") == home)
-    joined = cut.join(r, meets, "inner").drop("_rc", "_bin", "_lbin")
-    return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`_r_{c}`").alias(c if c not in left.columns else f"r_{c}") for c in right.columns if c != on])
+
+    def pairs(far: DataFrame, wide: int, send: bool = False) -> DataFrame:
+        far = far.withColumn("_bin", F.explode(bins(F.col(f"_r_{rs}"), F.col(f"_r_{re}"), wide)))
+        cut = left.withColumn("_lbin", F.explode(bins(F.col(ls), F.col(le), wide)))
+        home = F.greatest(F.floor(F.col(ls) / wide), F.floor(F.col(f"_r_{rs}") / wide))
+        meets = (F.col(on) == F.col("_rc")) & (F.col("_lbin") == F.col("_bin")) & (F.col(f"_r_{rs}") < F.col(le)) & (F.col(f"_r_{re}") > F.col(ls)) & (F.col("_bin") == home)
+        joined = cut.join(F.broadcast(far) if send else far, meets, "inner")
+        return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`_r_{c}`").alias(c if c not in left.columns else f"r_{c}") for c in right.columns if c != on])
+
+    if not long:
+        return pairs(r, width)
+    size = F.col(f"_r_{re}") - F.col(f"_r_{rs}")
+    is_long = size > MOST_BINS * width
+    found = r.where(is_long).agg(F.sum(F.ceil(size / (COARSE * width)) + 1)).first()[0]
+    if not found:
+        return pairs(r, width)
+    return pairs(r.where(~is_long), width).unionByName(pairs(r.where(is_long), COARSE * width, found <= BROADCAST_BINS))
 
 
 def overlap(pairs: DataFrame) -> Column:
@@ -53,11 +74,11 @@ def first_containing(left: DataFrame, right: DataFrame, keys: Sequence[str], pay
 
     right has (contig, start, end, ord, payload); keys identify rows of left.
     """
-    pairs = interval_join(left, right, width=width).where("start >= r_start and end <= r_end")
-    names = {c: c if c not in left.columns else f"r_{c}" for c in payload}
-    order = "ord" if "ord" not in left.columns else "r_ord"
-    found = first_match(pairs, keys, list(names.values()), order=order)
-    return left.join(found, list(keys), "left")
+    probe = left.select(*dict.fromkeys([*keys, "contig", "start", "end"]))  # whole rows move once, to meet their match
+    pairs = interval_join(probe, right, width=width).where("start >= r_start and end <= r_end")
+    names = {c: c if c not in probe.columns else f"r_{c}" for c in payload}
+    found = first_match(pairs, keys, list(names.values()), order="ord" if "ord" not in probe.columns else "r_ord")
+    return left.join(found.withColumnsRenamed({v: k if k not in left.columns else f"r_{k}" for k, v in names.items()}), list(keys), "left")
 
 
 def first_at_point(left: DataFrame, right: DataFrame, keys: Sequence[str], payload: Sequence[str], pos: str = "pos", width: int = 500) -> DataFrame:
@@ -70,21 +91,40 @@ def first_at_point(left: DataFrame, right: DataFrame, keys: Sequence[str], paylo
 
 def exists_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], flag: str, contained: bool = False, width: int = 500) -> DataFrame:
     """left with a boolean: some right interval overlaps it, or contains it."""
-    pairs = interval_join(left, right.select("contig", "start", "end"), width=width)
+    probe = left.select(*dict.fromkeys([*keys, "contig", "start", "end"]))
+    pairs = interval_join(probe, right.select("contig", "start", "end"), width=width)
     if contained:
         pairs = pairs.where("start >= r_start and end <= r_end")
     hit = pairs.select(*keys).distinct().withColumn(flag, F.lit(True))
     return left.join(hit, list(keys), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def max_before(df: DataFrame, by: Sequence[str], at: str, value: str, name: str, ties: Sequence[str] = (), tile: int = 1 << 22) -> DataFrame:
+    """Adds the largest `value` of the rows before each in order of (at, ties) within `by`, null for the first.
+
+    A window over a whole contig would be one task. Rows are ordered inside tiles of `at`, and what earlier tiles reach
+    is carried over by a window of one row for each tile.
+    """
+    tiled = df.withColumn("_tile", F.floor(F.col(at) / tile))
+    reach = tiled.groupBy(*by, "_tile").agg(F.max(value).alias("_reach"))
+    earlier = Window.partitionBy(*by).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    carried = reach.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_tile").alias("_of"), F.max("_reach").over(earlier).alias("_carried"))
+    same = F.col("_tile").eqNullSafe(F.col("_of"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    inside = Window.partitionBy(*by, "_tile").orderBy(at, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    joined = tiled.join(carried, same)
+    return joined.select(*df.columns, F.greatest(F.max(value).over(inside), F.col("_carried")).alias(name))
+
+
 def merge_intervals(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0) -> DataFrame:
     """Unions of intervals that overlap, abut, or are at most `gap` apart."""
-    w = Window.partitionBy(*by).orderBy("start", "end")
-    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.select(*by, "start", "end", F.when(before.isNull() | (F.col("start") > before + gap), 1).otherwise(0).alias("_new"))
-    # The default frame takes equal intervals together, so their order does not matter.
-    island = marked.withColumn("_island", F.sum("_new").over(w))
-    return island.groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+    rows = max_before(df.select(*by, "start", "end"), by, "start", "end", "_before", ["end"])
+    opens = F.when(F.col("_before").isNull() | (F.col("start") > F.col("_before") + gap), F.col("start"))
+    # A union is named by its start, the last that opened one.
+    marked = max_before(rows.withColumn("_opens", opens), by, "start", "_opens", "_island", ["end", "_opens"])
+    island = marked.withColumn("_island", F.greatest("_opens", "_island"))
+    return island.groupBy(*by, "_island").agg(F.max("end").alias("end")).select(*by, F.col("_island").alias("start"), "end")
 
 
 def subtract_intervals(df: DataFrame, gaps: DataFrame, keys: Sequence[str], width: int = 500) -> DataFrame:

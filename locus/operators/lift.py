@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from locus.functions.seq import reverse_complement
+from locus.sources.order import with_last
 
-from .intervals import interval_join, tiles
+from .intervals import interval_join, max_before, tiles
 
 
 def chain_blocks(lines: DataFrame) -> DataFrame:
@@ -20,10 +21,9 @@ def chain_blocks(lines: DataFrame) -> DataFrame:
     d_dst. A header opens a chain; block offsets are running sums. On '-' the coordinates of dst count from its end
     and are turned to the forward strand: [d0, d1) is always forward.
     """
-    opened = Window.orderBy("ord")
     head = F.when(F.col("kind") == "chain", F.struct("src", "src_start", "dst", "dst_size", "dst_strand", "dst_start", "chain_id"))
-    # Chains are named by their line; one pass in file order hands the header down to its blocks.
-    rows = lines.withColumn("h", F.last(head, ignorenulls=True).over(opened.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("kind") == "block")
+    # Chains are named by their line; in file order each hands its header down to its blocks.
+    rows = with_last(lines.withColumn("_head", head), "_head", "h").where(F.col("kind") == "block")
     w = Window.partitionBy("h.chain_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     ds = F.coalesce(F.sum(F.col("size") + F.coalesce("d_src", F.lit(0))).over(w), F.lit(0))
     dd = F.coalesce(F.sum(F.col("size") + F.coalesce("d_dst", F.lit(0))).over(w), F.lit(0))
@@ -83,9 +83,9 @@ def trim_overlaps(blocks: DataFrame, by: str = "contig") -> DataFrame:
     """Later blocks lose what earlier ones of the contig cover, on the source axis and then on the destination's."""
 
     def once(df: DataFrame, name: str, lo: str, hi: str, other_lo: str, other_hi: str) -> DataFrame:
-        w = Window.partitionBy(name).orderBy(lo, hi, "chain_id").rowsBetween(Window.unboundedPreceding, -1)
-        cut = F.greatest(F.coalesce(F.max(hi).over(w), F.col(lo)) - F.col(lo), F.lit(0))
-        df = df.withColumn("_cut", cut).where(F.col("_cut") < F.col(hi) - F.col(lo))
+        df = max_before(df, [name], lo, hi, "_top", [hi, "chain_id"])
+        cut = F.greatest(F.coalesce("_top", lo) - F.col(lo), F.lit(0))
+        df = df.withColumn("_cut", cut).drop("_top").where(F.col("_cut") < F.col(hi) - F.col(lo))
         minus = F.col("strand") == "-"
         return df.withColumns({lo: F.col(lo) + F.col("_cut"), other_lo: F.when(minus, F.col(other_lo)).otherwise(F.col(other_lo) + F.col("_cut")), other_hi: F.when(minus, F.col(other_hi) - F.col("_cut")).otherwise(F.col(other_hi))}).drop("_cut")
 

@@ -47,5 +47,10 @@ def sort_by_contig_order(df: DataFrame, contigs: DataFrame) -> DataFrame:
     return out.withColumn("_o", known).orderBy("_o", "pos").drop("_c", "_o")
 
 
+def sort_by_locus(df: DataFrame, contig: str = "contig", start: str = "start") -> DataFrame:
+    """Rows by contig name and start, as interval files are kept."""
+    return df.orderBy(contig, start)
+
+
 def contigs_by_size(lengths: DataFrame) -> DataFrame:
     return lengths.orderBy(F.desc("length"), "contig")

@@ -185,6 +185,11 @@ def attach_ref_contig(df: DataFrame, reftable: DataFrame) -> DataFrame:
     return out.drop("b1", "b2")
 
 
+def sort_support_reads(reads: DataFrame) -> DataFrame:
+    """Supporting reads by read and place along it."""
+    return reads.orderBy("read", "read_pos", "ord")
+
+
 def read_adjacent_pairs(reads: DataFrame, margin: float = 1.3) -> DataFrame:
     """Pairs of variants that follow each other along a read and whose distances agree within a factor of `margin`.
 

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from locus.functions.fields import safe_float, without_version
 from locus.functions.seq import canonical_allele, reverse_complement
 
+from .checkpoints import checkpointed
 from .intervals import exists_overlap, first_containing, first_match, interval_join
 
 
@@ -49,8 +50,8 @@ def numbered_in_order(df: DataFrame, order: Sequence[str], name: str = "_n") ->
     """Numbers rows from 0 in a global order: range partitions, numbered inside, moved by the rows before them."""
     parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     parts = parts.withColumns({"_part": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND((1 << 33) - 1)})
-    # The rows are needed twice in the same partitions, so they are kept.
-    parts = parts.persist()
+    # The rows are needed twice in the same partitions, and a repeated task could order ties otherwise.
+    parts = checkpointed(parts)
     counts = parts.groupBy("_part").count()
     before = F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return parts.join(F.broadcast(counts.select("_part", before.alias("_b"))), "_part").withColumn(name, F.col("_at") + F.col("_b")).drop("_at", "_part", "_b")
@@ -100,6 +101,13 @@ def annotate_genes(sites: DataFrame, features: DataFrame, keys: Sequence[str], m
     return sites.join(out, list(keys), "left")
 
 
+def mane_mismatch_report(features: DataFrame, mane: DataFrame, examples: int = 3) -> DataFrame:
+    """One row: how many pairs differ in the version alone, and the first few as gene:transcript:mane_transcript."""
+    pairs = mane_version_mismatch(features, mane).select(F.concat_ws(":", "gene", "transcript", "mane_transcript").alias("pair"))
+    first = pairs.orderBy("pair").limit(examples).agg(F.array_join(F.array_sort(F.collect_list("pair")), ",").alias("examples"))
+    return pairs.agg(F.count(F.lit(1)).alias("n")).join(first)  # one row each
+
+
 def mane_version_mismatch(features: DataFrame, mane: DataFrame) -> DataFrame:
     """Distinct (gene, transcript, mane_transcript) that agree but for the version."""
     m = mane.select("gene", F.explode("transcripts").alias("mane_transcript"))

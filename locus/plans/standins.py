@@ -22,6 +22,7 @@ TABLES: dict[str, tuple[str, bool, list[str]]] = {
         "s_suppkey as contig", "s_suppkey * 1000 as c_start", "s_suppkey * 1000 + 120000 + s_nationkey * 17000 as c_end", "case when s_suppkey % 2 = 0 then '+' else '-' end as strand", "s_nationkey as chrom",
         "s_suppkey * 90000 as r_start", "s_suppkey * 90000 + 110000 + s_nationkey * 15000 as r_end", "s_suppkey % 2 as hap", "s_suppkey as ord", "100 + s_suppkey * 37 % 900 as matched"]),
     "depths": ("lineitem", True, ["l_suppkey % 3 as sample", "l_partkey % 2 as hap", "l_suppkey % 11 as chrom", "l_orderkey * 8 + l_linenumber as w", "cast(l_quantity as int) * 9000 as normal_depth", "cast(l_quantity as int) * (l_partkey % 50) * 100 as tumor_depth"]),
+    "longseqs": ("documents", False, ["doc_id as contig", "translate(concat(md5(text), md5(concat(text, '1')), md5(concat(text, '2')), md5(concat(text, '3')), md5(concat(text, '4'))), '0123456789abcdef', 'ACGTACGTACGTacgN') as seq"]),
     "seqs": ("documents", False, ["doc_id as contig", "doc_id % 2 as hap", "translate(md5(text), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq"]),
 }
 

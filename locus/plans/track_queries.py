@@ -170,14 +170,17 @@ def _hap(spark: SparkSession, sf: str, hap: int) -> DataFrame:
     return standin(spark, sf, "seqs").where(F.col("hap") == hap).select("contig", "seq")
 
 
-@query(f"""WITH {sql('seqs')}, {_KM} SELECT kmer, count(*) AS n FROM k WHERE hap = 0 GROUP BY kmer""")
+_LK = "k AS (SELECT substr(seq, p::INT + 1, 21) AS kmer FROM (SELECT seq, unnest(range(0, length(seq) - 20)) AS p FROM longseqs))"
+
+
+@query(f"""WITH {sql('longseqs')}, {_LK} SELECT kmer, count(*) AS n FROM k GROUP BY kmer""")
 def count_kmers(spark: SparkSession, sf: str) -> DataFrame:
-    return kmers.count_kmers(_hap(spark, sf, 0), 6)
+    return kmers.count_kmers(standin(spark, sf, "longseqs"), 21)
 
 
-@query(f"""WITH {sql('seqs')}, {_KM} SELECT kmer FROM k WHERE hap = 0 GROUP BY kmer HAVING count(*) = 1""")
+@query(f"""WITH {sql('longseqs')}, {_LK} SELECT kmer FROM k GROUP BY kmer HAVING count(*) = 1""")
 def single_copy(spark: SparkSession, sf: str) -> DataFrame:
-    return kmers.single_copy(kmers.count_kmers(_hap(spark, sf, 0), 6)).select("kmer")
+    return kmers.single_copy(kmers.count_kmers(standin(spark, sf, "longseqs"), 21)).select("kmer")
 
 
 @query(f"""WITH {sql('seqs')}, {_KM} SELECT DISTINCT kmer FROM k WHERE hap = 0 AND kmer NOT IN (SELECT kmer FROM k WHERE hap = 1)""")
@@ -278,22 +281,6 @@ def chunk_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.chunk_manifest(standin(spark, sf, "reftable").select("contig", (F.col("c_end") - F.col("c_start")).alias("length")), 400_000)
 
 
-@query(f"""WITH {sql('reftable')} SELECT contig, c_end - c_start AS length, rank() OVER (ORDER BY c_end - c_start DESC, contig) AS place FROM reftable""")
-def contigs_by_size(spark: SparkSession, sf: str) -> DataFrame:
-    from locus.operators.variants import numbered_in_order
-
-    r = standin(spark, sf, "reftable").select("contig", (F.col("c_end") - F.col("c_start")).alias("length"))
-    n = numbered_in_order(r.withColumn("_back", -F.col("length")), ["_back", "contig"])
-    return n.select("contig", "length", (F.col("_n") + 1).alias("place"))
-
-
-@query(f"""WITH {sql('sites', 'regions')}, c AS (SELECT contig, min(ord) AS o FROM regions GROUP BY contig), s AS (SELECT DISTINCT site, contig, "start" AS pos FROM sites) SELECT s.*, o FROM s JOIN c USING (contig)""")
-def sort_by_contig_order(spark: SparkSession, sf: str) -> DataFrame:
-    c = standin(spark, sf, "regions").groupBy("contig").agg(F.min("ord").alias("ord"))
-    s = standin(spark, sf, "sites").select("site", "contig", F.col("start").alias("pos")).distinct()
-    return manifest.sort_by_contig_order(s, c).join(c.withColumnRenamed("ord", "o"), "contig").select("site", "contig", "pos", "o")
-
-
 @query(f"""WITH {sql('regions')}, k AS (SELECT contig, "start", "end", kind, ord FROM regions WHERE regexp_matches(lower(kind), 'o|mon|hsat')) SELECT * FROM k WHERE ord > (SELECT min(ord) FROM k)""")
 def mask_tracks(spark: SparkSession, sf: str) -> DataFrame:
     r = standin(spark, sf, "regions").withColumn("name", F.when(F.lower("kind").rlike("o|mon|hsat"), "hor").otherwise("x"))

@@ -10,10 +10,12 @@ from pyspark.sql.window import Window
 
 from locus.functions.fields import attributes, header_tag, info
 
+from .order import with_last
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, line) of text files, gz too. ord rises along a file: the partition and the place in it."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
+    """(ord, line, file) of text files, gz too. ord rises along a file: the partition and the place in it."""
+    return spark.read.text(path).select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
 def read_table(spark: SparkSession, path: str, required: Sequence[str] = (), sep: str = "\t") -> DataFrame:
@@ -81,7 +83,7 @@ def parse_chain(df: DataFrame) -> DataFrame:
     h = lambda c: F.when(head, c)
     b = lambda c: F.when(~head, c)
     # The chain's own id may repeat between files; the line it stands on does not.
-    return t.select("ord", F.when(head, "chain").otherwise("block").alias("kind"), h(_f(2)).alias("src"), h(n(5)).alias("src_start"), h(n(6)).alias("src_end"), h(_f(7)).alias("dst"), h(n(8)).alias("dst_size"), h(_f(9)).alias("dst_strand"), h(n(10)).alias("dst_start"), h(F.col("ord")).alias("chain_id"), b(n(0)).alias("size"), b(n(1)).alias("d_src"), b(n(2)).alias("d_dst"))
+    return t.select("ord", *[c for c in ("file",) if c in df.columns], F.when(head, "chain").otherwise("block").alias("kind"), h(_f(2)).alias("src"), h(n(5)).alias("src_start"), h(n(6)).alias("src_end"), h(_f(7)).alias("dst"), h(n(8)).alias("dst_size"), h(_f(9)).alias("dst_strand"), h(n(10)).alias("dst_start"), h(F.col("ord")).alias("chain_id"), b(n(0)).alias("size"), b(n(1)).alias("d_src"), b(n(2)).alias("d_dst"))
 
 
 def read_chain(spark: SparkSession, path: str) -> DataFrame:
@@ -93,7 +95,7 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
 def parse_fasta(df: DataFrame) -> DataFrame:
     """Sequence lines as chunks: contig (first token), header, chunk_start, seq, in order of lines."""
     head = F.when(F.col("line").startswith(">"), F.struct(F.col("ord").alias("id"), F.substring("line", 2, 1 << 30).alias("header")))
-    rows = df.withColumn("h", F.last(head, ignorenulls=True).over(Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))).where(~F.col("line").startswith(">"))
+    rows = with_last(df.withColumn("_head", head), "_head", "h").where(~F.col("line").startswith(">"))
     before = Window.partitionBy("h.id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     return rows.select(F.split_part("h.header", F.lit(" "), F.lit(1)).alias("contig"), "h.header", F.coalesce(F.sum(F.length("line")).over(before), F.lit(0)).alias("chunk_start"), F.col("line").alias("seq"), "ord")
 
@@ -123,7 +125,8 @@ def parse_blast6(df: DataFrame) -> DataFrame:
 def parse_rmsk_out(df: DataFrame) -> DataFrame:
     """Repeat hits of a whitespace table; its three kinds of header lines go."""
     t = df.withColumn("f", F.split(F.btrim("line"), r"\s+")).where((F.size("f") >= 11) & ~_f(0).isin("SW", "score", "There"))
-    return t.select("ord", _f(4).alias("insert_key"), (_f(5).try_cast("bigint") - 1).alias("start"), _f(6).try_cast("bigint").alias("end"), F.when(_f(8) == "C", "-").otherwise("+").alias("strand"), _f(9).alias("repeat"), _f(10).alias("family"))
+    rows = t.select("ord", _f(4).alias("insert_key"), (_f(5).try_cast("bigint") - 1).alias("start"), _f(6).try_cast("bigint").alias("end"), F.when(_f(8) == "C", "-").otherwise("+").alias("strand"), _f(9).alias("repeat"), _f(10).alias("family"))
+    return rows.orderBy("insert_key", "start", "end", "ord")
 
 
 def parse_gene_list(df: DataFrame, skip_first: bool = True) -> DataFrame:
@@ -151,7 +154,13 @@ def parse_window_means(df: DataFrame) -> DataFrame:
 
 
 def parse_support_reads(df: DataFrame) -> DataFrame:
-    return _fields(df, 9).select("ord", _f(7).alias("sv_id"), _f(8).alias("read"), _f(9).try_cast("bigint").alias("read_pos"), _f(10).alias("dir"))
+    """Supporting reads of lines of eleven fields: the seven of the variant's key, its id, read, place and direction."""
+    return _fields(df, 11).select("ord", _f(7).alias("sv_id"), _f(8).alias("read"), _f(9).try_cast("bigint").alias("read_pos"), _f(10).alias("dir"))
+
+
+def parse_contig_list(df: DataFrame) -> DataFrame:
+    """Distinct contigs named by the first field of each line."""
+    return df.select(F.split_part("line", F.lit("\t"), F.lit(1)).alias("contig")).where("contig <> ''").distinct()
 
 
 def parse_kmer_ratio(df: DataFrame) -> DataFrame:
