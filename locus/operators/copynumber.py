@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -115,7 +117,7 @@ def mode_value(df: DataFrame, by: list[str], value: str = "ratio", width: float
 
 
 def half_window_ploidy(segments: DataFrame, by: list[str], baseline: str = "level", cutoff: float = 0.09) -> DataFrame:
-    """Ploidy 2, 4, 8 or 16: while the share of length in (0.40, 0.60) of the baseline is over the cutoff, halve it.
+    """Copies at the baseline, 1, 2, 4 or 8: while the share of length in (0.40, 0.60) of the baseline is over the cutoff, halve it.
 
     Segments need mean, n_marks and the baseline; means that are not finite or at most 0.05 do not count.
     """
@@ -123,13 +125,14 @@ def half_window_ploidy(segments: DataFrame, by: list[str], baseline: str = "leve
     share = [F.sum(F.when((F.col("mean") > 0.4 * F.col(baseline) / 2**k) & (F.col("mean") < 0.6 * F.col(baseline) / 2**k), F.col("n_marks")).otherwise(0)) / F.sum("n_marks") for k in range(3)]
     h = s.groupBy(*by).agg(*[x.alias(f"_h{k}") for k, x in enumerate(share)])
     times = F.when(F.col("_h0") <= cutoff, 0).when(F.col("_h1") <= cutoff, 1).when(F.col("_h2") <= cutoff, 2).otherwise(3)
-    return h.select(*by, (F.lit(2) * F.pow(F.lit(2), times)).cast("int").alias("ploidy"))
+    return h.select(*by, F.pow(F.lit(2), times).cast("int").alias("ploidy"))
 
 
-def density(df: DataFrame, by: list[str], value: str, weight: str, low: float, high: float, points: int = 512, bins: int = 1000) -> DataFrame:
+def density(df: DataFrame, by: list[str], value: str, weight: str, low: float, high: float, points: int = 2048, bins: int = 1000, least: int = 1) -> DataFrame:
     """Weighted Gaussian kernel density on a grid: by, x, density. Bandwidth by Silverman's rule on the binned values.
 
-    Values are binned first, so a group has at most `bins` rows when its grid is filled.
+    Values are binned first, so a group has at most `bins` rows when its grid is filled. Groups with a weight under
+    `least` have no density.
     """
     step = (high - low) / bins
     binned = df.where((F.col(value) > low) & (F.col(value) < high)).groupBy(*by, F.floor((F.col(value) - low) / step).alias("_b")).agg(F.sum(weight).alias("_w"))
@@ -137,6 +140,8 @@ def density(df: DataFrame, by: list[str], value: str, weight: str, low: float, h
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         x, w = low + (pdf["_b"].to_numpy(float) + 0.5) * step, pdf["_w"].to_numpy(float)
+        if w.sum() < least:
+            return pd.DataFrame({**{k: pdf[k].iloc[:0] for k in by}, "x": x[:0], "density": x[:0]})
         mean = np.average(x, weights=w)
         sd = max(np.sqrt(np.average((x - mean) ** 2, weights=w)), step)
         h = 0.9 * sd * max(w.sum(), 2) ** -0.2
@@ -148,15 +153,16 @@ def density(df: DataFrame, by: list[str], value: str, weight: str, low: float, h
 
 
 def detect_peaks(grid: DataFrame, by: list[str], share: float = 0.20, top: int = 8) -> DataFrame:
-    """Local maxima of at least `share` of the highest, the `top` highest of them."""
+    """Local maxima, higher than both neighbours, of at least `share` of the highest; the `top` highest of them, by x."""
     w = Window.partitionBy(*by).orderBy("x")
-    peak = (F.col("density") > F.lag("density").over(w)) & (F.col("density") >= F.lead("density").over(w))
+    peak = (F.col("density") > F.lag("density").over(w)) & (F.col("density") > F.lead("density").over(w))
     marked = grid.withColumns({"_p": peak, "_max": F.max("density").over(Window.partitionBy(*by))}).where(F.col("_p") & (F.col("density") >= share * F.col("_max")))
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("density"), "x"))
-    return marked.withColumn("_r", rank).where(F.col("_r") <= top).select(*by, "x", "density")
+    return marked.withColumn("_r", rank).where(F.col("_r") <= top).select(*by, "x", "density").orderBy(*by, "x")
 
 
 def dominant_level(grid: DataFrame, by: list[str]) -> DataFrame:
+    """Where the density is highest."""
     return grid.groupBy(*by).agg(F.max_by("x", F.struct("density", -F.col("x"))).alias("level"))
 
 
@@ -172,9 +178,12 @@ def smooth_outliers(df: DataFrame, by: list[str], value: str = "ratio", order: s
     return out.withColumn("smoothed", smooth).drop("_near", "_sd")
 
 
-def trimmed_sd(df: DataFrame, by: list[str], value: str = "smoothed", order: str = "window_index", trim: float = 0.025) -> DataFrame:
-    """Deviation of neighbours' differences over sqrt(2), without the outer `trim` on both sides."""
-    d = df.withColumn("_d", F.col(value) - F.lag(value).over(Window.partitionBy(*by).orderBy(order))).where("_d is not null")
+def trimmed_sd(df: DataFrame, by: list[str], value: str = "smoothed", order: str = "window_index", trim: float = 0.025, inside: Sequence[str] = ()) -> DataFrame:
+    """Deviation of neighbours' differences over sqrt(2), without the outer `trim` on both sides.
+
+    One value for `by`; neighbours are those within `inside`, such as a chromosome.
+    """
+    d = df.withColumn("_d", F.col(value) - F.lag(value).over(Window.partitionBy(*by, *inside).orderBy(order))).where("_d is not null")
     cut = d.groupBy(*by).agg(F.percentile("_d", F.array(F.lit(trim), F.lit(1 - trim))).alias("_q"))
     return d.join(cut, by).where((F.col("_d") >= F.get("_q", F.lit(0))) & (F.col("_d") <= F.get("_q", F.lit(1)))).groupBy(*by).agg((F.stddev("_d") / 2**0.5).alias("sd"))
 
@@ -258,13 +267,13 @@ def call_copy_number(df: DataFrame, ploidy: float | None = None) -> DataFrame:
     by, chrom = ["sample", "hap"], ["sample", "hap", "chrom"]
     ratio = depth_ratio(df, depth_totals(df, by), by, 1.0)
     smooth = smooth_outliers(ratio, chrom)
-    first = segment(smooth, chrom, trimmed_sd(smooth, by))
+    first = segment(smooth, chrom, trimmed_sd(smooth, by, inside=["chrom"]))
     level = dominant_level(density(first, by, "mean", "n_marks", 0.05, 5.0), by)
     p = half_window_ploidy(first.join(level, by), by) if ploidy is None else level.select(*by, F.lit(float(ploidy)).alias("ploidy"))
     copies = ratio.join(level, by).join(p, by)
-    copies = copies.withColumn("ratio", F.col("ratio") / F.col("level") * F.col("ploidy") / 2).drop("level", "ploidy")
+    copies = copies.withColumn("ratio", F.col("ratio") / F.col("level") * F.col("ploidy")).drop("level", "ploidy")
     capped = smooth_outliers(copies.withColumn("capped", F.least("ratio", F.lit(20.0))), chrom, "capped")
-    return segment_means(segment(capped, chrom, trimmed_sd(capped, by)), copies, chrom)
+    return segment_means(segment(capped, chrom, trimmed_sd(capped, by, inside=["chrom"])), copies, chrom)
 
 
 def leading_inter_trailing_gaps(segments: DataFrame, extents: DataFrame, inner: float = 5.0, trailing: float = 20.0) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from locus.functions.seq import kmers, poly_at
+from locus.functions.seq import kmers, poly_at, self_repeat
 
-from .intervals import interval_join, merge_intervals
+from .intervals import interval_join, islanded, merge_intervals
+from .intervals import union_of_spans as _union
 
 
 def union_length(hits: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -22,38 +23,30 @@ def union_length(hits: DataFrame, by: Sequence[str]) -> DataFrame:
 def chain_hsps(hits: DataFrame, query_len: int, max_gap: int = 300, tolerance: int = 200, min_cov: float = 0.55, min_span: int = 3000, max_span: int = 6300) -> DataFrame:
     """Chains of hits of one contig and strand: contig, strand, start, end, covered.
 
-    hits: contig, strand, start, end (target), q_start, q_end. A hit extends the open chain if it follows within the gap,
-    is collinear on the query within the tolerance and keeps the span; the state of the open chain decides, so a
-    contig's strand is one group of its sorted hits.
+    hits: contig, strand, start, end (target), q_start, q_end. By target start, a hit extends the open chain if it
+    follows the last one within the gap, does not step back over the chain's query by more than the tolerance (its end
+    on +, its start on -) and keeps the span. The open chain decides, so hits are grouped; a group is an island of hits
+    that no gap cuts, a few kilobases of a contig.
     """
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         minus, out, now = pdf["strand"].iloc[0] == "-", [], []
-
-        def close() -> None:
-            if not now:
-                return
-            lo, hi = now[0].start, max(h.end for h in now)
-            covered, top = 0, -1
-            for a, b in sorted((h.q_start, h.q_end) for h in now):
-                covered += max(0, b - max(a, top))
-                top = max(top, b)
-            if covered >= min_cov * query_len and min_span <= hi - lo <= max_span:
-                out.append((pdf["contig"].iloc[0], pdf["strand"].iloc[0], lo, hi, covered))
-
-        for h in pdf.sort_values(["start", "end"]).itertuples():
-            if now:
-                last, far = now[-1], max(x.end for x in now)
-                step = last.q_start - h.q_end if minus else h.q_start - last.q_end
-                if h.start - far > max_gap or abs(step - (h.start - last.end)) > tolerance or max(far, h.end) - now[0].start > max_span:
-                    close()
-                    now = []
+        for h in [*pdf.sort_values(["start", "end", "q_start"]).itertuples(), None]:
+            fits = bool(now) and h is not None and h.start - now[-1].end <= max_gap and h.end - now[0].start <= max_span
+            if fits:
+                fits = h.q_end <= min(x.q_start for x in now) + tolerance if minus else h.q_start >= max(x.q_end for x in now) - tolerance
+            if now and not fits:
+                lo, hi = now[0].start, max(x.end for x in now)
+                covered = sum(b - a for a, b in _union((x.q_start, x.q_end) for x in now))
+                if covered >= min_cov * query_len and min_span <= hi - lo <= max_span:
+                    out.append((pdf["contig"].iloc[0], pdf["strand"].iloc[0], lo, hi, covered))
+                now = []
             now.append(h)
-        close()
         return pd.DataFrame(out, columns=["contig", "strand", "start", "end", "covered"])
 
     kind = hits.schema["contig"].dataType.simpleString()
-    return hits.groupBy("contig", "strand").applyInPandas(chain, f"contig {kind}, strand string, start long, end long, covered long")
+    islands = islanded(hits, ["contig", "strand"], gap=max_gap)
+    return islands.groupBy("contig", "strand", "island").applyInPandas(chain, f"contig {kind}, strand string, start long, end long, covered long")
 
 
 def best_hit_per_family(hits: DataFrame) -> DataFrame:
@@ -130,16 +123,29 @@ def aligned_blocks(alignments: DataFrame) -> DataFrame:
     return rows.select("read", "contig", "strand", (F.col("_s") + F.col("a")).alias("start"), (F.col("_s") + F.col("b")).alias("end"), F.when(minus, F.col("_len") - F.col("qb")).otherwise(F.col("qa")).alias("q_start"), F.when(minus, F.col("_len") - F.col("qa")).otherwise(F.col("qb")).alias("q_end"))
 
 
-def exon_support(blocks: DataFrame, exons: DataFrame, insert_len: Column, least: float = 0.5, exons_least: int = 2) -> DataFrame:
-    """Transcripts that an insert's blocks follow: insert_key, transcript, match_ratio, n_exons.
+def exon_support(blocks: DataFrame, exons: DataFrame, least: float = 0.5, exons_least: int = 2, overhang: int = 10) -> DataFrame:
+    """Transcripts that an insert's blocks follow: insert_key, transcript, match_ratio, n_exons, bars.
 
-    blocks: insert_key, ins_len, contig, start, end. Exons count if the overlap is 95 % of exon and block.
+    blocks: insert_key, ins_len, contig, start, end, strand, q_start, q_end (0-based, on the insert); exons: contig, start,
+    end, transcript, exon_number. An overlap counts up to the aligned length; an exon counts if the overlap is 95 % of
+    exon and block. bars are the aligned stretches in order, without ends that hang over the exon, each as
+    first,last,exon,share of the exon.
     """
-    pairs = interval_join(blocks.withColumn("_len", insert_len), exons)
+    pairs = interval_join(blocks, exons)
+    c = F.col
     over = F.least("end", "r_end") - F.greatest("start", "r_start")
-    both = (over >= 0.95 * (F.col("end") - F.col("start"))) & (over >= 0.95 * (F.col("r_end") - F.col("r_start")))
-    g = pairs.groupBy("insert_key", "transcript").agg((F.sum(over) / F.max("_len")).alias("match_ratio"), F.sum(both.cast("int")).alias("n_exons"))
-    return g.where((F.col("match_ratio") >= least) & (F.col("n_exons") >= exons_least))
+    both = (over >= 0.95 * (c("end") - c("start"))) & (over >= 0.95 * (c("r_end") - c("r_start")))
+    plus, left, right = c("strand") == "+", c("r_start") - c("start"), c("end") - c("r_end")
+    a1 = F.when((left > overhang) & plus, F.least(c("q_end"), c("q_start") + left)).otherwise(c("q_start"))
+    z1 = F.when((left > overhang) & ~plus, F.greatest(c("q_start"), c("q_end") - left)).otherwise(c("q_end"))
+    pairs = pairs.withColumns({"_over": over, "_both": both, "_a": a1, "_z": z1})
+    a2 = F.when((right > overhang) & ~plus, F.least(c("_z"), c("_a") + right)).otherwise(c("_a"))
+    z2 = F.when((right > overhang) & plus, F.greatest(c("_a"), c("_z") - right)).otherwise(c("_z"))
+    bar = F.struct(a2.alias("a"), z2.alias("z"), c("exon_number").alias("x"), (c("_over") / (c("r_end") - c("r_start"))).alias("share"))
+    g = pairs.groupBy("insert_key", "transcript").agg((F.sum(F.least(c("_over"), c("q_end") - c("q_start"))) / F.max("ins_len")).alias("match_ratio"), F.sum(c("_both").cast("int")).alias("n_exons"), F.array_sort(F.collect_list(bar)).alias("b"))
+    text = F.array_join(F.transform("b", lambda x: F.concat_ws(",", (x["a"] + 1).cast("string"), x["z"].cast("string"), x["x"].cast("string"), F.round(x["share"], 4).cast("string"))), ";")
+    kept = g.where((F.col("match_ratio") >= least) & (F.col("n_exons") >= exons_least))
+    return kept.select("insert_key", "transcript", F.round("match_ratio", 4).alias("match_ratio"), "n_exons", text.alias("bars"))
 
 
 def best_pseudogene(support: DataFrame) -> DataFrame:
@@ -172,13 +178,18 @@ def repeat_composition(hits: DataFrame) -> DataFrame:
 
 def nearest_source_l1(sites: DataFrame, elements: DataFrame, keys: Sequence[str], near: int = 50, far: int = 5000) -> DataFrame:
     """The element that a transduction came from: for + the lowest minus-strand start in [start - near, start + far), for
-    - the highest plus-strand start in [start - far, end + near)."""
+    - the highest plus-strand start in [start - far, end + near).
+
+    Elements may have `kind_rank` (0 for the assembly's own annotation, then 1 and 2 for population callsets): before -
+    the best kind decides and then the place, before + the place and then the kind.
+    """
     plus = F.col("source_dir") == "+"
+    rank = F.col("kind_rank") if "kind_rank" in elements.columns else F.lit(0)
     own = [F.col(k).alias(f"_k_{k}") for k in keys]
     s = sites.select(*own, "contig", "source_dir", F.when(plus, F.col("start") - near).otherwise(F.col("start") - far).alias("start"), F.when(plus, F.col("start") + far).otherwise(F.col("end") + near).alias("end")).where("start >= 0")
-    pairs = interval_join(s, elements.select("contig", "start", "end", "strand", "name", "ord"), width=far)
+    pairs = interval_join(s, elements.select("contig", "start", "end", "strand", "name", "ord", rank.alias("kind_rank")), width=far)
     ok = pairs.where((plus & (F.col("strand") == "-")) | (~plus & (F.col("strand") == "+")))
-    g = ok.groupBy(*[f"_k_{k}" for k in keys]).agg(F.max("source_dir").alias("_d"), F.max_by("name", F.struct(-F.col("r_start"), "ord")).alias("_lo"), F.max_by("name", F.struct("r_start", "ord")).alias("_hi"))
+    g = ok.groupBy(*[f"_k_{k}" for k in keys]).agg(F.max("source_dir").alias("_d"), F.max_by("name", F.struct(-F.col("r_start"), -F.col("kind_rank"), "ord")).alias("_lo"), F.max_by("name", F.struct(-F.col("kind_rank"), "r_start", "ord")).alias("_hi"))
     g = g.select(*[F.col(f"_k_{k}").alias(k) for k in keys], F.when(F.col("_d") == "+", F.col("_lo")).otherwise(F.col("_hi")).alias("source"))
     return sites.join(g, list(keys), "left")
 
@@ -198,12 +209,44 @@ def supplementary_near_primary(primary: DataFrame, supplementary: DataFrame, mar
     return supplementary.join(p, "read").where(near & (F.col("_pc") == F.col("contig")) if same_contig else near).select(*supplementary.columns).distinct()
 
 
-def insertion_type(l1_class: Column, source: Column, l1_ratio: Column, repeat_class: Column, pseudogene: Column) -> Column:
-    """Orphan_L1, Partnered_L1, Solo_L1, Alu, SVA or PSD, in this priority; null for none."""
-    solo = l1_class.endswith("LINE1")
-    orphan = source.isNotNull() & ~F.coalesce(solo, F.lit(False)) & (l1_ratio < 0.01)
-    partnered = source.isNotNull() & ~F.coalesce(solo, F.lit(False))
-    return F.when(orphan, "Orphan_L1").when(partnered, "Partnered_L1").when(solo, "Solo_L1").when(repeat_class == "Alu", "Alu").when(repeat_class == "SVA", "SVA").when(pseudogene.isNotNull(), "PSD")
+def end_alignments(alignments: DataFrame, poly: DataFrame) -> DataFrame:
+    """For each insert and slot the alignment at its polyT or polyA end: insert_key, slot, contig, start, end, strand, poly.
+
+    alignments: insert_key, hap (1 or 2), contig, start, end, strand, q_start, q_end, ord (the primary first). poly:
+    insert_key, poly. polyT takes the least q_start, polyA the largest q_end, the first on ties and without a tail.
+    An insert aligned to one haplotype alone has it in slot 1.
+    """
+    a = alignments.join(poly.select("insert_key", "poly"), "insert_key", "left")
+    order = F.struct(F.when(F.col("poly") == "polyT", F.col("q_start")).when(F.col("poly") == "polyA", -F.col("q_end")).otherwise(F.lit(0)).alias("end"), "ord")
+    best = a.groupBy("insert_key", "hap").agg(F.min_by(F.struct("contig", "start", "end", "strand", "poly"), order).alias("b"))
+    return best.select("insert_key", F.row_number().over(Window.partitionBy("insert_key").orderBy("hap")).alias("slot"), "b.*")
+
+
+def transduction_sources(alignments: DataFrame, poly: DataFrame, elements: DataFrame) -> DataFrame:
+    """insert_key, source_1 and source_2, and whether the slots' directions disagree, which gives no source.
+
+    A tail at the end where the alignment leaves decides the direction: + for polyT on + and polyA on -, else -.
+    """
+    tail = ((F.col("strand") == "+") & (F.col("poly") == "polyT")) | ((F.col("strand") == "-") & (F.col("poly") == "polyA"))
+    ends = end_alignments(alignments, poly).withColumn("source_dir", F.when(tail, "+").otherwise("-"))
+    ways = ends.groupBy("insert_key").agg((F.min("source_dir") != F.max("source_dir")).alias("discordant"))
+    agreed = ends.join(ways, "insert_key").where(F.col("poly").isNotNull() & ~F.col("discordant"))
+    found = nearest_source_l1(agreed, elements, ["insert_key", "slot"]).groupBy("insert_key").agg(*[F.max(F.when(F.col("slot") == k, F.col("source"))).alias(f"source_{k}") for k in (1, 2)])
+    return ways.join(found, "insert_key", "left")
+
+
+def transduction_class(repeat_class: Column, source_1: Column, source_2: Column, l1_ratio: Column) -> tuple[Column, Column]:
+    """Solo, Orphan or Partnered for each slot: a source tells by the L1 ratio; without one slot 2 takes slot 1's class."""
+    solo = F.when(repeat_class.endswith("LINE1"), "Solo")
+    known = F.when(F.coalesce(l1_ratio, F.lit(0.0)) < 0.01, "Orphan").otherwise("Partnered")
+    first = F.when(source_1.isNotNull(), known).otherwise(solo)
+    return first, F.when(source_2.isNotNull(), known).otherwise(first)
+
+
+def insertion_type(class_1: Column, class_2: Column, repeat_class: Column, pseudogene: Column) -> Column:
+    """Orphan_L1, Partnered_L1, Solo_L1, Alu, SVA or PSD, in this priority over both slots; null for none."""
+    either = lambda x: (class_1 == x) | (class_2 == x)
+    return F.when(either("Orphan"), "Orphan_L1").when(either("Partnered"), "Partnered_L1").when(either("Solo"), "Solo_L1").when(repeat_class == "Alu", "Alu").when(repeat_class == "SVA", "SVA").when(pseudogene.isNotNull(), "PSD")
 
 
 def union_keys(parts: Sequence[DataFrame], key: str = "insert_key", defaults: dict | None = None) -> DataFrame:
@@ -214,43 +257,66 @@ def union_keys(parts: Sequence[DataFrame], key: str = "insert_key", defaults: di
     return out.na.fill(defaults) if defaults else out
 
 
-def target_site_duplication(inserts: DataFrame, arm: int = 20, mismatch: int = 8, offset: int = 2, least: int = 5, identity: float = 0.8) -> DataFrame:
-    """The longest duplicated target site of each insert: insert_key, tsd_len, side.
+def target_site_duplication(inserts: DataFrame, arm: int = 20, mismatch: int = 8, offset: int = 2, least: int = 5) -> DataFrame:
+    """The best duplicated target site of each insert: insert_key, tsd_len, side.
 
     inserts: insert_key, seq, right (the bases after the second break end), left (those before the first, reversed and
-    complemented) and seq_rc. Runs along each diagonal are scored +1 and -mismatch; the best run is where the running sum
-    is highest above its lowest point before. Gaps are not modelled.
+    complemented) and seq_rc. A site is a run of a diagonal that begins within `offset` bases of both ends, has `least`
+    bases and scores `least` or more by +1 for equal bases and -mismatch for others; the best scores most, then is on the
+    right, then ends first, then is the longer. Gaps are not modelled. All in the row, without a shuffle.
     """
-    sides = F.array(F.struct(F.lit("right").alias("side"), F.substring("seq", 1, arm).alias("a"), F.col("right").alias("b")), F.struct(F.lit("left").alias("side"), F.substring("seq_rc", 1, arm).alias("a"), F.col("left").alias("b")))
-    rows = inserts.select("insert_key", F.inline(sides))
-    diag = rows.select("*", F.explode(F.sequence(F.lit(-offset), F.lit(offset))).alias("d"))
-    each = diag.select("insert_key", "side", "d", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(arm - 1))).alias("i")).where((F.col("i") < F.length("a")) & (F.col("i") + F.col("d") >= 0) & (F.col("i") + F.col("d") < F.length("b")))
-    same = F.substring(F.col("a"), F.col("i") + 1, F.lit(1)) == F.substring(F.col("b"), F.col("i") + F.col("d") + 1, F.lit(1))
-    w = Window.partitionBy("insert_key", "side", "d").orderBy("i")
-    run = F.sum(F.when(same, 1).otherwise(-mismatch)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    s = each.withColumns({"_same": same.cast("int"), "_s": run}).withColumn("_base", F.coalesce(F.least(F.min("_s").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.lit(0)))
-    from_i = F.max(F.when(F.col("_s") <= F.col("_base"), F.col("i"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    s = s.withColumn("_from", F.coalesce(from_i + 1, F.min("i").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    s = s.withColumns({"score": F.col("_s") - F.col("_base"), "n": F.col("i") - F.col("_from") + 1})
-    ok = s.where((F.col("_from") <= offset) & (F.col("_from") + F.col("d") <= offset) & (F.col("score") >= least) & (F.col("n") >= least))
-    best = ok.groupBy("insert_key").agg(F.max_by(F.struct("n", "side"), F.struct("score", (F.col("side") == "right").cast("int"), -F.col("i"))).alias("b"))
-    return best.select("insert_key", F.col("b.n").alias("tsd_len"), F.col("b.side").alias("side"))
+    starts = [(i, d) for d in range(-offset, offset + 1) for i in range(offset + 1) if 0 <= i + d <= offset]
+    sides = [(F.lit(1), F.substring("seq", 1, arm), F.col("right")), (F.lit(0), F.substring("seq_rc", 1, arm), F.col("left"))]
+
+    def best(is_right: Column, a: Column, b: Column, i: int, d: int) -> Column:
+        last = F.least(F.length(a), F.length(b) - d) - 1
+        begin = F.struct(F.lit(0).alias("score"), F.lit(None).cast("struct<score:int,right:int,back:int,n:int>").alias("top"))
+
+        def step(acc: Column, k: Column) -> Column:
+            score = acc["score"] + F.when(F.substring(a, k + 1, F.lit(1)) == F.substring(b, k + d + 1, F.lit(1)), 1).otherwise(-mismatch)
+            n = k - i + 1
+            here = F.when((score >= least) & (n >= least), F.struct(score.alias("score"), is_right.alias("right"), (-k).alias("back"), n.alias("n")))
+            return F.struct(score.alias("score"), F.greatest(acc["top"], here).alias("top"))
+
+        return F.when(last >= i, F.aggregate(F.sequence(F.lit(i), last), begin, step, lambda acc: acc["top"]))
+
+    top = F.greatest(*[best(*side, i, d) for side in sides for i, d in starts])
+    found = inserts.select("insert_key", top.alias("t")).where(F.col("t").isNotNull())
+    return found.select("insert_key", F.col("t.n").alias("tsd_len"), F.when(F.col("t.right") == 1, "right").otherwise("left").alias("side"))
 
 
 def flank_repeat_score(inserts: DataFrame, k: int = 11) -> DataFrame:
-    """Share of each insert's k-mers that its left or right flank holds: flank_coverage and best_flank (left on ties)."""
-    ins = inserts.select("sv_id", F.explode(F.array_distinct(kmers(F.col("seq"), k))).alias("kmer"))
-    total = ins.groupBy("sv_id").count()
+    """How much of each insert its flanks hold, and how repetitive it is: what decide_array_change() asks for.
+
+    inserts: sv_id, seq, left, right. flank_coverage is the share of the insert's k-mers that its better flank holds
+    (best_flank, left on ties); self_repeat and self_period are of the whole insert, flank_self_repeat is of the stretch
+    between the first and the last of those k-mers.
+    """
+    ins = inserts.select("sv_id", F.posexplode(kmers(F.col("seq"), k)).alias("at", "kmer"))
+    total = ins.groupBy("sv_id").agg(F.count_distinct("kmer").alias("total"))
     flanks = inserts.select("sv_id", F.inline(F.array(*[F.struct(F.lit(s).alias("flank"), F.col(s).alias("s")) for s in ("left", "right")])))
     fk = flanks.select("sv_id", "flank", F.explode(F.array_distinct(kmers(F.col("s"), k))).alias("kmer"))
-    hit = ins.join(fk, ["sv_id", "kmer"]).groupBy("sv_id", "flank").count().withColumnRenamed("count", "h").join(total, "sv_id").withColumn("share", F.col("h") / F.col("count"))
-    best = hit.groupBy("sv_id").agg(F.max(F.struct("share", (F.col("flank") == "left").alias("is_left"))).alias("b"))
-    return inserts.select("sv_id").join(best, "sv_id", "left").select("sv_id", F.coalesce("b.share", F.lit(0.0)).alias("flank_coverage"), F.when(F.col("b").isNotNull(), F.when(F.col("b.is_left"), "left").otherwise("right")).alias("best_flank"))
+    hit = ins.join(fk, ["sv_id", "kmer"]).groupBy("sv_id", "flank").agg(F.count_distinct("kmer").alias("h"), F.min("at").alias("first"), F.max("at").alias("last")).join(total, "sv_id")
+    best = hit.groupBy("sv_id").agg(F.max(F.struct((F.col("h") / F.col("total")).alias("share"), (F.col("flank") == "left").alias("is_left"), "first", "last")).alias("b"))
+    j = inserts.select("sv_id", "seq").join(best, "sv_id", "left")
+    whole, part = self_repeat(F.col("seq")), self_repeat(F.substring(F.col("seq"), F.col("b.first") + 1, F.col("b.last") - F.col("b.first") + k))
+    return j.select(
+        "sv_id", F.length("seq").alias("ins_len"), F.coalesce("b.share", F.lit(0.0)).alias("flank_coverage"), F.when(F.col("b").isNotNull(), F.when(F.col("b.is_left"), "left").otherwise("right")).alias("best_flank"),
+        whole["share"].alias("self_repeat"), whole["period"].alias("self_period"), F.coalesce(part["share"], F.lit(0.0)).alias("flank_self_repeat"),
+    )
 
 
-def insertion_evidence(svs: DataFrame, composition: DataFrame, pseudogenes: DataFrame, sources: DataFrame, tsd: DataFrame) -> DataFrame:
-    """Insertions with their type and evidence by the seven-part key; what a part does not know is null."""
-    parts = union_keys([composition, pseudogenes, sources, tsd])
-    rows = min_insert_len(svs).join(parts, "insert_key", "left")
-    kind = insertion_type(F.col("repeat_class"), F.col("source"), F.coalesce("l1_ratio", F.lit(0.0)), F.col("repeat_class"), F.col("transcript"))
-    return rows.withColumns({"insert_type": kind, "poly": poly_at(F.col("inserted")), "is_inversion": F.coalesce(F.col("repeat_class").startswith("Inverted"), F.lit(False))})
+def insertion_evidence(svs: DataFrame, composition: DataFrame, alignments: DataFrame, elements: DataFrame, tsd: DataFrame, pseudogenes: DataFrame) -> DataFrame:
+    """Insertions with their type and evidence by the seven-part key; what no part knows is null, and so is the type.
+
+    composition is of repeat_composition(), tsd of target_site_duplication() and pseudogenes of best_pseudogene();
+    alignments are as end_alignments() takes them, elements as nearest_source_l1() does.
+    """
+    rows = min_insert_len(svs).withColumn("poly", poly_at(F.col("inserted")))
+    sources = transduction_sources(alignments, rows.select("insert_key", "poly").distinct(), elements)
+    parts = union_keys([composition, sources, tsd, pseudogenes.select("insert_key", "transcript", "match_ratio", "n_exons")])
+    out = rows.join(parts.withColumn("_known", F.lit(True)), "insert_key", "left")
+    first, second = transduction_class(F.col("repeat_class"), F.col("source_1"), F.col("source_2"), F.col("l1_ratio"))
+    out = out.withColumns({"class_1": first, "class_2": second})
+    inversion = F.coalesce(*[F.when(F.col("repeat_class").startswith(x), x) for x in ("Simple", "Inverted", "Other")], F.when(F.col("_known"), "NA"))
+    return out.withColumns({"insert_type": insertion_type(F.col("class_1"), F.col("class_2"), F.col("repeat_class"), F.col("transcript")), "is_inversion": inversion}).drop("_known")

@@ -8,7 +8,7 @@ its length. Orders along a contig are taken inside tiles, with what is carried o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,16 +117,33 @@ def max_before(df: DataFrame, by: Sequence[str], at: str, value: str, name: str,
     return joined.select(*df.columns, F.greatest(F.max(value).over(inside), F.col("_carried")).alias(name))
 
 
+def islanded(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0, name: str = "island", span: tuple[str, str] = ("start", "end")) -> DataFrame:
+    """Adds the start of each row's island: the rows whose spans overlap, abut, or are at most `gap` apart."""
+    start, end = span
+    rows = max_before(df, by, start, end, "_before", [end])
+    opens = F.when(F.col("_before").isNull() | (F.col(start) > F.col("_before") + gap), F.col(start))
+    # An island is named by its start, the last that opened one.
+    marked = max_before(rows.withColumn("_opens", opens), by, start, "_opens", "_last", [end, "_opens"])
+    return marked.withColumn(name, F.greatest("_opens", "_last")).select(*df.columns, name)
+
+
 def merge_intervals(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0) -> DataFrame:
     """Unions of intervals that overlap, abut, or are at most `gap` apart."""
-    rows = max_before(df.select(*by, "start", "end"), by, "start", "end", "_before", ["end"])
-    opens = F.when(F.col("_before").isNull() | (F.col("start") > F.col("_before") + gap), F.col("start"))
-    # A union is named by its start, the last that opened one.
-    marked = max_before(rows.withColumn("_opens", opens), by, "start", "_opens", "_island", ["end", "_opens"])
-    island = marked.withColumn("_island", F.greatest("_opens", "_island"))
+    island = islanded(df.select(*by, "start", "end"), by, gap, "_island")
     return island.groupBy(*by, "_island").agg(F.max("end").alias("end")).select(*by, F.col("_island").alias("start"), "end")
 
 
+def union_of_spans(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans without overlaps that cover the same places: a helper for grouped functions."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
 def subtract_intervals(df: DataFrame, gaps: DataFrame, keys: Sequence[str], width: int = 500) -> DataFrame:
     """Pieces of each row outside the gaps; every piece keeps the row's other columns."""
     merged = merge_intervals(gaps)

@@ -125,24 +125,12 @@ def mode_value(spark: SparkSession, sf: str) -> DataFrame:
 _SHARE = "coalesce(sum(n) FILTER (m > 0.4 * lv / {k} AND m < 0.6 * lv / {k}), 0) / sum(n)"
 
 
-@query(f"WITH {sql('depths')}, s AS (SELECT sample, hap, (normal_depth % 70000) / 35000 AS m, w % 50 + 1 AS n, 1.0 AS lv FROM depths), h AS (SELECT sample, hap, {_SHARE.format(k=1)} AS a, {_SHARE.format(k=2)} AS b, {_SHARE.format(k=4)} AS c FROM s WHERE m > 0.05 GROUP BY ALL) SELECT sample, hap, CASE WHEN a <= 0.09 THEN 2 WHEN b <= 0.09 THEN 4 WHEN c <= 0.09 THEN 8 ELSE 16 END::INT AS ploidy FROM h")
+@query(f"WITH {sql('depths')}, s AS (SELECT sample, hap, (normal_depth % 70000) / 35000 AS m, w % 50 + 1 AS n, 1.0 AS lv FROM depths), h AS (SELECT sample, hap, {_SHARE.format(k=1)} AS a, {_SHARE.format(k=2)} AS b, {_SHARE.format(k=4)} AS c FROM s WHERE m > 0.05 GROUP BY ALL) SELECT sample, hap, CASE WHEN a <= 0.09 THEN 1 WHEN b <= 0.09 THEN 2 WHEN c <= 0.09 THEN 4 ELSE 8 END::INT AS ploidy FROM h")
 def half_window_ploidy(spark: SparkSession, sf: str) -> DataFrame:
     s = depths(spark, sf).select("sample", "hap", ((F.col("normal_depth") % 70000) / 35000).alias("mean"), (F.col("w") % 50 + 1).alias("n_marks"), F.lit(1.0).alias("level"))
     return c.half_window_ploidy(s, ["sample", "hap"])
 
 
-def _ratios(spark: SparkSession, sf: str) -> DataFrame:
-    d = depths(spark, sf)
-    return c.depth_ratio(d, c.depth_totals(d, ["sample", "hap"]), ["sample", "hap"]).withColumnRenamed("w", "window_index")
-
-
-@query()
-def detect_peaks(spark: SparkSession, sf: str) -> DataFrame:
-    q = _ratios(spark, sf)
-    scaled = q.withColumn("x", F.col("tumor_depth") / F.col("normal_depth")).withColumn("one", F.lit(1))
-    return c.detect_peaks(c.density(scaled, ["sample", "hap"], "x", "one", 0.0, 0.6), ["sample", "hap"])
-
-
 @query()
 def call_copy_number(spark: SparkSession, sf: str) -> DataFrame:
     d = depths(spark, sf).groupBy("sample", "hap", "chrom", F.col("w").alias("window_index")).agg(F.min("tumor_depth").alias("tumor_depth"), F.min("normal_depth").alias("normal_depth"))
@@ -311,16 +299,28 @@ def chain_hsps(spark: SparkSession, sf: str) -> DataFrame:
     return e.chain_hsps(h, 6000, max_gap=1000, tolerance=1000)
 
 
-@query()
+@query(f"""WITH {sql('seqs')}, r AS (SELECT contig, seq, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM seqs), s AS (SELECT contig, 1 AS r, substr(seq, 1, 20) AS a, substr(seq, 2, 21) AS b FROM r UNION ALL SELECT contig, 0, substr(rc, 1, 20), substr(rc, 2, 21) FROM r),
+d AS (SELECT *, unnest(range(-2, 3)) AS d FROM s), i AS (SELECT *, unnest(range(0, 3)) AS i FROM d), e AS (SELECT *, unnest(range(i, least(length(a), length(b) - d))) AS e FROM i WHERE i + d BETWEEN 0 AND 2),
+v AS (SELECT contig, r, e, e - i + 1 AS n, list_sum(list_transform(range(i, e + 1), lambda k: CASE WHEN substr(a, (k + 1)::INT, 1) = substr(b, (k + d + 1)::INT, 1) THEN 1 ELSE -8 END))::BIGINT AS score FROM e),
+t AS (SELECT contig, max(struct_pack(score := score, r := r, back := -e, n := n)) AS t FROM v WHERE score >= 5 AND n >= 5 GROUP BY contig) SELECT contig AS insert_key, t.n AS tsd_len, CASE t.r WHEN 1 THEN 'right' ELSE 'left' END AS side FROM t""")
 def target_site_duplication(spark: SparkSession, sf: str) -> DataFrame:
     from locus.functions.seq import reverse_complement
 
     s = standin(spark, sf, "seqs")
     rc = reverse_complement(F.col("seq"))
-    return e.target_site_duplication(s.select(F.col("contig").alias("insert_key"), "seq", F.substring("seq", 1, 21).alias("right"), rc.alias("seq_rc"), F.substring(rc, 2, 21).alias("left")))
-
-
-@query()
+    return e.target_site_duplication(s.select(F.col("contig").alias("insert_key"), "seq", F.substring("seq", 2, 21).alias("right"), rc.alias("seq_rc"), F.substring(rc, 2, 21).alias("left"))).withColumn("tsd_len", F.col("tsd_len").cast("long"))
+
+
+@query(f"""WITH {sql('seqs')}, i AS (SELECT contig, seq, p, substr(seq, p::INT + 1, 7) AS k FROM (SELECT contig, seq, unnest(range(0, 26)) AS p FROM seqs)),
+fl AS (SELECT contig, 1 AS is_left, substr(seq, 5, 20) AS s FROM seqs UNION ALL SELECT contig, 0, reverse(seq) FROM seqs), fk AS (SELECT DISTINCT contig, is_left, substr(s, p::INT + 1, 7) AS k FROM (SELECT *, unnest(range(0, length(s) - 6)) AS p FROM fl)),
+h AS (SELECT i.contig, is_left, count(DISTINCT i.k) AS h, min(p) AS a, max(p) AS z FROM i JOIN fk ON i.contig = fk.contig AND i.k = fk.k GROUP BY ALL), n AS (SELECT contig, count(DISTINCT k) AS n FROM i GROUP BY contig),
+b AS (SELECT contig, max(struct_pack(share := h / n, l := is_left, a := a, z := z)) AS b FROM h JOIN n USING (contig) GROUP BY contig),
+t AS (SELECT contig, 'w' AS part, seq AS s FROM seqs UNION ALL SELECT seqs.contig, 'p', substr(seq, b.a::INT + 1, (b.z - b.a + 7)::INT) FROM seqs JOIN b USING (contig)),
+r AS (SELECT contig, part, p, len(list_filter(range(1, length(s) - p + 1), lambda x: substr(s, x::INT, 1) = substr(s, (x + p)::INT, 1))) / (length(s) - p) AS share FROM (SELECT *, unnest(range(1, length(s) // 2 + 1)) AS p FROM t)),
+q AS (SELECT contig, part, arg_min(p, struct_pack(x := -share, y := p)) AS period, max(share) AS share FROM r GROUP BY ALL)
+SELECT seqs.contig AS sv_id, length(seq) AS ins_len, round(coalesce(b.share, 0), 9) AS flank_coverage, CASE b.l WHEN 1 THEN 'left' WHEN 0 THEN 'right' END AS best_flank, round(w.share, 9) AS self_repeat, w.period AS self_period, round(coalesce(p.share, 0), 9) AS flank_self_repeat
+FROM seqs LEFT JOIN b USING (contig) LEFT JOIN q w ON w.contig = seqs.contig AND w.part = 'w' LEFT JOIN q p ON p.contig = seqs.contig AND p.part = 'p'""")
 def flank_repeat_score(spark: SparkSession, sf: str) -> DataFrame:
     s = standin(spark, sf, "seqs")
-    return e.flank_repeat_score(s.select(F.col("contig").alias("sv_id"), "seq", F.substring("seq", 5, 20).alias("left"), F.reverse("seq").alias("right")), 7)
+    f = e.flank_repeat_score(s.select(F.col("contig").alias("sv_id"), "seq", F.substring("seq", 5, 20).alias("left"), F.reverse("seq").alias("right")), 7)
+    return f.select("sv_id", F.col("ins_len").cast("long").alias("ins_len"), F.round("flank_coverage", 9).alias("flank_coverage"), "best_flank", F.round("self_repeat", 9).alias("self_repeat"), F.col("self_period").cast("long").alias("self_period"), F.round("flank_self_repeat", 9).alias("flank_self_repeat"))
