@@ -185,7 +185,7 @@ _MEMBERS = "m AS (SELECT contig % 20 AS contig, chrom % 4 AS chrom, strand, c_st
 
 
 def members(spark: SparkSession, sf: str) -> DataFrame:
-    return rows(spark, sf).select((F.col("contig") % 20).cast("string").alias("contig"), (F.col("chrom") % 4).cast("string").alias("chrom"), "strand", "c_start", "c_end", "r_start", "r_end", (F.col("matched") * 100).alias("matched"), F.lit(60).alias("mapq"), "ord", "hap")
+    return rows(spark, sf).select((F.col("contig") % 20).cast("string").alias("contig"), (F.col("chrom") % 4).cast("string").alias("chrom"), "strand", "c_start", "c_end", "r_start", "r_end", (F.col("matched") * 100).alias("matched"), F.lit(60).alias("mapq"), "ord")
 
 
 @query(f"WITH {sql('reftable')}, {_MEMBERS} SELECT contig::VARCHAR AS contig, chrom::VARCHAR AS chrom, strand, min(c_start) AS c_start, max(c_end) AS c_end, min(r_start) AS r_start, max(r_end) AS r_end, sum(matched * 100)::BIGINT AS matched, sum(c_end - c_start)::BIGINT AS c_span, sum(r_end - r_start)::BIGINT AS r_span, count(*) AS n FROM m GROUP BY ALL")
@@ -232,16 +232,16 @@ def row_support(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def reference_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Chains, contig resolution and reference overlaps in one flow."""
-    m = members(spark, sf)
-    chains = r.drop_sparse_chains(r.chain_stats(r.split_ref_jumps(r.best_chain(m)).drop("mapq")), 0.01, 0.001)
-    return r.resolve_ref_overlaps(r.resolve_contigs(chains, min_density=0.01), m)
+    """Chains, contigs, jumps, chromosomes and reference overlaps in one flow, for the assemblies of two haplotypes."""
+    m = members(spark, sf).withColumn("hap", F.col("ord") % 2)
+    satellites = standin(spark, sf, "regions").select((F.col("ord") % 4).cast("string").alias("contig"), (F.col("ord") * 45000).alias("start"), (F.col("ord") * 45000 + F.col("size") * 900).alias("end"))
+    return r.reference_table(m, satellites, min_density=0.01, min_ref_density=0.001)
 
 
 @query()
 def consolidate_sex_chroms(spark: SparkSession, sf: str) -> DataFrame:
     names = F.when(F.col("chrom") == "0", "chrX").when(F.col("chrom") == "1", "chrY").otherwise(F.concat(F.lit("chr"), "chrom"))
-    m = members(spark, sf).withColumn("chrom", names)
+    m = members(spark, sf).withColumns({"chrom": names, "hap": F.col("ord") % 2})
     return r.consolidate_sex_chroms(m.select(*r.ROW_NAMES, "hap"), m)
 
 

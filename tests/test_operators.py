@@ -99,8 +99,8 @@ def test_heaviest_increasing():
         n = r.randrange(1, 9)
         keys, weights = [r.randrange(6) for _ in range(n)], [r.randrange(1, 9) for _ in range(n)]
         got = reftable.heaviest_increasing(keys, weights)
-        assert [keys[i] for i in got] == sorted(keys[i] for i in got) and got == sorted(got)
-        best = max(sum(weights[i] for i in range(n) if m >> i & 1) for m in range(1 << n) if (k := [keys[i] for i in range(n) if m >> i & 1]) == sorted(k))
+        assert [keys[i] for i in got] == sorted({keys[i] for i in got}) and got == sorted(got)
+        best = max(sum(weights[i] for i in range(n) if m >> i & 1) for m in range(1 << n) if (k := [keys[i] for i in range(n) if m >> i & 1]) == sorted(set(k)))
         assert sum(weights[i] for i in got) == best
 
 
@@ -171,10 +171,10 @@ def test_ref_jumps_keep_further_placements(spark, strand):
 
 def test_satellites_are_taken_off_each_block(spark):
     """Two blocks of one chain on an acrocentric chromosome: each loses its own satellite once."""
-    chains = spark.createDataFrame([("c", 0, 900_000, "+", "chr13", 0, 900_000, 800_000), ("c", 900_000, 1_800_000, "+", "chr13", 9_000_000, 9_900_000, 800_000), ("c", 1_900_000, 2_900_000, "+", "chr1", 0, 1_000_000, 900_000)], reftable.ROW)
+    chains = spark.createDataFrame([("c", 0, 900_000, "+", "chr13", 0, 900_000, 800_000, 60), ("c", 900_000, 1_800_000, "+", "chr13", 9_000_000, 9_900_000, 800_000, 60), ("c", 1_900_000, 2_900_000, "+", "chr1", 0, 1_000_000, 900_000, 60)], reftable.ROW + ", mapq int")
     satellites = spans(spark, [("chr13", 0, 600_000), ("chr13", 9_000_000, 9_100_000)])
     # 300 kb and 800 kb are left of chr13
-    assert {r.chrom for r in reftable.resolve_contigs(chains, satellites=satellites).collect()} == {"chr1", "chr13"}
+    assert {r.chrom for r in reftable.choose_chromosomes(chains, satellites).collect()} == {"chr1", "chr13"}
 
 
 def test_adjacent_pairs_follow_directions(spark):
@@ -186,3 +186,95 @@ def test_adjacent_pairs_follow_directions(spark):
     data = [(read, at, i, *v, turn) for i, (read, at, v, turn) in enumerate(reads)]
     got = rows(sv.read_adjacent_pairs(spark.createDataFrame(data, kind)), "from_sv", "to_sv", "from_turn", "to_turn", "first_size", "sizes")
     assert got == [("a", "b", "+", "+", 1000, "1050,980"), ("inserted", "b", "+", "+", 1000, "1000")]
+
+
+def alignments(spark, data, mapq=60):
+    return spark.createDataFrame([(*x, mapq) for x in data], reftable.ROW + ", mapq int")
+
+
+def placed(df):
+    return rows(df, "contig", "chrom", "c_start", "c_end", "r_start", "r_end")
+
+
+def test_chains_between_chromosomes(spark):
+    """Contained on both axes, denser by twice, and clipped with the seed checked again."""
+    m = 1_000_000
+    inside = alignments(spark, [("c", 0, 4 * m, "+", "chr1", 0, 4 * m, 3 * m), ("c", m, 2 * m, "+", "chr2", m, 2 * m, 900_000)])
+    assert placed(reftable.resolve_contigs(inside)) == [("c", "chr1", 0, 4 * m, 0, 4 * m)]
+    apart = alignments(spark, [("c", 0, 4 * m, "+", "chr1", 0, 4 * m, 3 * m), ("c", m, 2 * m, "+", "chr2", 90 * m, 91 * m, 900_000)])
+    # Inside on the contig alone: no containment, no winner by density, so both lose the shared stretch.
+    assert placed(reftable.resolve_contigs(apart)) == [("c", "chr1", 0, m, 0, m), ("c", "chr1", 2 * m, 4 * m, 2 * m, 4 * m)]
+    denser = alignments(spark, [("c", 0, 2 * m, "+", "chr1", 0, 2 * m, 2 * m), ("c", m, 3 * m, "+", "chr2", 0, 2 * m, 600_000)])
+    assert placed(reftable.resolve_contigs(denser)) == [("c", "chr1", 0, 2 * m, 0, 2 * m)]
+    clipped = alignments(spark, [("c", 0, 2 * m, "-", "chr1", 0, 2 * m, 2 * m), ("c", m, 3 * m, "+", "chr2", 0, 2 * m, 1_500_000)])
+    assert placed(reftable.resolve_contigs(clipped)) == [("c", "chr1", 0, m, m, 2 * m), ("c", "chr2", 2 * m, 3 * m, m, 2 * m)]
+    seed = alignments(spark, [("c", 0, 2 * m, "+", "chr1", 0, 2 * m, 2 * m), ("c", 1_995_000, 2_003_000 + 5_000, "+", "chr2", 0, 13_000, 12_000)])
+    assert {x[1] for x in placed(reftable.resolve_contigs(seed))} == {"chr1"}
+
+
+def test_strands_of_one_chromosome_are_merged(spark):
+    m = 1_000_000
+    data = [(c, s, e, t, "chr1", s, e, e - s) for c, s, e, t in (("near", 0, 2 * m, "+"), ("near", 2 * m, 3 * m, "-"), ("far", 0, 2 * m, "+"), ("far", 9 * m, 10 * m, "-"))]
+    got = {(r.contig, r.c_start, r.chain) for r in reftable.resolve_contigs(alignments(spark, data)).collect()}
+    assert got == {("near", 0, 0), ("near", 2 * m, 0), ("far", 0, 0), ("far", 9 * m, 1)}
+
+
+def test_pieces_of_a_chromosome(spark):
+    """Cut at a jump of the reference; one row where the pieces overlap on the contig or satellite lies between."""
+    m = 1_000_000
+    cut = alignments(spark, [("c", 0, 2 * m, "+", "chr1", 0, 2 * m, 2 * m), ("c", 2 * m, 4 * m, "+", "chr1", 12 * m, 14 * m, 2 * m)])
+    assert placed(reftable.choose_chromosomes(cut)) == [("c", "chr1", 0, 2 * m, 0, 2 * m), ("c", "chr1", 2 * m, 4 * m, 12 * m, 14 * m)]
+    satellites = spans(spark, [("chr1", 3 * m, 11 * m)])
+    assert placed(reftable.choose_chromosomes(cut, satellites)) == [("c", "chr1", 0, 4 * m, 0, 14 * m)]
+    overlapping = alignments(spark, [("c", 0, 2 * m, "+", "chr1", 0, 2 * m, 2 * m), ("c", 1_800_000, 4 * m, "+", "chr1", 12 * m, 14_200_000, 2 * m)])
+    assert placed(reftable.choose_chromosomes(overlapping)) == [("c", "chr1", 0, 4 * m, 0, 14_200_000)]
+    small = alignments(spark, [("c", 0, 500_000, "+", "chr1", 0, 500_000, 1), ("c", 0, 400_000, "+", "chr2", 0, 400_000, 9)])
+    assert placed(reftable.choose_chromosomes(small)) == [("c", "chr1", 0, 500_000, 0, 500_000)]
+
+
+def test_rows_are_clipped_by_their_alignments(spark):
+    """Less support loses the overlap and is cut back to its own alignments; a row inside another goes; both ways."""
+    m = 1_000_000
+    r = [("a", 0, 10 * m, "+", "chr1", 0, 10 * m, 9 * m), ("b", 0, 6 * m, "+", "chr1", 8 * m, 14 * m, 4 * m), ("in", 0, m, "+", "chr1", 3 * m, 4 * m, m)]
+    backing = [("a", 0, 10 * m, "+", "chr1", 0, 10 * m, 9 * m), ("b", 0, 500_000, "+", "chr1", 8 * m, 8_500_000, 100_000), ("b", 3 * m, 6 * m, "+", "chr1", 11 * m, 14 * m, 3 * m), ("in", 0, m, "+", "chr1", 3 * m, 4 * m, m)]
+    got = placed(reftable.resolve_ref_overlaps(spark.createDataFrame(r, reftable.ROW), alignments(spark, backing)))
+    # b's claim from 10 Mb on begins at its first alignment there.
+    assert got == [("a", "chr1", 0, 10 * m, 0, 10 * m), ("b", "chr1", 3 * m, 6 * m, 11 * m, 14 * m)]
+    weak = alignments(spark, backing, 10)
+    assert {x[0] for x in placed(reftable.resolve_ref_overlaps(spark.createDataFrame(r, reftable.ROW), weak))} <= {"a", "b"}
+
+
+def test_assemblies_are_apart(spark):
+    """The same rows of two haplotypes do not clash with each other."""
+    r = spark.createDataFrame([("a", 0, 100, "+", "chr1", 0, 100, 90, h) for h in (1, 2)], reftable.ROW + ", hap int")
+    assert reftable.resolve_ref_overlaps(r, r).count() == 2
+
+
+def test_sex_chromosomes(spark):
+    """chrX to the haplotype with more of it, chrY to the other; a contig that goes on through an overlap stays whole."""
+    m = 1_000_000
+    r = [("x1", 0, 10 * m, "+", "chrX", 0, 10 * m, 8 * m, 1), ("x2", 0, 2 * m, "+", "chrX", 4 * m, 6 * m, 2 * m, 2), ("y", 0, m, "+", "chrY", 0, m, m, 1), ("c", 0, m, "+", "chr1", 0, m, m, 2)]
+    backing = [("x1", 0, 4 * m, "+", "chrX", 0, 4 * m, 4 * m), ("x1", 6 * m, 10 * m, "+", "chrX", 6 * m, 10 * m, 4 * m), ("x2", 0, 2 * m, "+", "chrX", 4 * m, 6 * m, 2 * m), ("y", 0, m, "+", "chrY", 0, m, m)]
+    frame = spark.createDataFrame(r, reftable.ROW + ", hap int")
+    got = rows(reftable.consolidate_sex_chroms(frame, alignments(spark, backing)), "contig", "hap", "r_start", "r_end")
+    assert got == [("c", 2, 0, m), ("x1", 1, 0, 10 * m), ("y", 2, 0, m)]
+    # A hole of the contig instead: x2 keeps the middle, x1 its flanks.
+    hole = [(*backing[0],), ("x1", 4_100_000, 8_100_000, "+", "chrX", 6 * m, 10 * m, 4 * m), *backing[2:]]
+    got = rows(reftable.consolidate_sex_chroms(frame, alignments(spark, hole)), "contig", "hap", "r_start", "r_end")
+    assert got == [("c", 2, 0, m), ("x1", 1, 0, 4 * m), ("x1", 1, 6 * m, 10 * m), ("x2", 1, 4 * m, 6 * m), ("y", 2, 0, m)]
+    # Both flanks on one stretch of the contig: the one with more matches stays.
+    twice = [("x1", 0, 4 * m, "+", "chrX", 0, 4 * m, 4 * m), ("x1", 0, 4 * m, "+", "chrX", 6 * m, 10 * m, 3 * m), *backing[2:]]
+    narrow = [("x1", 0, 4 * m, "+", "chrX", 0, 10 * m, 8 * m, 1), *r[1:]]
+    got = rows(reftable.consolidate_sex_chroms(spark.createDataFrame(narrow, reftable.ROW + ", hap int"), alignments(spark, twice)).where("contig = 'x1'"), "r_start", "r_end")
+    assert got == [(0, 4 * m)]
+    plain = rows(reftable.consolidate_sex_chroms(frame), "contig", "r_start")
+    assert plain == [("c", 0), ("x1", 0), ("y", 0)]
+
+
+def test_rows_snap_to_telomeres(spark):
+    r = spark.createDataFrame([("a", 50, 1000, "+", "chr1", 80, 1030, 900), ("b", 10, 900, "-", "chr1", 60, 950, 800), ("far", 900, 1000, "+", "chr2", 10, 110, 90)], reftable.ROW)
+    contigs = spark.createDataFrame([("a", 1000), ("b", 1000), ("far", 1000)], "contig string, length long")
+    chroms = spark.createDataFrame([("chr1", 5000), ("chr2", 5000)], "chrom string, length long")
+    telo = spark.createDataFrame([("a", "start"), ("b", "end"), ("far", "start")], "contig string, side string")
+    # a and b both reach the p arm of chr1: a has more matches. far lies too far from its contig's end.
+    assert placed(reftable.snap_to_telomeres(r, contigs, chroms, telo)) == [("a", "chr1", 0, 1000, 0, 1030), ("b", "chr1", 10, 900, 60, 950), ("far", "chr2", 900, 1000, 10, 110)]
