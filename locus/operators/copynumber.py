@@ -35,13 +35,26 @@ def mean_to_sum(mean: Column, length: Column) -> Column:
     return F.coalesce(F.bround(mean * length), F.lit(0.0)).cast("bigint")
 
 
-def window_index(reftable: DataFrame, size: int = WINDOW) -> DataFrame:
+def window_depths(windows: DataFrame, blocks: DataFrame, by: Sequence[str], name: str = "depth", min_mapq: int = 40) -> DataFrame:
+    """window_depth_sum() for every sample of the blocks (column `by`, one at most); windows without any have 0."""
+    if not by:
+        return window_depth_sum(windows, blocks, name, min_mapq)
+    (sample,) = by
+    known = blocks.agg(F.array_sort(F.collect_set(sample)).alias("_all"))  # one row
+    grid = windows.join(F.broadcast(known)).select("*", F.explode("_all").alias(sample)).drop("_all")
+    pairs = interval_join(windows.select("contig", "start", "end"), blocks.where(F.col("mapq") >= min_mapq).select("contig", "start", "end", sample), width=WINDOW)
+    key = [sample, "contig", "start", "end"]
+    sums = pairs.groupBy(*key).agg(F.sum(F.least("end", "r_end") - F.greatest("start", "r_start")).alias(name))
+    return grid.join(sums, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+
+
+def window_index(reftable: DataFrame, size: int = WINDOW, by: Sequence[str] = ()) -> DataFrame:
     """Rows with axis_start, their fractional window index: gaps before them over the size plus windows emitted before.
 
     Order within a chromosome is (r_start, ord); the first row starts at r_start / size, a later one moves by the gap to
-    the row before it, which may be negative.
+    the row before it, which may be negative. `by` names the columns that tell assemblies apart.
     """
-    w = Window.partitionBy("chrom").orderBy("r_start", "ord")
+    w = Window.partitionBy(*by, "chrom").orderBy("r_start", "ord")
     gap = F.col("r_start") - F.coalesce(F.lag("r_end").over(w), F.lit(0))
     n = F.ceil((F.col("c_end") - F.col("c_start")) / size)
     rows = reftable.withColumns({"_g": gap, "_n": n})
@@ -49,17 +62,17 @@ def window_index(reftable: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows.withColumn("axis_start", F.sum("_g").over(w.rowsBetween(Window.unboundedPreceding, 0)) / size + F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumnRenamed("_n", "n_windows").drop("_g")
 
 
-def assembly_gaps(reftable: DataFrame, min_bins: float = 5.0, size: int = WINDOW) -> DataFrame:
-    """Spans of the window axis between rows: (chrom, start, end) of more than `min_bins`."""
-    a = window_index(reftable, size)
-    w = Window.partitionBy("chrom").orderBy("r_start", "ord")
+def assembly_gaps(reftable: DataFrame, min_bins: float = 5.0, size: int = WINDOW, by: Sequence[str] = ()) -> DataFrame:
+    """Spans of the window axis between rows: (by, chrom, start, end) of more than `min_bins`."""
+    a = window_index(reftable, size, by)
+    w = Window.partitionBy(*by, "chrom").orderBy("r_start", "ord")
     low = F.lag(F.col("axis_start") + F.col("n_windows")).over(w) - 1
-    return a.select("chrom", low.alias("start"), F.col("axis_start").alias("end")).where(F.col("end") - F.col("start") > min_bins)
+    return a.select(*by, "chrom", low.alias("start"), F.col("axis_start").alias("end")).where(F.col("end") - F.col("start") > min_bins)
 
 
-def plot_axis_layout(reftable: DataFrame) -> DataFrame:
+def plot_axis_layout(reftable: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows with axis_bp: gaps below zero count as none and lengths are in bases."""
-    w = Window.partitionBy("chrom").orderBy("r_start", "ord")
+    w = Window.partitionBy(*by, "chrom").orderBy("r_start", "ord")
     gap = F.greatest(F.col("r_start") - F.coalesce(F.lag("r_end").over(w), F.lit(0)), F.lit(0))
     rows = reftable.withColumns({"_g": gap, "_n": F.col("c_end") - F.col("c_start")})
     before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -75,9 +88,9 @@ def chrom_offsets(lengths: DataFrame) -> DataFrame:
     return out.withColumns({"midpoint": F.col("offset") + F.col("length") / 2, "boundary": F.col("offset") + F.col("length")}).drop("_o")
 
 
-def chrom_extent(a: DataFrame, b: DataFrame) -> DataFrame:
+def chrom_extent(a: DataFrame, b: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The largest window index of each chromosome over both haplotypes."""
-    return a.select("chrom", "window_index").unionByName(b.select("chrom", "window_index")).groupBy("chrom").agg(F.max("window_index").alias("extent"))
+    return a.select(*by, "chrom", "window_index").unionByName(b.select(*by, "chrom", "window_index")).groupBy(*by, "chrom").agg(F.max("window_index").alias("extent"))
 
 
 def median_bp_per_bin(ends: DataFrame) -> DataFrame:
@@ -86,9 +99,9 @@ def median_bp_per_bin(ends: DataFrame) -> DataFrame:
     return ends.where(auto).agg(F.median(F.col("r_end") / F.col("bins")).alias("bp_per_bin"))
 
 
-def rolling_mean(df: DataFrame, value: str = "ratio", by: str = "chrom", order: str = "window_index", around: int = 3) -> DataFrame:
+def rolling_mean(df: DataFrame, value: str = "ratio", by: Sequence[str] = ("chrom",), order: str = "window_index", around: int = 3) -> DataFrame:
     """Centred mean over complete frames; edges are dropped."""
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(-around, around)
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-around, around)
     return df.withColumns({"rolled": F.avg(value).over(w), "_n": F.count(value).over(w)}).where(F.col("_n") == 2 * around + 1).drop("_n")
 
 
@@ -247,16 +260,19 @@ def segment(df: DataFrame, by: list[str], sd: DataFrame, value: str = "smoothed"
 
 
 def segment_means(segments: DataFrame, windows: DataFrame, by: list[str], value: str = "ratio", order: str = "window_index") -> DataFrame:
-    """Segments with the mean of the uncapped values inside, four decimals."""
-    s = segments.select(*by, "start", "end", "n_marks")
-    hit = windows.join(s, by).where((F.col(order) >= F.col("start")) & (F.col(order) <= F.col("end")))
+    """Segments with the mean of the uncapped values inside, four decimals. Both meet in bins of 1000 windows."""
+    bin_ = lambda c: F.floor(F.col(c) / 1000)
+    s = segments.select(*by, "start", "end", "n_marks", F.explode(F.sequence(bin_("start"), bin_("end"))).alias("_bin"))
+    hit = windows.withColumn("_bin", bin_(order)).join(s, [*by, "_bin"]).where((F.col(order) >= F.col("start")) & (F.col(order) <= F.col("end")))
     return hit.groupBy(*by, "start", "end", "n_marks").agg(F.round(F.avg(value), 4).alias("mean"))
 
 
 def split_gaps(segments: DataFrame, gaps: DataFrame, by: list[str]) -> DataFrame:
     """Segments without the assembly gaps of their chromosome; pieces keep marks and mean."""
-    keyed = segments.withColumn("contig", F.col("chrom"))
-    return subtract_intervals(keyed, gaps.select(F.col("chrom").alias("contig"), "start", "end"), [*by, "start", "end"]).drop("contig")
+    axis = F.concat_ws("\x01", *[F.col(c).cast("string") for c in by if c in gaps.columns])
+    keyed = segments.withColumn("contig", axis)
+    # The index counts windows, so the bins of the join are windows too.
+    return subtract_intervals(keyed, gaps.select(axis.alias("contig"), "start", "end"), [*by, "start", "end"]).drop("contig")
 
 
 def call_copy_number(df: DataFrame, ploidy: float | None = None) -> DataFrame:
@@ -276,13 +292,14 @@ def call_copy_number(df: DataFrame, ploidy: float | None = None) -> DataFrame:
     return segment_means(segment(capped, chrom, trimmed_sd(capped, by, inside=["chrom"])), copies, chrom)
 
 
-def leading_inter_trailing_gaps(segments: DataFrame, extents: DataFrame, inner: float = 5.0, trailing: float = 20.0) -> DataFrame:
+def leading_inter_trailing_gaps(segments: DataFrame, extents: DataFrame, inner: float = 5.0, trailing: float = 20.0, by: Sequence[str] = ()) -> DataFrame:
     """Spans of a chromosome that no segment covers: before, between and after; whole chromosomes without segments."""
-    w = Window.partitionBy("chrom").orderBy("start", "end")
-    s = segments.select("chrom", "start", "end").withColumns({"_p": F.lag("end").over(w), "_n": F.lead("start").over(w)})
-    before = s.select("chrom", F.coalesce("_p", F.lit(0.0)).alias("start"), F.col("start").alias("end")).where(F.col("end") - F.col("start") > inner)
-    after = s.where("_n is null").join(extents, "chrom").select("chrom", F.col("end").alias("start"), F.col("extent").alias("end")).where(F.col("end") - F.col("start") > trailing)
-    whole = extents.join(segments.select("chrom").distinct(), "chrom", "left_anti").select("chrom", F.lit(0.0).alias("start"), F.col("extent").alias("end"))
+    key = [*by, "chrom"]
+    w = Window.partitionBy(*key).orderBy("start", "end")
+    s = segments.select(*key, "start", "end").withColumns({"_p": F.lag("end").over(w), "_n": F.lead("start").over(w)})
+    before = s.select(*key, F.coalesce("_p", F.lit(0.0)).alias("start"), F.col("start").alias("end")).where(F.col("end") - F.col("start") > inner)
+    after = s.where("_n is null").join(extents, key).select(*key, F.col("end").alias("start"), F.col("extent").alias("end")).where(F.col("end") - F.col("start") > trailing)
+    whole = extents.join(segments.select(*key).distinct(), key, "left_anti").select(*key, F.lit(0.0).alias("start"), F.col("extent").alias("end"))
     return before.unionByName(after).unionByName(whole)
 
 

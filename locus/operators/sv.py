@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from locus.functions.fields import add_flag, flip, locus, mean3
 
+from .checkpoints import checkpointed
 from .intervals import first_at_point, interval_join
 
 
@@ -236,25 +239,99 @@ def oriented_pairs(reads: DataFrame, margin: float = 1.3) -> DataFrame:
     return edges.groupBy("from_sv", "to_sv", "from_turn", "to_turn").agg(F.min_by("size", F.struct("read", "ord")).alias("first_size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("read", "ord", "d"))), lambda x: x["d"].cast("string")), ",").alias("sizes"))
 
 
-def link_rearrangements(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """(sv_id, path): variants that edges (from_sv, to_sv) connect, named by the smallest id, by label propagation."""
-    nodes = edges.select(F.col("from_sv").alias("sv_id")).unionByName(edges.select(F.col("to_sv").alias("sv_id"))).distinct().withColumn("path", F.col("sv_id"))
-    both = edges.select(F.col("from_sv").alias("a"), F.col("to_sv").alias("b")).unionByName(edges.select(F.col("to_sv").alias("a"), F.col("from_sv").alias("b"))).distinct()
-    spark = edges.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    state = nodes.checkpoint()
-    both = both.checkpoint()
+def connected(edges: DataFrame, a: str, b: str, rounds: int = 40) -> DataFrame:
+    """(node, path): the nodes that edges connect, named by the smallest, by label propagation; each round is stored."""
+    nodes = edges.select(F.col(a).alias("node")).unionByName(edges.select(F.col(b).alias("node"))).distinct().withColumn("path", F.col("node"))
+    both = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).unionByName(edges.select(F.col(b).alias("a"), F.col(a).alias("b"))).distinct()
+    state, both = checkpointed(nodes), checkpointed(both)
     for _ in range(rounds):
-        low = both.join(state, both.b == state.sv_id).groupBy("a").agg(F.min("path").alias("low"))
-        new = state.join(low, state.sv_id == low.a, "left").select("sv_id", F.least("path", "low").alias("path"))
+        low = both.join(state, both.b == state.node).groupBy("a").agg(F.min("path").alias("low"))
+        new = state.join(low, state.node == low.a, "left").select("node", F.least("path", "low").alias("path"))
         # A label's own label is nearer to the smallest: paths are halved at each round.
-        jump = new.select(F.col("sv_id").alias("path"), F.col("path").alias("further"))
-        new = new.join(jump, "path", "left").select("sv_id", F.least("path", "further").alias("path")).checkpoint()
-        changed = new.join(state.withColumnRenamed("path", "was"), "sv_id").where("path <> was").isEmpty()
+        jump = new.select(F.col("node").alias("path"), F.col("path").alias("further"))
+        new = checkpointed(new.join(jump, "path", "left").select("node", F.least("path", "further").alias("path")))
+        settled = new.join(state.withColumnRenamed("path", "was"), "node").where("path <> was").isEmpty()
         state = new
-        if changed:
+        if settled:
             return state
     raise RuntimeError("paths have not settled")
+
+
+def link_rearrangements(edges: DataFrame, svs: DataFrame) -> DataFrame:
+    """Ordered paths over edges of oriented_pairs(): path, step, sv_id, turn, size (to the next step), reads.
+
+    Variants are told apart by their break ends (svs: sv_id, chr1, pos1, dir1, chr2, pos2, dir2), not by their ids. Edges
+    that end where others begin are joined, turned around if need be, until no pair joins; in order of (from_sv, to_sv) a
+    path takes the first that fits. An edge stands in one path. What is connected is found by label propagation, and the
+    paths of one component are laid by one task.
+    """
+    end = lambda k: F.concat_ws(":", *[F.col(f"{c}{k}").cast("string") for c in ("chr", "pos", "dir")])
+    ends = svs.select(F.col("sv_id"), end(1).alias("a"), end(2).alias("b"))
+
+    def oriented(side: str) -> Column:
+        a, b = F.col(f"{side}_a"), F.col(f"{side}_b")
+        return F.when(F.col(f"{side}_turn") == "-", F.concat_ws("|", b, a)).otherwise(F.concat_ws("|", a, b))
+
+    e = edges
+    for side in ("from", "to"):
+        e = e.join(ends.select(F.col("sv_id").alias(f"{side}_sv"), F.col("a").alias(f"{side}_a"), F.col("b").alias(f"{side}_b")), f"{side}_sv")
+    key = lambda side: F.concat_ws("|", F.least(f"{side}_a", f"{side}_b"), F.greatest(f"{side}_a", f"{side}_b"))
+    e = checkpointed(e.select("from_sv", "to_sv", "from_turn", "to_turn", F.col("first_size").cast("long").alias("size"), F.col("sizes").alias("reads"), oriented("from").alias("head"), oriented("to").alias("tail"), key("from").alias("from_key"), key("to").alias("to_key")))
+    roots = connected(e, "from_key", "to_key")
+    grouped = e.join(roots.select(F.col("node").alias("from_key"), F.col("path").alias("component")), "from_key")
+
+    def lay(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_laid(pdf.sort_values(["from_sv", "to_sv", "from_turn", "to_turn"]).to_dict("records")), columns=["path", "step", "sv_id", "turn", "size", "reads"])
+
+    return grouped.groupBy("component").applyInPandas(lay, "path string, step int, sv_id string, turn string, size long, reads string")
+
+
+def _turned(oriented: str) -> str:
+    return "|".join(oriented.split("|")[::-1])
+
+
+def _laid(edges: list[dict]) -> list[tuple]:
+    """Rows of the paths that edges give, each edge looked up by its ends."""
+    at: dict[str, list[tuple[int, bool]]] = {}  # a path that comes to this end goes on with the edge, turned or not
+    for i, e in enumerate(edges):
+        at.setdefault(e["head"], []).append((i, False))
+        at.setdefault(_turned(e["tail"]), []).append((i, True))
+    used: set[int] = set()
+    out: list[tuple] = []
+
+    def following(end: str) -> tuple[int, bool] | None:
+        return next(((i, back) for i, back in at.get(end, ()) if i not in used), None)
+
+    def walked(i: int, back: bool) -> tuple[tuple[str, str], tuple[str, str], str]:
+        """(variant and turn where the edge begins, where it ends, the oriented ends it leads to) in the way it is gone."""
+        e = edges[i]
+        a, b = (e["from_sv"], e["from_turn"]), (e["to_sv"], e["to_turn"])
+        if not back:
+            return a, b, e["tail"]
+        flip_ = {"+": "-", "-": "+"}
+        return (b[0], flip_[b[1]]), (a[0], flip_[a[1]]), _turned(e["head"])
+
+    for first in range(len(edges)):
+        if first in used:
+            continue
+        used.add(first)
+        path = deque([(first, False)])
+        head, tail = _turned(edges[first]["head"]), edges[first]["tail"]  # where it can go on, backwards and forwards
+        while True:
+            on, before = following(tail), following(head)
+            if on is None and before is None:
+                break
+            if before is None or (on is not None and on[0] <= before[0]):
+                used.add(on[0])
+                path.append(on)
+                tail = walked(*on)[2]
+            else:
+                used.add(before[0])
+                path.appendleft((before[0], not before[1]))
+                head = walked(*before)[2]
+        name = min(x for i, _ in path for x in (edges[i]["from_sv"], edges[i]["to_sv"])) + f":{edges[first]['from_sv']}>{edges[first]['to_sv']}"
+        for step, (i, back) in enumerate(path):
+            a, b, _ = walked(i, back)
+            out.append((name, step, *a, edges[i]["size"], edges[i]["reads"]))
+        out.append((name, len(path), *b, None, None))
+    return out

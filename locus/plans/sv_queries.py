@@ -190,8 +190,37 @@ def _walks(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("read", "read_pos", "ord", F.concat(F.lit("v"), (c("ord") % 97).cast("string")).alias("sv_id"), (c("chr1") % 2).alias("chr1"), "pos1", (c("chr1") % 2).alias("chr2"), (c("pos1") + 3).alias("pos2"))
 
 
-@query(f"""WITH RECURSIVE {sql('svs')}, e AS (SELECT 'n' || ck AS a, 'n' || (ck + 1) AS b FROM svs WHERE is_filter = 'PASS' AND chr1 <> chr2 AND dir1 = '+' AND dir2 = '+'), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(a, b) AS (SELECT a, a FROM u UNION SELECT w.a, u.b FROM w JOIN u ON w.b = u.a) SELECT a AS sv_id, min(b) AS path FROM w GROUP BY a""")
-def link_rearrangements(spark: SparkSession, sf: str) -> DataFrame:
+@query(f"""WITH RECURSIVE {sql('svs')}, e AS (SELECT 'n' || ck AS a, 'n' || (ck + 1) AS b FROM svs), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(a, b) AS (SELECT a, a FROM u UNION SELECT w.a, u.b FROM w JOIN u ON w.b = u.a) SELECT a AS sv_id, min(b) AS path FROM w GROUP BY a""")
+def connected_variants(spark: SparkSession, sf: str) -> DataFrame:
     v, c = svs(spark, sf), F.col("ck")
     n = lambda x: F.concat(F.lit("n"), x.cast("string"))
-    return s.link_rearrangements(v.where("is_filter = 'PASS' and chr1 <> chr2 and dir1 = '+' and dir2 = '+'").select(n(c).alias("from_sv"), n(c + 1).alias("to_sv")).distinct())
+    return s.connected(v.select(n(c).alias("a"), n(c + 1).alias("b")).distinct(), "a", "b").withColumnRenamed("node", "sv_id")
+
+
+# Reads of even users run forwards over variants that follow each other, those of odd users backwards.
+_WALK = """e AS (SELECT user_id AS read, event_id AS ord, event_id * 7 AS read_pos, 'v' || event_id AS sv, user_id % 5 AS chr, CASE WHEN user_id % 2 = 0 THEN event_id * 7 ELSE 10000000 - event_id * 7 END AS p1, CASE WHEN user_id % 2 = 0 THEN '+' ELSE '-' END AS rd, event_id % 4 AS ins, CASE WHEN event_id % 9 = 0 THEN '-' ELSE '+' END AS d1 FROM events),
+o AS (SELECT *, CASE WHEN rd = '+' THEN p1 ELSE p1 + 3 END AS ip, CASE WHEN rd = '+' THEN d1 ELSE '-' END AS di, CASE WHEN rd = '+' THEN p1 + 3 ELSE p1 END AS lp, CASE WHEN rd = '+' THEN '-' ELSE d1 END AS dl, read_pos + CASE WHEN rd = '+' THEN ins ELSE 0 END AS last, read_pos - CASE WHEN rd = '+' THEN 0 ELSE ins END AS first FROM e),
+n AS (SELECT *, lead(sv) OVER w AS t, lead(chr) OVER w AS tc, lead(ip) OVER w AS tp, lead(di) OVER w AS td, lead(rd) OVER w AS tr, lead(first) OVER w AS tf FROM o WINDOW w AS (PARTITION BY read ORDER BY read_pos, ord)),
+g AS (SELECT *, tf - last AS d, CASE WHEN dl = '-' AND td = '+' THEN tp - lp WHEN dl = '+' AND td = '-' THEN lp - tp END AS size FROM n WHERE t IS NOT NULL AND chr = tc),
+k AS (SELECT CASE WHEN dl = '+' THEN t ELSE sv END AS from_sv, CASE WHEN dl = '+' THEN sv ELSE t END AS to_sv, CASE WHEN dl = '+' THEN CASE tr WHEN '+' THEN '-' ELSE '+' END ELSE rd END AS from_turn, CASE WHEN dl = '+' THEN CASE rd WHEN '+' THEN '-' ELSE '+' END ELSE tr END AS to_turn, size, d, read, ord FROM g WHERE size <= d * 1.3 AND size * 1.3 >= d)"""
+
+
+def _oriented(spark: SparkSession, sf: str) -> DataFrame:
+    e, c = spark.read.parquet(f"{sf}/events.parquet"), F.col
+    even = c("user_id") % 2 == 0
+    p1 = F.when(even, c("event_id") * 7).otherwise(10000000 - c("event_id") * 7)
+    return e.select(c("user_id").alias("read"), (c("event_id") * 7).alias("read_pos"), c("event_id").alias("ord"), F.concat(F.lit("v"), c("event_id").cast("string")).alias("sv_id"), (c("user_id") % 5).alias("chr1"), p1.alias("pos1"), F.when(c("event_id") % 9 == 0, "-").otherwise("+").alias("dir1"), (c("user_id") % 5).alias("chr2"), (p1 + 3).alias("pos2"), F.lit("-").alias("dir2"), (c("event_id") % 4).alias("ins_len"), F.when(even, "+").otherwise("-").alias("read_dir"))
+
+
+@query(f"""WITH {_WALK} SELECT from_sv, to_sv, from_turn, to_turn, arg_min(size, struct_pack(r := read, o := ord)) AS first_size, string_agg(d::VARCHAR, ',' ORDER BY read, ord) AS sizes FROM k GROUP BY ALL""")
+def oriented_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return s.read_adjacent_pairs(_oriented(spark, sf))
+
+
+@query(f"""WITH RECURSIVE {_WALK}, u AS (SELECT from_sv AS a, to_sv AS b FROM k UNION SELECT to_sv, from_sv FROM k), w(a, b) AS (SELECT a, a FROM u UNION SELECT w.a, u.b FROM w JOIN u ON w.b = u.a), c AS (SELECT a, min(b) AS root FROM w GROUP BY a), x AS (SELECT root, count(*) AS n_variants FROM c GROUP BY root)
+SELECT root AS first_variant, n_variants, (SELECT sum(size) FROM k JOIN c ON k.from_sv = c.a WHERE c.root = x.root)::BIGINT AS total_size FROM x""")
+def link_rearrangements(spark: SparkSession, sf: str) -> DataFrame:
+    """Here each variant stands between two others at most, so a component is one path: its length and size are known."""
+    r = _oriented(spark, sf)
+    paths = s.link_rearrangements(s.oriented_pairs(r), r.select("sv_id", "chr1", "pos1", "dir1", "chr2", "pos2", "dir2").distinct())
+    return paths.groupBy("path").agg(F.min("sv_id").alias("first_variant"), F.count(F.lit(1)).alias("n_variants"), F.sum("size").alias("total_size")).drop("path")

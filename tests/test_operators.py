@@ -278,3 +278,72 @@ def test_rows_snap_to_telomeres(spark):
     telo = spark.createDataFrame([("a", "start"), ("b", "end"), ("far", "start")], "contig string, side string")
     # a and b both reach the p arm of chr1: a has more matches. far lies too far from its contig's end.
     assert placed(reftable.snap_to_telomeres(r, contigs, chroms, telo)) == [("a", "chr1", 0, 1000, 0, 1030), ("b", "chr1", 10, 900, 60, 950), ("far", "chr2", 900, 1000, 10, 110)]
+
+
+def test_paths_of_rearrangements(spark):
+    """Edges in any order and on either strand give one path; the same break ends under another id are one variant."""
+    ends = {"a": ("x", 5, "+", "y", 100, "-"), "b": ("y", 200, "+", "z", 300, "-"), "b2": ("z", 300, "-", "y", 200, "+"), "c": ("z", 400, "+", "w", 1, "-"), "lone": ("q", 1, "+", "q", 9, "-"), "pair": ("q", 50, "+", "q", 90, "-")}
+    svs = spark.createDataFrame([(k, *v) for k, v in ends.items()], "sv_id string, chr1 string, pos1 long, dir1 string, chr2 string, pos2 long, dir2 string")
+    # b2 is b turned around, so b2 with turn - is b as it stands; c comes first in the order of edges.
+    edges = spark.createDataFrame([("b2", "c", "-", "+", 100, "7"), ("a", "b", "+", "+", 100, "5,6"), ("lone", "pair", "+", "+", 41, "9")], "from_sv string, to_sv string, from_turn string, to_turn string, first_size long, sizes string")
+    got = rows(sv.link_rearrangements(edges, svs), "path", "step", "sv_id", "turn", "size", "reads")
+    paths = {}
+    for path, _, sv_id, turn, size, reads in got:
+        paths.setdefault(path, []).append((sv_id, turn, size, reads))
+    assert sorted(paths.values()) == [[("a", "+", 100, "5,6"), ("b2", "-", 100, "7"), ("c", "+", None, None)], [("lone", "+", 41, "9"), ("pair", "+", None, None)]]
+    turned = spark.createDataFrame([("a", "b", "+", "+", 100, "5"), ("c", "b", "-", "-", 60, "8")], edges.schema)
+    got = rows(sv.link_rearrangements(turned, svs), "step", "sv_id", "turn")
+    assert got == [(0, "a", "+"), (1, "b", "+"), (2, "c", "+")]
+
+
+def test_long_intervals_join_like_short_ones(spark):
+    r = random.Random(9)
+    a = [(r.choice("xy"), s := r.randrange(900_000), s + r.randrange(1, 2000), i) for i in range(150)]
+    b = [(r.choice("xy"), s := r.randrange(900_000), s + r.choice([5, 300, 9_000, 400_000]), i) for i in range(150)]
+    left, right = spans(spark, a, ", i long"), spans(spark, b, ", j long")
+    want = sorted((x[3], y[3]) for x in a for y in b if x[0] == y[0] and y[1] < x[2] and y[2] > x[1])
+    assert rows(iv.interval_join(left, right, width=100), "i", "j") == want == rows(iv.interval_join(left, right, width=100, long=False), "i", "j")
+
+
+def test_merging_across_tiles(spark):
+    r = random.Random(10)
+    a = [(r.choice("xy"), s := r.randrange(40_000_000), s + r.choice([1_000, 300_000, 9_000_000])) for _ in range(60)]
+    want = []
+    for s, e in (x for c in "xy" for x in iv.union_of_spans((s + (c == "y") * 10**9, e + (c == "y") * 10**9) for k, s, e in a if k == c)):
+        want.append(("y" if s >= 10**9 else "x", s % 10**9, e % 10**9))
+    assert rows(iv.merge_intervals(spans(spark, a)), "contig", "start", "end") == sorted(want)
+
+
+def test_files_of_several_parts_keep_their_headers(spark, tmp_path, monkeypatch):
+    """Runs of lines hand their header on, and files do not mix."""
+    from locus.sources import order
+
+    monkeypatch.setattr(order, "RUN", 3)
+    for f in range(3):
+        (tmp_path / f"{f}.fa").write_text("".join(f">c{f}{k} x\n" + "ACGTA\n" * (4 * k + f) + "AC\n" for k in range(3)))
+    got = rows(readers.contig_lengths(readers.read_fasta(spark, str(tmp_path))), "contig", "length")
+    assert got == [(f"c{f}{k}", 5 * (4 * k + f) + 2) for f in range(3) for k in range(3)]
+
+
+def test_insertion_evidence_by_hand(spark):
+    """Types in their priority; the polyT end decides the source; slots that disagree give none."""
+    t, a = "T" * 12, "A" * 12
+    svs = spark.createDataFrame([(n, "c", i, "+", "c", i + 1, "-", seq) for i, (n, seq) in enumerate([("orphan", t + "ACG" * 40), ("alu", "GATTC" * 30), ("disc", "GATTC" * 30 + a), ("none", "GC" * 80), ("short", "ACGT")])], "sv_id string, chr1 string, pos1 long, dir1 string, chr2 string, pos2 long, dir2 string, inserted string")
+    keys = {r.sv_id: r.insert_key for r in elements.min_insert_len(svs).collect()}
+    assert set(keys) == {"orphan", "alu", "disc", "none"}
+    comp = spark.createDataFrame([(keys["orphan"], 0.001, 0.0, 0.0, None), (keys["alu"], 0.0, 0.9, 0.0, "Alu"), (keys["disc"], 0.9, 0.0, 0.0, "Inverted_LINE1")], "insert_key string, l1_ratio double, alu_ratio double, sva_ratio double, repeat_class string")
+    al = spark.createDataFrame([(keys["orphan"], 2, "k", 1000, 1100, "+", 50, 90, 0), (keys["orphan"], 2, "m", 9000, 9100, "+", 5, 40, 1), (keys["disc"], 1, "k", 1000, 1100, "+", 1, 90, 0), (keys["disc"], 2, "k", 1000, 1100, "-", 1, 90, 0)], "insert_key string, hap int, contig string, start long, `end` long, strand string, q_start long, q_end long, ord long")
+    l1 = spark.createDataFrame([("m", 9500, 9900, "-", "near", 0), ("m", 9800, 9990, "-", "further", 1), ("m", 9400, 9450, "+", "wrong strand", 2)], "contig string, start long, `end` long, strand string, name string, ord long")
+    tsd = spark.createDataFrame([(keys["alu"], 12, "right")], "insert_key string, tsd_len int, side string")
+    psd = spark.createDataFrame([(keys["alu"], "tx", 0.8, 2)], "insert_key string, transcript string, match_ratio double, n_exons long")
+    got = {r.sv_id: r for r in elements.insertion_evidence(svs, comp, al, l1, tsd, psd).collect()}
+    assert {k: (r.insert_type, r.is_inversion, r.poly, r.source_1, r.source_2) for k, r in got.items()} == {"orphan": ("Orphan_L1", "NA", "polyT", "near", None), "alu": ("Alu", "NA", None, None, None), "disc": ("Solo_L1", "Inverted", "polyA", None, None), "none": (None, None, None, None, None)}
+    assert got["alu"].tsd_len == 12 and got["disc"].discordant
+
+
+def test_chains_of_hits(spark):
+    """A deletion in the element is no break; a step back over the query is; so is a gap."""
+    kind = "contig string, strand string, start long, `end` long, q_start long, q_end long"
+    hits = [("del", "+", 0, 2000, 0, 2000), ("del", "+", 2000, 4000, 3500, 5500), ("back", "+", 0, 3100, 0, 3100), ("back", "+", 3100, 6200, 100, 3200), ("minus", "-", 0, 2000, 3500, 5500), ("minus", "-", 2100, 4100, 0, 2000), ("gap", "+", 0, 2000, 0, 2000), ("gap", "+", 2400, 4400, 2000, 4000)]
+    got = rows(elements.chain_hsps(spark.createDataFrame(hits, kind), 6000, min_cov=0.5), "contig", "start", "end", "covered")
+    assert got == [("back", 0, 3100, 3100), ("back", 3100, 6200, 3100), ("del", 0, 4000, 4000), ("minus", 0, 4100, 4000)]
