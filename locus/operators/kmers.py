@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locus.functions.seq import kmers
 
-from .intervals import interval_join
+from .intervals import interval_join, tiles
 
 
 def exploded(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
@@ -52,12 +52,25 @@ def filter_alignment_flags(reads: DataFrame, drop: int = 2308, min_mapq: int = 0
     return reads.where((F.col("flag").bitwiseAND(drop) == 0) & (F.col("mapq") >= min_mapq))
 
 
-def pileup_at_sites(sites: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """Depth, bases and reads at sites, bases in order of reads, from ungapped blocks (contig, start, end, seq, read)."""
-    pairs = interval_join(sites.select(*keys, "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")), blocks, width=1000)
-    base = F.substring(F.col("seq"), (F.col("start") - F.col("r_start") + 1).cast("int"), F.lit(1))
-    g = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("depth"), F.array_sort(F.collect_list(F.struct("read", base.alias("b")))).alias("x"))
-    return g.select(*keys, "depth", F.array_join(F.transform("x", lambda r: r["b"]), "").alias("bases"), F.array_join(F.transform("x", lambda r: r["read"].cast("string")), ",").alias("reads"))
+def pileup_at_sites(sites: DataFrame, blocks: DataFrame, keys: list[str], max_depth: int | None = None, piece: int = 1000) -> DataFrame:
+    """Depth, bases and reads at sites, bases in order of reads, from ungapped blocks (contig, start, end, seq, read).
+
+    Blocks are cut into pieces of a bin's length first, so that a join moves no more of a sequence than a bin may need.
+    With `qual` in the blocks their qualities come along; max_depth keeps the first reads of a site.
+    """
+    text = [c for c in ("seq", "qual") if c in blocks.columns]
+    cut = blocks.select("contig", "read", *text, F.posexplode(tiles(F.col("start"), F.col("end"), piece)).alias("_i", "_w"))
+    part = [F.substring(F.col(c), F.col("_i") * piece + 1, F.lit(piece)).alias(c) for c in text]
+    pieces = cut.select("contig", F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), "read", *part)
+    pairs = interval_join(sites.select(*keys, "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")), pieces, width=piece, long=False)
+    at = (F.col("start") - F.col("r_start") + 1).cast("int")
+    seen = pairs.select(*keys, F.struct("read", *[F.substring(F.col(c), at, F.lit(1)).alias(c) for c in text]).alias("x"))
+    g = seen.groupBy(*keys).agg(F.array_sort(F.collect_list("x")).alias("x"))
+    if max_depth is not None:
+        g = g.withColumn("x", F.slice("x", 1, max_depth))
+    joined = lambda c, sep: F.array_join(F.transform("x", lambda r: r[c].cast("string")), sep)
+    quals = [joined("qual", "").alias("quals")] if "qual" in text else []
+    return g.select(*keys, F.size("x").cast("long").alias("depth"), joined("seq", "").alias("bases"), *quals, joined("read", ",").alias("reads"))
 
 
 def methylation_pileup(calls: DataFrame) -> DataFrame:

@@ -293,6 +293,19 @@ def repeat_composition(spark: SparkSession, sf: str) -> DataFrame:
     return e.repeat_composition(h).select("insert_key", F.round("l1_ratio", 6).alias("l1_ratio"), F.round("alu_ratio", 6).alias("alu_ratio"), "repeat_class")
 
 
+@query(f"""WITH {sql('regions')}, h AS (SELECT ord // 6 AS k, ord % 6 AS i, ord, size FROM regions),
+x AS (SELECT k, CASE i WHEN 0 THEN '(T)n' WHEN 1 THEN '(A)n' ELSE 'L1' END AS r, CASE WHEN i < 2 THEN 'Simple' WHEN i < 4 AND k % 3 > 0 THEN 'LINE/L1' WHEN i = 4 AND k % 3 = 1 THEN 'LINE/L1' ELSE 'DNA' END AS f, CASE i WHEN 3 THEN '-' ELSE '+' END AS st, i * 100 AS s, CASE WHEN i < 2 THEN size ELSE 200 + size END AS n, ord FROM h WHERE NOT (i = 1 AND k % 2 = 0)),
+g AS (SELECT k, coalesce(sum(n) FILTER (f = 'LINE/L1'), 0) AS l, arg_max(n, s) FILTER (r = '(A)n') AS a, arg_min(n, s) FILTER (r = '(T)n') AS t, count(*) FILTER (f = 'LINE/L1') AS c, count(DISTINCT st) FILTER (f = 'LINE/L1') AS d FROM x GROUP BY k)
+SELECT k AS insert_key, round(least(1.0, l / (600 - coalesce(a, t, 0))), 6)::DOUBLE AS l1_ratio, CASE WHEN l / (600 - coalesce(a, t, 0)) >= 0.8 THEN CASE WHEN c = 1 THEN 'Simple_LINE1' WHEN c = 2 AND d = 2 THEN 'Inverted_LINE1' ELSE 'Other_LINE1' END END AS repeat_class FROM g""")
+def repeat_composition_tails(spark: SparkSession, sf: str) -> DataFrame:
+    """Inserts with poly-T and poly-A tails, and elements of two strands."""
+    i, k, size = F.col("ord") % 6, F.expr("ord div 6"), F.col("size")
+    family = F.when(i < 2, "Simple").when((i < 4) & (k % 3 > 0), "LINE/L1").when((i == 4) & (k % 3 == 1), "LINE/L1").otherwise("DNA")
+    start = (i * 100).cast("long")
+    h = standin(spark, sf, "regions").where(~((i == 1) & (k % 2 == 0))).select(k.alias("insert_key"), F.lit(600).alias("ins_len"), start.alias("start"), (start + F.when(i < 2, size).otherwise(size + 200)).alias("end"), F.when(i == 3, "-").otherwise("+").alias("strand"), F.when(i == 0, "(T)n").when(i == 1, "(A)n").otherwise("L1").alias("repeat"), family.alias("family"), "ord")
+    return e.repeat_composition(h).select("insert_key", F.round("l1_ratio", 6).alias("l1_ratio"), "repeat_class")
+
+
 @query()
 def chain_hsps(spark: SparkSession, sf: str) -> DataFrame:
     h = standin(spark, sf, "blocks").select("contig", "strand", "start", "end", (F.col("start") % 6000).alias("q_start"), (F.col("start") % 6000 + F.col("end") - F.col("start")).alias("q_end")).distinct()

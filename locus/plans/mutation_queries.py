@@ -126,6 +126,34 @@ def parse_caller_vcf(spark: SparkSession, sf: str) -> DataFrame:
     return v.parse_caller_vcf(vcf, "deepsomatic")
 
 
+@query("""WITH r AS (SELECT p_partkey AS ord, p_partkey % 7 AS contig, p_partkey * 3 + 1 AS pos, p_size AS n FROM part WHERE p_size % 3 <> 0)
+SELECT contig, pos - 1 AS "start", pos AS "end", 'G' AS ref, 'T' AS alt, 7.0::DOUBLE AS score, n / 64 AS vaf, n % 30 AS depth, n / 128 AS normal_vaf, n AS normal_depth, 'ID_' || (row_number() OVER (ORDER BY ord) - 1) AS id FROM r""")
+def parse_first_caller_vcf(spark: SparkSession, sf: str) -> DataFrame:
+    """The layout with the normal's VAF and depth in the sample field."""
+    p, n = spark.read.parquet(f"{sf}/part.parquet"), F.col("p_size")
+    text = F.concat_ws(":", F.lit("GT"), F.lit("q"), (n % 30).cast("string"), (n / 64).cast("string"), F.lit("x"), (n / 128).cast("string"), n.cast("string"))
+    vcf = p.select(F.col("p_partkey").alias("ord"), (F.col("p_partkey") % 7).alias("contig"), (F.col("p_partkey") * 3 + 1).alias("pos"), F.lit("G").alias("ref"), F.lit("T").alias("alt"), F.lit(7.0).alias("qual"), F.when(n % 3 != 0, "PASS").otherwise("LowQual").alias("filter"), text.alias("sample"))
+    return v.parse_caller_vcf(vcf, "clairs")
+
+
+@query(f"""WITH {sql('sites', 'regions')}, {_S}, {_GENES}, k AS (SELECT * FROM f WHERE feature <> 'gene' AND gene LIKE '%2' AND tx LIKE '%4'),
+h AS (SELECT s.site, s.contig, s."start", s."end", k.gene, k.tx, k.feature, k."start" * 1000000 + k.ord AS o FROM s JOIN k ON s.contig = k.contig AND s."start" >= k."start" AND s."end" <= k."end"),
+t AS (SELECT site, contig, "start", "end", gene, tx, arg_max(feature, o) AS feature, min(o) AS o FROM h GROUP BY ALL), g AS (SELECT site, contig, "start", "end", gene, min(o) AS o, string_agg(tx || ':' || feature, ',' ORDER BY o) AS ts FROM t GROUP BY ALL),
+a AS (SELECT site, contig, "start", "end", string_agg(gene, ';' ORDER BY o) AS genes, string_agg(ts, ';' ORDER BY o) AS transcripts FROM g GROUP BY ALL) SELECT s.*, genes, transcripts FROM s LEFT JOIN a USING (site, contig, "start", "end")""")
+def annotate_genes_mane(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the transcripts that a summary of chosen ones lists; a gene of another id does not count."""
+    f = _features(spark, sf)
+    chosen = f.where("gene like '%2' and transcript like '%4'").groupBy("gene", "gene_id").agg(F.collect_set("transcript").alias("transcripts"))
+    wrong = f.where("gene like '%3'").groupBy("gene").agg(F.lit("other").alias("gene_id"), F.collect_set("transcript").alias("transcripts"))
+    return v.annotate_genes(sites(spark, sf), f, KEYS, chosen.select("gene", "gene_id", "transcripts").unionByName(wrong))
+
+
+@query(f"""WITH {sql('regions')}, f AS (SELECT DISTINCT 'G' || (ord // 4) AS gene, 'T' || (ord // 2) || '.1' AS transcript FROM regions), p AS (SELECT gene || ':' || transcript || ':' || regexp_replace(transcript, '[.]1$', '.2') AS pair FROM f WHERE CAST(substr(gene, 2) AS INT) % 2 = 0)
+SELECT count(*) AS n, (SELECT string_agg(pair, ',' ORDER BY pair) FROM (SELECT pair FROM p ORDER BY pair LIMIT 3)) AS examples FROM p""")
+def mane_mismatch_report(spark: SparkSession, sf: str) -> DataFrame:
+    return v.mane_mismatch_report(*_versions(spark, sf))
+
+
 @query(f"""WITH {sql('sites')}, m AS (SELECT DISTINCT site, pk % 50 AS ref_pos, contig AS ref_contig, ref, alt, sk, pk FROM sites), d AS (SELECT *, {_CANON} AS c, CASE WHEN sk % 4 = 0 THEN 'hap1' ELSE '-' END AS haplotype, (pk % 11) / 10 AS vaf, sk % 9 AS depth, site * 1000000 + pk * 100 + sk AS ord FROM m),
 w AS (SELECT *, bool_or(haplotype <> '-') OVER (PARTITION BY ref_contig, ref_pos, c) AS any_hap, row_number() OVER (PARTITION BY ref_contig, ref_pos, c ORDER BY vaf DESC, depth DESC, ord) AS r FROM d)
 SELECT site, ref_contig, ref_pos, ref, alt, haplotype, round(vaf, 3) AS vaf, depth, ord FROM w WHERE (any_hap AND haplotype <> '-') OR (NOT any_hap AND r = 1)""")
@@ -168,7 +196,11 @@ def variants_per_contig(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {sql('regions')}, f AS (SELECT DISTINCT 'G' || (ord // 4) AS gene, 'T' || (ord // 2) || '.1' AS transcript FROM regions) SELECT gene, transcript, regexp_replace(transcript, '\\.1$', '.2') AS mane_transcript FROM f WHERE hash(gene) IS NOT NULL AND CAST(substr(gene, 2) AS INT) % 2 = 0""")
 def mane_version_mismatch(spark: SparkSession, sf: str) -> DataFrame:
+    return v.mane_version_mismatch(*_versions(spark, sf))
+
+
+def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     f = _features(spark, sf).select("gene", F.concat("transcript", F.lit(".1")).alias("transcript"))
     shift = F.when(F.substring("gene", 2, 9).cast("int") % 2 == 0, ".2").otherwise(".1")
     mane = f.withColumn("t", F.concat(F.regexp_replace("transcript", r"\.1$", ""), shift)).groupBy("gene").agg(F.collect_set("t").alias("transcripts"))
-    return v.mane_version_mismatch(f, mane)
+    return f, mane

@@ -145,13 +145,14 @@ def parse_info(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("p_partkey", F.col("i")["CALLER"].alias("caller"), F.col("i")["DP"].alias("depth"))
 
 
-@query("""SELECT n_nationkey, 'chr' || n_nationkey AS chr, replace('h#' || n_name, '#', '_HASH_') AS safe, 'h#' || n_name AS back, 'ENSG' || n_nationkey AS base, 'ENSG' || n_nationkey || '.' || n_regionkey AS versioned FROM nation""")
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey = 3 THEN 'chrM' ELSE 'chr' || n_nationkey END AS chr, CASE WHEN n_nationkey = 3 THEN 'M' ELSE n_nationkey::VARCHAR END AS bare, replace('h#' || n_name, '#', '_HASH_') AS safe, 'h#' || n_name AS back, 'ENSG' || n_nationkey AS base, 'ENSG' || n_nationkey || '.' || n_regionkey AS versioned FROM nation""")
 def contig_names(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("n_nationkey").cast("string")
+    named = fields.add_chr(F.when(F.col("n_nationkey") == 3, "MT").when(F.col("n_nationkey") == 4, "chr4").otherwise(key))
     name = fields.sanitized(F.concat(F.lit("h#"), "n_name"))
     versioned = fields.with_version(F.concat(F.lit("ENSG"), key), F.col("n_regionkey").cast("string"))
     n = spark.read.parquet(f"{sf}/nation.parquet")
-    return n.select("n_nationkey", fields.add_chr(key).alias("chr"), name.alias("safe"), fields.restored(name).alias("back"), fields.without_version(versioned).alias("base"), versioned.alias("versioned"))
+    return n.select("n_nationkey", named.alias("chr"), fields.strip_chr(named).alias("bare"), name.alias("safe"), fields.restored(name).alias("back"), fields.without_version(versioned).alias("base"), versioned.alias("versioned"))
 
 
 @query(f"""WITH {sql('reftable')} SELECT contig, 'c' || contig || ':' || c_start AS place, 'c' || contig || ':' || c_start || '-' || c_end AS span, round_even(matched / 64, 3) AS mean3, coalesce(try_cast('x' || matched AS DOUBLE), 0.0) AS bad, matched::DOUBLE AS good FROM reftable""")
@@ -218,6 +219,18 @@ def pileup_at_sites(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("contig", F.col("p").alias("pos"), "depth", "bases", "reads")
 
 
+@query(f"""WITH {sql('sites', 'blocks')}, s AS (SELECT DISTINCT contig, pk * 50 + ln * 4 AS pos FROM sites), b AS (SELECT DISTINCT read, contig, "start", "start" + 96 AS "end", translate(md5(read::VARCHAR) || md5('a' || read) || md5('b' || read), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq, md5('q' || read) || md5('r' || read) || md5('s' || read) AS qual FROM blocks),
+j AS (SELECT s.contig, s.pos, read, substr(seq, (pos - "start" + 1)::INT, 1) AS b, substr(qual, (pos - "start" + 1)::INT, 1) AS q FROM s JOIN b ON s.contig = b.contig AND "start" <= pos AND "end" > pos), k AS (SELECT *, row_number() OVER (PARTITION BY contig, pos ORDER BY read, b, q) AS r FROM j)
+SELECT contig, pos, count(*) AS depth, string_agg(b, '' ORDER BY r) AS bases, string_agg(q, '' ORDER BY r) AS quals, string_agg(read::VARCHAR, ',' ORDER BY r) AS reads FROM k WHERE r <= 3 GROUP BY ALL""")
+def pileup_with_qualities(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks over several pieces, qualities, and three reads a site at most."""
+    s = standin(spark, sf, "sites").select("contig", (F.col("pk") * 50 + F.col("ln") * 4).alias("pos")).distinct()
+    r = F.col("read").cast("string")
+    three = lambda *x: F.concat(*[F.md5(F.concat(F.lit(p), r)) for p in x])
+    b = standin(spark, sf, "blocks").select("read", "contig", "start", (F.col("start") + 96).alias("end"), F.translate(three("", "a", "b"), "0123456789abcdef", "ACGT" * 4).alias("seq"), three("q", "r", "s").alias("qual")).distinct()
+    return kmers.pileup_at_sites(s.withColumn("p", F.col("pos")), b, ["contig", "p"], max_depth=3, piece=40).withColumnRenamed("p", "pos")
+
+
 @query(f"""WITH {sql('blocks')} SELECT contig, CASE WHEN strand = '-' THEN "start" - 1 ELSE "start" END AS pos, sum((q % 2))::BIGINT AS n_mod, count(*) AS n_total, round(100 * sum(q % 2) / count(*), 4) AS percent FROM blocks GROUP BY ALL""")
 def methylation_pileup(spark: SparkSession, sf: str) -> DataFrame:
     return kmers.methylation_pileup(standin(spark, sf, "blocks").select("contig", F.col("start").alias("pos"), "strand", (F.col("q") % 2).alias("is_mod")))
