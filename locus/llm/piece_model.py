@@ -6,13 +6,17 @@ The model file is a protocol buffer; only the fields that encoding needs are rea
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 from typing import Any
 
 SPACE = "▁"
+#: Characters up to which a stretch is merged by scans rather than with a heap.
+SHORT = 64
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -161,7 +165,26 @@ class PieceModel:
     # merging
 
     def merged(self, stretch: str) -> list[str]:
-        """The symbols left when no two neighbours make a piece: always the best-scored pair, leftmost on ties.
+        """The symbols left when no two neighbours make a piece: always the best-scored pair, leftmost on ties."""
+        return self._scanned(stretch) if len(stretch) <= SHORT else self._heaped(stretch)
+
+    def _scanned(self, stretch: str) -> list[str]:
+        """merged() for a word: the orders of all pairs are looked through for each merge, which few symbols do fastest."""
+        order, never = self.order.get, math.inf
+        symbols = [*stretch]
+        orders = [order(a + b, never) for a, b in pairwise(symbols)]
+        while orders and (low := min(orders)) != never:
+            i = orders.index(low)
+            symbols[i : i + 2] = (both := symbols[i] + symbols[i + 1],)
+            del orders[i]
+            if i < len(orders):
+                orders[i] = order(both + symbols[i + 1], never)
+            if i:
+                orders[i - 1] = order(symbols[i - 1] + both, never)
+        return symbols
+
+    def _heaped(self, stretch: str) -> list[str]:
+        """merged() for any length, in n log n.
 
         Symbols are a doubly linked list over their first characters; candidate pairs wait in a heap, and a pair
         whose symbols have changed since is skipped when it comes up.

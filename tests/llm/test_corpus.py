@@ -296,6 +296,13 @@ def test_counting_is_merging():
         assert model.initial(s) - model.n_merges(s) == len(model.stretch_ids(s))
 
 
+def test_scans_merge_like_the_heap():
+    model, r = piece_model.loaded(MODEL), random.Random(6)
+    for _ in range(1500):
+        s = "▁" + "".join(r.choice("aeioutnrsthéö漢s") for _ in range(r.randrange(1, 90)))
+        assert model._scanned(s) == model._heaped(s) == model.merged(s)
+
+
 def test_character_map():
     """A map of 'a' to 'x' and 'ab' to 'y z', as a double array by hand."""
     offset = lambda n: n << 10
