@@ -99,7 +99,7 @@ def exists_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], flag:
     return left.join(hit, list(keys), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def max_before(df: DataFrame, by: Sequence[str], at: str, value: str, name: str, ties: Sequence[str] = (), tile: int = 1 << 22) -> DataFrame:
+def max_before(df: DataFrame, by: Sequence[str], at: str, value: str, name: str, ties: Sequence[str | Column] = (), tile: int = 1 << 22) -> DataFrame:
     """Adds the largest `value` of the rows before each in order of (at, ties) within `by`, null for the first.
 
     A window over a whole contig would be one task. Rows are ordered inside tiles of `at`, and what earlier tiles reach
@@ -123,7 +123,8 @@ def islanded(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0, name:
     rows = max_before(df, by, start, end, "_before", [end])
     opens = F.when(F.col("_before").isNull() | (F.col(start) > F.col("_before") + gap), F.col(start))
     # An island is named by its start, the last that opened one.
-    marked = max_before(rows.withColumn("_opens", opens), by, start, "_opens", "_last", [end, "_opens"])
+    # Of equal spans one opens; it comes first.
+    marked = max_before(rows.withColumn("_opens", opens), by, start, "_opens", "_last", [end, F.col("_opens").asc_nulls_last()])
     return marked.withColumn(name, F.greatest("_opens", "_last")).select(*df.columns, name)
 
 

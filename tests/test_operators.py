@@ -305,6 +305,11 @@ def test_long_intervals_join_like_short_ones(spark):
     assert rows(iv.interval_join(left, right, width=100), "i", "j") == want == rows(iv.interval_join(left, right, width=100, long=False), "i", "j")
 
 
+def test_merging_repeated_intervals(spark):
+    a = [("c", s, s + n) for s in range(0, 3500, 350) for n in (10, 30, 30, 30, 20)] * 4
+    assert rows(iv.merge_intervals(spans(spark, a)), "contig", "start", "end") == [("c", s, s + 30) for s in range(0, 3500, 350)]
+
+
 def test_merging_across_tiles(spark):
     r = random.Random(10)
     a = [(r.choice("xy"), s := r.randrange(40_000_000), s + r.choice([1_000, 300_000, 9_000_000])) for _ in range(60)]
