@@ -91,9 +91,11 @@ def _one(spark: SparkSession, sf: str) -> DataFrame:
     return depths(spark, sf).groupBy("chrom", F.col("w").alias("window_index")).agg(F.min("normal_depth").alias("ratio"))
 
 
-@query(f"WITH {sql('depths')}, {_ONE}, r AS (SELECT chrom, w, avg(v) OVER f AS m, count(*) OVER f AS n FROM o WINDOW f AS (PARTITION BY chrom ORDER BY w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) SELECT chrom, w AS window_index, round(m, 4) AS rolled FROM r WHERE n = 7")
+@query(f"WITH {sql('depths')}, o AS (SELECT sample, hap, chrom, w, min(normal_depth) AS v FROM depths GROUP BY ALL), r AS (SELECT sample, hap, chrom, w, avg(v) OVER f AS m, count(*) OVER f AS n FROM o WINDOW f AS (PARTITION BY sample, hap, chrom ORDER BY w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) SELECT sample, hap, chrom, w AS window_index, round(m, 4) AS rolled FROM r WHERE n = 7")
 def rolling_mean(spark: SparkSession, sf: str) -> DataFrame:
-    return c.rolling_mean(_one(spark, sf)).select("chrom", "window_index", F.round("rolled", 4).alias("rolled"))
+    key = ["sample", "hap", "chrom"]
+    o = depths(spark, sf).groupBy(*key, F.col("w").alias("window_index")).agg(F.min("normal_depth").alias("ratio"))
+    return c.rolling_mean(o, by=key).select(*key, "window_index", F.round("rolled", 4).alias("rolled"))
 
 
 _TOTALS = "t AS (SELECT sample, hap, sum(normal_depth) FILTER (normal_depth > 100000)::BIGINT AS normal_sum, sum(tumor_depth) FILTER (normal_depth > 100000)::BIGINT AS tumor_sum, count(*) FILTER (normal_depth > 100000) AS normal_rows, count(*) FILTER (normal_depth > 100000 AND tumor_depth > 10000) AS tumor_rows FROM depths GROUP BY ALL)"
@@ -137,20 +139,21 @@ def call_copy_number(spark: SparkSession, sf: str) -> DataFrame:
     return c.call_copy_number(d)
 
 
-@query(f"""WITH {sql('depths')}, {_ONE}, s AS (SELECT chrom, w // 4000 AS k, min(w)::DOUBLE AS a, max(w)::DOUBLE AS b, count(*) AS n FROM o WHERE w % 4000 > 40 GROUP BY ALL) SELECT s.chrom, a AS "start", b AS "end", n AS n_marks, round(avg(v), 4) AS mean FROM s JOIN o ON s.chrom = o.chrom AND o.w BETWEEN a AND b GROUP BY ALL""")
+@query(f"""WITH {sql('depths')}, {_ONE}, s AS (SELECT chrom, w // 4000 AS k, min(w)::DOUBLE + 20 AS a, max(w)::DOUBLE - 20 AS b, count(*) AS n FROM o GROUP BY ALL) SELECT s.chrom, a AS "start", b AS "end", n AS n_marks, round(avg(v), 4) AS mean FROM s JOIN o ON s.chrom = o.chrom AND o.w BETWEEN a AND b GROUP BY ALL""")
 def segment_means(spark: SparkSession, sf: str) -> DataFrame:
     o = _one(spark, sf)
-    s = o.where("window_index % 4000 > 40").groupBy("chrom", F.expr("window_index div 4000").alias("k")).agg(F.min("window_index").cast("double").alias("start"), F.max("window_index").cast("double").alias("end"), F.count(F.lit(1)).alias("n_marks")).drop("k")
+    s = o.groupBy("chrom", F.expr("window_index div 4000").alias("k")).agg((F.min("window_index").cast("double") + 20).alias("start"), (F.max("window_index").cast("double") - 20).alias("end"), F.count(F.lit(1)).alias("n_marks")).where("start <= end").drop("k")
     return c.segment_means(s, o, ["chrom"])
 
 
-@query(f"""WITH {sql('reftable')}, s AS (SELECT chrom, r_start / 50000 AS a, r_end / 50000 AS b FROM reftable WHERE contig % 3 > 0), e AS (SELECT chrom, max(r_end) / 50000 + 25 AS x FROM reftable GROUP BY chrom),
+@query(f"""WITH {sql('reftable')}, s AS (SELECT chrom, r_start / 50000 AS a, r_end / 50000 AS b FROM reftable), f AS (SELECT chrom, max(r_end) / 50000 + 25 AS x FROM reftable GROUP BY chrom), e AS (SELECT * FROM f UNION ALL SELECT chrom + 100, x FROM f),
 w AS (SELECT *, lag(b) OVER (PARTITION BY chrom ORDER BY a, b) AS p, lead(a) OVER (PARTITION BY chrom ORDER BY a, b) AS n FROM s)
 SELECT chrom, round(coalesce(p, 0), 6)::DOUBLE AS "start", round(a, 6)::DOUBLE AS "end" FROM w WHERE a - coalesce(p, 0) > 5 UNION ALL SELECT chrom, round(b, 6), round(x, 6) FROM w JOIN e USING (chrom) WHERE n IS NULL AND x - b > 20 UNION ALL SELECT chrom, 0, round(x, 6) FROM e WHERE chrom NOT IN (SELECT chrom FROM s)""")
 def leading_inter_trailing_gaps(spark: SparkSession, sf: str) -> DataFrame:
     t = rows(spark, sf)
-    s = t.where("contig % 3 > 0").select("chrom", (F.col("r_start") / 50000).alias("start"), (F.col("r_end") / 50000).alias("end"))
+    s = t.select("chrom", (F.col("r_start") / 50000).alias("start"), (F.col("r_end") / 50000).alias("end"))
     x = t.groupBy("chrom").agg((F.max("r_end") / 50000 + 25).alias("extent"))
+    x = x.unionByName(x.withColumn("chrom", F.col("chrom") + 100))  # chromosomes without a segment
     return c.leading_inter_trailing_gaps(s, x).select("chrom", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
