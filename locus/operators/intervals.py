@@ -146,15 +146,16 @@ def union_of_spans(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def subtract_intervals(df: DataFrame, gaps: DataFrame, keys: Sequence[str], width: int = 500) -> DataFrame:
-    """Pieces of each row outside the gaps; every piece keeps the row's other columns."""
+    """Pieces of each row outside the gaps, in whole bases or in fractions of an axis; every piece keeps its row's other columns."""
     merged = merge_intervals(gaps)
     pairs = interval_join(df, merged, width=width).select(*keys, F.col("r_start").alias("gs"), F.col("r_end").alias("ge"))
     cuts = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("gs", "ge"))).alias("_cuts"))
     rows = df.join(cuts, list(keys), "left")
-    none = F.array().cast("array<struct<gs:bigint,ge:bigint>>")
-    c = F.coalesce(F.col("_cuts").cast("array<struct<gs:bigint,ge:bigint>>"), none)
-    begins = F.concat(F.array(F.col("start").cast("bigint")), F.transform(c, lambda x: x["ge"]))
-    ends = F.concat(F.transform(c, lambda x: x["gs"]), F.array(F.col("end").cast("bigint")))
+    kind = "double" if "double" in (df.schema["start"].dataType.typeName(), gaps.schema["start"].dataType.typeName()) else "bigint"
+    spans = f"array<struct<gs:{kind},ge:{kind}>>"
+    c = F.coalesce(F.col("_cuts").cast(spans), F.array().cast(spans))
+    begins = F.concat(F.array(F.col("start").cast(kind)), F.transform(c, lambda x: x["ge"]))
+    ends = F.concat(F.transform(c, lambda x: x["gs"]), F.array(F.col("end").cast(kind)))
     pieces = F.filter(F.arrays_zip(begins.alias("s"), ends.alias("e")), lambda x: x["s"] < x["e"])
     out = rows.withColumn("_p", F.explode(pieces))
     return out.select(*[F.col("_p.s").alias("start") if x == "start" else F.col("_p.e").alias("end") if x == "end" else F.col(f"`{x}`") for x in df.columns])

@@ -305,6 +305,12 @@ def test_long_intervals_join_like_short_ones(spark):
     assert rows(iv.interval_join(left, right, width=100), "i", "j") == want == rows(iv.interval_join(left, right, width=100, long=False), "i", "j")
 
 
+def test_gaps_between_windows_are_cut_exactly(spark):
+    segments = spark.createDataFrame([("a", "chr1", 13.0, 27.0, 6)], "hap string, chrom string, start double, `end` double, n_marks int")
+    gaps = spark.createDataFrame([("a", "chr1", 8.4, 13.5), ("a", "chr1", 20.25, 21.0), ("b", "chr1", 14.0, 15.0)], "hap string, chrom string, start double, `end` double")
+    assert rows(copynumber.split_gaps(segments, gaps, ["hap", "chrom"]), "start", "end", "n_marks") == [(13.5, 20.25, 6), (21.0, 27.0, 6)]
+
+
 def test_merging_repeated_intervals(spark):
     a = [("c", s, s + n) for s in range(0, 3500, 350) for n in (10, 30, 30, 30, 20)] * 4
     assert rows(iv.merge_intervals(spans(spark, a)), "contig", "start", "end") == [("c", s, s + 30) for s in range(0, 3500, 350)]
