@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from .common import checkpointed, let, ranked, table
 
 #: Conversations of more rows are solved in blocks of so many over several tasks.
-BLOCK = 256
+BLOCK = 64
 #: Blocks that one task multiplies in a round.
 FAN = 16
 BROADCAST_IDS = 100_000
@@ -51,8 +51,11 @@ def _inserts(state: int) -> Iterator[int]:
     return (to for role, to in NEXT[state].items() if role != "s")
 
 
+EDGES = {c: [list(_edges(state, i)) for state in range(4)] for i, c in enumerate(CODES)}
+
+
 def block_paths(codes: str, start: int) -> list[Entry | None]:
-    """The cheapest edits of a block from one state to each state.
+    """The cheapest edits of a block from one state to each state, None where no edits lead.
 
     Nodes are (rows done, state, letters written). A weight is one integer: the cost in its high digits, then a digit
     for each place of the audit, zero behind its end. A letter's place is known at its node, so weights add along a path,
@@ -62,30 +65,36 @@ def block_paths(codes: str, start: int) -> list[Entry | None]:
     n = len(codes)
     most = DELETE * n // INSERT + 2
     places = n + most
-    letter = lambda x, k: LETTERS.index(x) << WIDTH * (places - 1 - k)
+    high = WIDTH * places
+    digit = {x: LETTERS.index(x) for x in LETTERS[1:]}
     now: dict[tuple[int, int], int] = {(start, 0): 0}
     for i in range(n + 1):
-        for j in range(most):  # inserts before row i, or at the end
+        # Two inserts lead from any state to u or a, so what costs more than they do beside another path is on no best one.
+        beyond = (min(now.values()) >> high) + 2 * INSERT + 1 << high
+        now = {at: w for at, w in now.items() if at[0] < USER or w < beyond}
+        j, last = min(j for _, j in now), max(j for _, j in now)
+        while j <= last and j < most:  # inserts before row i, or at the end
             for state in range(4):
-                w = now.get((state, j))
-                if w is not None:
+                v = now.get((state, j), beyond) + (INSERT << high) + (digit["I"] << WIDTH * (places - 1 - i - j))
+                if v < beyond:
                     for to in _inserts(state):
-                        v = w + (INSERT << WIDTH * places) + letter("I", i + j)
                         if v < now.get((to, j + 1), v + 1):
-                            now[to, j + 1] = v
+                            now[to, j + 1], last = v, max(last, j + 1)
+            j += 1
         if i == n:
             break
         after: dict[tuple[int, int], int] = {}
-        code = CODES.index(codes[i])
+        edges = EDGES[codes[i]]
         for (state, j), w in now.items():
-            for to, x, cost in _edges(state, code):
-                v = w + (cost << WIDTH * places) + letter(x, i + j)
+            shift = WIDTH * (places - 1 - i - j)
+            for to, x, cost in edges[state]:
+                v = w + (cost << high) + (digit[x] << shift)
                 if v < after.get((to, j), v + 1):
                     after[to, j] = v
         now = after
     out: list[Entry | None] = []
     for state in range(4):
-        ends = [(w, j) for (s, j), w in now.items() if s == state]
+        ends = [(w, j) for (to, j), w in now.items() if to == state]
         if not ends:
             out.append(None)
             continue
@@ -279,6 +288,7 @@ def _long(rows: DataFrame, block: int) -> DataFrame:
     first = at.groupBy("_k", "role", "_d").agg(F.min("rank").alias("_first"))
     coded = at.join(first, ["_k", "role", "_d"]).select("_k", "_b", "rank", _code(F.col("role"), F.col("text"), F.col("rank") > F.col("_first")).alias("code"))
     in_order = lambda what: F.transform(F.array_sort(F.collect_list(F.struct(*what))), lambda x: x[what[-1]])
+    coded = coded.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_k", "_b")  # work does not follow bytes here
     now = checkpointed(coded.groupBy("_k", "_b").agg(F.array_join(in_order(("rank", "code")), "").alias("codes")).withColumn("paths", _block("codes")))
     while (now.agg(F.max("_b")).first()[0] or 0) > 0:
         both = now.groupBy("_k", F.floor(F.col("_b") / FAN).alias("_b")).agg(F.array_join(in_order(("_b", "codes")), "").alias("codes"), in_order(("_b", "paths")).alias("_p"))
