@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,20 @@ def _keyword(rule: Rule) -> str:
     return best
 
 
+DETECTION = "struct<start:int,stop:int,rank:int,label:string,weight:double>"
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """What `combine` makes of each value and all before it, by steps of doubling width: n log n, and no array grows by one."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def doubled(now: Column, k: Column) -> Column:
+        width = F.pow(F.lit(2), k).cast("int")
+        return F.transform(now, lambda v, i: F.when(i >= width, combine(v, F.get(now, i - width))).otherwise(v))
+
+    return F.aggregate(steps, values, doubled)
+
+
 def detections(norm: Column, signatures: Sequence[Rule]) -> Column:
     """All places of the rules in the spaced words: array of (start, stop, rank, label, weight).
 
@@ -52,14 +66,8 @@ def detections(norm: Column, signatures: Sequence[Rule]) -> Column:
 
     def places(r: Column) -> Column:
         def located(hits: Column, gaps: Column) -> Column:
-            start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,rank:int,label:string,weight:double>>").alias("found"))
-
-            def step(acc: Column, i: Column) -> Column:
-                begin = acc["at"] + F.get(gaps, i)
-                end = begin + F.length(F.get(hits, i))
-                return F.struct(end.alias("at"), F.array_append(acc["found"], F.struct((begin + 1).alias("start"), end.alias("stop"), r["rank"].alias("rank"), r["label"].alias("label"), r["weight"].alias("weight"))).alias("found"))
-
-            return F.when(F.size(hits) == 0, start["found"]).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda acc: acc["found"]))
+            ends = running(F.transform(hits, lambda h, i: F.get(gaps, i) + F.length(h)), lambda a, b: a + b)
+            return F.transform(F.arrays_zip(hits.alias("hit"), ends.alias("end")), lambda x: F.struct((x["end"] - F.length(x["hit"]) + 1).alias("start"), x["end"].alias("stop"), r["rank"].alias("rank"), r["label"].alias("label"), r["weight"].alias("weight")))
 
         gaps = F.transform(F.split(norm, r["pattern"], -1), lambda x: F.length(x))
         return let(F.regexp_extract_all(norm, r["pattern"], F.lit(0)), lambda hits: let(gaps, lambda g: located(hits, g)))
@@ -73,17 +81,17 @@ def resolved(found: Column) -> Column:
 
     One that lies inside another goes (of equal intervals the one of lower priority), which a running maximum over
     the sorted detections finds. Those left are swept from left to right: one that overlaps the last kept takes its
-    place if its priority is higher, else it goes, so one that has gone suppresses nothing after it.
+    place if its priority is higher, else it goes, so one that has gone suppresses nothing after it. A sweep begins anew
+    where nothing overlaps, so its arrays are as long as a chain of overlaps.
     """
-    empty = F.array().cast("array<struct<start:int,stop:int,rank:int,label:string,weight:double>>")
     ordered = F.transform(F.array_sort(F.transform(found, lambda d: F.struct(d["start"].alias("start"), (-d["stop"]).alias("back"), d["rank"].alias("rank"), d.alias("d")))), lambda x: x["d"])
 
     def outer(o: Column) -> Column:
-        begin = F.struct(F.lit(-1).alias("top"), empty.alias("kept"))
-        return F.aggregate(o, begin, lambda acc, d: F.when(d["stop"] <= acc["top"], acc).otherwise(F.struct(d["stop"].alias("top"), F.array_append(acc["kept"], d).alias("kept"))), lambda acc: acc["kept"])
+        tops = running(F.transform(o, lambda d: d["stop"]), lambda a, b: F.greatest(a, b))
+        return let(tops, lambda top: F.filter(o, lambda d, i: (i == 0) | (d["stop"] > F.get(top, i - 1))))
 
     def apart(k: Column) -> Column:
-        begin = F.struct(empty.alias("kept"), F.lit(None).cast("struct<start:int,stop:int,rank:int,label:string,weight:double>").alias("last"))
+        begin = F.struct(F.array().cast(f"array<{DETECTION}>").alias("kept"), F.lit(None).cast(DETECTION).alias("last"))
 
         def step(acc: Column, d: Column) -> Column:
             last, kept = acc["last"], acc["kept"]
@@ -92,7 +100,13 @@ def resolved(found: Column) -> Column:
 
         return F.aggregate(k, begin, step, lambda acc: F.when(acc["last"].isNull(), acc["kept"]).otherwise(F.array_append(acc["kept"], acc["last"])))
 
-    return let(let(ordered, outer), apart)
+    def swept(k: Column) -> Column:
+        # After the first step stops rise with starts, so only neighbours tell where a chain of overlaps ends.
+        opens = F.filter(F.transform(k, lambda d, i: F.when((i == 0) | (F.get(k, i - 1)["stop"] <= d["start"]), i)), lambda i: i.isNotNull())
+        chains = let(opens, lambda at: F.transform(at, lambda b, j: F.slice(k, b + 1, F.coalesce(F.get(at, j + 1), F.size(k)) - b)))
+        return F.flatten(F.transform(chains, apart))
+
+    return let(let(ordered, outer), swept)
 
 
 def base_places(ws: Column, phrase: str) -> Column:
@@ -116,15 +130,18 @@ def scanned(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id"
     words, empty labels and score 0. Only texts that hold a gate word are matched against base phrases and rules. Rows
     are judged one by one, so repeated rows get equal results, and detections of equal place and rank go to the rule that
     stands first; an empty table gives an empty result. Other columns than text and `keep` are not read and cannot clash.
-    A very long text is one task's; its time grows with the square of the places found in it.
+    A very long text is one task's; its time grows with n log n in the n places found
+    in it, but with the square of the length of a chain of overlapping ones.
     score is the weight of the strongest detection left (0.6 for a bare name up to 1.0 for licence text; base
     phrases alone count 0.6).
     """
     signatures = rules() if signatures is None else signatures
     lowered = docs.select(*keep, F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER).alias("_t"))
-    spaced = lowered.select(*keep, F.btrim(F.regexp_replace("_t", BREAKS, " ")).alias("_n"), _any([F.contains("_t", F.lit(g)) for g in GATES]).alias("_gate"))
+    spaced = lowered.select(*keep, F.btrim(F.regexp_replace("_t", BREAKS, " ")).alias("_n"))
+    # Gates are sought in the spaced words, as rules are: a line break between two words closes none.
+    spaced = spaced.withColumn("_gate", _any([F.contains("_n", F.lit(g)) for g in GATES]))
     padded = F.concat(F.lit(" "), F.col("_n"), F.lit(" "))
-    no_place, none = F.array().cast("array<int>"), F.array().cast("array<struct<start:int,stop:int,rank:int,label:string,weight:double>>")
+    no_place, none = F.array().cast("array<int>"), F.array().cast(f"array<{DETECTION}>")
     held = [F.contains("_n", F.lit(p)) for p, _ in phrases]
     by_phrase = let(F.split("_n", " ", -1), lambda ws: F.array(*[base_places(ws, p) for p, _ in phrases]))
     places = F.when(F.col("_gate") & _any(held), by_phrase).otherwise(F.array(*[no_place for _ in phrases]))

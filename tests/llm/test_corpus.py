@@ -435,6 +435,32 @@ def test_gates_hold_for_the_shortest_match(spark):
     assert rows_of(licenses.scanned(docs)) == [(1, "mit-0", 0.8), (2, "mit-0", 0.6), (3, "", 0.0)]
 
 
+def test_wrapped_texts_keep_their_detections(spark):
+    """Each rule's shortest matches, their words joined by what licence files have between them."""
+    short = sorted({(t, r.label) for r in rules() for t in shortest(r.pattern)})
+    docs = documents(spark, [(4 * i + k, sep.join(t.split(" ")), "", "", 0) for i, (t, _) in enumerate(short) for k, sep in enumerate(("\n", "\t", "  ", ", "))])
+    plain = {r.doc_id: (r.labels, r.score) for r in licenses.scanned(documents(spark, [(i, t, "", "", 0) for i, (t, _) in enumerate(short)])).collect()}
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scanned(docs).collect()}
+    assert all(plain[i][1] > 0 for i in plain)
+    assert [i for i in got if got[i] != plain[i // 4]] == []
+    wrapped = "This notice may not be removed or\naltered\nsource versions must be plainly marked as such"
+    assert rows_of(licenses.scanned(documents(spark, [(1, wrapped, "", "", 0)]))) == [(1, "zlib", 1.0)]
+
+
+def test_many_places_in_one_text(spark):
+    """Tens of thousands of places, apart and in chains of overlaps."""
+    import time
+
+    n = 20_000
+    docs = documents(spark, [(1, "MIT License. x\n" * n, "", "", 0), (2, "under the apache license version 2 0 or the gnu general public license v3 \n" * 3000, "", "", 0)])
+    began = time.time()
+    got = {r.doc_id: r for r in licenses.scanned(docs).collect()}
+    assert got[1].n_base == len(got[1].detections) == n and got[1].last_word == 3 * (n - 1) and time.time() - began < 60
+    first = licenses.scanned(documents(spark, [(2, "under the apache license version 2 0 or the gnu general public license v3 \n", "", "", 0)])).first()
+    assert len(got[2].detections) == 3000 * len(first.detections)
+    assert [d.start for d in got[2].detections] == sorted(d.start for d in got[2].detections)
+
+
 def rows_of(scanned):
     return sorted((r.doc_id, r.labels, r.score) for r in scanned.collect())
 
