@@ -1,16 +1,17 @@
-"""Depth windows, their axis, normalisation, ploidy and segmentation."""
+"""Depth windows, their axis, normalisation, ploidy and copy numbers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .checkpoints import checkpointed
+from .density import bin_level, segment_level
 from .intervals import interval_join, subtract_intervals, tiles
+from .segmentation import segment
 
 WINDOW = 50_000
 #: Thresholds of the copy-number steps. Fixed values.
@@ -141,44 +142,6 @@ def half_window_ploidy(segments: DataFrame, by: list[str], baseline: str = "leve
     return h.select(*by, F.pow(F.lit(2), times).cast("int").alias("ploidy"))
 
 
-def density(df: DataFrame, by: list[str], value: str, weight: str, low: float, high: float, points: int = 2048, bins: int = 1000, least: int = 1) -> DataFrame:
-    """Weighted Gaussian kernel density on a grid: by, x, density. Bandwidth by Silverman's rule on the binned values.
-
-    Values are binned first, so a group has at most `bins` rows when its grid is filled. Groups with a weight under
-    `least` have no density.
-    """
-    step = (high - low) / bins
-    binned = df.where((F.col(value) > low) & (F.col(value) < high)).groupBy(*by, F.floor((F.col(value) - low) / step).alias("_b")).agg(F.sum(weight).alias("_w"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in binned.schema.fields if f.name in by) + ", x double, density double"
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, w = low + (pdf["_b"].to_numpy(float) + 0.5) * step, pdf["_w"].to_numpy(float)
-        if w.sum() < least:
-            return pd.DataFrame({**{k: pdf[k].iloc[:0] for k in by}, "x": x[:0], "density": x[:0]})
-        mean = np.average(x, weights=w)
-        sd = max(np.sqrt(np.average((x - mean) ** 2, weights=w)), step)
-        h = 0.9 * sd * max(w.sum(), 2) ** -0.2
-        grid = np.linspace(low, high, points)
-        y = (np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2) * w).sum(1) / (w.sum() * h * np.sqrt(2 * np.pi))
-        return pd.DataFrame({**{k: [pdf[k].iloc[0]] * points for k in by}, "x": grid, "density": y})
-
-    return binned.groupBy(*by).applyInPandas(fill, schema)
-
-
-def detect_peaks(grid: DataFrame, by: list[str], share: float = 0.20, top: int = 8) -> DataFrame:
-    """Local maxima, higher than both neighbours, of at least `share` of the highest; the `top` highest of them, by x."""
-    w = Window.partitionBy(*by).orderBy("x")
-    peak = (F.col("density") > F.lag("density").over(w)) & (F.col("density") > F.lead("density").over(w))
-    marked = grid.withColumns({"_p": peak, "_max": F.max("density").over(Window.partitionBy(*by))}).where(F.col("_p") & (F.col("density") >= share * F.col("_max")))
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("density"), "x"))
-    return marked.withColumn("_r", rank).where(F.col("_r") <= top).select(*by, "x", "density").orderBy(*by, "x")
-
-
-def dominant_level(grid: DataFrame, by: list[str]) -> DataFrame:
-    """Where the density is highest."""
-    return grid.groupBy(*by).agg(F.max_by("x", F.struct("density", -F.col("x"))).alias("level"))
-
-
 def smooth_outliers(df: DataFrame, by: list[str], value: str = "ratio", order: str = "window_index", around: int = 10, limit: float = 4.0, pull: float = 2.0) -> DataFrame:
     """Points beyond all neighbours by more than `limit` deviations come to the neighbours' median and `pull` of them."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(-around, around)
@@ -201,64 +164,6 @@ def trimmed_sd(df: DataFrame, by: list[str], value: str = "smoothed", order: str
     return d.join(cut, by).where((F.col("_d") >= F.get("_q", F.lit(0))) & (F.col("_d") <= F.get("_q", F.lit(1)))).groupBy(*by).agg((F.stddev("_d") / 2**0.5).alias("sd"))
 
 
-def split_points(x: np.ndarray, threshold: float = 5.0, least: int = 2) -> list[int]:
-    """Change points by binary segmentation: the split with the largest t-type statistic, while it is over the threshold."""
-    noise = np.median(np.abs(np.diff(x))) / (0.6745 * np.sqrt(2)) if len(x) > 2 else 0.0
-    noise = noise or 1e-9
-    found, todo = [], [(0, len(x))]
-    while todo:
-        a, b = todo.pop()
-        n = b - a
-        if n < 2 * least:
-            continue
-        left = np.cumsum(x[a:b])[least - 1 : n - least]
-        k = np.arange(least, n - least + 1)
-        total = x[a:b].sum()
-        t = np.abs(left / k - (total - left) / (n - k)) / (noise * np.sqrt(1 / k + 1 / (n - k)))
-        i = int(t.argmax())
-        if t[i] > threshold:
-            found.append(a + int(k[i]))
-            todo += [(a, a + int(k[i])), (a + int(k[i]), b)]
-    return sorted(found)
-
-
-def undo_weak(x: np.ndarray, cuts: list[int], sd: float, short: float = 1.5, long: float = 1.0, min_long: int = 100, min_step: float = 0.3) -> list[int]:
-    """Removes the weakest step between medians again and again while it is below its limit.
-
-    Between two long segments the limit is min(1.5 sd, max(1.0 sd, 0.3)), else 1.5 sd.
-    """
-    edges = [0, *cuts, len(x)]
-    while len(edges) > 2:
-        m = [np.median(x[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-        weak = []
-        for i in range(len(m) - 1):
-            both = edges[i + 1] - edges[i] >= min_long and edges[i + 2] - edges[i + 1] >= min_long
-            step, limit = abs(m[i + 1] - m[i]), min(short * sd, max(long * sd, min_step)) if both else short * sd
-            if step < limit:
-                weak.append((step, i))
-        if not weak:
-            break
-        del edges[min(weak)[1] + 1]
-    return edges[1:-1]
-
-
-def segment(df: DataFrame, by: list[str], sd: DataFrame, value: str = "smoothed", order: str = "window_index") -> DataFrame:
-    """Segments of each chromosome: by, start, end (of the order), n_marks, mean. `by` ends with the chromosome.
-
-    A chromosome has thousands of windows at most, so it is one group.
-    """
-    rows = df.join(sd, [c for c in by if c in sd.columns])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in by) + ", start double, end double, n_marks long, mean double"
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        x, at = pdf[value].to_numpy(float), pdf[order].to_numpy(float)
-        edges = [0, *undo_weak(x, split_points(x), float(pdf["sd"].iloc[0] or 0)), len(x)]
-        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in by}, "start": at[a], "end": at[b - 1], "n_marks": b - a, "mean": float(x[a:b].mean())} for a, b in zip(edges, edges[1:], strict=False)])
-
-    return rows.groupBy(*by).applyInPandas(cut, schema)
-
-
 def segment_means(segments: DataFrame, windows: DataFrame, by: list[str], value: str = "ratio", order: str = "window_index") -> DataFrame:
     """Segments with the mean of the uncapped values inside, four decimals. Both meet in bins of 1000 windows."""
     bin_ = lambda c: F.floor(F.col(c) / 1000)
@@ -275,21 +180,38 @@ def split_gaps(segments: DataFrame, gaps: DataFrame, by: list[str]) -> DataFrame
     return subtract_intervals(keyed, gaps.select(axis.alias("contig"), "start", "end"), [*by, "start", "end"]).drop("contig")
 
 
-def call_copy_number(df: DataFrame, ploidy: float | None = None) -> DataFrame:
+def call_copy_number(df: DataFrame, ploidy: float | DataFrame | None = None) -> DataFrame:
     """Windows (sample, hap, chrom, window_index, tumor_depth, normal_depth) to segments in copies.
 
-    A first pass segments the raw ratio and gives the ploidy, unless it is set; a second one segments copies.
+    A first pass segments the raw ratio, with a plain undo, and gives the level L and the ploidy of each sample and
+    haplotype, unless it is set: for all by a number, or by a table (sample, hap, ploidy) for those in it. One copy is
+    the highest peak of the windows' ratios over the ploidy, or L over the ploidy where there is no peak. A second pass segments
+    copies, capped at 20; its means are those of uncapped values. Columns: sample, hap, chrom, start, end, n_marks,
+    mean, ploidy, level.
+
+    No sample or haplotype is dropped: where the depths give no ratio, or the ratios no level, each of its chromosomes is one row with a null mean.
     """
     by, chrom = ["sample", "hap"], ["sample", "hap", "chrom"]
-    ratio = depth_ratio(df, depth_totals(df, by), by, 1.0)
+    ratio = checkpointed(depth_ratio(df, depth_totals(df, by), by, 1.0).select(*chrom, "window_index", "ratio"))
     smooth = smooth_outliers(ratio, chrom)
-    first = segment(smooth, chrom, trimmed_sd(smooth, by, inside=["chrom"]))
-    level = dominant_level(density(first, by, "mean", "n_marks", 0.05, 5.0), by)
-    p = half_window_ploidy(first.join(level, by), by) if ploidy is None else level.select(*by, F.lit(float(ploidy)).alias("ploidy"))
-    copies = ratio.join(level, by).join(p, by)
-    copies = copies.withColumn("ratio", F.col("ratio") / F.col("level") * F.col("ploidy")).drop("level", "ploidy")
+    first = checkpointed(segment(smooth, chrom, trimmed_sd(smooth, by, inside=["chrom"]), plain=True))
+    level = segment_level(first, by, ["chrom", "start"]).join(bin_level(ratio, by), by, "left")
+    found = half_window_ploidy(first.join(level, by), by).withColumnRenamed("ploidy", "_found")
+    scale = level.join(found, by, "left")
+    chosen = F.coalesce(F.col("_found"), F.lit(1)).cast("double")
+    if isinstance(ploidy, DataFrame):
+        scale = scale.join(ploidy.select(*by, F.col("ploidy").cast("double").alias("_set")), by, "left")
+        chosen = F.coalesce("_set", chosen)
+    elif ploidy is not None:
+        chosen = F.lit(float(ploidy))
+    scale = checkpointed(scale.select(*by, chosen.alias("ploidy"), F.coalesce("bin_level", "level").alias("level")))
+    copies = ratio.join(scale, by).where("level is not null").withColumn("ratio", F.col("ratio") / F.col("level") * F.col("ploidy")).drop("level", "ploidy")
     capped = smooth_outliers(copies.withColumn("capped", F.least("ratio", F.lit(20.0))), chrom, "capped")
-    return segment_means(segment(capped, chrom, trimmed_sd(capped, by, inside=["chrom"])), copies, chrom)
+    called = segment_means(segment(capped, chrom, trimmed_sd(capped, by, inside=["chrom"])), copies, chrom).join(scale, by)
+    usable_ = F.count(F.when(F.col("normal_depth") > MIN_NORMAL, 1))
+    spans = df.groupBy(*chrom).agg(F.min("window_index").cast("double").alias("start"), F.max("window_index").cast("double").alias("end"), usable_.alias("n_marks"))
+    without = spans.join(scale.where("level is not null").select(*by), by, "left_anti").join(scale, by, "left")
+    return called.unionByName(without.select(*chrom, "start", "end", "n_marks", F.lit(None).cast("double").alias("mean"), "ploidy", "level"))
 
 
 def leading_inter_trailing_gaps(segments: DataFrame, extents: DataFrame, inner: float = 5.0, trailing: float = 20.0, by: Sequence[str] = ()) -> DataFrame:

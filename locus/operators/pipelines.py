@@ -105,7 +105,7 @@ def annotated_svs(svs: DataFrame, tracks: Mapping[str, DataFrame]) -> DataFrame:
     return _joined(out, parts, key)
 
 
-def copy_number_table(reftable: DataFrame, alignments: DataFrame, gap_track: DataFrame | None = None, size: int = copynumber.WINDOW, min_mapq: int = 40, ploidy: float | None = None) -> DataFrame:
+def copy_number_table(reftable: DataFrame, alignments: DataFrame, gap_track: DataFrame | None = None, size: int = copynumber.WINDOW, min_mapq: int = 40, ploidy: float | DataFrame | None = None) -> DataFrame:
     """From a reference table and aligned blocks to segments in copies, by sample, haplotype and chromosome.
 
     reftable: hap and the columns of the reference table with ord; alignments: sample, type (tumor or normal), hap,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.operators import copynumber as c
+from locus.operators import density as kde
 from locus.operators import elements as e
 from locus.operators import lift
 
@@ -219,22 +220,39 @@ def trimmed_sd(spark: SparkSession, sf: str) -> DataFrame:
     return c.trimmed_sd(_smooth(spark, sf), ["sample"], inside=["chrom"]).select("sample", F.round("sd", 5).alias("sd"))
 
 
-_KDE = """x AS (SELECT sample, hap, tumor_depth / normal_depth * 9 AS x FROM depths), b AS (SELECT sample, hap, floor((x - 0.3) / 0.0047) AS b, count(*) AS w FROM x WHERE x > 0.3 AND x < 5 GROUP BY ALL), v AS (SELECT sample, hap, 0.3 + (b + 0.5) * 0.0047 AS x, w FROM b),
-m AS (SELECT sample, hap, sum(w) AS n, sum(w * x) / sum(w) AS mean FROM v GROUP BY ALL HAVING sum(w) >= 100), s AS (SELECT v.sample, v.hap, any_value(n) AS n, greatest(sqrt(sum(w * (x - mean) ** 2) / any_value(n)), 0.0047) AS sd FROM v JOIN m ON v.sample = m.sample AND v.hap = m.hap GROUP BY v.sample, v.hap), h AS (SELECT *, 0.9 * sd * n ** -0.2 AS h FROM s),
-g AS (SELECT unnest(range(2048)) AS i), d AS (SELECT v.sample, v.hap, i, 0.3 + i * (4.7 / 2047) AS gx, sum(w * exp(-0.5 * ((0.3 + i * (4.7 / 2047) - x) / h) ** 2)) / any_value(n * h * sqrt(2 * pi())) AS y FROM v JOIN h ON v.sample = h.sample AND v.hap = h.hap, g GROUP BY ALL)"""
+_D = "((k * step / ({h})) ** 2)"
+_F4 = f"(2 * sum(p * exp(-{_D} / 2) * ({_D} ** 2 - 6 * {_D} + 3)) + any_value(n) * 3) / any_value(n * (n - 1) * ({{h}}) ** 5 * sqrt(2 * pi()))"
+_F6 = f"(2 * sum(p * exp(-{_D} / 2) * ({_D} ** 3 - 15 * {_D} ** 2 + 45 * {_D} - 15)) - any_value(n) * 15) / any_value(n * (n - 1) * ({{h}}) ** 7 * sqrt(2 * pi()))"
+#: The bandwidth by 60 halvings of its bracket, then the kernel over cells that share out each value.
+_KDE = f"""x AS (SELECT sample, hap, tumor_depth / normal_depth * 9 AS x FROM depths WHERE tumor_depth / normal_depth * 9 > 0.3 AND tumor_depth / normal_depth * 9 < 5),
+m AS (SELECT sample, hap, count(*)::DOUBLE AS n, (max(x) - min(x)) * 1.01 / 1000 AS step, least(stddev_samp(x), (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) / 1.349) AS scale FROM x GROUP BY ALL HAVING count(*) >= 100),
+b AS (SELECT x.sample, x.hap, floor(x / step) AS b, count(*)::DOUBLE AS c FROM x JOIN m ON x.sample = m.sample AND x.hap = m.hap GROUP BY ALL),
+k AS (SELECT b.sample, b.hap, abs(b.b - z.b) AS k, sum(CASE WHEN b.b = z.b THEN b.c * (b.c - 1) / 2 ELSE b.c * z.c END) AS p FROM b JOIN b z ON b.sample = z.sample AND b.hap = z.hap AND b.b <= z.b GROUP BY ALL),
+km AS (SELECT k.*, n, step, scale FROM k JOIN m ON k.sample = m.sample AND k.hap = m.hap),
+al AS (SELECT sample, hap, 1.357 * ({_F4.format(h="1.24 * scale * n ** (-1.0 / 7)")} / -({_F6.format(h="1.23 * scale * n ** (-1.0 / 9)")})) ** (1.0 / 7) AS al FROM km GROUP BY ALL),
+r AS (SELECT m.sample, m.hap, 0 AS i, 0.1 * 1.144 * scale * n ** -0.2 AS lo, 1.144 * scale * n ** -0.2 AS hi, al FROM m JOIN al ON m.sample = al.sample AND m.hap = al.hap
+  UNION ALL SELECT sample, hap, i + 1, CASE WHEN e > 0 THEN mid ELSE lo END, CASE WHEN e > 0 THEN hi ELSE mid END, al FROM (
+    SELECT r.sample, r.hap, any_value(i) AS i, any_value(lo) AS lo, any_value(hi) AS hi, any_value(al) AS al, any_value((lo + hi) / 2) AS mid,
+           (1 / (2 * sqrt(pi()) * any_value(n) * ({_F4.format(h="al * ((lo + hi) / 2) ** (5.0 / 7)")}))) ** 0.2 - any_value((lo + hi) / 2) AS e
+    FROM r JOIN km ON r.sample = km.sample AND r.hap = km.hap WHERE i < 60 GROUP BY r.sample, r.hap)),
+h AS (SELECT sample, hap, (lo + hi) / 2 AS h FROM r WHERE i = 60),
+c AS (SELECT x.sample, x.hap, (x - 0.3) / 4.7 * 2047 AS at FROM x JOIN m ON x.sample = m.sample AND x.hap = m.hap),
+v AS (SELECT sample, hap, a AS cell, sum(w) AS w FROM (SELECT sample, hap, floor(at) AS a, 1 - (at - floor(at)) AS w FROM c UNION ALL SELECT sample, hap, floor(at) + 1, at - floor(at) FROM c) GROUP BY ALL),
+g AS (SELECT unnest(range(2048)) AS i),
+d AS (SELECT v.sample, v.hap, i, 0.3 + i * (4.7 / 2047) AS gx, sum(w * exp(-0.5 * ((i - cell) * 4.7 / 2047 / h) ** 2)) / (sum(w) * any_value(h) * sqrt(2 * pi())) AS y FROM v JOIN h ON v.sample = h.sample AND v.hap = h.hap, g GROUP BY ALL)"""
 
 
 def _kde(spark: SparkSession, sf: str) -> DataFrame:
-    d = standin(spark, sf, "depths").select("sample", "hap", (F.col("tumor_depth") / F.col("normal_depth") * 9).alias("x"), F.lit(1).alias("one"))
-    return c.density(d, ["sample", "hap"], "x", "one", 0.3, 5.0, least=100)
+    d = standin(spark, sf, "depths").select("sample", "hap", (F.col("tumor_depth") / F.col("normal_depth") * 9).alias("x"), F.lit(1.0).alias("one"))
+    return kde.density(d.where("x > 0.3 and x < 5"), ["sample", "hap"], "x", "one", 0.3, 5.0, least=100)
 
 
-@query(f"""WITH {sql('depths')}, {_KDE}, p AS (SELECT *, lag(y) OVER k AS a, lead(y) OVER k AS z, max(y) OVER (PARTITION BY sample, hap) AS top FROM d WINDOW k AS (PARTITION BY sample, hap ORDER BY i)),
+@query(f"""WITH RECURSIVE {sql('depths')}, {_KDE}, p AS (SELECT *, lag(y) OVER k AS a, lead(y) OVER k AS z, max(y) OVER (PARTITION BY sample, hap) AS top FROM d WINDOW k AS (PARTITION BY sample, hap ORDER BY i)),
 r AS (SELECT *, row_number() OVER (PARTITION BY sample, hap ORDER BY y DESC, i) AS r FROM p WHERE y > a AND y > z AND y >= 0.2 * top) SELECT sample, hap, round(gx, 6) AS x, round(y, 6) AS density FROM r WHERE r <= 8""")
 def detect_peaks(spark: SparkSession, sf: str) -> DataFrame:
-    return c.detect_peaks(_kde(spark, sf), ["sample", "hap"]).select("sample", "hap", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
+    return kde.detect_peaks(_kde(spark, sf), ["sample", "hap"]).select("sample", "hap", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 
 
-@query(f"""WITH {sql('depths')}, {_KDE} SELECT sample, hap, round(arg_max(gx, struct_pack(y := y, i := -i)), 6) AS level FROM d GROUP BY ALL""")
+@query(f"""WITH RECURSIVE {sql('depths')}, {_KDE} SELECT sample, hap, round(arg_max(gx, struct_pack(y := y, i := -i)), 6) AS level FROM d GROUP BY ALL""")
 def dominant_level(spark: SparkSession, sf: str) -> DataFrame:
-    return c.dominant_level(_kde(spark, sf), ["sample", "hap"]).select("sample", "hap", F.round("level", 6).alias("level"))
+    return kde.dominant_level(_kde(spark, sf), ["sample", "hap"]).select("sample", "hap", F.round("level", 6).alias("level"))

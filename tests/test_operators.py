@@ -104,13 +104,6 @@ def test_heaviest_increasing():
         assert sum(weights[i] for i in got) == best
 
 
-def test_change_points():
-    x = np.r_[np.full(200, 1.0), np.full(150, 2.0), np.full(200, 1.0)] + np.random.default_rng(0).normal(0, 0.1, 550)
-    cuts = copynumber.undo_weak(x, copynumber.split_points(x), 0.1)
-    assert len(cuts) == 2 and abs(cuts[0] - 200) < 3 and abs(cuts[1] - 350) < 3
-    assert copynumber.split_points(np.ones(5)) == [] and copynumber.split_points(np.zeros(0)) == []
-
-
 def test_cigar_blocks(spark):
     a = spark.createDataFrame([("r", "c", 100, "+", "5S10M2D3M50N20M4H"), ("q", "c", 0, "-", "3S7M")], "read string, contig string, start long, strand string, cigar string")
     assert rows(elements.aligned_blocks(a), "read", "start", "end", "q_start", "q_end") == [("q", 0, 7, 0, 7), ("r", 100, 115, 5, 18), ("r", 165, 185, 18, 38)]

@@ -81,32 +81,6 @@ def test_consolidate_sex_chroms(spark):
     assert sum(r.chrom not in ("chrX", "chrY") for r in got) == plain
 
 
-def test_call_copy_number(spark):
-    """Segments follow each other and hold every usable window; their means are those of the windows in copies."""
-    d = standin(spark, SF, "depths").groupBy("sample", "hap", "chrom", F.col("w").alias("window_index")).agg(F.min("tumor_depth").alias("tumor_depth"), F.min("normal_depth").alias("normal_depth"))
-    by = ["sample", "hap"]
-    ratio = copynumber.depth_ratio(d, copynumber.depth_totals(d, by), by, 1.0).collect()
-    got = copy_queries.call_copy_number(spark, SF).collect()
-    assert disjoint(got, lambda r: (r.sample, r.hap, r.chrom), "start", "end") and sum(r.n_marks for r in got) == len(ratio)
-    scale = {}
-    for s in got:
-        inside = [r.ratio for r in ratio if (r.sample, r.hap, r.chrom) == (s.sample, s.hap, s.chrom) and s.start <= r.window_index <= s.end]
-        assert len(inside) == s.n_marks
-        if s.mean > 0.5:
-            scale.setdefault((s.sample, s.hap), []).append(s.mean / np.mean(inside))
-    # One factor, ploidy over level, for each sample and haplotype.
-    assert scale and all(max(x) - min(x) < 2e-3 * max(x) for x in scale.values())
-
-
-def test_copy_number_table(spark):
-    """Segments lie outside the gaps of their haplotype's axis."""
-    rows = standin(spark, SF, "reftable").withColumn("chrom", F.col("chrom") % 3)
-    gaps = copynumber.assembly_gaps(rows, by=["hap"]).collect()
-    got = pipeline_queries.copy_number_table(spark, SF).collect()
-    assert got and {r.sample for r in got} == {0, 1} and {r.hap for r in got} == {0, 1}
-    assert not [(s, g) for s in got for g in gaps if (s.hap, s.chrom) == (g.hap, g.chrom) and min(s.end, g.end) > max(s.start, g.start)]
-
-
 def test_insertion_evidence(spark):
     """Types follow from the evidence beside them, and every insertion of 100 bases has one row."""
     got = element_queries.insertion_evidence(spark, SF).collect()
