@@ -236,8 +236,8 @@ r AS (SELECT m.sample, m.hap, 0 AS i, 0.1 * 1.144 * scale * n ** -0.2 AS lo, 1.1
            (1 / (2 * sqrt(pi()) * any_value(n) * ({_F4.format(h="al * ((lo + hi) / 2) ** (5.0 / 7)")}))) ** 0.2 - any_value((lo + hi) / 2) AS e
     FROM r JOIN km ON r.sample = km.sample AND r.hap = km.hap WHERE i < 60 GROUP BY r.sample, r.hap)),
 h AS (SELECT sample, hap, (lo + hi) / 2 AS h FROM r WHERE i = 60),
-c AS (SELECT x.sample, x.hap, (x - 0.3) / 4.7 * 2047 AS at FROM x JOIN m ON x.sample = m.sample AND x.hap = m.hap),
-v AS (SELECT sample, hap, a AS cell, sum(w) AS w FROM (SELECT sample, hap, floor(at) AS a, 1 - (at - floor(at)) AS w FROM c UNION ALL SELECT sample, hap, floor(at) + 1, at - floor(at) FROM c) GROUP BY ALL),
+c AS (SELECT x.sample, x.hap, (x - 0.3) / 4.7 * 2047 AS pl FROM x JOIN m ON x.sample = m.sample AND x.hap = m.hap),
+v AS (SELECT sample, hap, a AS cell, sum(w) AS w FROM (SELECT sample, hap, floor(pl) AS a, 1 - (pl - floor(pl)) AS w FROM c UNION ALL SELECT sample, hap, floor(pl) + 1, pl - floor(pl) FROM c) GROUP BY ALL),
 g AS (SELECT unnest(range(2048)) AS i),
 d AS (SELECT v.sample, v.hap, i, 0.3 + i * (4.7 / 2047) AS gx, sum(w * exp(-0.5 * ((i - cell) * 4.7 / 2047 / h) ** 2)) / (sum(w) * any_value(h) * sqrt(2 * pi())) AS y FROM v JOIN h ON v.sample = h.sample AND v.hap = h.hap, g GROUP BY ALL)"""
 
@@ -248,7 +248,7 @@ def _kde(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {sql('depths')}, {_KDE}, p AS (SELECT *, lag(y) OVER k AS a, lead(y) OVER k AS z, max(y) OVER (PARTITION BY sample, hap) AS top FROM d WINDOW k AS (PARTITION BY sample, hap ORDER BY i)),
-r AS (SELECT *, row_number() OVER (PARTITION BY sample, hap ORDER BY y DESC, i) AS r FROM p WHERE y > a AND y > z AND y >= 0.2 * top) SELECT sample, hap, round(gx, 6) AS x, round(y, 6) AS density FROM r WHERE r <= 8""")
+rk AS (SELECT *, row_number() OVER (PARTITION BY sample, hap ORDER BY y DESC, i) AS r FROM p WHERE y > a AND y > z AND y >= 0.2 * top) SELECT sample, hap, round(gx, 6) AS x, round(y, 6) AS density FROM rk WHERE r <= 8""")
 def detect_peaks(spark: SparkSession, sf: str) -> DataFrame:
     return kde.detect_peaks(_kde(spark, sf), ["sample", "hap"]).select("sample", "hap", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 

@@ -1,10 +1,9 @@
 """Every query with SQL against it; the others against naive definitions over the same rows."""
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from locus.operators import copynumber, pipelines, reftable
+from locus.operators import pipelines, reftable
 from locus.operators.intervals import union_of_spans
 from locus.plans import copy_queries, element_queries, pipeline_queries
 from locus.plans.registry import QUERIES, SQL
