@@ -26,7 +26,7 @@ def tile_windows(reftable: DataFrame, size: int = WINDOW) -> DataFrame:
 
 def window_depth_sum(windows: DataFrame, blocks: DataFrame, name: str = "depth", min_mapq: int = 40) -> DataFrame:
     """Bases of blocks with the mapping quality in each window; windows without any have 0."""
-    pairs = interval_join(windows.select("contig", "start", "end"), blocks.where(F.col("mapq") >= min_mapq).select("contig", "start", "end"), width=WINDOW)
+    pairs = interval_join(windows.select("contig", "start", "end"), blocks.where(F.col("mapq") >= min_mapq).select("contig", "start", "end"), width=WINDOW, long=False)
     sums = pairs.groupBy("contig", "start", "end").agg(F.sum(F.least("end", "r_end") - F.greatest("start", "r_start")).alias(name))
     return windows.join(sums, ["contig", "start", "end"], "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
@@ -43,7 +43,7 @@ def window_depths(windows: DataFrame, blocks: DataFrame, by: Sequence[str], name
     (sample,) = by
     known = blocks.agg(F.array_sort(F.collect_set(sample)).alias("_all"))  # one row
     grid = windows.join(F.broadcast(known)).select("*", F.explode("_all").alias(sample)).drop("_all")
-    pairs = interval_join(windows.select("contig", "start", "end"), blocks.where(F.col("mapq") >= min_mapq).select("contig", "start", "end", sample), width=WINDOW)
+    pairs = interval_join(windows.select("contig", "start", "end"), blocks.where(F.col("mapq") >= min_mapq).select("contig", "start", "end", sample), width=WINDOW, long=False)
     key = [sample, "contig", "start", "end"]
     sums = pairs.groupBy(*key).agg(F.sum(F.least("end", "r_end") - F.greatest("start", "r_start")).alias(name))
     return grid.join(sums, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))

@@ -1,60 +1,78 @@
 """Interval joins and algebra over (contig, start, end), 0-based and half-open.
 
-A range predicate alone would be planned as a nested loop. Intervals are cut into bins of a fixed width and joined on
-(contig, bin), which is a hash or sort-merge join that Spark can split on skewed bins; the pair is kept in one bin only.
-Right intervals over many bins go to bins of their own, 256 times as wide, so an interval is cut into few pieces whatever
-its length. Orders along a contig are taken inside tiles, with what is carried over from the tiles before.
+A range predicate alone would be planned as a nested loop. Intervals are cut into bins and joined on (contig, bin), which is
+a hash or sort-merge join that Spark can split on skewed bins; the pair is kept in one bin only. Bins are nested: an interval's
+own length says how wide its bins are, so it is cut into few pieces whatever its length, and nothing is looked up before
+the join is planned. Orders along a contig are taken inside tiles, into which long intervals are cut.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Nested bins: each level's are WIDER times as wide, and an interval takes the first level where it touches some MOST_BINS at most.
+WIDER, LEVELS, MOST_BINS = 32, 4, 16
+#: Bases of a tile.
+TILE = 1 << 22
 
-def bins(start: Column, end: Column, width: int) -> Column:
+
+def bins(start: Column, end: Column, width: int | Column) -> Column:
     """All bins that [start, end) touches; an empty interval touches that of its start."""
     first = F.floor(start / width)
-    return F.sequence(first, F.greatest(first, F.floor((end - 1) / width)))
+    return F.sequence(first, F.greatest(first, F.ceil(end / width) - 1))
+
+
+def level(start: Column, end: Column, width: int) -> Column:
+    """The level of an interval's bins, by its length; the last one takes all that are longer."""
+    out = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        out = F.when(end - start <= MOST_BINS * width * WIDER**k, k).otherwise(out)
+    return out
 
 
-#: Fine bins that a right interval touches at most; longer ones use bins COARSE times as wide.
-MOST_BINS, COARSE = 16, 256
-#: Bins of long intervals that are broadcast at most.
-BROADCAST_BINS = 50_000
+def nested_bins(start: Column, end: Column, width: int, low: Column | int, high: Column | int) -> Column:
+    """(level, bin) of the interval at the levels from low to high, as an array."""
+    levels = F.sequence(F.lit(low) if isinstance(low, int) else low, F.lit(high) if isinstance(high, int) else high)
+    wide = lambda k: F.element_at(F.array(*[F.lit(width * WIDER**i) for i in range(LEVELS)]), k + 1)
+    return F.flatten(F.transform(levels, lambda k: F.transform(bins(start, end, wide(k)), lambda b: F.struct(k.alias("level"), b.alias("bin")))))
 
 
-def interval_join(left: DataFrame, right: DataFrame, width: int = 500, on: str = "contig", left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end"), long: bool = True) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, width: int = 500, on: str = "contig", left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end"), long: bool = True, both: bool = False) -> DataFrame:
     """Pairs of rows whose intervals overlap on the same contig, each once.
 
     Right columns that the left side has too come out with the prefix r_. Rows with a null contig or span, or with no
-    partner, are left out; first_match() and the flags below join back to the left side. Give the side with the long
-    intervals as the right one. It is looked at once for intervals of over MOST_BINS bins, unless `long` says that it
-    has none; those are broadcast if they are few.
+    partner, are left out; first_match() and the flags below join back to the left side. A right row stands in the bins of
+    its own level, a left row asks in those of every level: one exchange for each side, and no look at the data. The left
+    side's intervals should be short; with `both` they may be long too, and then each side stands at its own level and
+    those above. Without `long` the right ones are taken to be short and have bins of `width` whatever their length.
     """
     (ls, le), (rs, re) = left_span, right_span
     # Names are moved out of the way, so both sides may share them.
     r = right.select(F.col(on).alias("_rc"), *[F.col(f"`{c}`").alias(f"_r_{c}") for c in right.columns if c != on])
-
-    def pairs(far: DataFrame, wide: int, send: bool = False) -> DataFrame:
-        far = far.withColumn("_bin", F.explode(bins(F.col(f"_r_{rs}"), F.col(f"_r_{re}"), wide)))
-        cut = left.withColumn("_lbin", F.explode(bins(F.col(ls), F.col(le), wide)))
-        home = F.greatest(F.floor(F.col(ls) / wide), F.floor(F.col(f"_r_{rs}") / wide))
-        meets = (F.col(on) == F.col("_rc")) & (F.col("_lbin") == F.col("_bin")) & (F.col(f"_r_{rs}") < F.col(le)) & (F.col(f"_r_{re}") > F.col(ls)) & (F.col("_bin") == home)
-        joined = cut.join(F.broadcast(far) if send else far, meets, "inner")
-        return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`_r_{c}`").alias(c if c not in left.columns else f"r_{c}") for c in right.columns if c != on])
-
+    l0, l1, r0, r1 = F.col(f"`{ls}`"), F.col(f"`{le}`"), F.col(f"_r_{rs}"), F.col(f"_r_{re}")
+    meets = (F.col(on) == F.col("_rc")) & (r0 < l1) & (r1 > l0)
     if not long:
-        return pairs(r, width)
-    size = F.col(f"_r_{re}") - F.col(f"_r_{rs}")
-    is_long = size > MOST_BINS * width
-    found = r.where(is_long).agg(F.sum(F.ceil(size / (COARSE * width)) + 1)).first()[0]
-    if not found:
-        return pairs(r, width)
-    return pairs(r.where(~is_long), width).unionByName(pairs(r.where(is_long), COARSE * width, found <= BROADCAST_BINS))
+        far = r.withColumn("_bin", F.explode(bins(r0, r1, width)))
+        near = left.withColumn("_lbin", F.explode(bins(l0, l1, width)))
+        # The pair counts in the bin where the later of both begins.
+        meets = meets & (F.col("_lbin") == F.col("_bin")) & (F.col("_bin") == F.floor(F.greatest(l0, r0) / width))
+    else:
+        far = r.withColumn("_rlevel", level(r0, r1, width))
+        far = far.withColumn("_at", F.explode(nested_bins(r0, r1, width, F.col("_rlevel"), LEVELS - 1 if both else F.col("_rlevel"))))
+        far = far.select("*", F.col("_at.level").alias("_level"), F.col("_at.bin").alias("_bin")).drop("_at")
+        near = left.withColumn("_llevel", level(l0, l1, width)) if both else left
+        near = near.withColumn("_lat", F.explode(nested_bins(l0, l1, width, F.col("_llevel") if both else 0, LEVELS - 1)))
+        near = near.select("*", F.col("_lat.level").alias("_on"), F.col("_lat.bin").alias("_lbin")).drop("_lat")
+        wide = F.element_at(F.array(*[F.lit(width * WIDER**i) for i in range(LEVELS)]), F.col("_level") + 1)
+        meets = meets & (F.col("_on") == F.col("_level")) & (F.col("_lbin") == F.col("_bin")) & (F.col("_bin") == F.floor(F.greatest(l0, r0) / wide))
+        if both:
+            meets = meets & (F.col("_level") == F.greatest("_llevel", "_rlevel"))
+    joined = near.join(far, meets, "inner")
+    return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`_r_{c}`").alias(c if c not in left.columns else f"r_{c}") for c in right.columns if c != on])
 
 
 def overlap(pairs: DataFrame) -> Column:
@@ -81,6 +99,22 @@ def first_containing(left: DataFrame, right: DataFrame, keys: Sequence[str], pay
     return left.join(found.withColumnsRenamed({v: k if k not in left.columns else f"r_{k}" for k, v in names.items()}), list(keys), "left")
 
 
+def first_containing_each(left: DataFrame, tracks: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str], width: int = 500) -> DataFrame:
+    """keys and, for each track by name, a struct of the payload of its first interval that contains the row, null without one.
+
+    All tracks are probed at once: one tagged table, one interval join, one aggregate with a pick for each tag. Tracks have
+    (contig, start, end, payload) and an order in ord, if it matters.
+    """
+    tagged = None
+    for name, (track, payload) in tracks.items():
+        own = track.select("contig", "start", "end", (F.col("ord") if "ord" in track.columns else F.lit(0)).cast("bigint").alias("_ord"), F.lit(name).alias("_tag"), F.struct(*payload).alias(f"_p_{name}"))
+        tagged = own if tagged is None else tagged.unionByName(own, allowMissingColumns=True)
+    probe = left.select(*dict.fromkeys([*keys, "contig", "start", "end"]))
+    pairs = interval_join(probe, tagged, width=width).where("start >= r_start and end <= r_end")
+    picks = [F.min_by(f"_p_{n}", F.when(F.col("_tag") == n, F.struct("r_start", "_ord"))).alias(n) for n in tracks]
+    return pairs.groupBy(*keys).agg(*picks)
+
+
 def first_at_point(left: DataFrame, right: DataFrame, keys: Sequence[str], payload: Sequence[str], pos: str = "pos", width: int = 500) -> DataFrame:
     """As first_containing for points: start <= pos and end > pos."""
     points = left.select(*keys, "contig", F.col(pos).alias("start"), (F.col(pos) + 1).alias("end"))
@@ -99,39 +133,56 @@ def exists_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], flag:
     return left.join(hit, list(keys), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def max_before(df: DataFrame, by: Sequence[str], at: str, value: str, name: str, ties: Sequence[str | Column] = (), tile: int = 1 << 22) -> DataFrame:
-    """Adds the largest `value` of the rows before each in order of (at, ties) within `by`, null for the first.
+def _tiles_of(start: Column, end: Column, tile: int) -> Column:
+    """Tiles that [start, end) touches, in whole bases or fractions."""
+    first = F.floor(start / tile)
+    return F.sequence(first, F.greatest(first, F.ceil(end / tile) - 1))
+
+
+def reach_before(df: DataFrame, by: Sequence[str], start: str, end: str, name: str, ties: Sequence[str | Column] = (), gap: int = 0, tile: int = TILE) -> DataFrame:
+    """Adds the furthest `end` of the rows before each in order of (start, ties) within `by`, if it comes within `gap` of the row's start; else null or less.
+
+    A window over a whole contig would be one task. Every row stands in all tiles that it reaches, so a tile holds what
+    reaches into it from before: one exchange, and no task sees more than a tile.
+    """
+    tiled = df.withColumn("_tile", F.explode(_tiles_of(F.col(start), F.col(end) + gap + 1, tile)))
+    inside = Window.partitionBy(*by, "_tile").orderBy(start, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    return tiled.withColumn(name, F.max(end).over(inside)).where(F.col("_tile") == F.floor(F.col(start) / tile)).drop("_tile")
+
+
+def _unions(df: DataFrame, by: Sequence[str], gap: int) -> DataFrame:
+    """Unions of (by, start, end) within each `by`, by one exchange."""
+    w = Window.partitionBy(*by).orderBy("start", "end")
+    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = df.withColumn("_opens", F.when(before.isNull() | (F.col("start") > before + gap), 1).otherwise(0)).withColumn("_n", F.sum("_opens").over(w))
+    return rows.groupBy(*by, "_n").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_n")
+
+
+def merge_intervals(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0, tile: int = TILE) -> DataFrame:
+    """Unions of intervals that overlap, abut, or are at most `gap` apart. Rows with a null span are left out.
+
+    Intervals are cut at the tiles' edges and united inside each tile. Unions within `gap` of an edge then meet those of
+    other tiles, a few rows for each tile of a contig; the others are final and stay by tile. One scan and two exchanges.
+    """
+    pieces = df.select(*by, "start", "end", F.explode(_tiles_of(F.col("start"), F.col("end"), tile)).alias("_tile"))
+    cut = pieces.select(*by, "_tile", F.greatest(F.col("start"), F.col("_tile") * tile).alias("start"), F.least(F.col("end"), (F.col("_tile") + 1) * tile).alias("end"))
+    inner = _unions(cut, [*by, "_tile"], gap)
+    outer = (F.col("start") <= F.col("_tile") * tile + gap) | (F.col("end") >= (F.col("_tile") + 1) * tile - gap)
+    return _unions(inner.select(*by, F.when(~outer, F.col("_tile")).alias("_tile"), "start", "end"), [*by, "_tile"], gap).select(*by, "start", "end")
+
+
+def islanded(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0, name: str = "island", span: tuple[str, str] = ("start", "end"), tile: int = TILE) -> DataFrame:
+    """Adds the start of each row's island: the rows whose spans overlap, abut, or are at most `gap` apart.
 
-    A window over a whole contig would be one task. Rows are ordered inside tiles of `at`, and what earlier tiles reach
-    is carried over by a window of one row for each tile.
+    Islands are unions, which stand in every tile that they reach; a row takes the last one that begins at or before it in its tile.
     """
-    tiled = df.withColumn("_tile", F.floor(F.col(at) / tile))
-    reach = tiled.groupBy(*by, "_tile").agg(F.max(value).alias("_reach"))
-    earlier = Window.partitionBy(*by).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    carried = reach.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_tile").alias("_of"), F.max("_reach").over(earlier).alias("_carried"))
-    same = F.col("_tile").eqNullSafe(F.col("_of"))
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    inside = Window.partitionBy(*by, "_tile").orderBy(at, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    joined = tiled.join(carried, same)
-    return joined.select(*df.columns, F.greatest(F.max(value).over(inside), F.col("_carried")).alias(name))
-
-
-def islanded(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0, name: str = "island", span: tuple[str, str] = ("start", "end")) -> DataFrame:
-    """Adds the start of each row's island: the rows whose spans overlap, abut, or are at most `gap` apart."""
     start, end = span
-    rows = max_before(df, by, start, end, "_before", [end])
-    opens = F.when(F.col("_before").isNull() | (F.col(start) > F.col("_before") + gap), F.col(start))
-    # An island is named by its start, the last that opened one.
-    # Of equal spans one opens; it comes first.
-    marked = max_before(rows.withColumn("_opens", opens), by, start, "_opens", "_last", [end, F.col("_opens").asc_nulls_last()])
-    return marked.withColumn(name, F.greatest("_opens", "_last")).select(*df.columns, name)
-
-
-def merge_intervals(df: DataFrame, by: Sequence[str] = ("contig",), gap: int = 0) -> DataFrame:
-    """Unions of intervals that overlap, abut, or are at most `gap` apart."""
-    island = islanded(df.select(*by, "start", "end"), by, gap, "_island")
-    return island.groupBy(*by, "_island").agg(F.max("end").alias("end")).select(*by, F.col("_island").alias("start"), "end")
+    spans = merge_intervals(df.select(*by, F.col(start).alias("start"), F.col(end).alias("end")), by, gap, tile)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    starts = spans.select(*by, F.explode(_tiles_of(F.col("start"), F.col("end") + 1, tile)).alias("_tile"), F.col("start").alias("_at"), F.col("start").alias("_island"), F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias("_row"))
+    rows = df.select(*by, F.floor(F.col(start) / tile).alias("_tile"), F.col(start).alias("_at"), F.lit(None).cast(starts.schema["_island"].dataType).alias("_island"), row.alias("_row"))
+    w = Window.partitionBy(*by, "_tile").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    return starts.unionByName(rows).withColumn("_last", F.last("_island", ignorenulls=True).over(w)).where("_row is not null").select("_row.*", F.col("_last").alias(name))
 
 
 def union_of_spans(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:

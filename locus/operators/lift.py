@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from locus.functions.seq import reverse_complement
 from locus.sources.order import with_last
 
-from .intervals import interval_join, max_before, tiles
+from .intervals import interval_join, reach_before, tiles
 
 
 def chain_blocks(lines: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def trim_overlaps(blocks: DataFrame, by: str = "contig") -> DataFrame:
     """Later blocks lose what earlier ones of the contig cover, on the source axis and then on the destination's."""
 
     def once(df: DataFrame, name: str, lo: str, hi: str, other_lo: str, other_hi: str) -> DataFrame:
-        df = max_before(df, [name], lo, hi, "_top", [hi, "chain_id"])
+        df = reach_before(df, [name], lo, hi, "_top", [hi, "chain_id"])
         cut = F.greatest(F.coalesce("_top", lo) - F.col(lo), F.lit(0))
         df = df.withColumn("_cut", cut).drop("_top").where(F.col("_cut") < F.col(hi) - F.col(lo))
         minus = F.col("strand") == "-"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import copynumber, kmers, sv, variants
 from .checkpoints import checkpointed
+from .intervals import first_containing_each
 
 
 def _joined(base: DataFrame, parts: Sequence[DataFrame], key: str) -> DataFrame:
@@ -44,10 +45,17 @@ def annotated_mutations(calls: DataFrame, tracks: Mapping[str, DataFrame], key:
             parts.append(_part(run(t[name]), base, key).select(key, *columns))
 
     keys = [key]
-    add("repeats", lambda x: variants.annotate_repeat(place, x, keys), {"rmsk_class": "string", "rmsk_type": "string"})
-    add("misassembly", lambda x: variants.annotate_misassembly(place, x, x.limit(0), keys), {"misassembly": "boolean"})
-    add("centromeres", lambda x: variants.annotate_centromere(place, x, keys), {"centromere": "string"})
-    add("segdups", lambda x: variants.annotate_segdup(place, x, keys), {"similarity": "string", "segdup": "boolean"})
+    # Tracks of which the first interval around a call counts are probed together.
+    around = {"repeats": {"rmsk_class": "string", "rmsk_type": "string"}, "misassembly": {}, "centromeres": {"centromere": "string"}, "segdups": {"similarity": "string"}}
+    kinds |= {c: kind for columns in around.values() for c, kind in columns.items()} | {"misassembly": "boolean", "segdup": "boolean"}
+    probed = {n: (t[n], list(columns)) for n, columns in around.items() if columns and n in t}
+    if "misassembly" in t:
+        probed["misassembly"] = (t["misassembly"].select("contig", "start", "end", F.lit(True).alias("flag")), ["flag"])
+    if probed:
+        found = place.select(key).join(first_containing_each(place, probed, keys), key, "left")
+        flags = [F.col("misassembly").isNotNull().alias("misassembly")] if "misassembly" in probed else []
+        flags += [F.col("segdups").isNotNull().alias("segdup")] if "segdups" in probed else []
+        parts.append(found.select(key, *[F.col(f"{n}.{c}").alias(c) for n in probed for c in around[n]], *flags))
     add("lengths", lambda x: variants.contig_size(place, x), {"contig_length": "bigint"})
     add("other_caller", lambda x: variants.match_other_caller(base, x), {"other_caller": "boolean"})
     genes = checkpointed(variants.annotate_genes(place, t["features"], keys, t.get("mane"))) if "features" in t else None

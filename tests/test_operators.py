@@ -297,6 +297,83 @@ def test_long_intervals_join_like_short_ones(spark):
     assert rows(iv.interval_join(left, right, width=100), "i", "j") == want == rows(iv.interval_join(left, right, width=100, long=False), "i", "j")
 
 
+def exchanges(df):
+    """Exchanges and scans of a plan, reused ones left out."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange"), plan.count("Scan ")
+
+
+def test_nested_bins_on_all_levels(spark):
+    """Lengths on every level on either side, empty intervals and fractions; no job before the join is asked for."""
+    r = random.Random(11)
+    sizes = [0, 1, 50, 1500, 40_000, 900_000, 40_000_000]
+    a = [(r.choice("xy"), s := r.randrange(60_000_000), s + r.choice(sizes), i) for i in range(120)]
+    b = [(r.choice("xy"), s := r.randrange(60_000_000), s + r.choice(sizes), i) for i in range(120)]
+    left, right = spans(spark, a, ", i long"), spans(spark, b, ", j long")
+    want = sorted((x[3], y[3]) for x in a for y in b if x[0] == y[0] and y[1] < x[2] and y[2] > x[1])
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    joined = iv.interval_join(left, right, width=100, both=True)
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == before and exchanges(joined)[0] <= 2
+    assert rows(joined, "i", "j") == want
+    fine = [(c, s / 7, e / 7, i) for c, s, e, i in a], [(c, s / 7, e / 7, i) for c, s, e, i in b]
+    kind = "contig string, start double, `end` double, "
+    got = rows(iv.interval_join(spark.createDataFrame(fine[0], kind + "i long"), spark.createDataFrame(fine[1], kind + "j long"), width=100, both=True), "i", "j")
+    assert got == sorted((x[3], y[3]) for x in fine[0] for y in fine[1] if x[0] == y[0] and y[1] < x[2] and y[2] > x[1])
+
+
+@pytest.mark.parametrize(("gap", "tile"), [(0, 64), (7, 64), (150, 64), (0, 1 << 22)])
+def test_unions_and_islands_by_a_walk(spark, gap, tile):
+    r = random.Random(12)
+    for n in (1, 40, 300):
+        a = [(r.choice("xy"), s := r.randrange(3000), s + r.choice([0, 1, 5, 30, 64, 400]), i) for i in range(n)]
+        want, island = [], {}
+        for c in "xy":
+            now = None
+            for _, s, e, i in sorted(x for x in a if x[0] == c):
+                if now and s <= now[2] + gap:
+                    now[2] = max(now[2], e)
+                else:
+                    now = [c, s, e]
+                    want.append(now)
+                island[i] = now[1]
+        df = spans(spark, a, ", i long")
+        assert rows(iv.merge_intervals(df, gap=gap, tile=tile), "contig", "start", "end") == sorted(map(tuple, want))
+        assert rows(iv.islanded(df, gap=gap, tile=tile), "i", "island") == sorted(island.items())
+
+
+def test_unions_take_two_exchanges_and_one_scan(spark, tmp_path):
+    spans(spark, [("x", 1, 5)]).write.parquet(str(tmp_path / "a"))
+    assert exchanges(iv.merge_intervals(spark.read.parquet(str(tmp_path / "a")))) == (2, 1)
+
+
+def test_trimmed_blocks_by_a_walk(spark):
+    """Later blocks lose what earlier ones cover, whatever tiles they lie in."""
+    r = random.Random(13)
+    blocks, at = [], 0
+    for i in range(150):
+        at += r.choice([0, 3, 50, 3_000_000])
+        n = r.choice([1, 60, 500, 9_000_000])
+        blocks.append((i, "c", at, at + n, r.choice("+-"), "d", at * 2 + i, at * 2 + i + n))
+
+    def once(rows_, lo, hi, other_lo, other_hi):
+        out, top = [], None
+        for b in sorted(rows_, key=lambda x: (x[lo], x[hi], x[0])):
+            b, cut = list(b), max((top if top is not None else b[lo]) - b[lo], 0)
+            top = max(top or 0, b[hi])
+            if cut < b[hi] - b[lo]:
+                b[lo] += cut
+                if b[4] == "-":
+                    b[other_hi] -= cut
+                else:
+                    b[other_lo] += cut
+                out.append(b)
+        return out
+
+    want = once(once(blocks, 2, 3, 6, 7), 6, 7, 2, 3)
+    df = spark.createDataFrame(blocks, "chain_id long, contig string, start long, `end` long, strand string, dst_contig string, d0 long, d1 long")
+    assert rows(lift.trim_overlaps(df), "chain_id", "start", "end", "d0", "d1") == sorted((b[0], b[2], b[3], b[6], b[7]) for b in want)
+
+
 def test_gaps_between_windows_are_cut_exactly(spark):
     segments = spark.createDataFrame([("a", "chr1", 13.0, 27.0, 6)], "hap string, chrom string, start double, `end` double, n_marks int")
     gaps = spark.createDataFrame([("a", "chr1", 8.4, 13.5), ("a", "chr1", 20.25, 21.0), ("b", "chr1", 14.0, 15.0)], "hap string, chrom string, start double, `end` double")
