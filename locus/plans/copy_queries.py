@@ -238,7 +238,14 @@ def reference_table(spark: SparkSession, sf: str) -> DataFrame:
     """Chains, contigs, jumps, chromosomes and reference overlaps in one flow, for the assemblies of two haplotypes."""
     m = members(spark, sf).withColumn("hap", F.col("ord") % 2)
     satellites = standin(spark, sf, "regions").select((F.col("ord") % 4).cast("string").alias("contig"), (F.col("ord") * 45000).alias("start"), (F.col("ord") * 45000 + F.col("size") * 900).alias("end"))
-    return r.reference_table(m, satellites, min_density=0.01, min_ref_density=0.001)
+    return r.reference_table(m, satellites, min_density=0.01, min_ref_density=0.001, **termini(m))
+
+
+def termini(m: DataFrame) -> dict[str, DataFrame]:
+    """Contigs end soon after their last alignment, chromosomes after theirs; a third of the contigs has a telomere at each end."""
+    contigs = m.groupBy("contig").agg((F.max("c_end") + 20_000).alias("length"))
+    ends = F.when(F.col("contig").cast("long") % 3 == 0, "start").when(F.col("contig").cast("long") % 3 == 1, "end")
+    return {"telomeres": contigs.select("contig", ends.alias("side")).where("side is not null"), "contig_lengths": contigs, "chrom_lengths": m.groupBy("chrom").agg((F.max("r_end") + 30_000).alias("length"))}
 
 
 @query()
