@@ -261,29 +261,94 @@ def link_rearrangements(edges: DataFrame, svs: DataFrame) -> DataFrame:
     """Ordered paths over edges of oriented_pairs(): path, step, sv_id, turn, size (to the next step), reads.
 
     Variants are told apart by their break ends (svs: sv_id, chr1, pos1, dir1, chr2, pos2, dir2), not by their ids. Edges
-    that end where others begin are joined, turned around if need be, until no pair joins; in order of (from_sv, to_sv) a
-    path takes the first that fits. An edge stands in one path. What is connected is found by label propagation, and the
-    paths of one component are laid by one task.
+    that end where others begin are joined, turned around if need be, until no pair joins; in order of (from_sv, to_sv,
+    turns) a path takes the first that fits. An edge stands in one path. Where every end meets one other at most there is
+    nothing to choose, and steps are numbered by pointer doubling over all tasks, whatever the length of a path. Components with a
+    choice, found by label propagation, are laid one by one, each by one task.
     """
     end = lambda k: F.concat_ws(":", *[F.col(f"{c}{k}").cast("string") for c in ("chr", "pos", "dir")])
     ends = svs.select(F.col("sv_id"), end(1).alias("a"), end(2).alias("b"))
 
-    def oriented(side: str) -> Column:
+    def oriented(side: str, back: bool = False) -> Column:
         a, b = F.col(f"{side}_a"), F.col(f"{side}_b")
-        return F.when(F.col(f"{side}_turn") == "-", F.concat_ws("|", b, a)).otherwise(F.concat_ws("|", a, b))
+        turned = F.col(f"{side}_turn") == ("+" if back else "-")
+        return F.when(turned, F.concat_ws("|", b, a)).otherwise(F.concat_ws("|", a, b))
 
     e = edges
     for side in ("from", "to"):
         e = e.join(ends.select(F.col("sv_id").alias(f"{side}_sv"), F.col("a").alias(f"{side}_a"), F.col("b").alias(f"{side}_b")), f"{side}_sv")
     key = lambda side: F.concat_ws("|", F.least(f"{side}_a", f"{side}_b"), F.greatest(f"{side}_a", f"{side}_b"))
-    e = checkpointed(e.select("from_sv", "to_sv", "from_turn", "to_turn", F.col("first_size").cast("long").alias("size"), F.col("sizes").alias("reads"), oriented("from").alias("head"), oriented("to").alias("tail"), key("from").alias("from_key"), key("to").alias("to_key")))
-    roots = connected(e, "from_key", "to_key")
-    grouped = e.join(roots.select(F.col("node").alias("from_key"), F.col("path").alias("component")), "from_key")
+    name = F.concat_ws("\x01", "from_sv", "to_sv", "from_turn", "to_turn")
+    e = checkpointed(e.select(
+        name.alias("edge"), "from_sv", "to_sv", "from_turn", "to_turn", F.col("first_size").cast("long").alias("size"), F.col("sizes").alias("reads"),
+        oriented("from").alias("head"), oriented("to").alias("tail"), oriented("from", True).alias("head_turned"), oriented("to", True).alias("tail_turned"), key("from").alias("from_key"), key("to").alias("to_key"),
+    ))
+    # An edge goes on from its tail, or backwards from its head; what leads on from a label begins with it.
+    states = e.select("edge", F.inline(F.array(F.struct(F.lit(True).alias("on"), F.col("head").alias("enter"), F.col("tail").alias("leave")), F.struct(F.lit(False).alias("on"), F.col("tail_turned").alias("enter"), F.col("head_turned").alias("leave")))))
+    choice = states.groupBy("enter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("enter")
+    # Ends that read alike from both sides may meet themselves.
+    choice = choice.unionByName(e.where("head = head_turned").select(F.col("head").alias("enter"))).unionByName(e.where("tail = tail_turned").select(F.col("tail").alias("enter"))).distinct()
+    chosen = checkpointed(states.join(choice, "enter", "left_semi").select("edge").distinct())
+    if chosen.isEmpty():
+        return _numbered(e, states)
+    roots = connected(e, "from_key", "to_key").select(F.col("node").alias("from_key"), F.col("path").alias("component"))
+    placed = checkpointed(e.join(roots, "from_key"))
+    branched = placed.join(chosen, "edge", "left_semi").select("component").distinct()
 
     def lay(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_laid(pdf.sort_values(["from_sv", "to_sv", "from_turn", "to_turn"]).to_dict("records")), columns=["path", "step", "sv_id", "turn", "size", "reads"])
+        return pd.DataFrame(_laid(pdf.sort_values("edge").to_dict("records")), columns=["path", "step", "sv_id", "turn", "size", "reads"])
 
-    return grouped.groupBy("component").applyInPandas(lay, "path string, step int, sv_id string, turn string, size long, reads string")
+    laid = placed.join(branched, "component", "left_semi").groupBy("component").applyInPandas(lay, "path string, step int, sv_id string, turn string, size long, reads string")
+    plain = checkpointed(placed.join(branched, "component", "left_anti").drop("component"))
+    return laid.unionByName(_numbered(plain, states.join(plain.select("edge"), "edge", "left_semi")))
+
+
+def _ranked_lists(steps: DataFrame, most: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(ranked, cyclic) of linked lists (node, next): node, last (where its list ends) and how far away it is; nodes of cycles.
+
+    Pointers double each round, so a list of n nodes takes log n rounds. Each round some node of every list sees its end;
+    when none does, what is left goes round in cycles.
+    """
+    # far counts the steps to next, or to last where next is null.
+    now = checkpointed(steps.select("node", "next", F.when(F.col("next").isNull(), F.col("node")).alias("last"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("bigint").alias("far")))
+    left = now.where("next is not null").count()
+    for _ in range(most):
+        if not left:
+            break
+        ahead = now.select(F.col("node").alias("_n"), F.col("next").alias("_next"), F.col("last").alias("_last"), F.col("far").alias("_far"))
+        joined = now.join(ahead, F.col("next") == F.col("_n"), "left")
+        now = checkpointed(joined.select("node", F.col("_next").alias("next"), F.coalesce("last", "_last").alias("last"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far")))
+        before, left = left, now.where("next is not null").count()
+        if left == before:
+            break
+    return now.where("next is null").select("node", "last", "far"), now.where("next is not null").select("node")
+
+
+def _numbered(e: DataFrame, states: DataFrame) -> DataFrame:
+    """Paths of edges none of whose ends has a choice, by list ranking; a ring is opened behind its last edge."""
+    node = F.concat(F.col("edge"), F.when(F.col("on"), "\x02+").otherwise("\x02-"))
+    s = checkpointed(states.withColumn("node", node))
+    into = s.select(F.col("enter").alias("_e"), F.col("node").alias("next"), F.col("edge").alias("_to"))
+    steps = checkpointed(s.join(into, F.col("leave") == F.col("_e"), "left").select("node", "edge", "on", "next", "_to"))
+    ranked, cyclic = _ranked_lists(steps)
+    rings = checkpointed(steps.join(cyclic, "node", "left_semi"))
+    if not rings.isEmpty():
+        ring = connected(rings.select(F.col("edge").alias("_x"), F.col("_to").alias("_y")), "_x", "_y").select(F.col("node").alias("edge"), F.col("path").alias("ring"))
+        last = rings.join(ring, "edge").groupBy("ring").agg(F.max("edge").alias("edge")).select("edge", F.lit(True).alias("_cut"))
+        opened = rings.join(last, "edge", "left").withColumn("next", F.when(F.col("_cut").isNull(), F.col("next")))
+        ranked = ranked.unionByName(_ranked_lists(opened)[0])
+    # Each path is there in both directions; that counts in which its first edge is gone forwards.
+    at = checkpointed(ranked.join(s.select("node", "edge", "on"), "node"))
+    lists = at.groupBy("last").agg(F.min(F.struct("edge", ~F.col("on"))).alias("f"), F.count(F.lit(1)).alias("n")).where("not f.col2").select("last", F.col("f.edge").alias("first"), "n")
+    rows = at.join(lists, "last").join(e.select("edge", "from_sv", "to_sv", "from_turn", "to_turn", "size", "reads"), "edge")
+    flip = lambda c: F.when(F.col(c) == "+", "-").otherwise("+")
+    way = lambda f, t: F.when(F.col("on"), f).otherwise(t)
+    a = F.struct(way(F.col("from_sv"), F.col("to_sv")).alias("sv_id"), way(F.col("from_turn"), flip("to_turn")).alias("turn"), F.col("size"), F.col("reads"))
+    b = F.struct(way(F.col("to_sv"), F.col("from_sv")).alias("sv_id"), way(F.col("to_turn"), flip("from_turn")).alias("turn"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("string").alias("reads"))
+    names = rows.groupBy("last").agg(F.min(F.least("from_sv", "to_sv")).alias("_least"), F.max(F.when(F.col("edge") == F.col("first"), F.concat("from_sv", F.lit(">"), "to_sv"))).alias("_of"))
+    step = (F.col("n") - 1 - F.col("far")).cast("int")
+    out = rows.join(names, "last").select(F.concat("_least", F.lit(":"), "_of").alias("path"), F.inline(F.when(F.col("far") > 0, F.array(F.struct(step.alias("step"), a.alias("r")))).otherwise(F.array(F.struct(step.alias("step"), a.alias("r")), F.struct((step + 1).alias("step"), b.alias("r"))))))
+    return out.select("path", "step", "r.*")
 
 
 def _turned(oriented: str) -> str:
