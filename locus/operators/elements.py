@@ -21,9 +21,10 @@ def union_length(hits: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def chain_hsps(hits: DataFrame, query_len: int, max_gap: int = 300, tolerance: int = 200, min_cov: float = 0.55, min_span: int = 3000, max_span: int = 6300) -> DataFrame:
-    """Chains of hits of one contig and strand: contig, strand, start, end, covered.
+    """Chains of hits of one contig and strand: contig, strand, start, end, covered, n_hits, identity.
 
-    hits: contig, strand, start, end (target), q_start, q_end. By target start, a hit extends the open chain if it
+    hits: contig, strand, start, end (target), q_start, q_end, and n_match and aligned, whose sums give the identity to four
+    decimals; without them it is null. By target start, a hit extends the open chain if it
     follows the last one within the gap, does not step back over the chain's query by more than the tolerance (its end
     on +, its start on -) and keeps the span. The open chain decides, so hits are grouped; a group is an island of hits
     that no gap cuts, a few kilobases of a contig.
@@ -39,14 +40,16 @@ def chain_hsps(hits: DataFrame, query_len: int, max_gap: int = 300, tolerance: i
                 lo, hi = now[0].start, max(x.end for x in now)
                 covered = sum(b - a for a, b in _union((x.q_start, x.q_end) for x in now))
                 if covered >= min_cov * query_len and min_span <= hi - lo <= max_span:
-                    out.append((pdf["contig"].iloc[0], pdf["strand"].iloc[0], lo, hi, covered))
+                    identity = round(sum(x.n_match for x in now) / (sum(x.aligned for x in now) or 1), 4) if counted else None
+                    out.append((pdf["contig"].iloc[0], pdf["strand"].iloc[0], lo, hi, covered, len(now), identity))
                 now = []
             now.append(h)
-        return pd.DataFrame(out, columns=["contig", "strand", "start", "end", "covered"])
+        return pd.DataFrame(out, columns=["contig", "strand", "start", "end", "covered", "n_hits", "identity"])
 
+    counted = {"n_match", "aligned"} <= set(hits.columns)
     kind = hits.schema["contig"].dataType.simpleString()
     islands = islanded(hits, ["contig", "strand"], gap=max_gap)
-    return islands.groupBy("contig", "strand", "island").applyInPandas(chain, f"contig {kind}, strand string, start long, end long, covered long")
+    return islands.groupBy("contig", "strand", "island").applyInPandas(chain, f"contig {kind}, strand string, start long, end long, covered long, n_hits int, identity double")
 
 
 def best_hit_per_family(hits: DataFrame) -> DataFrame:
@@ -257,30 +260,52 @@ def union_keys(parts: Sequence[DataFrame], key: str = "insert_key", defaults: di
     return out.na.fill(defaults) if defaults else out
 
 
-def target_site_duplication(inserts: DataFrame, arm: int = 20, mismatch: int = 8, offset: int = 2, least: int = 5) -> DataFrame:
+def target_site_duplication(inserts: DataFrame, arm: int = 20, penalty: int = 8, offset: int = 2, least: int = 5, identity: float = 0.8) -> DataFrame:
     """The best duplicated target site of each insert: insert_key, tsd_len, side.
 
     inserts: insert_key, seq, right (the bases after the second break end), left (those before the first, reversed and
-    complemented) and seq_rc. A site is a run of a diagonal that begins within `offset` bases of both ends, has `least`
-    bases and scores `least` or more by +1 for equal bases and -mismatch for others; the best scores most, then is on the
-    right, then ends first, then is the longer. Gaps are not modelled. All in the row, without a shuffle.
+    complemented) and seq_rc. A site is an alignment of both that begins within `offset` bases of both, has `least` equal bases, the
+    identity and a score of `least` by +1 for equal bases and -penalty for others and for each base of a gap; the best scores
+    most, then is on the right, then ends first, then is the longer. Banded dynamic programming as a fold over the bases of the
+    arm, in the row: the band holds every alignment that can score `least`.
     """
-    starts = [(i, d) for d in range(-offset, offset + 1) for i in range(offset + 1) if 0 <= i + d <= offset]
-    sides = [(F.lit(1), F.substring("seq", 1, arm), F.col("right")), (F.lit(0), F.substring("seq_rc", 1, arm), F.col("left"))]
-
-    def best(is_right: Column, a: Column, b: Column, i: int, d: int) -> Column:
-        last = F.least(F.length(a), F.length(b) - d) - 1
-        begin = F.struct(F.lit(0).alias("score"), F.lit(None).cast("struct<score:int,right:int,back:int,n:int>").alias("top"))
-
-        def step(acc: Column, k: Column) -> Column:
-            score = acc["score"] + F.when(F.substring(a, k + 1, F.lit(1)) == F.substring(b, k + d + 1, F.lit(1)), 1).otherwise(-mismatch)
-            n = k - i + 1
-            here = F.when((score >= least) & (n >= least), F.struct(score.alias("score"), is_right.alias("right"), (-k).alias("back"), n.alias("n")))
-            return F.struct(score.alias("score"), F.greatest(acc["top"], here).alias("top"))
-
-        return F.when(last >= i, F.aggregate(F.sequence(F.lit(i), last), begin, step, lambda acc: acc["top"]))
-
-    top = F.greatest(*[best(*side, i, d) for side in sides for i, d in starts])
+    reach = offset + (arm - least) // penalty
+    diagonals = range(-reach, reach + 1)
+    never, unit = -(1 << 24), 64  # a cell is score * 64 + columns, so the greater score wins and then the longer
+    off = 1 - penalty * unit
+
+    def best(is_right: int, a: Column, b: Column) -> Column:
+        kind = "struct<score:int,right:int,back:int,n:int>"
+        begin = F.struct(F.array(*[F.lit(never)] * len(diagonals)).alias("row"), F.lit(None).cast(kind).alias("top"))
+
+        def step(acc: Column, i: Column) -> Column:
+            row: list[Column] = []
+            for at, d in enumerate(diagonals):
+                j = i + d
+                gain = F.when(F.substring(a, i + 1, F.lit(1)) == F.substring(b, j + 1, F.lit(1)), unit + 1).otherwise(off)
+                ways = [F.when((i <= offset) & (j <= offset), F.lit(0)).otherwise(never) + gain, F.get(acc["row"], F.lit(at)) + gain]
+                ways += [F.get(acc["row"], F.lit(at + 1)) + off] if at + 1 < len(diagonals) else []
+                ways += [row[-1] + off] if row else []
+                row.append(F.when((j >= 0) & (j < F.length(b)), F.greatest(*ways, F.lit(never))).otherwise(never))
+
+            def judged(cells: Column) -> Column:
+                def site(at: int) -> Column:
+                    cell = F.get(cells, F.lit(at))
+                    n, score = cell.bitwiseAND(unit - 1), F.shiftright(cell, 6)
+                    same = n - (n - score) / (penalty + 1)
+                    return F.when((score >= least) & (same >= least) & (same >= identity * n), F.struct(score.alias("score"), F.lit(is_right).alias("right"), (-i).alias("back"), n.alias("n")))
+
+                return F.struct(cells.alias("row"), F.greatest(acc["top"], *[site(at) for at in range(len(diagonals))]).alias("top"))
+
+            return F.element_at(F.transform(F.array(F.array(*row)), judged), 1)
+
+        return F.when(F.length(a) > 0, F.aggregate(F.sequence(F.lit(0), F.length(a) - 1), begin, step, lambda acc: acc["top"]))
+
+    def once(is_right: int, a: Column, b: Column) -> Column:
+        """Both sequences are bound, so that no cell works them out again."""
+        return F.element_at(F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))), lambda x: best(is_right, x["a"], x["b"])), 1)
+
+    top = F.greatest(once(1, F.substring("seq", 1, arm), F.col("right")), once(0, F.substring("seq_rc", 1, arm), F.col("left")))
     found = inserts.select("insert_key", top.alias("t")).where(F.col("t").isNotNull())
     return found.select("insert_key", F.col("t.n").alias("tsd_len"), F.when(F.col("t.right") == 1, "right").otherwise("left").alias("side"))
 

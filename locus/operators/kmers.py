@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from locus.functions.seq import kmers
 
 from .intervals import interval_join, tiles
 
+#: Parts of a site's reads that are cut on their own before they meet.
+SALTS = 64
+
 
 def exploded(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
     """contig, position (0-based) and k-mer of every place; chunked rows add their chunk_start."""
@@ -56,7 +60,8 @@ def pileup_at_sites(sites: DataFrame, blocks: DataFrame, keys: list[str], max_de
     """Depth, bases and reads at sites, bases in order of reads, from ungapped blocks (contig, start, end, seq, read).
 
     Blocks are cut into pieces of a bin's length first, so that a join moves no more of a sequence than a bin may need.
-    With `qual` in the blocks their qualities come along; max_depth keeps the first reads of a site.
+    With `qual` in the blocks their qualities come along; max_depth keeps the first reads of a site. A hot site's reads
+    are cut to max_depth in SALTS parts first, so no task holds more of them than that.
     """
     text = [c for c in ("seq", "qual") if c in blocks.columns]
     cut = blocks.select("contig", "read", *text, F.posexplode(tiles(F.col("start"), F.col("end"), piece)).alias("_i", "_w"))
@@ -65,9 +70,10 @@ def pileup_at_sites(sites: DataFrame, blocks: DataFrame, keys: list[str], max_de
     pairs = interval_join(sites.select(*keys, "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")), pieces, width=piece, long=False)
     at = (F.col("start") - F.col("r_start") + 1).cast("int")
     seen = pairs.select(*keys, F.struct("read", *[F.substring(F.col(c), at, F.lit(1)).alias(c) for c in text]).alias("x"))
-    g = seen.groupBy(*keys).agg(F.array_sort(F.collect_list("x")).alias("x"))
     if max_depth is not None:
-        g = g.withColumn("x", F.slice("x", 1, max_depth))
+        for part in ([F.pmod(F.xxhash64("x"), F.lit(SALTS))], []):
+            seen = seen.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, *part).orderBy("x"))).where(F.col("_r") <= max_depth).drop("_r")
+    g = seen.groupBy(*keys).agg(F.array_sort(F.collect_list("x")).alias("x"))
     joined = lambda c, sep: F.array_join(F.transform("x", lambda r: r[c].cast("string")), sep)
     quals = [joined("qual", "").alias("quals")] if "qual" in text else []
     return g.select(*keys, F.size("x").cast("long").alias("depth"), joined("seq", "").alias("bases"), *quals, joined("read", ",").alias("reads"))

@@ -107,15 +107,29 @@ def merge_sv_callsets(a: DataFrame, b: DataFrame, margin: int = 100) -> DataFram
     return mine.unionByName(rest)
 
 
+def in_population_order(df: DataFrame) -> DataFrame:
+    """ref_chr1, ref_pos1, ref_chr2, ref_pos2 with the ends exchanged where population tables have them the other way.
+
+    Autosomes stand in order of their numbers. An end on X or Y comes first to last, whatever the other is; one that is
+    second changes places with a greater name only. The rule for X and Y is a precedence of "or" over "and" that results depend on.
+    """
+    number = lambda c: F.regexp_extract(F.col(c).cast("string"), "^chr([0-9]+)$", 1).try_cast("int")
+    sex = lambda c: F.col(c).cast("string").isin("chrX", "chrY")
+    one, two = "ref_chr1", "ref_chr2"
+    swap = F.coalesce((~sex(one) & ~sex(two) & (number(one) > number(two))) | sex(one) | (sex(two) & (F.col(one) > F.col(two))), F.lit(False))
+    ends = {one: two, two: one, "ref_pos1": "ref_pos2", "ref_pos2": "ref_pos1"}
+    return df.select(*[F.when(swap, F.col(ends[c])).otherwise(F.col(c)).alias(c) if c in ends else F.col(f"`{c}`") for c in df.columns])
+
+
 def annotate_population_sv(df: DataFrame, population: DataFrame, margin: int = 50) -> DataFrame:
     """The first population variant near the lifted break ends.
 
-    df: sv_id, ref_chr1, ref_pos1, ref_chr2, ref_pos2 (chr1 is the lesser). population: chr1, start, end, chr2, end2, name,
+    df: sv_id, ref_chr1, ref_pos1, ref_chr2, ref_pos2, compared in population order (see above). population: chr1, start, end, chr2, end2, name,
     ord. On one chromosome |pos1 - start| and |pos2 - end2| are within the margin; across two, pos1 lies within the
     margin of [start, end]. Positions below the margin match nothing. Two equi-joins on binned starts.
     """
     p = population.where(F.col("end2").isNotNull())
-    left = df.where(F.col("ref_pos1") >= margin).select("sv_id", F.col("ref_chr1").alias("chr1"), F.col("ref_chr2").alias("chr2"), "ref_pos1", "ref_pos2")
+    left = in_population_order(df).where(F.col("ref_pos1") >= margin).select("sv_id", F.col("ref_chr1").alias("chr1"), F.col("ref_chr2").alias("chr2"), "ref_pos1", "ref_pos2")
     points = left.select("*", F.col("chr1").alias("contig"), (F.col("ref_pos1") - margin).alias("start"), (F.col("ref_pos1") + margin + 1).alias("end"))
     near2 = F.abs(F.col("ref_pos2") - F.col("end2")) <= margin
     same = interval_join(points.where("chr1 = chr2"), p.where("chr1 = chr2").select(F.col("chr1").alias("contig"), "start", (F.col("start") + 1).alias("end"), "end2", "name", "ord")).where(near2)

@@ -318,14 +318,17 @@ def repeat_composition_tails(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def chain_hsps(spark: SparkSession, sf: str) -> DataFrame:
-    h = standin(spark, sf, "blocks").select("contig", "strand", "start", "end", (F.col("start") % 6000).alias("q_start"), (F.col("start") % 6000 + F.col("end") - F.col("start")).alias("q_end")).distinct()
+    h = standin(spark, sf, "blocks").select("contig", "strand", "start", "end", (F.col("start") % 6000).alias("q_start"), (F.col("start") % 6000 + F.col("end") - F.col("start")).alias("q_end"), (F.col("end") - F.col("start")).alias("aligned"), (F.col("end") - F.col("start") - F.col("start") % 7).alias("n_match")).distinct()
     return e.chain_hsps(h, 6000, max_gap=1000, tolerance=1000)
 
 
 @query(f"""WITH {sql('seqs')}, r AS (SELECT contig, seq, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM seqs), s AS (SELECT contig, 1 AS r, substr(seq, 1, 20) AS a, substr(seq, 2, 21) AS b FROM r UNION ALL SELECT contig, 0, substr(rc, 1, 20), substr(rc, 2, 21) FROM r),
 d AS (SELECT *, unnest(range(-2, 3)) AS d FROM s), i AS (SELECT *, unnest(range(0, 3)) AS i FROM d), e AS (SELECT *, unnest(range(i, least(length(a), length(b) - d))) AS e FROM i WHERE i + d BETWEEN 0 AND 2),
 v AS (SELECT contig, r, e, e - i + 1 AS n, list_sum(list_transform(range(i, e + 1), lambda k: CASE WHEN substr(a, (k + 1)::INT, 1) = substr(b, (k + d + 1)::INT, 1) THEN 1 ELSE -8 END))::BIGINT AS score FROM e),
-t AS (SELECT contig, max(struct_pack(score := score, r := r, back := -e, n := n)) AS t FROM v WHERE score >= 5 AND n >= 5 GROUP BY contig) SELECT contig AS insert_key, t.n AS tsd_len, CASE t.r WHEN 1 THEN 'right' ELSE 'left' END AS side FROM t""")
+z AS (SELECT *, unnest(range(1, 19)) AS p FROM (SELECT *, unnest(range(0, 3)) AS j FROM (SELECT *, unnest(range(0, 3)) AS i FROM s))),
+y AS (SELECT *, unnest(range(1, 20)) AS q FROM (SELECT *, unnest(range(0, 2)) AS g FROM z WHERE substr(a, (i + 1)::INT, p::INT) = substr(b, (j + 1)::INT, p::INT) AND i + p < length(a) AND j + p < length(b))),
+x AS (SELECT contig, r, i + p + g + q - 1 AS e, p + q + 1 AS n, p + q - 8 AS score FROM y WHERE p + q >= 13 AND i + p + g + q <= length(a) AND j + p + 1 - g + q <= length(b) AND substr(a, (i + p + g + 1)::INT, q::INT) = substr(b, (j + p + 1 - g + 1)::INT, q::INT)),
+t AS (SELECT contig, max(struct_pack(score := score, r := r, back := -e, n := n)) AS t FROM (SELECT contig, r, e, n, score FROM v UNION ALL SELECT contig, r, e, n, score FROM x) WHERE score >= 5 AND n >= 5 AND n - (n - score) / 9 >= 0.8 * n GROUP BY contig) SELECT contig AS insert_key, t.n AS tsd_len, CASE t.r WHEN 1 THEN 'right' ELSE 'left' END AS side FROM t""")
 def target_site_duplication(spark: SparkSession, sf: str) -> DataFrame:
     from locus.functions.seq import reverse_complement
 

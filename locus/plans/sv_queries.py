@@ -127,6 +127,17 @@ def annotate_population_sv(spark: SparkSession, sf: str) -> DataFrame:
     return s.annotate_population_sv(left, pop).select("sv_id", "population")
 
 
+_NAME = "CASE {c} WHEN 5 THEN 'chrX' WHEN 6 THEN 'chrY' ELSE concat('chr', {c} * 3 + 1) END"
+
+
+@query(f"""WITH {sql('svs')}, n AS (SELECT sv_id, {_NAME.format(c='chr1')} AS a, pos1 AS p, {_NAME.format(c='chr2')} AS b, pos2 AS q FROM svs),
+w AS (SELECT *, CASE WHEN a IN ('chrX', 'chrY') THEN TRUE WHEN b IN ('chrX', 'chrY') THEN a > b ELSE substr(a, 4)::INT > substr(b, 4)::INT END AS w FROM n)
+SELECT sv_id, CASE WHEN w THEN b ELSE a END AS ref_chr1, CASE WHEN w THEN q ELSE p END AS ref_pos1, CASE WHEN w THEN a ELSE b END AS ref_chr2, CASE WHEN w THEN p ELSE q END AS ref_pos2 FROM w""")
+def in_population_order(spark: SparkSession, sf: str) -> DataFrame:
+    named = svs(spark, sf).select("sv_id", F.expr(_NAME.format(c="chr1")).alias("ref_chr1"), F.col("pos1").alias("ref_pos1"), F.expr(_NAME.format(c="chr2")).alias("ref_chr2"), F.col("pos2").alias("ref_pos2"))
+    return s.in_population_order(named)
+
+
 @query(f"""WITH {sql('svs')}, l AS (SELECT 's' || (sv % 50) AS k, sv_id, sv FROM svs) SELECT k AS sv_id, string_agg(svs.is_filter, ',' ORDER BY l.sv) AS ref_filter, TRUE AS ref FROM l JOIN svs ON l.sv_id = svs.sv_id GROUP BY k UNION ALL SELECT 'none', NULL, FALSE""")
 def link_ref_callset(spark: SparkSession, sf: str) -> DataFrame:
     v = svs(spark, sf)
