@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from locus.operators import copynumber as c
 from locus.operators import elements as e
+from locus.operators import flanks
 from locus.operators import reftable as r
 
 from .standins import sql, standin
@@ -350,3 +351,15 @@ def flank_repeat_score(spark: SparkSession, sf: str) -> DataFrame:
     s = standin(spark, sf, "seqs")
     f = e.flank_repeat_score(s.select(F.col("contig").alias("sv_id"), "seq", F.substring("seq", 5, 20).alias("left"), F.reverse("seq").alias("right")), 7)
     return f.select("sv_id", F.col("ins_len").cast("long").alias("ins_len"), F.round("flank_coverage", 9).alias("flank_coverage"), "best_flank", F.round("self_repeat", 9).alias("self_repeat"), F.col("self_period").cast("long").alias("self_period"), F.round("flank_self_repeat", 9).alias("flank_self_repeat"))
+
+
+def flanked(spark: SparkSession, sf: str) -> DataFrame:
+    """Inserts of 90 bases whose left flank lacks four of them and whose right one is another's order."""
+    t = standin(spark, sf, "longseqs")
+    left = F.concat(F.substring("seq", 1, 70), F.substring("seq", 75, 90))
+    return t.select(F.col("contig").alias("sv_id"), F.substring("seq", 30, 90).alias("seq"), left.alias("left"), F.concat(F.substring("seq", 81, 60), F.substring("seq", 1, 60)).alias("right"))
+
+
+@query()
+def flank_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return flanks.flank_alignment(flanked(spark, sf))
