@@ -120,8 +120,8 @@ class PieceModel:
     def normalised(self, text: str) -> str:
         return self.aligned(text)[0] if self.charmap.units or self.strip else (SPACE if self.escape else " ") * (self.dummy_prefix and text != "") + (text.replace(" ", SPACE) if self.escape else text)
 
-    def aligned(self, text: str) -> tuple[str, list[int]]:
-        """The normalised text and, for each of its UTF-8 bytes and its end, the byte of the source it came from.
+    def aligned(self, text: str, prefix: bool = True) -> tuple[str, list[int]]:
+        """The normalised text and, for each of its UTF-8 bytes and its end, the byte of the source it came from; without `prefix` for a stretch from inside a text.
 
         At each place the longest prefix in the character map is replaced; without one the character stays. Bytes
         of a replacement point at the start of what they replace; the prefix mark points at the first byte.
@@ -145,7 +145,7 @@ class PieceModel:
         if self.strip:
             while parts and not parts[0][0].strip(b" "):
                 parts.pop(0)
-        if parts and self.dummy_prefix:
+        if parts and self.dummy_prefix and prefix:
             add(mark, parts[0][1])
         blank = self.strip
         for b, at in parts:

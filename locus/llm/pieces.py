@@ -25,16 +25,27 @@ class Encoder:
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
-        self.packed = {p: n << 32 | i for p in model.id_of for (i,), (n,) in [model.stretch_pieces([p])]}
         self.known = Remembered(model, self._stretch, b"", REMEMBERED)
 
     def _stretch(self, stretch: str) -> bytes:
-        """A 64-bit number for each piece, its id below and its size above; bytes are no load for the garbage collector."""
-        symbols = self.model.merged(stretch) if len(stretch) > 1 else [stretch]
-        try:
-            return array("q", map(self.packed.__getitem__, symbols)).tobytes()
-        except KeyError:
-            return array("q", [n << 32 | i for i, n in zip(*self.model.stretch_pieces(symbols), strict=True)]).tobytes()
+        """A 64-bit number for each piece, its id below and its size above; bytes are no load for the garbage collector.
+
+        A plain model's sizes are those of the source: the stretch is walked through the character map, and the alignment takes
+        the pieces' borders to it. Other models' are of the normalised text, which is aligned as a whole.
+        """
+        model = self.model
+        symbols = model.merged(stretch) if len(stretch) > 1 else [stretch]
+        ids, sizes = model.stretch_pieces(symbols)
+        if model.plain:
+            norm, to = model.aligned(stretch.replace(SPACE, " "), prefix=False)
+            if norm != stretch:
+                raise ValueError("a stretch is not its own normal form")
+            at = [0]
+            for s in symbols:
+                n = len(s.encode())
+                at += range(at[-1] + 1, at[-1] + n + 1) if model.byte_id and s not in model.id_of else [at[-1] + n]
+            sizes = [to[z] - to[a] for a, z in pairwise(at)]
+        return array("q", [n << 32 | i for i, n in zip(ids, sizes, strict=True)]).tobytes()
 
     def encode(self, text: str, end: bool = True) -> list[int]:
         return self.spans(text, end)[0]
@@ -125,10 +136,11 @@ def encoded(docs: DataFrame, model: str | None = None, text: str = "text") -> Da
 
 
 def digests(docs: DataFrame, model: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256 of every whole text; null and empty texts have the end id alone.
+    """key, n_tokens, ids_sha256, decoded_sha256, spans_sha256 of every whole text; null and empty texts have the end id alone.
 
     One pass without a shuffle: each text is encoded to the pieces of encoded(), whose ids are counted, digested and
-    decoded again. Spans that do not tile a text fail the query. Rows are independent, so repeated rows and ties need no
+    decoded again, and whose spans are digested as pairs (start, end) of 32-bit numbers, least byte first. Spans that do not
+    tile a text fail the query. Rows are independent, so repeated rows and ties need no
     care; a very long text is held by one task once. An empty table gives an empty result; only text and key are read,
     so other names cannot clash.
     """
@@ -144,15 +156,17 @@ def digests(docs: DataFrame, model: str | None = None, text: str = "text", key:
             all_ids, starts, ends = (pieces.values.field(n).to_numpy() for n in ("id", "start", "end"))
             if e.model.plain:
                 tiled(offsets, starts, ends, pc.binary_length(b["t"]).to_numpy(zero_copy_only=False))
-            ids_sha, text_sha = [], []
+            ids_sha, text_sha, spans_sha = [], [], []
+            spans = np.stack([starts, ends], 1).astype("<i4")
             for a, z in pairwise(offsets.tolist()):
                 ids = all_ids[a:z].tolist()
                 ids_sha.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(e.model.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b["k"], pa.array(np.diff(offsets), pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+                spans_sha.append(hashlib.sha256(spans[a:z].tobytes()).hexdigest())
+            yield pa.RecordBatch.from_arrays([b["k"], pa.array(np.diff(offsets), pa.int64()), *[pa.array(x, pa.string()) for x in (ids_sha, text_sha, spans_sha)]], names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
     kind = rows.schema["k"].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
 
 
 def tiled(offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> None:

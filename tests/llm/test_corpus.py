@@ -329,6 +329,8 @@ def test_digests(spark, library):
         r = got[d.doc_id]
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest())
         assert (counts[d.doc_id].n_tokens, counts[d.doc_id].n_bytes) == (len(ids) - 1, len(d.text.encode()))
+        spans = [x for p in library.encode(d.text, return_type="proto").pieces for x in (p.begin, p.end)] + [len(d.text.encode())] * 2
+        assert r.spans_sha256 == hashlib.sha256(struct.pack(f"<{len(spans)}i", *spans)).hexdigest()
 
 
 def test_spans_are_the_alignments(library):
