@@ -51,16 +51,27 @@ def disjoint(rows, key, lo, hi):
 
 
 def test_reference_table(spark):
-    """No overlap within an assembly; every row lies on alignments of its contig and chromosome, matches included."""
+    """No overlap within an assembly; every row lies on alignments of its contig and chromosome, matches included, or reaches a terminus by a telomere."""
     got = copy_queries.reference_table(spark, SF).collect()
-    own = {}
-    for m in copy_queries.members(spark, SF).withColumn("hap", F.col("ord") % 2).collect():
-        own.setdefault((m.hap, m.contig, m.chrom), []).append(m)
+    m = copy_queries.members(spark, SF).withColumn("hap", F.col("ord") % 2)
+    ends = copy_queries.termini(m)
+    chrom, contig = ({r[0]: r.length for r in ends[k].collect()} for k in ("chrom_lengths", "contig_lengths"))
+    telomeres = {(r.contig, r.side) for r in ends["telomeres"].collect()}
+    own, snapped = {}, 0
+    for r in m.collect():
+        own.setdefault((r.hap, r.contig, r.chrom), []).append(r)
     assert got and disjoint(got, lambda r: (r.hap, r.chrom), "r_start", "r_end")
     for r in got:
         mine = own[r.hap, r.contig, r.chrom]
-        assert r.r_start < r.r_end and r.c_start < r.c_end and r.matched <= sum(m.matched for m in mine)
-        assert min(m.r_start for m in mine) <= r.r_start and r.r_end <= max(m.r_end for m in mine)
+        assert r.r_start < r.r_end and r.c_start < r.c_end and r.matched <= sum(x.matched for x in mine)
+        start, end = (r.contig, "start") in telomeres, (r.contig, "end") in telomeres
+        p_arm, q_arm = (start, end) if r.strand == "+" else (end, start)
+        assert min(x.r_start for x in mine) <= r.r_start or (p_arm and r.r_start == 0)
+        assert r.r_end <= max(x.r_end for x in mine) or (q_arm and r.r_end == chrom[r.chrom])
+        assert r.c_start >= min(x.c_start for x in mine) or (start and r.c_start == 0)
+        assert r.c_end <= max(x.c_end for x in mine) or (end and r.c_end == contig[r.contig])
+        snapped += r.r_start < min(x.r_start for x in mine) or r.r_end > max(x.r_end for x in mine)
+    assert snapped
 
 
 def test_reference_table_one_contig_at_a_time(spark):
