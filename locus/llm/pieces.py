@@ -25,27 +25,16 @@ class Encoder:
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
+        self.packed = {p: n << 32 | i for p in model.id_of for (i,), (n,) in [model.stretch_pieces([p])]}
         self.known = Remembered(model, self._stretch, b"", REMEMBERED)
 
     def _stretch(self, stretch: str) -> bytes:
-        """A 64-bit number for each piece, its id below and its size above; bytes are no load for the garbage collector.
-
-        A plain model's sizes are those of the source: the stretch is walked through the character map, and the alignment takes
-        the pieces' borders to it. Other models' are of the normalised text, which is aligned as a whole.
-        """
-        model = self.model
-        symbols = model.merged(stretch) if len(stretch) > 1 else [stretch]
-        ids, sizes = model.stretch_pieces(symbols)
-        if model.plain:
-            norm, to = model.aligned(stretch.replace(SPACE, " "), prefix=False)
-            if norm != stretch:
-                raise ValueError("a stretch is not its own normal form")
-            at = [0]
-            for s in symbols:
-                n = len(s.encode())
-                at += range(at[-1] + 1, at[-1] + n + 1) if model.byte_id and s not in model.id_of else [at[-1] + n]
-            sizes = [to[z] - to[a] for a, z in pairwise(at)]
-        return array("q", [n << 32 | i for i, n in zip(ids, sizes, strict=True)]).tobytes()
+        """A 64-bit number for each piece, its id below and its size above; bytes are no load for the garbage collector."""
+        symbols = self.model.merged(stretch) if len(stretch) > 1 else [stretch]
+        try:
+            return array("q", map(self.packed.__getitem__, symbols)).tobytes()
+        except KeyError:
+            return array("q", [n << 32 | i for i, n in zip(*self.model.stretch_pieces(symbols), strict=True)]).tobytes()
 
     def encode(self, text: str, end: bool = True) -> list[int]:
         return self.spans(text, end)[0]
@@ -66,7 +55,11 @@ class Encoder:
         return ids, starts, ends
 
     def bordered(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """ids without the end, and the places in the source where they begin and the last one ends."""
+        """ids without the end, and the places in the source where they begin and the last one ends.
+
+        A plain model's character map is empty, so its walk replaces nothing: places in the source are running sums of the
+        pieces' bytes. Other texts and models are aligned byte by byte.
+        """
         model = self.model
         simple = model.plain and SPACE not in text
         if simple:
