@@ -174,7 +174,9 @@ def read(archives: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record, read by frame and offset.
 
     Each record is found through the index and the seek table. A response's payload must have the length and the
-    digest that its headers state; a revisit states those of the payload that it stands for.
+    digest that its headers state; a revisit states those of the payload that it stands for. Pages without an id come
+    back without one, those without html with an empty payload, and repeated rows as often as they were written. Bundles
+    are read one by one, so a very long page is held once by one task. An empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +210,10 @@ def read(archives: DataFrame) -> DataFrame:
 
 
 def exported(archives: DataFrame, folder: str) -> DataFrame:
-    """Writes each bundle to `folder` as a .warc.zst file, for folders that every executor mounts: (file, bytes)."""
+    """Writes each bundle to `folder` as a .warc.zst file, for folders that every executor mounts: (file, bytes).
+
+    A task that runs again writes the same files anew. An empty table writes none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
