@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from locus.functions.fields import add_flag, flip, locus, mean3
 
-from .checkpoints import checkpointed
+from .checkpoints import checkpointed, stored
 from .intervals import first_at_point, interval_join
 
 
@@ -257,13 +257,15 @@ def connected(edges: DataFrame, a: str, b: str, rounds: int = 40) -> DataFrame:
     """(node, path): the nodes that edges connect, named by the smallest, by label propagation; each round is stored."""
     nodes = edges.select(F.col(a).alias("node")).unionByName(edges.select(F.col(b).alias("node"))).distinct().withColumn("path", F.col("node"))
     both = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).unionByName(edges.select(F.col(b).alias("a"), F.col(a).alias("b"))).distinct()
-    state, both = checkpointed(nodes), checkpointed(both)
+    state, both = stored(nodes), stored(both)
     for _ in range(rounds):
-        low = both.join(state, both.b == state.node).groupBy("a").agg(F.min("path").alias("low"))
-        new = state.join(low, state.node == low.a, "left").select("node", F.least("path", "low").alias("path"))
         # A label's own label is nearer to the smallest: paths are halved at each round.
-        jump = new.select(F.col("node").alias("path"), F.col("path").alias("further"))
-        new = checkpointed(new.join(jump, "path", "left").select("node", F.least("path", "further").alias("path")))
+        ahead = state.join(state.select(F.col("node").alias("path"), F.col("path").alias("further")), "path")
+        low = both.join(ahead.select("node", "further"), both.b == F.col("node")).groupBy("a").agg(F.min("further").alias("low"))
+        best = F.least("further", "low")
+        # What a node hears from its neighbours goes to its label too, so one hop tells all that share the label.
+        told = ahead.join(low, F.col("node") == F.col("a")).select(F.inline(F.array(F.struct("node", best.alias("path")), F.struct(F.col("path").alias("node"), best.alias("path")))))
+        new = stored(told.groupBy("node").agg(F.min("path").alias("path")))
         settled = new.join(state.withColumnRenamed("path", "was"), "node").where("path <> was").isEmpty()
         state = new
         if settled:
@@ -324,14 +326,14 @@ def _ranked_lists(steps: DataFrame, most: int = 64) -> tuple[DataFrame, DataFram
     when none does, what is left goes round in cycles.
     """
     # far counts the steps to next, or to last where next is null.
-    now = checkpointed(steps.select("node", "next", F.when(F.col("next").isNull(), F.col("node")).alias("last"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("bigint").alias("far")))
+    now = stored(steps.select("node", "next", F.when(F.col("next").isNull(), F.col("node")).alias("last"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("bigint").alias("far")))
     left = now.where("next is not null").count()
     for _ in range(most):
         if not left:
             break
         ahead = now.select(F.col("node").alias("_n"), F.col("next").alias("_next"), F.col("last").alias("_last"), F.col("far").alias("_far"))
         joined = now.join(ahead, F.col("next") == F.col("_n"), "left")
-        now = checkpointed(joined.select("node", F.col("_next").alias("next"), F.coalesce("last", "_last").alias("last"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far")))
+        now = stored(joined.select("node", F.col("_next").alias("next"), F.coalesce("last", "_last").alias("last"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far")))
         before, left = left, now.where("next is not null").count()
         if left == before:
             break
