@@ -43,6 +43,8 @@ def liftover_points(points: DataFrame, blocks: DataFrame, keys: Sequence[str], w
     A point in a block is a Match; between two blocks of a chain it is a Gap with the span between them. Points that no
     chain covers have one row with status Unmapped.
     """
+    # Blocks grow with the chains, and the estimate by file size does not know their bins: they are shuffled, never broadcast.
+    blocks = blocks.hint("merge")
     p = points.select(*keys, "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
     hit = interval_join(p, blocks, width=width).select(*keys, F.lit("Match").alias("status"), "dst_contig", _lifted(F.col("start")).alias("dst_pos"), F.lit(None).cast("bigint").alias("dst_end"), "chain_id")
     w = Window.partitionBy("chain_id").orderBy("start")
@@ -58,7 +60,7 @@ def liftover_points(points: DataFrame, blocks: DataFrame, keys: Sequence[str], w
 
 def liftover_alleles(variants: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(lifted, rejected): variants whose whole reference allele lies in one block, alleles turned on '-'."""
-    pairs = interval_join(variants, blocks, width=10_000).where("start >= r_start and end <= r_end")
+    pairs = interval_join(variants, blocks.hint("merge"), width=10_000).where("start >= r_start and end <= r_end")
     minus = F.col("strand") == "-"
     begin = F.when(minus, F.col("d1") - (F.col("end") - F.col("r_start"))).otherwise(F.col("d0") + F.col("start") - F.col("r_start"))
     turned = lambda c: F.when(minus, reverse_complement(F.col(c))).otherwise(F.col(c))
