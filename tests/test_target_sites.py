@@ -47,6 +47,14 @@ def test_sites_with_planted_gaps(spark):
     assert any(n > 13 for n, _ in want.values())
 
 
+def test_sites_take_no_expression_for_each_cell(spark):
+    """The band was unfolded into the plan: hundreds of interpreted cells for each row and step."""
+    rows = [(k, "ACGTTGCAAC" * 6, "CGTTGCAACACGTTGCAACAC" if k % 2 else None, "", "é" * 30) for k in range(50_000)]
+    out = elements.target_site_duplication(spark.createDataFrame(rows, "insert_key int, seq string, right string, left string, seq_rc string"))
+    assert "greatest" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {(r.tsd_len, r.side, r["count"]) for r in out.groupBy("tsd_len", "side").count().collect()} == {(19, "right", 25_000)}
+
+
 def test_pileups_keep_the_first_reads(spark):
     """A hot site with more reads than parts, cut before its list is made."""
     reads = spark.range(20_000).select(F.format_string("r%05d", "id").alias("read"), F.lit("c").alias("contig"), F.lit(10).cast("long").alias("start"), F.lit(14).cast("long").alias("end"), F.lit("ACGT").alias("seq"))
