@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from locus.functions.seq import kmers
 
-from .intervals import interval_join, tiles
+from .intervals import bins
 
 #: Parts of a site's reads that are cut on their own before they meet.
 SALTS = 64
@@ -59,21 +59,27 @@ def filter_alignment_flags(reads: DataFrame, drop: int = 2308, min_mapq: int = 0
 def pileup_at_sites(sites: DataFrame, blocks: DataFrame, keys: list[str], max_depth: int | None = None, piece: int = 1000) -> DataFrame:
     """Depth, bases and reads at sites, bases in order of reads, from ungapped blocks (contig, start, end, seq, read).
 
-    Blocks are cut into pieces of a bin's length first, so that a join moves no more of a sequence than a bin may need.
-    With `qual` in the blocks their qualities come along; max_depth keeps the first reads of a site. A hot site's reads
-    are cut to max_depth in SALTS parts first, so no task holds more of them than that.
+    Blocks are cut at the edges of bins of `piece` bases, so each base of a sequence moves once, and a site is in one bin: its
+    reads meet in the join, and their list takes no exchange of its own. With `qual` in the blocks their qualities come
+    along; max_depth keeps the first reads of a site. They are cut where they meet, before they are exchanged, so a hot
+    site may be split among tasks; beyond what Spark cuts early they are cut in SALTS parts first. keys name one place each.
     """
     text = [c for c in ("seq", "qual") if c in blocks.columns]
-    cut = blocks.select("contig", "read", *text, F.posexplode(tiles(F.col("start"), F.col("end"), piece)).alias("_i", "_w"))
-    part = [F.substring(F.col(c), F.col("_i") * piece + 1, F.lit(piece)).alias(c) for c in text]
-    pieces = cut.select("contig", F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), "read", *part)
-    pairs = interval_join(sites.select(*keys, "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")), pieces, width=piece, long=False)
-    at = (F.col("start") - F.col("r_start") + 1).cast("int")
-    seen = pairs.select(*keys, F.struct("read", *[F.substring(F.col(c), at, F.lit(1)).alias(c) for c in text]).alias("x"))
+    low, high = F.greatest("start", F.col("_bin") * piece), F.least("end", (F.col("_bin") + 1) * piece)
+    cut = blocks.select("contig", "start", "end", F.col("read").alias("_read"), *[F.col(c).alias(f"_{c}") for c in text], F.explode(bins(F.col("start"), F.col("end"), piece)).alias("_bin"))
+    part = [F.substring(F.col(f"_{c}"), (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias(f"_{c}") for c in text]
+    pieces = cut.select("contig", "_bin", low.alias("_low"), high.alias("_high"), "_read", *part)
+    own = list(dict.fromkeys([*keys, "contig"]))
+    pairs = sites.select(*own, F.col("pos").alias("_pos"), F.floor(F.col("pos") / piece).alias("_bin")).join(pieces, ["contig", "_bin"]).where("_low <= _pos and _high > _pos")
+    at = (F.col("_pos") - F.col("_low") + 1).cast("int")
+    seen = pairs.select(*own, "_bin", F.struct(F.col("_read").alias("read"), *[F.substring(F.col(f"_{c}"), at, F.lit(1)).alias(c) for c in text]).alias("x"))
+    place = [*own, "_bin"]
     if max_depth is not None:
-        for part in ([F.pmod(F.xxhash64("x"), F.lit(SALTS))], []):
+        place = keys
+        early = int(sites.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+        for part in ([],) if max_depth <= early else ([F.pmod(F.xxhash64("x"), F.lit(SALTS))], []):
             seen = seen.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, *part).orderBy("x"))).where(F.col("_r") <= max_depth).drop("_r")
-    g = seen.groupBy(*keys).agg(F.array_sort(F.collect_list("x")).alias("x"))
+    g = seen.groupBy(*place).agg(F.array_sort(F.collect_list("x")).alias("x"))
     joined = lambda c, sep: F.array_join(F.transform("x", lambda r: r[c].cast("string")), sep)
     quals = [joined("qual", "").alias("quals")] if "qual" in text else []
     return g.select(*keys, F.size("x").cast("long").alias("depth"), joined("seq", "").alias("bases"), *quals, joined("read", ",").alias("reads"))

@@ -214,7 +214,8 @@ def filter_alignment_flags(spark: SparkSession, sf: str) -> DataFrame:
 SELECT s.contig, s.pos, count(*) AS depth, string_agg(substr(seq, (pos - "start" + 1)::INT, 1), '' ORDER BY read, substr(seq, (pos - "start" + 1)::INT, 1)) AS bases, string_agg(read::VARCHAR, ',' ORDER BY read) AS reads FROM s JOIN b ON s.contig = b.contig AND "start" <= pos AND "end" > pos GROUP BY ALL""")
 def pileup_at_sites(spark: SparkSession, sf: str) -> DataFrame:
     s = standin(spark, sf, "sites").select("contig", (F.col("pk") * 50 + F.col("ln") * 4).alias("pos")).distinct()
-    b = standin(spark, sf, "blocks").select("read", "contig", "start", (F.col("start") + 32).alias("end"), F.translate(F.md5(F.col("read").cast("string")), "0123456789abcdef", "ACGT" * 4).alias("seq")).distinct()
+    b = standin(spark, sf, "blocks").select("read", "contig", "start").distinct()  # the text follows from the read
+    b = b.select("*", (F.col("start") + 32).alias("end"), F.translate(F.md5(F.col("read").cast("string")), "0123456789abcdef", "ACGT" * 4).alias("seq"))
     out = kmers.pileup_at_sites(s.withColumn("p", F.col("pos")), b, ["contig", "p"])
     return out.select("contig", F.col("p").alias("pos"), "depth", "bases", "reads")
 
@@ -227,7 +228,8 @@ def pileup_with_qualities(spark: SparkSession, sf: str) -> DataFrame:
     s = standin(spark, sf, "sites").select("contig", (F.col("pk") * 50 + F.col("ln") * 4).alias("pos")).distinct()
     r = F.col("read").cast("string")
     three = lambda *x: F.concat(*[F.md5(F.concat(F.lit(p), r)) for p in x])
-    b = standin(spark, sf, "blocks").select("read", "contig", "start", (F.col("start") + 96).alias("end"), F.translate(three("", "a", "b"), "0123456789abcdef", "ACGT" * 4).alias("seq"), three("q", "r", "s").alias("qual")).distinct()
+    b = standin(spark, sf, "blocks").select("read", "contig", "start").distinct()
+    b = b.select("*", (F.col("start") + 96).alias("end"), F.translate(three("", "a", "b"), "0123456789abcdef", "ACGT" * 4).alias("seq"), three("q", "r", "s").alias("qual"))
     return kmers.pileup_at_sites(s.withColumn("p", F.col("pos")), b, ["contig", "p"], max_depth=3, piece=40).withColumnRenamed("p", "pos")
 
 

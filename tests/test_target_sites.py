@@ -66,6 +66,28 @@ def test_pileups_keep_the_first_reads(spark):
     assert cut.index("collect_list") < cut.index("row_number")
 
 
+def test_pileups_cut_reads_before_they_move(spark):
+    """Each pair was exchanged twice for its cut, and lists once more; pieces stood in every bin that they touched."""
+    reads = spark.range(300).select(F.col("id").alias("read"), F.lit("c").alias("contig"), (F.col("id") * 7).alias("start"), (F.col("id") * 7 + 95).alias("end"), F.repeat(F.lit("ACGTA"), F.lit(19)).alias("seq"))
+    sites = spark.range(0, 2200, 11).select(F.lit("c").alias("contig"), F.col("id").alias("pos"), F.col("id").alias("p"))
+    want = {}
+    for p in range(0, 2200, 11):
+        at = [k for k in range(300) if k * 7 <= p < k * 7 + 95]
+        if at:
+            want[p] = (len(at), "".join("ACGTA"[(p - k * 7) % 5] for k in at), ",".join(map(str, at)))
+    whole = kmers.pileup_at_sites(sites, reads, ["contig", "p"], piece=40)
+    assert {r.p: (r.depth, r.bases, r.reads) for r in whole.collect()} == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert plan(kmers.pileup_at_sites(sites, reads, ["contig", "p"], piece=40)).count("Exchange hash") == 2
+        first = kmers.pileup_at_sites(sites, reads, ["contig", "p"], max_depth=3, piece=40)
+        assert plan(first).count("Exchange hash") == 3 and "WindowGroupLimit" in plan(first)
+        assert {r.p: (r.depth, r.bases) for r in first.collect()} == {p: (min(n, 3), b[:3]) for p, (n, b, _) in want.items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_chain_identity(spark):
     kind = "contig string, strand string, start long, `end` long, q_start long, q_end long, n_match long, aligned long"
     hits = [("c", "+", 0, 2000, 0, 2000, 1900, 2000), ("c", "+", 2100, 4000, 2100, 4000, 1000, 1900)]
