@@ -18,6 +18,8 @@ from .piece_model import SPACE, PieceModel, Remembered, loaded
 
 #: Stretches that a worker remembers; forgotten all at once when full, so memory stays bounded.
 REMEMBERED = 400_000
+#: Bytes of text that a worker encodes at once; a batch of rows has some hundred times as many numbers as it needs at a time.
+AT_ONCE = 1 << 20
 
 
 class Encoder:
@@ -113,6 +115,18 @@ def _pieces(e: Encoder, texts: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), rows, type=PIECES)
 
 
+def portions(texts: pa.Array, most: int = AT_ONCE) -> Iterator[slice]:
+    """Runs of rows whose texts have `most` bytes together, or one row that has more."""
+    first, size = 0, 0
+    for k, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+        if k > first and size + n > most:
+            yield slice(first, k)
+            first, size = k, 0
+        size += n
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
 def encoded(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
     """docs with `pieces`: an array of (id, start, end), the bytes of the source that each piece covers.
 
@@ -123,7 +137,7 @@ def encoded(docs: DataFrame, model: str | None = None, text: str = "text") -> Da
 
     @F.arrow_udf("array<struct<id:int,start:int,end:int>>")
     def pieces(texts):  # noqa: ANN001, ANN202
-        return _pieces(encoder(path), texts)
+        return pa.concat_arrays([_pieces(encoder(path), texts[p]) for p in portions(texts)] or [pa.array([], PIECES)])
 
     return docs.withColumn("pieces", pieces(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
 
@@ -143,7 +157,7 @@ def digests(docs: DataFrame, model: str | None = None, text: str = "text", key:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         decimal = [str(i) for i in range(len(e.model.pieces))]
-        for b in batches:
+        for b in (b.slice(p.start, p.stop - p.start) for b in batches for p in portions(b["t"])):
             pieces = _pieces(e, b["t"])
             offsets = pieces.offsets.to_numpy()
             all_ids, starts, ends = (pieces.values.field(n).to_numpy() for n in ("id", "start", "end"))
