@@ -33,7 +33,9 @@ def annotated_mutations(calls: DataFrame, tracks: Mapping[str, DataFrame], key:
     relevant_genes for them), other_caller, lengths, lift_<name> (id, dst_contig, dst_pos, status), and population, which
     needs the lift that it is placed on as lift_GRCh38. Each track is as the step of that name takes it.
     """
-    base = checkpointed(calls.select(key, "contig", "start", "end", "ref", "alt"))
+    # Ids are long texts: they are numbered once, and every step moves the number alone.
+    calls, outer, key = checkpointed(calls.withColumn("_row", F.monotonically_increasing_id())), key, "_row"
+    base = calls.select(key, "contig", "start", "end", "ref", "alt")
     place = base.select(key, "contig", "start", "end")
     t = dict(tracks)
     parts: list[DataFrame] = []
@@ -68,13 +70,13 @@ def annotated_mutations(calls: DataFrame, tracks: Mapping[str, DataFrame], key:
             parts.append(variants.flag_gene_sets(genes.select(key, "genes"), t[name], flag, keys).select(key, flag))
     lifts = {n.removeprefix("lift_"): x for n, x in t.items() if n.startswith("lift_")}
     if lifts:
-        lifted = checkpointed(variants.attach_lift_snv(base.select(key), lifts, key))
+        lifted = checkpointed(variants.attach_lift_snv(calls.select(key, outer), lifts, outer).drop(outer))
         parts.append(lifted)
         if "population" in t and "GRCh38" in lifts:
             placed = base.join(lifted.select(key, F.col("GRCh38_contig").alias("ref_contig"), F.col("GRCh38_pos").alias("ref_pos")), key)
             parts.append(variants.annotate_population(placed, t["population"], keys).select(key, "population"))
     kinds["population"] = "string"
-    out = _joined(calls, parts, key)
+    out = _joined(calls, parts, key).drop(key)
     for name, kind in kinds.items():
         out = variants.fill_unevaluated(out, [name], kind)
     return out
