@@ -16,8 +16,9 @@ def attributes(text: Column) -> Column:
     """Attributes `key "value"; ...` or `key=value; ...` as a map; a repeated key keeps its last value."""
     parts = F.filter(F.transform(F.split(text, ";"), lambda p: F.btrim(p)), lambda p: p != "")
     pairs = F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"^[^\s=]+", 0).alias("key"), F.regexp_replace(F.regexp_replace(p, r"^[^\s=]+\s*=?\s*", ""), '"', "").alias("value")))
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["key"] == x["key"]))
-    return F.map_from_entries(last)
+    # A list used inside a lambda is made again for each element, unless it is an element itself.
+    last = lambda all_: F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda y: y["key"] == x["key"]))
+    return F.get(F.transform(F.array(pairs), lambda all_: F.map_from_entries(last(all_))), F.lit(0))
 
 
 def attribute(text: Column, key: str) -> Column:
