@@ -144,11 +144,11 @@ def half_window_ploidy(segments: DataFrame, by: list[str], baseline: str = "leve
 
 def smooth_outliers(df: DataFrame, by: list[str], value: str = "ratio", order: str = "window_index", around: int = 10, limit: float = 4.0, pull: float = 2.0) -> DataFrame:
     """Points beyond all neighbours by more than `limit` deviations come to the neighbours' median and `pull` of them."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-around, around)
-    near = F.filter(F.transform(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))).over(w), lambda x: F.when(x["o"] != F.col(order), x["v"])), lambda v: v.isNotNull())
+    w = Window.partitionBy(*by).orderBy(order)
+    beside = lambda a, b: F.collect_list(value).over(w.rowsBetween(a, b))
     sd = F.stddev(value).over(Window.partitionBy(*by))
-    out = df.withColumns({"_near": near, "_sd": sd})
-    middle = F.expr("array_sort(_near)[cast(size(_near) / 2 as int)]")
+    out = df.withColumns({"_near": F.concat(beside(-around, -1), beside(1, around)), "_sd": sd})
+    middle = F.expr("sort_array(_near)[cast(size(_near) / 2 as int)]")
     high, low = F.col(value) > F.array_max("_near") + limit * F.col("_sd"), F.col(value) < F.array_min("_near") - limit * F.col("_sd")
     smooth = F.when(F.size("_near") == 0, F.col(value)).when(high, middle + pull * F.col("_sd")).when(low, middle - pull * F.col("_sd")).otherwise(F.col(value))
     return out.withColumn("smoothed", smooth).drop("_near", "_sd")
@@ -193,7 +193,7 @@ def call_copy_number(df: DataFrame, ploidy: float | DataFrame | None = None) ->
     """
     by, chrom = ["sample", "hap"], ["sample", "hap", "chrom"]
     ratio = checkpointed(depth_ratio(df, depth_totals(df, by), by, 1.0).select(*chrom, "window_index", "ratio"))
-    smooth = smooth_outliers(ratio, chrom)
+    smooth = checkpointed(smooth_outliers(ratio, chrom))  # four steps read it
     first = checkpointed(segment(smooth, chrom, trimmed_sd(smooth, by, inside=["chrom"]), plain=True))
     level = segment_level(first, by, ["chrom", "start"]).join(bin_level(ratio, by), by, "left")
     found = half_window_ploidy(first.join(level, by), by).withColumnRenamed("ploidy", "_found")
@@ -206,7 +206,7 @@ def call_copy_number(df: DataFrame, ploidy: float | DataFrame | None = None) ->
         chosen = F.lit(float(ploidy))
     scale = checkpointed(scale.select(*by, chosen.alias("ploidy"), F.coalesce("bin_level", "level").alias("level")))
     copies = ratio.join(scale, by).where("level is not null").withColumn("ratio", F.col("ratio") / F.col("level") * F.col("ploidy")).drop("level", "ploidy")
-    capped = smooth_outliers(copies.withColumn("capped", F.least("ratio", F.lit(20.0))), chrom, "capped")
+    capped = checkpointed(smooth_outliers(copies.withColumn("capped", F.least("ratio", F.lit(20.0))), chrom, "capped"))
     called = segment_means(segment(capped, chrom, trimmed_sd(capped, by, inside=["chrom"])), copies, chrom).join(scale, by)
     usable_ = F.count(F.when(F.col("normal_depth") > MIN_NORMAL, 1))
     spans = df.groupBy(*chrom).agg(F.min("window_index").cast("double").alias("start"), F.max("window_index").cast("double").alias("end"), usable_.alias("n_marks"))

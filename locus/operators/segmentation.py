@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
 from collections.abc import Callable, Sequence
 from functools import lru_cache
 
@@ -53,12 +54,17 @@ def threshold(n: int, alpha: float = ALPHA) -> float:
     return high
 
 
-def best_arc(x: np.ndarray, least: int = LEAST) -> tuple[float, int, int]:
-    """The arc [i, j) whose mean differs most from that of the rest, both with `least` values at least, as a deviation of means for unit noise."""
+def best_arc(x: np.ndarray, least: int = LEAST, floor: float = 0.0) -> tuple[float, int, int]:
+    """The arc [i, j) whose mean differs most from that of the rest, both with `least` values at least, as a deviation of means for unit noise.
+
+    Lengths at which no arc can pass `floor`, by the range of the running sums, are left out.
+    """
     n = len(x)
     s = np.concatenate([[0.0], np.cumsum(x - x.mean())])
     best = (0.0, 0, n)
-    for size in range(least, n - least + 1):
+    sizes = np.arange(least, n - least + 1)
+    most = (s.max() - s.min()) / np.sqrt(sizes * (n - sizes) / n)
+    for size in sizes[most >= floor * (1 - 1e-9)].tolist():
         d = np.abs(s[size:] - s[:-size])
         # What stands before, or behind, is a segment too.
         i = int(d.argmax())
@@ -79,9 +85,10 @@ def arc_cuts(x: np.ndarray, noise: float, least: int = LEAST, alpha: float = ALP
         a, b = todo.pop()
         if b - a < 2 * least:
             continue
-        z, i, j = best_arc(x[a:b], least)
         own = float(np.median(np.abs(np.diff(x[a:b])))) / (0.6745 * math.sqrt(2))
-        if z > threshold(b - a, alpha) * max(noise, own):
+        floor = threshold(b - a, alpha) * max(noise, own)
+        z, i, j = best_arc(x[a:b], least, floor)
+        if z > floor:
             ends = [e for e in (a + i, a + j) if a < e < b]
             found.update(ends)
             todo += list(zip([a, *ends], [*ends, b], strict=True))
@@ -142,14 +149,14 @@ class Medians:
     """Medians of any stretch of a fixed array in log n: a wavelet matrix over ranks, one level of prefix counts for each bit."""
 
     def __init__(self, x: np.ndarray) -> None:
-        self.values = np.sort(x, kind="stable").tolist()
+        self.values = array("d", np.sort(x, kind="stable").astype(float).tobytes())
         rank = np.empty(len(x), np.int64)
         rank[np.argsort(x, kind="stable")] = np.arange(len(x))
-        self.levels: list[tuple[int, list[int], int]] = []
+        self.levels: list[tuple[int, array, int]] = []  # eight bytes a mark and level, as plain numbers
         for bit in range(max(len(x) - 1, 0).bit_length() - 1, -1, -1):
             one = (rank >> bit) & 1 == 1
             zeros = np.concatenate([[0], np.cumsum(~one)])
-            self.levels.append((bit, zeros.tolist(), int(zeros[-1])))
+            self.levels.append((bit, array("q", zeros.astype(np.int64).tobytes()), int(zeros[-1])))
             rank = np.concatenate([rank[~one], rank[one]])
 
     def nth(self, a: int, b: int, k: int) -> float:
@@ -176,6 +183,8 @@ def undo_weak(x: np.ndarray, cuts: Sequence[int], sd: float, short: float = UNDO
     Between two long segments the limit is min(1.5 sd, max(1.0 sd, 0.3)), else 1.5 sd. One removal costs two medians of
     merged segments, so n marks and m cuts take (n + m) log n.
     """
+    if not len(cuts):
+        return []
     medians = Medians(x)
     known: dict[tuple[int, int], float] = {}
 
