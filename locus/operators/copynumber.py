@@ -226,8 +226,11 @@ def leading_inter_trailing_gaps(segments: DataFrame, extents: DataFrame, inner:
 
 
 def place_annotation_on_axis(annotation: DataFrame, rows: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Annotation clipped to the mapped span of its contig, in axis windows by strand: rows have axis_start."""
-    pairs = interval_join(annotation, rows.select("contig", F.col("c_start").alias("start"), F.col("c_end").alias("end"), "strand", "chrom", "axis_start"), width=WINDOW)
+    """Annotation clipped to the mapped span of its contig, in axis windows by strand: rows have axis_start.
+
+    Placed rows grow with the assembly and stand in several bins each, so they are shuffled however small their files are.
+    """
+    pairs = interval_join(annotation, rows.select("contig", F.col("c_start").alias("start"), F.col("c_end").alias("end"), "strand", "chrom", "axis_start").hint("merge"), width=WINDOW)
     a, b = F.greatest("start", "r_start"), F.least("end", "r_end")
     minus = F.col("strand") == "-"
     lo = F.when(minus, F.col("r_end") - b).otherwise(a - F.col("r_start")) / size
