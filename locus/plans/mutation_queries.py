@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locus.operators import variants as v
 
-from .standins import sql, standin
+from .standins import distinct_rows, sql, standin
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -28,7 +28,7 @@ _S = 's AS (SELECT DISTINCT site, contig, "start", "end" FROM sites)'
 
 
 def sites(spark: SparkSession, sf: str) -> DataFrame:
-    return standin(spark, sf, "sites").select(*KEYS).distinct()
+    return distinct_rows(spark, sf, "sites", KEYS)
 
 
 def _first(payload: str, where: str = "TRUE") -> str:

@@ -10,7 +10,7 @@ from locus.operators import intervals as iv
 from locus.operators import kmers, lift, manifest, tracks
 from locus.sources import readers, sinks
 
-from .standins import sql, standin
+from .standins import distinct_rows, sql, standin
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -34,7 +34,7 @@ def query(text: str | None = None):  # noqa: ANN201
 @query(f"""WITH {sql('sites', 'regions')}, s AS (SELECT DISTINCT site, contig, "start", "end" FROM sites)
 SELECT s.site, s.contig, s."start", s."end", count(*) AS n, min(r.ord) AS first_ord FROM s JOIN regions r ON s.contig = r.contig AND r."start" < s."end" AND r."end" > s."start" GROUP BY ALL""")
 def interval_join(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = iv.interval_join(standin(spark, sf, "sites").select("site", "contig", "start", "end").distinct(), standin(spark, sf, "regions").select("contig", "start", "end", "ord"))
+    pairs = iv.interval_join(distinct_rows(spark, sf, "sites", ["site", "contig", "start", "end"]), standin(spark, sf, "regions").select("contig", "start", "end", "ord"))
     return pairs.groupBy("site", "contig", "start", "end").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first_ord"))
 
 
