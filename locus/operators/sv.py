@@ -12,8 +12,9 @@ from pyspark.sql.window import Window
 
 from locus.functions.fields import add_flag, flip, locus, mean3
 
-from .checkpoints import checkpointed, stored
+from .checkpoints import checkpointed, dropped, stored
 from .intervals import first_at_point, interval_join
+from .variants import numbered_in_order
 
 
 def classify_sv_type(chr1: Column, pos1: Column, dir1: Column, chr2: Column, pos2: Column, dir2: Column, inserted: Column) -> Column:
@@ -264,11 +265,13 @@ def connected(edges: DataFrame, a: str, b: str, rounds: int = 40) -> DataFrame:
         low = both.join(ahead.select("node", "further"), both.b == F.col("node")).groupBy("a").agg(F.min("further").alias("low"))
         best = F.least("further", "low")
         # What a node hears from its neighbours goes to its label too, so one hop tells all that share the label.
-        told = ahead.join(low, F.col("node") == F.col("a")).select(F.inline(F.array(F.struct("node", best.alias("path")), F.struct(F.col("path").alias("node"), best.alias("path")))))
-        new = stored(told.groupBy("node").agg(F.min("path").alias("path")))
-        settled = new.join(state.withColumnRenamed("path", "was"), "node").where("path <> was").isEmpty()
-        state = new
-        if settled:
+        told = ahead.join(low, F.col("node") == F.col("a")).select(F.inline(F.array(F.struct("node", best.alias("path"), F.col("path").alias("was")), F.struct(F.col("path").alias("node"), best.alias("path"), F.lit(None).alias("was")))))
+        new = stored(told.groupBy("node").agg(F.min("path").alias("path"), F.max("was").alias("was")))
+        dropped(state)
+        state = new.select("node", "path")
+        state._rows_at = new._rows_at
+        if new.where("path <> was").isEmpty():
+            dropped(both)
             return state
     raise RuntimeError("paths have not settled")
 
@@ -290,15 +293,12 @@ def link_rearrangements(edges: DataFrame, svs: DataFrame) -> DataFrame:
         turned = F.col(f"{side}_turn") == ("+" if back else "-")
         return F.when(turned, F.concat_ws("|", b, a)).otherwise(F.concat_ws("|", a, b))
 
-    e = edges
+    # Edges are numbered in their order once, and every step moves the number in place of the names, a text of some 20 characters.
+    e = numbered_in_order(edges.select("from_sv", "to_sv", "from_turn", "to_turn", F.col("first_size").cast("long").alias("size"), F.col("sizes").alias("reads")), ["from_sv", "to_sv", "from_turn", "to_turn"], "edge")
     for side in ("from", "to"):
         e = e.join(ends.select(F.col("sv_id").alias(f"{side}_sv"), F.col("a").alias(f"{side}_a"), F.col("b").alias(f"{side}_b")), f"{side}_sv")
     key = lambda side: F.concat_ws("|", F.least(f"{side}_a", f"{side}_b"), F.greatest(f"{side}_a", f"{side}_b"))
-    name = F.concat_ws("\x01", "from_sv", "to_sv", "from_turn", "to_turn")
-    e = checkpointed(e.select(
-        name.alias("edge"), "from_sv", "to_sv", "from_turn", "to_turn", F.col("first_size").cast("long").alias("size"), F.col("sizes").alias("reads"),
-        oriented("from").alias("head"), oriented("to").alias("tail"), oriented("from", True).alias("head_turned"), oriented("to", True).alias("tail_turned"), key("from").alias("from_key"), key("to").alias("to_key"),
-    ))
+    e = stored(e).withColumns({"head": oriented("from"), "tail": oriented("to"), "head_turned": oriented("from", True), "tail_turned": oriented("to", True)})
     # An edge goes on from its tail, or backwards from its head; what leads on from a label begins with it.
     states = e.select("edge", F.inline(F.array(F.struct(F.lit(True).alias("on"), F.col("head").alias("enter"), F.col("tail").alias("leave")), F.struct(F.lit(False).alias("on"), F.col("tail_turned").alias("enter"), F.col("head_turned").alias("leave")))))
     choice = states.groupBy("enter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("enter")
@@ -307,8 +307,9 @@ def link_rearrangements(edges: DataFrame, svs: DataFrame) -> DataFrame:
     chosen = checkpointed(states.join(choice, "enter", "left_semi").select("edge").distinct())
     if chosen.isEmpty():
         return _numbered(e, states)
+    e = e.withColumns({"from_key": key("from"), "to_key": key("to")}).drop("from_a", "from_b", "to_a", "to_b")
     roots = connected(e, "from_key", "to_key").select(F.col("node").alias("from_key"), F.col("path").alias("component"))
-    placed = checkpointed(e.join(roots, "from_key"))
+    placed = stored(e.join(roots, "from_key"))
     branched = placed.join(chosen, "edge", "left_semi").select("component").distinct()
 
     def lay(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -323,7 +324,7 @@ def _ranked_lists(steps: DataFrame, most: int = 64) -> tuple[DataFrame, DataFram
     """(ranked, cyclic) of linked lists (node, next): node, last (where its list ends) and how far away it is; nodes of cycles.
 
     Pointers double each round, so a list of n nodes takes log n rounds. Each round some node of every list sees its end;
-    when none does, what is left goes round in cycles.
+    when none does, what is left goes round in cycles. Only the last round's table stays.
     """
     # far counts the steps to next, or to last where next is null.
     now = stored(steps.select("node", "next", F.when(F.col("next").isNull(), F.col("node")).alias("last"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("bigint").alias("far")))
@@ -333,7 +334,8 @@ def _ranked_lists(steps: DataFrame, most: int = 64) -> tuple[DataFrame, DataFram
             break
         ahead = now.select(F.col("node").alias("_n"), F.col("next").alias("_next"), F.col("last").alias("_last"), F.col("far").alias("_far"))
         joined = now.join(ahead, F.col("next") == F.col("_n"), "left")
-        now = stored(joined.select("node", F.col("_next").alias("next"), F.coalesce("last", "_last").alias("last"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far")))
+        old, now = now, stored(joined.select("node", F.col("_next").alias("next"), F.coalesce("last", "_last").alias("last"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far")))
+        dropped(old)
         before, left = left, now.where("next is not null").count()
         if left == before:
             break
@@ -341,20 +343,24 @@ def _ranked_lists(steps: DataFrame, most: int = 64) -> tuple[DataFrame, DataFram
 
 
 def _numbered(e: DataFrame, states: DataFrame) -> DataFrame:
-    """Paths of edges none of whose ends has a choice, by list ranking; a ring is opened behind its last edge."""
-    node = F.concat(F.col("edge"), F.when(F.col("on"), "\x02+").otherwise("\x02-"))
-    s = checkpointed(states.withColumn("node", node))
-    into = s.select(F.col("enter").alias("_e"), F.col("node").alias("next"), F.col("edge").alias("_to"))
-    steps = checkpointed(s.join(into, F.col("leave") == F.col("_e"), "left").select("node", "edge", "on", "next", "_to"))
+    """Paths of edges none of whose ends has a choice, by list ranking; a ring is opened behind its last edge.
+
+    A node is an edge's number with its way in the last digit: even backwards, odd on.
+    """
+    edge, on = F.expr("node div 2"), F.col("node") % 2 == 1
+    s = states.select((F.col("edge") * 2 + F.col("on").cast("bigint")).alias("node"), "enter", "leave")
+    into = s.select(F.col("enter").alias("_e"), F.col("node").alias("next"))
+    steps = stored(s.join(into, F.col("leave") == F.col("_e"), "left").select("node", "next"))
     ranked, cyclic = _ranked_lists(steps)
     rings = checkpointed(steps.join(cyclic, "node", "left_semi"))
     if not rings.isEmpty():
-        ring = connected(rings.select(F.col("edge").alias("_x"), F.col("_to").alias("_y")), "_x", "_y").select(F.col("node").alias("edge"), F.col("path").alias("ring"))
-        last = rings.join(ring, "edge").groupBy("ring").agg(F.max("edge").alias("edge")).select("edge", F.lit(True).alias("_cut"))
-        opened = rings.join(last, "edge", "left").withColumn("next", F.when(F.col("_cut").isNull(), F.col("next")))
+        ring = connected(rings.select(edge.alias("_x"), F.expr("next div 2").alias("_y")), "_x", "_y").select(F.col("node").alias("edge"), F.col("path").alias("ring"))
+        of = rings.withColumn("edge", edge)
+        last = of.join(ring, "edge").groupBy("ring").agg(F.max("edge").alias("edge")).select("edge", F.lit(True).alias("_cut"))
+        opened = of.join(last, "edge", "left").withColumn("next", F.when(F.col("_cut").isNull(), F.col("next")))
         ranked = ranked.unionByName(_ranked_lists(opened)[0])
     # Each path is there in both directions; that counts in which its first edge is gone forwards.
-    at = checkpointed(ranked.join(s.select("node", "edge", "on"), "node"))
+    at = ranked.select("last", "far", edge.alias("edge"), on.alias("on"))
     lists = at.groupBy("last").agg(F.min(F.struct("edge", ~F.col("on"))).alias("f"), F.count(F.lit(1)).alias("n")).where("not f.col2").select("last", F.col("f.edge").alias("first"), "n")
     rows = at.join(lists, "last").join(e.select("edge", "from_sv", "to_sv", "from_turn", "to_turn", "size", "reads"), "edge")
     flip = lambda c: F.when(F.col(c) == "+", "-").otherwise("+")
