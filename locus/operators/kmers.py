@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from locus.functions.seq import kmers
 
+from .checkpoints import stored
 from .intervals import bins
 
 #: Parts of a site's reads that are cut on their own before they meet.
 SALTS = 64
+#: Least width of the bins in which sites meet spans without text.
+SPAN = 250
 
 
 def exploded(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
@@ -56,29 +61,48 @@ def filter_alignment_flags(reads: DataFrame, drop: int = 2308, min_mapq: int = 0
     return reads.where((F.col("flag").bitwiseAND(drop) == 0) & (F.col("mapq") >= min_mapq))
 
 
+def _foremost(df: DataFrame, keys: list[str], order: str, most: int, number: Callable[[], Column]) -> DataFrame:
+    """Rows of each key up to the number `most` in order. They are cut before they are exchanged, beyond what Spark cuts early in SALTS parts first."""
+    early = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    for part in ([],) if most <= early else ([F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))], []):
+        df = df.withColumn("_r", number().over(Window.partitionBy(*keys, *part).orderBy(order))).where(F.col("_r") <= most).drop("_r")
+    return df
+
+
 def pileup_at_sites(sites: DataFrame, blocks: DataFrame, keys: list[str], max_depth: int | None = None, piece: int = 1000) -> DataFrame:
     """Depth, bases and reads at sites, bases in order of reads, from ungapped blocks (contig, start, end, seq, read).
 
     Blocks are cut at the edges of bins of `piece` bases, so each base of a sequence moves once, and a site is in one bin: its
     reads meet in the join, and their list takes no exchange of its own. With `qual` in the blocks their qualities come
-    along; max_depth keeps the first reads of a site. They are cut where they meet, before they are exchanged, so a hot
-    site may be split among tasks; beyond what Spark cuts early they are cut in SALTS parts first. keys name one place each.
+    along; max_depth keeps the first reads of a site. Then sites meet the blocks' spans first, without their text, in bins of
+    SPAN bases at least; the reads that stay, with all that tie for the last place, are stored and ask their block for a base.
+    Reads are cut where they meet, before they are exchanged, so a hot site may be split among tasks. keys name one place each.
     """
     text = [c for c in ("seq", "qual") if c in blocks.columns]
-    low, high = F.greatest("start", F.col("_bin") * piece), F.least("end", (F.col("_bin") + 1) * piece)
-    cut = blocks.select("contig", "start", "end", F.col("read").alias("_read"), *[F.col(c).alias(f"_{c}") for c in text], F.explode(bins(F.col("start"), F.col("end"), piece)).alias("_bin"))
-    part = [F.substring(F.col(f"_{c}"), (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias(f"_{c}") for c in text]
-    pieces = cut.select("contig", "_bin", low.alias("_low"), high.alias("_high"), "_read", *part)
     own = list(dict.fromkeys([*keys, "contig"]))
-    pairs = sites.select(*own, F.col("pos").alias("_pos"), F.floor(F.col("pos") / piece).alias("_bin")).join(pieces, ["contig", "_bin"]).where("_low <= _pos and _high > _pos")
-    at = (F.col("_pos") - F.col("_low") + 1).cast("int")
-    seen = pairs.select(*own, "_bin", F.struct(F.col("_read").alias("read"), *[F.substring(F.col(f"_{c}"), at, F.lit(1)).alias(c) for c in text]).alias("x"))
-    place = [*own, "_bin"]
-    if max_depth is not None:
-        place = keys
-        early = int(sites.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-        for part in ([],) if max_depth <= early else ([F.pmod(F.xxhash64("x"), F.lit(SALTS))], []):
-            seen = seen.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, *part).orderBy("x"))).where(F.col("_r") <= max_depth).drop("_r")
+    base = lambda begin: F.struct(F.col("_read").alias("read"), *[F.substring(F.col(f"_{c}"), (F.col("_pos") - F.col(begin) + 1).cast("int"), F.lit(1)).alias(c) for c in text]).alias("x")
+
+    def met(blocks: DataFrame, width: int, columns: list[str]) -> DataFrame:
+        """Sites with the piece of each block that covers them."""
+        low, high = F.greatest("start", F.col("_bin") * width), F.least("end", (F.col("_bin") + 1) * width)
+        cut = blocks.select("contig", "start", "end", F.col("read").alias("_read"), *[F.col(c).alias(f"_{c}") for c in columns], F.explode(bins(F.col("start"), F.col("end"), width)).alias("_bin"))
+        part = [F.substring(F.col(f"_{c}"), (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias(f"_{c}") for c in columns]
+        span = [low.alias("_low"), high.alias("_high"), *part] if columns else [F.col("start").alias("_low"), F.col("end").alias("_high")]
+        pieces = cut.select("contig", "_bin", "_read", *span)
+        return sites.select(*own, F.col("pos").alias("_pos"), F.floor(F.col("pos") / width).alias("_bin")).join(pieces, ["contig", "_bin"]).where("_low <= _pos and _high > _pos")
+
+    if max_depth is None:
+        place, seen = [*own, "_bin"], met(blocks, piece, text).select(*own, "_bin", base("_low"))
+    else:
+        place, width = keys, max(piece, SPAN)
+        # Blocks that agree in all but their text stand for each other here; each of them answers below.
+        kept = stored(_foremost(met(blocks, width, []).drop("_bin"), keys, "_read", max_depth, F.rank).distinct())
+        whole = blocks.select("contig", F.col("start").alias("_low"), F.col("end").alias("_end"), F.col("read").alias("_read"), *[F.col(c).alias(f"_{c}") for c in text])
+        # The ends are no key of the join: blocks that lie by contig, start and read, as distinct ones do, stay where they are.
+        seen = kept.join(whole, ["contig", "_low", "_read"]).where("_high <= _end and _high >= _end").select(*place, base("_low"))
+        if not kept.where("_read is null").isEmpty():  # a block without a name can't be asked by it
+            seen = seen.unionByName(met(blocks.where("read is null"), width, text).select(*place, base("_low")))
+        seen = _foremost(seen, keys, "x", max_depth, F.row_number)
     g = seen.groupBy(*place).agg(F.array_sort(F.collect_list("x")).alias("x"))
     joined = lambda c, sep: F.array_join(F.transform("x", lambda r: r[c].cast("string")), sep)
     quals = [joined("qual", "").alias("quals")] if "qual" in text else []
