@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import copynumber, kmers, sv, variants
-from .checkpoints import checkpointed
+from .checkpoints import checkpointed, stored
 from .intervals import first_containing_each
 
+#: Contigs whose lengths are broadcast; those of more are joined by exchange.
+MOST_CONTIGS = 100_000
+
 
 def _joined(base: DataFrame, parts: Sequence[DataFrame], key: str) -> DataFrame:
     return reduce(lambda a, b: a.join(b, key, "left"), parts, base)
@@ -33,50 +36,57 @@ def annotated_mutations(calls: DataFrame, tracks: Mapping[str, DataFrame], key:
     relevant_genes for them), other_caller, lengths, lift_<name> (id, dst_contig, dst_pos, status), and population, which
     needs the lift that it is placed on as lift_GRCh38. Each track is as the step of that name takes it.
     """
-    # Ids are long texts: they are numbered once, and every step moves the number alone.
-    calls, outer, key = checkpointed(calls.withColumn("_row", F.monotonically_increasing_id())), key, "_row"
-    base = calls.select(key, "contig", "start", "end", "ref", "alt")
-    place = base.select(key, "contig", "start", "end")
     t = dict(tracks)
+    lifts = {n.removeprefix("lift_"): x for n, x in t.items() if n.startswith("lift_")}
+    # Ids are long texts: lifts, which go by them, come first. Then rows are numbered, and every step moves the number alone.
+    base, names, key = stored(variants.attach_lift_snv(calls, lifts, key).withColumn("_row", F.monotonically_increasing_id())), list(calls.columns), "_row"
+    place = base.select(key, "contig", "start", "end")
     parts: list[DataFrame] = []
     kinds: dict[str, str] = {}
+    keys = [key]
 
-    def add(name: str, run, columns: Mapping[str, str]) -> None:  # noqa: ANN001
-        kinds.update(columns)
-        if name in t:
-            parts.append(_part(run(t[name]), base, key).select(key, *columns))
+    def add(found: DataFrame) -> None:
+        """Steps return the rows that they found something for. They are stored one after another, so no two have their shuffles on disk at once."""
+        parts.append(stored(found))
+        names.extend(c for c in found.columns if c != key)
 
-    keys = [key]
     # Tracks of which the first interval around a call counts are probed together.
     around = {"repeats": {"rmsk_class": "string", "rmsk_type": "string"}, "misassembly": {}, "centromeres": {"centromere": "string"}, "segdups": {"similarity": "string"}}
     kinds |= {c: kind for columns in around.values() for c, kind in columns.items()} | {"misassembly": "boolean", "segdup": "boolean"}
     probed = {n: (t[n], list(columns)) for n, columns in around.items() if columns and n in t}
     if "misassembly" in t:
         probed["misassembly"] = (t["misassembly"].select("contig", "start", "end", F.lit(True).alias("flag")), ["flag"])
+    none: dict[str, bool | str] = {}  # what a row without a hit has, if not null
     if probed:
-        found = place.select(key).join(first_containing_each(place, probed, keys), key, "left")
-        flags = [F.col("misassembly").isNotNull().alias("misassembly")] if "misassembly" in probed else []
-        flags += [F.col("segdups").isNotNull().alias("segdup")] if "segdups" in probed else []
-        parts.append(found.select(key, *[F.col(f"{n}.{c}").alias(c) for n in probed for c in around[n]], *flags))
-    add("lengths", lambda x: variants.contig_size(place, x), {"contig_length": "bigint"})
-    add("other_caller", lambda x: variants.match_other_caller(base, x), {"other_caller": "boolean"})
-    genes = checkpointed(variants.annotate_genes(place, t["features"], keys, t.get("mane"))) if "features" in t else None
-    kinds |= {"genes": "string", "transcripts": "string"}
-    if genes is not None:
-        parts.append(_part(genes, base, key))
-    for name, flag in (("cancer_genes", "cancer"), ("relevant_genes", "medically_relevant")):
-        kinds[flag] = "string"
-        if name in t and genes is not None:
-            parts.append(variants.flag_gene_sets(genes.select(key, "genes"), t[name], flag, keys).select(key, flag))
-    lifts = {n.removeprefix("lift_"): x for n, x in t.items() if n.startswith("lift_")}
-    if lifts:
-        lifted = checkpointed(variants.attach_lift_snv(calls.select(key, outer), lifts, outer).drop(outer))
-        parts.append(lifted)
-        if "population" in t and "GRCh38" in lifts:
-            placed = base.join(lifted.select(key, F.col("GRCh38_contig").alias("ref_contig"), F.col("GRCh38_pos").alias("ref_pos")), key)
-            parts.append(variants.annotate_population(placed, t["population"], keys).select(key, "population"))
-    kinds["population"] = "string"
-    out = _joined(calls, parts, key).drop(key)
+        found = first_containing_each(place, probed, keys)
+        flags = {"misassembly": "misassembly", "segdups": "segdup"}
+        add(found.select(key, *[F.col(f"{n}.{c}").alias(c) for n in probed for c in around[n]], *[F.col(n).isNotNull().alias(flag) for n, flag in flags.items() if n in probed]))
+        none |= {flag: False for n, flag in flags.items() if n in probed}
+    kinds |= {"contig_length": "bigint", "other_caller": "boolean", "genes": "string", "transcripts": "string", "cancer": "string", "medically_relevant": "string", "population": "string"}
+    lengths = t.get("lengths")
+    if lengths is not None:
+        lengths = checkpointed(lengths.select("contig", "length"))
+        names.append("contig_length")
+        if lengths.count() > MOST_CONTIGS:
+            add(variants.contig_size(place, lengths).select(key, "contig_length"))
+            names.remove("contig_length")
+            lengths = None
+    if "other_caller" in t:
+        on = ["contig", "start", "ref", "alt"]
+        add(base.select(key, *on).join(t["other_caller"].select(*on).distinct(), on, "left_semi").select(key, F.lit(True).alias("other_caller")))
+        none["other_caller"] = False
+    if "features" in t:
+        sets = {flag: t[n] for n, flag in (("cancer_genes", "cancer"), ("relevant_genes", "medically_relevant")) if n in t}
+        add(variants.genes_found(place, t["features"], keys, t.get("mane"), gene_sets=sets))
+        none |= dict.fromkeys(sets, "False")
+    names += [c for n in lifts for c in (f"{n}_contig", f"{n}_pos", f"{n}_status")]
+    if "population" in t and "GRCh38" in lifts:
+        placed = base.select(key, "ref", "alt", F.col("GRCh38_contig").alias("ref_contig"), F.col("GRCh38_pos").alias("ref_pos"))
+        add(variants.population_found(placed, t["population"], keys))
+    out = _joined(base, parts, key)
+    if lengths is not None:
+        out = variants.contig_size(out, F.broadcast(lengths))
+    out = out.withColumns({c: F.coalesce(c, F.lit(value)) for c, value in none.items()}).select(*names)
     for name, kind in kinds.items():
         out = variants.fill_unevaluated(out, [name], kind)
     return out

@@ -37,7 +37,7 @@ FROM m {' '.join(f'LEFT JOIN q_{n} {on}' for n, on in _STEPS.items())}""")
 def annotated_mutation_table(spark: SparkSession, sf: str) -> DataFrame:
     cols = ("site", "contig", "start", "end", "ref", "alt")
     s = standin(spark, sf, "sites")
-    calls = s.select(F.concat_ws("_", *[F.col(c).cast("string") for c in cols]).alias("id"), *cols).distinct()
+    calls = s.select(*cols).distinct().select(F.concat_ws("_", *[F.col(c).cast("string") for c in cols]).alias("id"), *cols)  # the id follows from them
     r = standin(spark, sf, "regions")
     track = lambda where, **payload: r.where(where).select("contig", "start", "end", "ord", *[F.col(v).alias(k) for k, v in payload.items()])
     features = mutations._features(spark, sf)
