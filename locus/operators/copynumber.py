@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .checkpoints import checkpointed
+from .checkpoints import checkpointed, stored
 from .density import bin_level, segment_level
 from .intervals import interval_join, subtract_intervals, tiles
 from .segmentation import segment
@@ -192,6 +192,7 @@ def call_copy_number(df: DataFrame, ploidy: float | DataFrame | None = None) ->
     No sample or haplotype is dropped: where the depths give no ratio, or the ratios no level, each of its chromosomes is one row with a null mean.
     """
     by, chrom = ["sample", "hap"], ["sample", "hap", "chrom"]
+    df = stored(df.select(*chrom, "window_index", "tumor_depth", "normal_depth"))  # totals, ratios and the spans at the end read it
     ratio = checkpointed(depth_ratio(df, depth_totals(df, by), by, 1.0).select(*chrom, "window_index", "ratio"))
     smooth = checkpointed(smooth_outliers(ratio, chrom))  # four steps read it
     first = checkpointed(segment(smooth, chrom, trimmed_sd(smooth, by, inside=["chrom"]), plain=True))

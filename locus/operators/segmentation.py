@@ -5,15 +5,18 @@ from __future__ import annotations
 import heapq
 import math
 from array import array
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .checkpoints import stored
+
 #: Chance of a change where there is none, and the least marks of a segment.
 ALPHA, LEAST = 0.01, 2
 #: Marks of a block; blocks overlap by half.
@@ -209,7 +212,7 @@ def repeated(pdf: pd.DataFrame, by: Sequence[str], n: int) -> dict[str, pd.Serie
 def segment(df: DataFrame, by: list[str], sd: DataFrame, value: str = "smoothed", order: str = "window_index", plain: bool = False, block: int = BLOCK) -> DataFrame:
     """Segments of each chromosome: by, start, end (of the order), n_marks, mean. `by` ends with the chromosome.
 
-    Arcs are sought in blocks of `block` marks that overlap by half, each a group of its own, so the quadratic search is
+    Arcs are sought in blocks of `block` marks that overlap by half, each packed in a row of its own, so the quadratic search is
     bounded; cuts of all blocks meet in a group of the chromosome, where they are settled and weak steps undone in n log n
     of its marks. Rows without a value are left out;
     without a deviation (too few neighbours) a chromosome is one segment. `plain` undoes by deviations alone.
@@ -218,28 +221,36 @@ def segment(df: DataFrame, by: list[str], sd: DataFrame, value: str = "smoothed"
     half = max(block // 2, 2 * LEAST)
     rows = df.where(F.col(value).isNotNull()).join(sd, [c for c in by if c in sd.columns], "left")
     rows = rows.select(*by, F.col(order).cast("double").alias("_at"), F.col(value).cast("double").alias("_x"), F.coalesce("sd", F.lit(float("inf"))).alias("_sd"), (F.row_number().over(marks) - 1).alias("_k"))
+    # Marks are packed, a row a half of a block, where they are numbered: Python takes them as they are, without a row for each.
+    packed = rows.groupBy(*by, F.floor(F.col("_k") / half).alias("_half")).agg(F.min("_sd").alias("_sd"), F.array_sort(F.collect_list(F.struct("_k", "_x", "_at"))).alias("_m"))
+    packed = stored(packed.select(*by, "_half", "_sd", F.col("_m._x").alias("_x"), F.col("_m._at").alias("_at")))
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     keys = ", ".join(f"`{c}` {kinds[c]}" for c in by)
-    noise = lambda pdf: max(float(pdf["_sd"].iloc[0]), 1e-9)
-
-    def sought(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_k")
-        first, cuts = int(pdf["_k"].iloc[0]), arc_cuts(pdf["_x"].to_numpy(), noise(pdf))
-        return pd.DataFrame({**repeated(pdf, by, len(cuts)), "cut": np.array([first + c for c in cuts], np.int64)})
-
-    # A mark is in the block that begins in its half and in the one before; a chromosome's first half has one block.
-    own = F.floor(F.col("_k") / half)
-    both = rows.select("*", F.explode(F.array_distinct(F.array(own, F.greatest(own - 1, F.lit(0))))).alias("_b"))
-    cuts = both.groupBy(*by, "_b").applyInPandas(sought, f"{keys}, cut long")
+    noise = lambda sd: max(float(sd), 1e-9)
+
+    def sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sds, firsts, xs = batch.column("_sd"), batch.column("_half"), batch.column("_x")
+            found = [arc_cuts(xs[i].values.to_numpy(zero_copy_only=False), noise(sds[i].as_py())) for i in range(len(xs))]
+            own = np.repeat(np.arange(len(xs)), [len(f) for f in found])
+            cuts = np.concatenate([np.array(f, np.int64) + firsts[i].as_py() * half for i, f in enumerate(found)]) if len(own) else np.array([], np.int64)
+            yield from pa.Table.from_batches([batch]).select(by).take(pa.array(own)).append_column("cut", pa.array(cuts)).to_batches()
+
+    # A block is a half and the one behind it, or the last half.
+    behind = F.lead("_x").over(Window.partitionBy(*by).orderBy("_half"))
+    blocks = packed.select(*by, "_half", "_sd", F.concat("_x", F.coalesce(behind, F.array().cast("array<double>"))).alias("_x"))
+    # A number of tasks is given, as the search takes more time than its few bytes let Spark expect.
+    blocks = blocks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "_half")
+    cuts = blocks.mapInArrow(sought, f"{keys}, cut long")
 
     def joined(pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_k")
-        x, at, sd_ = pdf["_x"].to_numpy(), pdf["_at"].to_numpy(), float(pdf["_sd"].iloc[0])
-        inner = settled(x, found["cut"].tolist(), noise(pdf))
+        pdf = pdf.sort_values("_half")
+        x, at, sd_ = np.concatenate(pdf["_x"].to_list()), np.concatenate(pdf["_at"].to_list()), float(pdf["_sd"].iloc[0])
+        inner = settled(x, found["cut"].tolist(), noise(sd_))
         inner = undo_weak(x, inner, sd_, min_long=math.inf) if plain else undo_weak(x, inner, sd_)
         edges = np.array([0, *inner, len(x)])
         a, b = edges[:-1], edges[1:]
         means = [float(x[i:j].mean()) for i, j in zip(a, b, strict=True)]
         return pd.DataFrame({**repeated(pdf, by, len(a)), "start": at[a], "end": at[b - 1], "n_marks": b - a, "mean": means})
 
-    return rows.groupBy(*by).cogroup(cuts.groupBy(*by)).applyInPandas(joined, f"{keys}, start double, end double, n_marks long, mean double")
+    return packed.groupBy(*by).cogroup(cuts.groupBy(*by)).applyInPandas(joined, f"{keys}, start double, end double, n_marks long, mean double")
